@@ -105,16 +105,28 @@ VIEWS = {
 }
 
 
+SPREAD = {"lineitem", "orders", "customer", "part"}
+
+
 def view_sql(name):
     """The definition over the raw table name, for engines that have the tables as views."""
     sql, table = VIEWS[name]
     return sql.format(**{table: table}).strip()
 
 
+def read_table(spark, sf_dir, table):
+    """Scan a table; a scan with fewer splits than the cluster has cores is spread over all of them."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if table in SPREAD and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, df.columns[0])
+    return df
+
+
 def load(spark, sf_dir, name):
     """A derived layer with its integer vertices or box as plain columns."""
     sql, table = VIEWS[name]
-    return spark.sql(sql, **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
+    return spark.sql(sql, **{table: read_table(spark, sf_dir, table)})
 
 
 def segments(spark, sf_dir):
