@@ -4,6 +4,7 @@ import heapq
 
 import numpy as np
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BINS = 1_024  # histogram size of one selection pass
 
@@ -80,7 +81,7 @@ def simplify_tolerance(df, tolerance):
 
 def with_areas(df):
     """Add `areas`: per part, the effective area of every vertex (infinite at the ends)."""
-    schema = df.schema.add("areas", "array<array<double>>")
+    schema = T.StructType([*df.schema.fields, T.StructField("areas", T.ArrayType(T.ArrayType(T.DoubleType())))])
 
     def run(batches):
         for pdf in batches:

@@ -17,6 +17,7 @@ FINER = 8              # each level cuts a cell into FINER x FINER
 MAX_LEVEL = 3
 MAX_PAIRS = 50_000_000  # candidate pairs one cell may hold before it is cut
 MAX_DENSE = 1_000      # bound of the list of dense cells per level
+FEW = 1_000            # right sides up to this size are never worth a look for dense cells
 SALTS = 64
 
 _CELL = ["__lvl", "__cx", "__cy"]
@@ -102,9 +103,13 @@ def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL):
 
 
 def cell_join(left, right, predicate, cell, dense="auto", salts=SALTS):
-    """Inner join of two boxed tables on grid cells; each matching pair of rows appears exactly once."""
+    """Inner join of two boxed tables on grid cells; each matching pair of rows appears exactly once.
+
+    dense='auto' looks for dense cells first (one count per cell); None skips that.
+    """
     if dense == "auto":
-        dense = dense_cells(left, right, cell)
+        few = right.limit(FEW + 1).count() <= FEW
+        dense = None if few else dense_cells(left, right, cell)
     l_cells, r_cells = _file(left, "l", cell), _file(right, "r", cell)
     keys = list(_CELL)
     if dense is not None:

@@ -26,9 +26,9 @@ def requested_keys(requests, catalogue, ecosections, cell=50_000, match_section=
     return first.select(*by, F.col("first.BLUE_LINE_KEY").alias("BLUE_LINE_KEY")).where("BLUE_LINE_KEY IS NOT NULL")
 
 
-def lookup_lines(requests, catalogue, ecosections, **options):
+def lookup_lines(found, catalogue):
     """Dissolved catalogue lines of the found streams, as distinct edges per (key, name)."""
-    keys = requested_keys(requests, catalogue, ecosections, **options).select(*STREAM).distinct()
+    keys = found.select(*STREAM).distinct()
     return dissolve(inner_join(catalogue, keys, STREAM).select(*STREAM, "geom"), STREAM)
 
 
@@ -40,7 +40,7 @@ def lookup_streams(requests, catalogue, ecosections, cell=50_000, repeats=True):
     """
     found = requested_keys(requests, catalogue, ecosections, cell)
     times = requests.groupBy(F.col("Stream").alias("GNIS_NAME")).agg(F.count("*").cast("int").alias("times"))
-    lines = lookup_lines(requests, catalogue, ecosections, cell=cell)
+    lines = lookup_lines(found, catalogue)
     touched = edges_in_boxes(lines, ecosections.select("eco_id", "ECOSECTION_NAME", "xmin", "ymin", "xmax", "ymax"), cell)
     touched = touched.select(*STREAM, "eco_id", "ECOSECTION_NAME").distinct()
     sections = text_list(touched, STREAM, {"Ecosections": "ECOSECTION_NAME"}, "eco_id")

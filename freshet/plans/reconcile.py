@@ -11,6 +11,7 @@ from freshet.operators.geometry import dissolve, dissolved_size, edge_fingerprin
 from freshet.operators.groups import column_dupes, text_list
 from freshet.operators.joins import heavy_keys, inner_join, left_join, semi_join, spread_join
 from freshet.operators.spatial import edges_on_edges, other_edges
+from freshet.sources.layers import materialise
 
 STREAM = ["BLUE_LINE_KEY", "GNIS_NAME"]
 ALL_SEVEN = ["BLUE_LINE_", "GNIS_NAME", "StreamName", "EcoProvinc", "Ecosection", "Summer_Sen", "Winter_Sen"]
@@ -80,10 +81,12 @@ def reconcile(hand, catalogue_lines, cell=1000):
     """Hand layer after replacement: geometry size, merged section lists, repeated rows removed.
 
     Rows are flagged when geometry, both flags and key each occurred in an earlier row; all rows of a flagged
-    key get the key's sections as one list.
+    key get the key's sections as one list. The catalogue lines and the replaced rows are each used many times
+    and therefore written to the shared folder.
     """
+    catalogue_lines = materialise(catalogue_lines, "catalogue_lines")
     updates = touching_longer(catalogue_lines, hand, cell)
-    rows = _geometry_ids(replace_geometry(hand, updates), catalogue_lines)
+    rows = materialise(_geometry_ids(replace_geometry(hand, updates), catalogue_lines), "hand_rows")
     flagged = column_dupes(rows, ["geometry_id", "Summer_Sen", "Winter_Sen", "BLUE_LINE_"], "row_id")
     merged_keys = flagged.where("is_dup").select("BLUE_LINE_").distinct()
     members = semi_join(rows, merged_keys, "BLUE_LINE_")

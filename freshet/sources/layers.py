@@ -68,7 +68,7 @@ def export_name(kind, region="Whole Province", date=None):
 
     day = date or datetime.date.today()
     tag = "" if region == "Whole Province" else f"{region}_"
-    return f"Ptolemy_{kind}_Drought_Prioritization_{tag}{day}"
+    return f"{kind}_Drought_Sensitivity_{tag}{day}"
 
 
 def export_layer(df, folder, kind, region="Whole Province", date=None):
