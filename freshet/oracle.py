@@ -147,10 +147,12 @@ CTES = {
         WHERE TAX_CLASS IN ('amphibians','ray-finned fishes','bivalves','Lampreys') GROUP BY ECOSECTION)) GROUP BY ECOSECTION_CODE""",
     "sar_sections": """SELECT e.*, c.number_sar FROM fx_ecosections e LEFT JOIN sar_codes c USING (ECOSECTION_CODE)
         WHERE winter_sens IS NOT NULL""",
-    "best": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ECOSECTION_NAME, BLUE_LINE_KEY
+    "best": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ECOSECTION_NAME, BLUE_LINE_KEY
         ORDER BY final_score DESC, assessment_id) AS rn FROM (
-        SELECT DISTINCT ECOSECTION_NAME, BLUE_LINE_KEY, assessment_id, fish_observed, habitat_value, final_score, barrier,
-        assessment_date FROM crossed)) WHERE rn=1""",
+        SELECT DISTINCT s.ECOSECTION_NAME, s.BLUE_LINE_KEY, coalesce(n.assessment_id,0) AS assessment_id,
+        coalesce(n.fish_observed,'Unknown') AS fish_observed, coalesce(n.habitat_value,'Unknown') AS habitat_value,
+        coalesce(n.final_score,0) AS final_score, coalesce(n.barrier,'Unknown') AS barrier, n.assessment_date
+        FROM kept s LEFT JOIN near n ON {_same('s', 'n', ['ECOSECTION_NAME', 'BLUE_LINE_KEY'])})) WHERE rn=1""",
     "found_keys": "SELECT GNIS_NAME, BLUE_LINE_KEY FROM (SELECT h.*, row_number() OVER (PARTITION BY GNIS_NAME ORDER BY seg_id) AS rn"
                   " FROM (" + _box_pairs("e.seg_id, e.BLUE_LINE_KEY, e.GNIS_NAME",
                                          "(SELECT * FROM fx_edges WHERE GNIS_NAME IN (SELECT StreamName FROM fx_expert_streams))",
