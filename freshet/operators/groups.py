@@ -55,17 +55,6 @@ def max_level(df, key, cols, levels, heavy_rows=HEAVY_ROWS):
     return joined.drop(*[f"__{c}" for c in cols])
 
 
-def max_per_key(df, keys, cols, heavy_rows=HEAVY_ROWS):
-    """Overwrite each numeric column by its maximum in the key, nulls counted as 0."""
-    best = df.groupBy(*_as_list(keys)).agg(
-        F.count("*").alias("__n"),
-        *[F.max(F.coalesce(F.col(c), F.lit(0))).alias(f"__{c}") for c in cols],
-    )
-    joined = join_back(df, best, keys, weight="__n", heavy_rows=heavy_rows)
-    joined = joined.withColumns({c: F.col(f"__{c}") for c in cols})
-    return joined.drop(*[f"__{c}" for c in cols])
-
-
 def column_dupes(df, cols, order, heavy_rows=HEAVY_ROWS):
     """Flag rows whose value in EVERY listed column, taken one column at a time, occurred earlier.
 

@@ -15,7 +15,7 @@ from freshet.operators.joins import inner_join, left_join
 
 FINER = 8              # each level cuts a cell into FINER x FINER
 MAX_LEVEL = 3
-MAX_PAIRS = 50_000_000  # candidate pairs one cell may hold before it is cut
+MAX_PAIRS = 200_000_000 # candidate pairs one cell may hold before it is cut
 MAX_DENSE = 1_000      # bound of the list of dense cells per level
 FEW = 1_000            # right sides up to this size are never worth a look for dense cells
 SALTS = 64
@@ -73,14 +73,19 @@ def _refine(df, side, cell, dense, level):
     return fine.drop("__cx", "__cy", "__cut").withColumnsRenamed({"__nx": "__cx", "__ny": "__cy"})
 
 
-def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL):
+def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, few=FEW):
     """Cells whose candidate pairs exceed `max_pairs`: those to cut, and at the last level those to salt.
 
     Only cell counts are aggregated, and at most MAX_DENSE cells per level come back, heaviest first; a cell
-    left out is merely slower, never wrong. Returns None when no cell is dense.
+    left out is merely slower, never wrong. Returns None when no cell is dense, in most cases from the right
+    side alone: its fullest cell against the size of the left side.
     """
     spark = left.sparkSession
-    l_cells, r_cells = _file(left, "l", cell), _file(right, "r", cell)
+    r_cells = _file(right, "r", cell)
+    most, total = r_cells.groupBy(*_CELL).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    if not total or total <= few or most * left.count() <= max_pairs:
+        return None
+    l_cells = _file(left, "l", cell)
     found = []
     for level in range(max_level + 1):
         counts = l_cells.select(*_CELL, F.lit(1).alias("l"), F.lit(0).alias("r")).union(
@@ -108,8 +113,7 @@ def cell_join(left, right, predicate, cell, dense="auto", salts=SALTS):
     dense='auto' looks for dense cells first (one count per cell); None skips that.
     """
     if dense == "auto":
-        few = right.limit(FEW + 1).count() <= FEW
-        dense = None if few else dense_cells(left, right, cell)
+        dense = dense_cells(left, right, cell)
     l_cells, r_cells = _file(left, "l", cell), _file(right, "r", cell)
     keys = list(_CELL)
     if dense is not None:

@@ -260,8 +260,8 @@ SQL = {
     "first_match_join": """SELECT s.BLUE_LINE_KEY, k.Summer_Sen AS stream_summer_sens, k.Winter_Sen AS stream_winter_sens
         FROM (SELECT DISTINCT BLUE_LINE_KEY FROM fx_segments) s LEFT JOIN keyed k ON s.BLUE_LINE_KEY=k.BLUE_LINE_KEY""",
     "semi_join_stations": "SELECT STATION_NUMBER, STATION_NAME FROM fx_stations WHERE STATION_NAME IN (SELECT stream FROM fx_hydromaster)",
-    "anti_join_unmatched": """SELECT row_id, BLUE_LINE_ FROM fx_expert_streams h WHERE NOT EXISTS
-        (SELECT 1 FROM fx_segments s WHERE s.BLUE_LINE_KEY IS NOT DISTINCT FROM CAST(h.BLUE_LINE_ AS INT))""",
+    "anti_join_unmatched": """SELECT seg_id, BLUE_LINE_KEY FROM fx_segments s WHERE NOT EXISTS
+        (SELECT 1 FROM fx_expert_streams h WHERE s.BLUE_LINE_KEY IS NOT DISTINCT FROM CAST(h.BLUE_LINE_ AS INT))""",
     "name_repair": "SELECT BLUE_LINE_KEY, corrector FROM correctors",
     "name_repair_literal": """SELECT BLUE_LINE_KEY, replace(string_agg(CASE WHEN GNIS_NAME IS NULL OR GNIS_NAME='Unknown' THEN 'NA' ELSE GNIS_NAME END,
         ', ' ORDER BY n DESC, GNIS_NAME NULLS LAST), ', NA', '') AS corrector FROM several GROUP BY BLUE_LINE_KEY""",

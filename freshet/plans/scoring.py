@@ -5,6 +5,7 @@ After sensitivities are levelled per key, a stream is one (section, key, name) g
 shuffled once, and only per-stream aggregates leave it; no table of all matches is built.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from freshet.functions.geo import edge_hits_box, edge_hits_edge, point_near_edge
@@ -72,20 +73,20 @@ def score_streams(segments, ecosections, crossings, species, experts, radius=50,
     """One row per stream of each section with its attributes and drought risk.
 
     The expert line of a key without own flags is the first match in the order of the key's streams by name,
-    then of the expert rows. A stream is one row here, so the risk is a sum across columns.
+    then of the expert rows; the window for it holds the names of one key in one section, and streams without
+    key, which take no part, stand alone. A stream is one row here, so the risk is a sum across columns.
     """
     kept = keep_streams(segments, ecosections)
     overlays = stream_overlays(kept, crossings, species, experts, radius, cell, **options)
     streams = left_join(kept.select(*STREAM).distinct(), key_levels(segments), "BLUE_LINE_KEY")
     streams = left_join(streams, overlays, STREAM)
-    matched = streams.where("expert IS NOT NULL AND BLUE_LINE_KEY IS NOT NULL").select(
-        "ECOSECTION_NAME", "BLUE_LINE_KEY",
-        F.struct(F.col("GNIS_NAME").isNull().alias("last"), F.col("GNIS_NAME").alias("name"), "expert").alias("m"))
-    by_place = matched.groupBy("ECOSECTION_NAME", "BLUE_LINE_KEY").agg(F.min("m").alias("m")).select(
-        "ECOSECTION_NAME", "BLUE_LINE_KEY",
-        F.col("m.expert.a").alias("place_summer"), F.col("m.expert.b").alias("place_winter"))
     streams = left_join(streams, keyed_experts(experts), "BLUE_LINE_KEY")
-    streams = left_join(streams, by_place, ["ECOSECTION_NAME", "BLUE_LINE_KEY"])
+    has_key = F.col("BLUE_LINE_KEY").isNotNull()
+    match = F.struct(F.col("GNIS_NAME").isNull().alias("last"), F.col("GNIS_NAME").alias("name"), F.col("expert").alias("line"))
+    key = Window.partitionBy("ECOSECTION_NAME", "BLUE_LINE_KEY", F.when(~has_key, F.col("GNIS_NAME")))
+    placed = F.min(F.when(F.col("expert").isNotNull() & has_key, match)).over(key)
+    streams = streams.withColumn("placed", placed).withColumns({
+        "place_summer": F.col("placed.line.a"), "place_winter": F.col("placed.line.b")})
     streams = coalesce_sources(streams, {"stream_summer_sens": "place_summer", "stream_winter_sens": "place_winter"})
     known = F.nullif(F.col("species"), F.lit(0)).cast("long")
     streams = streams.select(

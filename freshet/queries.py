@@ -82,8 +82,8 @@ def semi_join_stations(s, d):
 
 
 def anti_join_unmatched(s, d):
-    hand = fx.expert_streams(s, d).withColumn("BLUE_LINE_KEY", to_int(F.col("BLUE_LINE_")))
-    return joins.anti_join(hand, fx.segments(s, d), "BLUE_LINE_KEY").select("row_id", "BLUE_LINE_")
+    hand = fx.expert_streams(s, d).select(to_int(F.col("BLUE_LINE_")).alias("BLUE_LINE_KEY"))
+    return joins.anti_join(fx.segments(s, d), hand, "BLUE_LINE_KEY").select("seg_id", "BLUE_LINE_KEY")
 
 
 def name_repair(s, d):
@@ -362,7 +362,7 @@ def reconcile_lines(s, d):
 
 
 def column_duplicates(s, d):
-    hand = fx.expert_streams(s, d).withColumn("geometry_id", F.hash("Ecosection") * 0 + F.col("row_id") % 700)
+    hand = fx.expert_streams(s, d).withColumn("geometry_id", F.col("row_id") % 700)
     flagged = groups.column_dupes(hand, ["geometry_id", "Summer_Sen", "Winter_Sen", "BLUE_LINE_"], "row_id")
     return flagged.select("row_id", "is_dup")
 

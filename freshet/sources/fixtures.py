@@ -106,6 +106,7 @@ VIEWS = {
 
 
 SPREAD = {"lineitem", "orders", "customer", "part"}
+_splits = {}
 
 
 def view_sql(name):
@@ -116,11 +117,14 @@ def view_sql(name):
 
 def read_table(spark, sf_dir, table):
     """Scan a table; a scan with fewer splits than the cluster has cores is spread over all of them."""
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    path = f"{sf_dir}/{table}.parquet"
+    df = spark.read.parquet(path)
+    if table not in SPREAD:
+        return df
     cores = spark.sparkContext.defaultParallelism
-    if table in SPREAD and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, df.columns[0])
-    return df
+    if path not in _splits:
+        _splits[path] = df.rdd.getNumPartitions()
+    return df.repartition(cores, df.columns[0]) if _splits[path] < cores else df
 
 
 def load(spark, sf_dir, name):

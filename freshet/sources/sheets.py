@@ -9,12 +9,12 @@ ROW = "__row"
 
 
 def read_sheet(spark, path, width):
-    """All cells as text, no header, with the row's place in the sheet in `__row`.
+    """All cells below the sheet's first line as text, with the row's place among them in `__row`.
 
     A staged sheet is a single small file; the place is taken from the reading order of that file.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(1, width + 1)])
-    df = spark.read.schema(schema).option("multiLine", True).csv(path)
+    df = spark.read.schema(schema).option("header", True).option("multiLine", True).csv(path)
     return df.withColumn(ROW, F.monotonically_increasing_id() + 1)
 
 
