@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from freshet.operators.geometry import dissolve, dissolved_size, edges
 from freshet.operators.groups import text_list
-from freshet.operators.joins import inner_join, left_join
+from freshet.operators.joins import anti_join, inner_join, left_join
 from freshet.operators.spatial import edges_in_boxes
+from freshet.sources.layers import materialise
 
 STREAM = ["BLUE_LINE_KEY", "GNIS_NAME"]
 
@@ -27,9 +28,13 @@ def requested_keys(requests, catalogue, ecosections, cell=50_000, match_section=
 
 
 def lookup_lines(found, catalogue):
-    """Dissolved catalogue lines of the found streams, as distinct edges per (key, name)."""
+    """Dissolved catalogue lines of the found streams, as distinct edges per (key, name).
+
+    The result of the search is used by several later steps and therefore written to the shared folder.
+    """
     keys = found.select(*STREAM).distinct()
-    return dissolve(inner_join(catalogue, keys, STREAM).select(*STREAM, "geom"), STREAM)
+    lines = dissolve(inner_join(catalogue, keys, STREAM).select(*STREAM, "geom"), STREAM)
+    return materialise(lines, "catalogue_lines")
 
 
 def lookup_streams(requests, catalogue, ecosections, cell=50_000, repeats=True):
@@ -56,6 +61,4 @@ def lookup_streams(requests, catalogue, ecosections, cell=50_000, repeats=True):
 
 def unmatched_requests(requests, found):
     """Requests whose name was not found."""
-    from freshet.operators.joins import anti_join
-
     return anti_join(requests, found.select(F.col("GNIS_NAME").alias("Stream")), "Stream")

@@ -81,10 +81,9 @@ def reconcile(hand, catalogue_lines, cell=1000):
     """Hand layer after replacement: geometry size, merged section lists, repeated rows removed.
 
     Rows are flagged when geometry, both flags and key each occurred in an earlier row; all rows of a flagged
-    key get the key's sections as one list. The catalogue lines and the replaced rows are each used many times
-    and therefore written to the shared folder.
+    key get the key's sections as one list. The replaced rows are used many times and therefore written to
+    the shared folder; `catalogue_lines` should be a written table as well, as lookup_lines gives it.
     """
-    catalogue_lines = materialise(catalogue_lines, "catalogue_lines")
     updates = touching_longer(catalogue_lines, hand, cell)
     rows = materialise(_geometry_ids(replace_geometry(hand, updates), catalogue_lines), "hand_rows")
     flagged = column_dupes(rows, ["geometry_id", "Summer_Sen", "Winter_Sen", "BLUE_LINE_"], "row_id")

@@ -106,7 +106,7 @@ VIEWS = {
 
 
 SPREAD = {"lineitem", "orders", "customer", "part"}
-_splits = {}
+_known = {}
 
 
 def view_sql(name):
@@ -116,15 +116,19 @@ def view_sql(name):
 
 
 def read_table(spark, sf_dir, table):
-    """Scan a table; a scan with fewer splits than the cluster has cores is spread over all of them."""
+    """Scan a table; a scan with fewer splits than the cluster has cores is spread over all of them.
+
+    Schema and split count of a file are looked up once.
+    """
     path = f"{sf_dir}/{table}.parquet"
-    df = spark.read.parquet(path)
-    if table not in SPREAD:
-        return df
     cores = spark.sparkContext.defaultParallelism
-    if path not in _splits:
-        _splits[path] = df.rdd.getNumPartitions()
-    return df.repartition(cores, df.columns[0]) if _splits[path] < cores else df
+    if path not in _known:
+        df = spark.read.parquet(path)
+        few = table in SPREAD and df.rdd.getNumPartitions() < cores
+        _known[path] = df.schema, few
+    schema, few = _known[path]
+    df = spark.read.schema(schema).parquet(path)
+    return df.repartition(cores, df.columns[0]) if few else df
 
 
 def load(spark, sf_dir, name):
