@@ -4,8 +4,9 @@ Every feature is repeated for each cell its bounding box covers; features meet o
 predicate decides. A pair is kept only in the cell that holds the lower-left corner of the overlap of the
 two boxes, so each (edge, feature) pair appears once without a distinct.
 
-Cells with too many candidate pairs are cut into finer cells, level by level; what cannot be cut (many
-features at one spot) is salted over several tasks.
+Right-hand features too wide for the given cells are filed in grids of coarser cells, and the left side then
+appears once in each grid in use. Cells with too many candidate pairs are cut into finer cells, level by level;
+what cannot be cut (many features at one spot) is salted over several tasks.
 """
 
 from pyspark.sql import functions as F
@@ -14,13 +15,16 @@ from freshet.functions.geo import edge_hits_box, edge_hits_edge, point_near_edge
 from freshet.operators.joins import inner_join, left_join
 
 FINER = 8              # each level cuts a cell into FINER x FINER
+WIDE = 1_000           # a right-hand feature that covers more cells moves to the next coarser grid
+GRIDS = (0, 1, 2, 3)   # grid g has cells FINER ** g times as wide as given
 MAX_LEVEL = 3
 MAX_PAIRS = 200_000_000 # candidate pairs one cell may hold before it is cut
 MAX_DENSE = 1_000      # bound of the list of dense cells per level
 FEW = 1_000            # right sides up to this size are never worth a look for dense cells
 SALTS = 64
 
-_CELL = ["__lvl", "__cx", "__cy"]
+_DENSE = "__grid int, __lvl int, __cx long, __cy long, __cut boolean"
+_CELL = ["__grid", "__lvl", "__cx", "__cy"]
 
 
 def with_box(df, side, xmin, ymin, xmax, ymax, reach=0.0):
@@ -45,20 +49,41 @@ def rect_box(df, side):
 
 
 def _cell_no(value, size):
-    return F.floor(value / F.lit(float(size))).cast("long")
+    return F.floor(value / size).cast("long")
 
 
-def _file(df, side, cell):
-    """Repeat each feature for every coarse cell its box covers."""
+def _size(cell, level=0):
+    """Cell width at a level of the row's grid."""
+    return F.lit(float(cell)) * F.pow(F.lit(float(FINER)), F.col("__grid") - level)
+
+
+def _grid(side, cell):
+    """The finest grid in which a feature covers at most WIDE cells."""
+    x0, y0, x1, y1 = (F.col(f"__{side}{c}") for c in ("x0", "y0", "x1", "y1"))
+    grid = F.lit(GRIDS[-1])
+    for g in reversed(GRIDS[:-1]):
+        size = float(cell) * FINER**g
+        grid = F.when(((x1 - x0) / size + 1) * ((y1 - y0) / size + 1) <= WIDE, F.lit(g)).otherwise(grid)
+    return grid
+
+
+def _file(df, side, cell, grids=(0,)):
+    """Repeat each feature for every cell its box covers, in the grids in use."""
     x0, y0, x1, y1 = (F.col(f"__{side}{c}") for c in ("x0", "y0", "x1", "y1"))
-    wide = df.withColumn("__cx", F.explode(F.sequence(_cell_no(x0, cell), _cell_no(x1, cell))))
-    wide = wide.withColumn("__cy", F.explode(F.sequence(_cell_no(y0, cell), _cell_no(y1, cell))))
+    if tuple(grids) == (0,):
+        df, size = df.withColumn("__grid", F.lit(0)), F.lit(float(cell))
+    elif side == "l":
+        df, size = df.withColumn("__grid", F.explode(F.array(*[F.lit(g) for g in grids]))), _size(cell)
+    else:
+        df, size = df.withColumn("__grid", _grid(side, cell)), _size(cell)
+    wide = df.withColumn("__cx", F.explode(F.sequence(_cell_no(x0, size), _cell_no(x1, size))))
+    wide = wide.withColumn("__cy", F.explode(F.sequence(_cell_no(y0, size), _cell_no(y1, size))))
     return wide.withColumn("__lvl", F.lit(0))
 
 
 def _refine(df, side, cell, dense, level):
     """Move features in dense cells of one level to the finer cells their box covers there."""
-    size = cell / FINER ** (level + 1)
+    size = _size(cell, level + 1)
 
     def children(parent, low, high):
         first = F.greatest(F.col(parent) * FINER, _cell_no(F.col(low), size))
@@ -73,19 +98,29 @@ def _refine(df, side, cell, dense, level):
     return fine.drop("__cx", "__cy", "__cut").withColumnsRenamed({"__nx": "__cx", "__ny": "__cy"})
 
 
-def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, few=FEW):
+def look(left, right, cell):
+    """The grids the right side needs, and the dense cells if there are any.
+
+    Most often the right side alone settles it: its fullest cell against the size of the left side.
+    """
+    per_cell = _file(right, "r", cell, GRIDS).groupBy(*_CELL).agg(F.count("*").alias("n"))
+    per_grid = per_cell.groupBy("__grid").agg(F.max("n").alias("most"), F.sum("n").alias("total")).collect()
+    grids = tuple(sorted(row["__grid"] for row in per_grid)) or (0,)
+    if sum(row["total"] for row in per_grid) <= FEW:
+        return grids, None
+    if max(row["most"] for row in per_grid) * left.count() <= MAX_PAIRS:
+        return grids, None
+    return grids, dense_cells(left, right, cell, grids=grids)
+
+
+def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, grids=(0,)):
     """Cells whose candidate pairs exceed `max_pairs`: those to cut, and at the last level those to salt.
 
     Only cell counts are aggregated, and at most MAX_DENSE cells per level come back, heaviest first; a cell
-    left out is merely slower, never wrong. Returns None when no cell is dense, in most cases from the right
-    side alone: its fullest cell against the size of the left side.
+    left out is merely slower, never wrong. Returns None when no cell is dense.
     """
     spark = left.sparkSession
-    r_cells = _file(right, "r", cell)
-    most, total = r_cells.groupBy(*_CELL).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
-    if not total or total <= few or most * left.count() <= max_pairs:
-        return None
-    l_cells = _file(left, "l", cell)
+    l_cells, r_cells = _file(left, "l", cell, grids), _file(right, "r", cell, grids)
     found = []
     for level in range(max_level + 1):
         counts = l_cells.select(*_CELL, F.lit(1).alias("l"), F.lit(0).alias("r")).union(
@@ -99,22 +134,22 @@ def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, few
         can_cut = level < max_level
         found += [(*c, can_cut) for c in cells]
         if can_cut:
-            here = spark.createDataFrame([(*c, True) for c in cells], "__lvl int, __cx long, __cy long, __cut boolean")
+            here = spark.createDataFrame([(*c, True) for c in cells], _DENSE)
             l_cells = _refine(l_cells.join(F.broadcast(here.select(*_CELL)), _CELL, "left_semi"), "l", cell, here, level)
             r_cells = _refine(r_cells.join(F.broadcast(here.select(*_CELL)), _CELL, "left_semi"), "r", cell, here, level)
     if not found:
         return None
-    return spark.createDataFrame(found, "__lvl int, __cx long, __cy long, __cut boolean")
+    return spark.createDataFrame(found, _DENSE)
 
 
-def cell_join(left, right, predicate, cell, dense="auto", salts=SALTS):
+def cell_join(left, right, predicate, cell, dense="auto", grids=(0,), salts=SALTS):
     """Inner join of two boxed tables on grid cells; each matching pair of rows appears exactly once.
 
-    dense='auto' looks for dense cells first (one count per cell); None skips that.
+    dense='auto' looks for wide features and dense cells first (one count per cell); None skips that.
     """
-    if dense == "auto":
-        dense = dense_cells(left, right, cell)
-    l_cells, r_cells = _file(left, "l", cell), _file(right, "r", cell)
+    if isinstance(dense, str):
+        grids, dense = look(left, right, cell)
+    l_cells, r_cells = _file(left, "l", cell, grids), _file(right, "r", cell, grids)
     keys = list(_CELL)
     if dense is not None:
         for level in range(MAX_LEVEL):
@@ -126,9 +161,9 @@ def cell_join(left, right, predicate, cell, dense="auto", salts=SALTS):
         spread = F.when(F.col("__stuck"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         r_cells = r_cells.join(stuck, _CELL, "left").withColumn("__salt", F.explode(spread)).drop("__stuck")
         keys.append("__salt")
-        size = F.lit(float(cell)) / F.pow(F.lit(float(FINER)), F.col("__lvl"))
+        size = _size(cell, F.col("__lvl"))
     else:
-        size = F.lit(float(cell))
+        size = F.lit(float(cell)) if tuple(grids) == (0,) else _size(cell)
     corner_x, corner_y = F.greatest("__lx0", "__rx0"), F.greatest("__ly0", "__ry0")
     once = (F.floor(corner_x / size) == F.col("__cx")) & (F.floor(corner_y / size) == F.col("__cy"))
     overlap = (

@@ -61,7 +61,7 @@ def tables(spark):
 @pytest.mark.parametrize("max_pairs", [None, 20])
 def test_joins_equal_brute_force(tables, cell, max_pairs):
     def dense(left, right):
-        return spatial.dense_cells(left, right, cell, max_pairs, few=0) if max_pairs else None
+        return spatial.dense_cells(left, right, cell, max_pairs) if max_pairs else None
 
     edges, points, others = tables["edges"], tables["pts"], tables["others"]
     found = dense(spatial.edge_box(edges, "l"), spatial.point_box(points, "r", 30.0))
@@ -81,13 +81,34 @@ def test_joins_equal_brute_force(tables, cell, max_pairs):
 def test_salted_cells_when_nothing_can_be_cut(spark):
     same = spark.range(300).select("id", F.lit(1.0).alias("ax"), F.lit(1.0).alias("ay"), F.lit(1.0).alias("bx"), F.lit(1.0).alias("by"))
     spots = spark.range(40).select(F.col("id").alias("pid"), F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
-    found = spatial.dense_cells(spatial.edge_box(same, "l"), spatial.point_box(spots, "r"), 1000, max_pairs=100, few=0)
+    found = spatial.dense_cells(spatial.edge_box(same, "l"), spatial.point_box(spots, "r"), 1000, max_pairs=100)
     assert [r["__cut"] for r in found.orderBy("__lvl").collect()] == [True] * spatial.MAX_LEVEL + [False]
     joined = spatial.edges_near_points(same, spots, 0, 1000, dense=found)
     assert joined.count() == 300 * 40
     assert joined.distinct().count() == 300 * 40
 
 
+def test_wide_features_use_coarser_grids(spark, tables, monkeypatch):
+    r = random.Random(11)
+    boxes = [(i, x, y, x + w, y + w) for i, (x, y, w) in enumerate(
+        [(r.uniform(-400, 400), r.uniform(-400, 400), r.choice([2, 30, 300, 900])) for _ in range(60)])]
+    layer = spark.createDataFrame(boxes, "bid int, xmin double, ymin double, xmax double, ymax double")
+    points = tables["pts"].dropDuplicates(["pid"])
+    want = sorted((p, i) for p, x, y in {q[0]: q for q in tables["points"]}.values() for i, a, b, c, d in boxes if a <= x <= c and b <= y <= d)
+    monkeypatch.setattr(spatial, "WIDE", 16)
+    monkeypatch.setattr(spatial, "FEW", 0)
+    grids, _ = spatial.look(spatial.point_box(points, "l"), spatial.rect_box(layer, "r"), 4)
+    assert grids == (0, 1, 2, 3)
+    for max_pairs in (200_000_000, 10):
+        monkeypatch.setattr(spatial, "MAX_PAIRS", max_pairs)
+        found = spatial.dense_cells(spatial.point_box(points, "l"), spatial.rect_box(layer, "r"), 4, max_pairs, grids=grids)
+        assert (found is None) == (max_pairs > 10)
+        got = spatial.points_in_boxes(points, layer, 4, dense=found, grids=grids)
+        assert sorted((r.pid, r.bid) for r in got.collect()) == want
+    auto = spatial.points_in_boxes(points, layer, 4)
+    assert sorted((r.pid, r.bid) for r in auto.collect()) == want
+
+
 def test_polygon_with_hole(spark):
     shell = [(0, 0), (400, 0), (400, 380), (200, 150), (0, 390), (0, 0)]
     hole = [(50, 50), (150, 60), (140, 120), (50, 50)]
