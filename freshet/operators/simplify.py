@@ -3,26 +3,23 @@
 import heapq
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BINS = 1_024  # histogram size of one selection pass
 
 
-def _keep_by_tolerance(xy, tolerance):
+def _keep_by_tolerance(x, y, tolerance):
     """Mark the vertices that deviate more than the tolerance, splitting at the farthest one each time."""
-    keep = np.zeros(len(xy), bool)
+    keep = np.zeros(len(x), bool)
     keep[[0, -1]] = True
-    spans = [(0, len(xy) - 1)]
+    spans = [(0, len(x) - 1)]
     while spans:
         first, last = spans.pop()
         if last - first < 2:
             continue
-        a, b, p = xy[first], xy[last], xy[first + 1:last]
-        ab = b - a
-        length2 = float(ab @ ab)
-        t = np.clip(((p - a) @ ab) / length2, 0, 1) if length2 else np.zeros(len(p))
-        gap = np.hypot(*(p - (a + t[:, None] * ab)).T)
+        inner = slice(first + 1, last)
+        gap = _distance(x[first], y[first], x[last], y[last], x[inner], y[inner])
         at = int(np.argmax(gap))
         if gap[at] > tolerance:
             mid = first + 1 + at
@@ -31,15 +28,29 @@ def _keep_by_tolerance(xy, tolerance):
     return keep
 
 
-def _effective_areas(xy):
+def _distance(ax, ay, bx, by, px, py):
+    """Distance of points p from the line pieces a-b."""
+    dx, dy = bx - ax, by - ay
+    length2 = dx * dx + dy * dy
+    along = (px - ax) * dx + (py - ay) * dy
+    t = np.clip(np.divide(along, length2, out=np.zeros_like(px), where=length2 > 0), 0, 1)
+    return np.hypot(px - (ax + t * dx), py - (ay + t * dy))
+
+
+def _triangle(ax, ay, bx, by, cx, cy):
+    return np.abs((bx - ax) * (cy - ay) - (by - ay) * (cx - ax)) / 2
+
+
+def _effective_areas(x, y):
     """Area each inner vertex stands for: repeatedly drop the one spanning the smallest triangle."""
-    n = len(xy)
+    n = len(x)
     areas = np.full(n, np.inf)
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    x, y = x.tolist(), y.tolist()
 
     def triangle(i):
-        a, b, c = xy[before[i]], xy[i], xy[after[i]]
-        return abs((b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])) / 2
+        a, c = before[i], after[i]
+        return abs((x[i] - x[a]) * (y[c] - y[a]) - (y[i] - y[a]) * (x[c] - x[a])) / 2
 
     current = {i: triangle(i) for i in range(1, n - 1)}
     heap = [(area, i) for i, area in current.items()]
@@ -61,34 +72,63 @@ def _effective_areas(xy):
     return areas
 
 
-def _vertices(part):
-    return np.array([(v["x"], v["y"]) for v in part], float)
+class _Lines:
+    """A batch of geometries as flat coordinates: part starts, part ends and the parts of each feature."""
+
+    def __init__(self, geoms):
+        parts = geoms.flatten()
+        vertices = parts.flatten()
+        self.nulls = geoms.is_null()
+        self.outer = geoms.offsets.to_numpy() - geoms.offsets[0].as_py()
+        self.inner = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        self.x, self.y = (c.to_numpy(zero_copy_only=False) for c in vertices.flatten())
+        self.starts, self.sizes = self.inner[:-1], np.diff(self.inner)
+
+    def triples(self):
+        """First, middle and last vertex of all three-vertex parts, which need no per-line work."""
+        first = self.starts[self.sizes == 3]
+        return first, first + 1, first + 2
+
+    def longer(self):
+        return [slice(a, a + n) for a, n in zip(self.starts[self.sizes > 3], self.sizes[self.sizes > 3])]
+
+    def nested(self, values, inner=None):
+        parts = pa.ListArray.from_arrays(pa.array(self.inner if inner is None else inner, pa.int32()), values)
+        return pa.ListArray.from_arrays(pa.array(self.outer, pa.int32()), parts, mask=self.nulls)
 
 
 def simplify_tolerance(df, tolerance):
-    """Drop vertices that lie within `tolerance` of the line without them; ends always stay."""
-    def run(batches):
-        for pdf in batches:
-            pdf["geom"] = [
-                [[p for p, k in zip(part, _keep_by_tolerance(_vertices(part), tolerance)) if k] if len(part) > 2 else list(part)
-                 for part in geom]
-                for geom in pdf["geom"]
-            ]
-            yield pdf
+    """Drop vertices that lie within `tolerance` of the line without them; ends always stay.
+
+    Only the geometry column goes through Python, in Arrow batches.
+    """
+    @F.arrow_udf(df.schema["geom"].dataType)
+    def simplified(geoms: pa.Array) -> pa.Array:
+        lines = _Lines(geoms)
+        x, y, keep = lines.x, lines.y, np.ones(len(lines.x), bool)
+        a, m, b = lines.triples()
+        keep[m] = _distance(x[a], y[a], x[b], y[b], x[m], y[m]) > tolerance
+        for part in lines.longer():
+            keep[part] = _keep_by_tolerance(x[part], y[part], tolerance)
+        kept = np.concatenate([[0], np.cumsum(keep)])[lines.inner]
+        return lines.nested(pa.StructArray.from_arrays([pa.array(x[keep]), pa.array(y[keep])], ["x", "y"]), kept)
 
-    return df.mapInPandas(run, df.schema)
+    return df.withColumn("geom", simplified("geom"))
 
 
 def with_areas(df):
     """Add `areas`: per part, the effective area of every vertex (infinite at the ends)."""
-    schema = T.StructType([*df.schema.fields, T.StructField("areas", T.ArrayType(T.ArrayType(T.DoubleType())))])
-
-    def run(batches):
-        for pdf in batches:
-            pdf["areas"] = [[_effective_areas(_vertices(part)) for part in geom] for geom in pdf["geom"]]
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+    @F.arrow_udf("array<array<double>>")
+    def areas(geoms: pa.Array) -> pa.Array:
+        lines = _Lines(geoms)
+        x, y, found = lines.x, lines.y, np.full(len(lines.x), np.inf)
+        a, m, b = lines.triples()
+        found[m] = _triangle(x[a], y[a], x[m], y[m], x[b], y[b])
+        for part in lines.longer():
+            found[part] = _effective_areas(x[part], y[part])
+        return lines.nested(pa.array(found))
+
+    return df.withColumn("areas", areas("geom"))
 
 
 def kth_largest(df, col, k):

@@ -37,8 +37,12 @@ def write_layer(df, path, mode="overwrite"):
 
 
 def write_by_section(df, path, section="ECOSECTION_NAME"):
-    """One folder per section, named by its snake-cased value; a hot section is written by many tasks."""
-    slugged = df.withColumn("ecosection_slug", snake_value(F.col(section)))
+    """One folder per section, named by its snake-cased value.
+
+    Rows are gathered by section first, so that not every task writes a file for every section; the rebalance
+    splits a large section over several tasks.
+    """
+    slugged = df.withColumn("ecosection_slug", snake_value(F.col(section))).hint("rebalance", "ecosection_slug")
     slugged.write.mode("overwrite").partitionBy("ecosection_slug").parquet(path)
     return path
 
