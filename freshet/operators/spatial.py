@@ -110,7 +110,7 @@ def look(left, right, cell):
         return grids, None
     if max(row["most"] for row in per_grid) * left.count() <= MAX_PAIRS:
         return grids, None
-    return grids, dense_cells(left, right, cell, grids=grids)
+    return grids, dense_cells(left, right, cell, MAX_PAIRS, grids=grids)
 
 
 def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, grids=(0,)):
@@ -142,13 +142,18 @@ def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, gri
     return spark.createDataFrame(found, _DENSE)
 
 
-def cell_join(left, right, predicate, cell, dense="auto", grids=(0,), salts=SALTS):
+def cell_join(left, right, predicate, cell, dense="auto", grids=(0,), distinct_left=False, salts=SALTS):
     """Inner join of two boxed tables on grid cells; each matching pair of rows appears exactly once.
 
     dense='auto' looks for wide features and dense cells first (one count per cell); None skips that.
+    distinct_left is for callers that need each distinct left row only once: copies are then removed, but only
+    where dense cells make the extra shuffle worthwhile.
     """
     if isinstance(dense, str):
         grids, dense = look(left, right, cell)
+        if dense is not None and distinct_left:
+            left = left.distinct()
+            dense = dense_cells(left, right, cell, MAX_PAIRS, grids=grids)
     l_cells, r_cells = _file(left, "l", cell, grids), _file(right, "r", cell, grids)
     keys = list(_CELL)
     if dense is not None:

@@ -175,7 +175,7 @@ CTES = {
         LEFT JOIN found_sizes z ON l.BLUE_LINE_KEY=z.BLUE_LINE_KEY AND l.GNIS_NAME=z.GNIS_NAME""",
     "dup_keys": """SELECT DISTINCT BLUE_LINE_ FROM (SELECT BLUE_LINE_, row_number() OVER (PARTITION BY gid ORDER BY row_id) AS a,
         row_number() OVER (PARTITION BY Summer_Sen ORDER BY row_id) AS b, row_number() OVER (PARTITION BY Winter_Sen ORDER BY row_id) AS c,
-        row_number() OVER (PARTITION BY BLUE_LINE_ ORDER BY row_id) AS d FROM hand_after) WHERE a>1 AND b>1 AND c>1 AND d>1""",
+        row_number() OVER (PARTITION BY BLUE_LINE_ ORDER BY row_id) AS d FROM hand_after) WHERE a>1 AND b>1 AND c>1 AND d>1 AND BLUE_LINE_<>'0'""",
     "shown": """SELECT *, CASE WHEN Summer_Sen='Y' THEN 'Yes (<20% MAD)' WHEN Summer_Sen IS NOT NULL THEN 'No (>=20% MAD)' END AS sum_label,
         CASE WHEN Winter_Sen='Y' THEN 'Yes (<20% MAD)' WHEN Winter_Sen IS NOT NULL THEN 'No (>=20% MAD)' END AS wint_label,
         coalesce(Summer_Sen,'NA')||coalesce(Winter_Sen,'NA') AS sens_combo FROM fx_expert_streams""",
@@ -448,6 +448,11 @@ SQL = {
         FROM shown JOIN hand_regions USING (row_id) WHERE {_SHORT}='{REGION}'""",
     "layer_export": f"""SELECT STATION_NUMBER, x, y FROM fx_stations JOIN fx_regions
         ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax WHERE {_SHORT}='{REGION}'""",
+    "section_export": "SELECT row_number() OVER (ORDER BY ECOSECTION_NAME) AS row_number, ECOSECTION_NAME, summer_sens, number_sar FROM sar_sections",
+    "expert_layer": "SELECT row_id, BLUE_LINE_, StreamName, 2 AS n_vertices FROM fx_expert_streams",
+    "app_stream_layer": "SELECT row_id, 2 AS n_vertices, round(lon,6) AS lon, round(lat,6) AS lat FROM (" + _lonlat("row_id", "SELECT * FROM fx_expert_streams", "x0", "y0") + ")",
+    "species_matches": f"SELECT {_k3}, occ_id, SCI_NAME, ENG_NAME FROM species_hits",
+    "crossing_counts": f"SELECT {_k3}, CAST(count(DISTINCT assessment_id) AS INT) AS times FROM near GROUP BY {_k3}",
     "station_registry": "SELECT STATION_NUMBER, PROV_TERR_STATE_LOC FROM fx_stations",
 }
 

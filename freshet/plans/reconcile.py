@@ -77,24 +77,33 @@ def _geometry_ids(hand_marked, catalogue_lines):
     return both.withColumn("geometry_id", F.struct("n_edges", "h1", "h2")).drop("h1", "h2", "geom")
 
 
-def reconcile(hand, catalogue_lines, cell=1000):
+def reconcile(hand, catalogue_lines, cell=1000, unkeyed="0"):
     """Hand layer after replacement: geometry size, merged section lists, repeated rows removed.
 
     Rows are flagged when geometry, both flags and key each occurred in an earlier row; all rows of a flagged
-    key get the key's sections as one list. The replaced rows are used many times and therefore written to
-    the shared folder; `catalogue_lines` should be a written table as well, as lookup_lines gives it.
+    key get the key's sections as one list. Rows with the `unkeyed` mark are different streams and are never
+    merged (None merges them like any key). Repeated rows are removed before the lists are attached, so a
+    list is written once per remaining row.
+
+    The replaced rows are used many times and therefore written to the shared folder; `catalogue_lines`
+    should be a written table as well, as lookup_lines gives it.
     """
     updates = touching_longer(catalogue_lines, hand, cell)
     rows = materialise(_geometry_ids(replace_geometry(hand, updates), catalogue_lines), "hand_rows")
-    flagged = column_dupes(rows, ["geometry_id", "Summer_Sen", "Winter_Sen", "BLUE_LINE_"], "row_id")
-    merged_keys = flagged.where("is_dup").select("BLUE_LINE_").distinct()
+    flagged = column_dupes(rows, ["geometry_id", "Summer_Sen", "Winter_Sen", "BLUE_LINE_"], "row_id").where("is_dup")
+    if unkeyed is not None:
+        flagged = flagged.where(F.col("BLUE_LINE_") != unkeyed)
+    merged_keys = materialise(flagged.select("BLUE_LINE_").distinct(), "merged_keys")
     members = semi_join(rows, merged_keys, "BLUE_LINE_")
-    lists = text_list(members, "BLUE_LINE_", {"Ecosections": "Ecosection"}, "row_id")
-    heavy = heavy_keys(members.groupBy("BLUE_LINE_").agg(F.count("*").alias("n")), "BLUE_LINE_")
-    merged = spread_join(rows, lists, "BLUE_LINE_", heavy)
-    merged = merged.withColumn("Ecosection", F.coalesce("Ecosections", "Ecosection"))
+    sizes = members.groupBy("BLUE_LINE_").agg(F.count("*").alias("n"))
+    marked = spread_join(rows, merged_keys.withColumn("merged", F.lit(True)), "BLUE_LINE_", heavy_keys(sizes, "BLUE_LINE_"))
+    own_section = F.when(F.col("merged").isNull(), F.col("Ecosection"))
     replaced = F.col("new_name").isNotNull().alias("replaced")
-    return merged.select(*ALL_SEVEN, replaced, "n_edges", "length_m", "geometry_id").distinct()
+    distinct = marked.withColumn("Ecosection", own_section).select(
+        *ALL_SEVEN, "merged", replaced, "n_edges", "length_m", "geometry_id").distinct()
+    lists = text_list(members, "BLUE_LINE_", {"Ecosections": "Ecosection"}, "row_id")
+    section = F.when(F.col("merged"), F.col("Ecosections")).otherwise(F.col("Ecosection"))
+    return left_join(distinct, lists, "BLUE_LINE_").withColumn("Ecosection", section).drop("merged", "Ecosections")
 
 
 def apply_overrides(hand, overrides):

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from freshet.functions.geo import edge_hits_box, edge_hits_edge, point_near_edge
 from freshet.functions.nulls import UNKNOWN, coalesce_sources, row_sum0, to_int
 from freshet.operators import score
-from freshet.operators.geometry import edges
-from freshet.operators.groups import first_per
+from freshet.operators.geometry import edges, reproject
+from freshet.operators.groups import first_per, text_list
 from freshet.operators.joins import left_join
-from freshet.operators.spatial import cell_join, edge_box, with_box
+from freshet.operators.simplify import simplify_keep
+from freshet.operators.spatial import cell_join, edge_box, edges_in_boxes, edges_near_points, with_box
 from freshet.plans.segments import keep_streams, key_levels
 
 STREAM = ["ECOSECTION_NAME", "BLUE_LINE_KEY", "GNIS_NAME"]
@@ -53,7 +54,7 @@ def stream_overlays(segments, crossings, species, experts, radius=50, cell=1000,
     meets = F.when(kind == CROSSING, point_near_edge(a, b, p, radius)).when(
         kind == SPECIES, edge_hits_box(a, b, (*p, *q))).otherwise(edge_hits_edge(a, b, p, q))
     features = _features(crossings, species, experts, radius)
-    hits = cell_join(edge_box(edges(segments, STREAM), "l"), features, meets, cell, **options)
+    hits = cell_join(edge_box(edges(segments, STREAM), "l"), features, meets, cell, distinct_left=True, **options)
     labels = hits.groupBy(*STREAM, "kind", "label").agg(F.min("first").alias("first"))
     return labels.groupBy(*STREAM).agg(
         F.min(F.when(kind == CROSSING, F.col("first"))).alias("crossing"),
@@ -98,31 +99,38 @@ def score_streams(segments, ecosections, crossings, species, experts, radius=50,
     return streams.withColumn("drought_risk", row_sum0(*score.components().values()).cast("long"))
 
 
+def species_matches(segments, species, cell=1000):
+    """Every (stream, occurrence) match once, as rows: the whole result, however many a stream has."""
+    boxes = species.select("occ_id", "SCI_NAME", "ENG_NAME", "xmin", "ymin", "xmax", "ymax")
+    found = edges_in_boxes(edges(segments, STREAM), boxes, cell, distinct_left=True)
+    return found.select(*STREAM, "occ_id", "SCI_NAME", "ENG_NAME").distinct()
+
+
+def crossing_counts(segments, crossings, radius=50, cell=1000):
+    """Number of crossings along each stream that has any."""
+    points = crossings.select("assessment_id", "x", "y")
+    near = edges_near_points(edges(segments, STREAM), points, radius, cell, distinct_left=True)
+    return near.select(*STREAM, "assessment_id").distinct().groupBy(*STREAM).agg(F.count("*").cast("int").alias("times"))
+
+
 def species_lists(segments, crossings, species, radius=50, cell=1000, repeats=True):
     """Names of the species along each stream, as text.
 
     The matches of a stream are its crossings times its species, so with `repeats` the species list is written
     once per crossing (once when there is none). It is built once and repeated as text; the crossings and
-    species of a stream are never paired. Without species the list is NA.
+    species of a stream are never paired. Without species the list is NA. A stream whose text would not fit
+    into one cell is served by species_matches and crossing_counts.
     """
-    from freshet.operators.groups import text_list
-    from freshet.operators.spatial import edges_in_boxes, edges_near_points
-
-    table = edges(segments, STREAM)
-    found = edges_in_boxes(table, species.select("occ_id", "SCI_NAME", "ENG_NAME", "xmin", "ymin", "xmax", "ymax"), cell)
-    found = found.select(*STREAM, "occ_id", "SCI_NAME", "ENG_NAME").distinct()
-    near = edges_near_points(table, crossings.select("assessment_id", "x", "y"), radius, cell)
-    times = near.select(*STREAM, "assessment_id").distinct().groupBy(*STREAM).agg(F.count("*").cast("int").alias("times"))
-    texts = text_list(found, STREAM, {"SCI_NAME": "SCI_NAME", "ENG_NAME": "ENG_NAME"}, "occ_id")
-    streams = left_join(left_join(segments.select(*STREAM).distinct(), texts, STREAM), times, STREAM)
-
-    def repeated(name):
-        text = F.coalesce(name, F.lit("NA"))
-        if not repeats:
-            return text
-        return F.concat(F.repeat(F.concat(text, F.lit(", ")), F.coalesce("times", F.lit(1)) - 1), text)
-
-    return streams.withColumns({c: repeated(c) for c in ("SCI_NAME", "ENG_NAME")}).drop("times")
+    texts = text_list(species_matches(segments, species, cell), STREAM,
+                      {"SCI_NAME": "SCI_NAME", "ENG_NAME": "ENG_NAME"}, "occ_id")
+    streams = left_join(segments.select(*STREAM).distinct(), texts, STREAM)
+    once = {c: F.coalesce(c, F.lit("NA")) for c in ("SCI_NAME", "ENG_NAME")}
+    if not repeats:
+        return streams.withColumns(once)
+    streams = left_join(streams, crossing_counts(segments, crossings, radius, cell), STREAM)
+    more = F.coalesce("times", F.lit(1)) - 1
+    return streams.withColumns(
+        {c: F.concat(F.repeat(F.concat(text, F.lit(", ")), more), text) for c, text in once.items()}).drop("times")
 
 
 def harmonized_streams(scored):
@@ -141,8 +149,5 @@ def delivery_table(scored, texts):
 
 def delivery_lines(segments, scored, share=0.025):
     """Delivered geometry: one row per stream and member line, generalised over the layer and in lon/lat."""
-    from freshet.operators.geometry import reproject
-    from freshet.operators.simplify import simplify_keep
-
     lines = segments.select("seg_id", *STREAM, "geom")
     return left_join(reproject(simplify_keep(lines, share), 3005, 4326), scored, STREAM)

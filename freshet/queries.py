@@ -6,7 +6,7 @@ from freshet.functions.nulls import clean_numeric, fill_missing, flag_to_int, no
 from freshet.functions.ordinal import SENSITIVITY, encode
 from freshet.functions.text import snake_columns
 from freshet.operators import geometry, groups, joins, naming, scales, score, simplify, spatial
-from freshet.plans import explorer, lookup, reconcile, scoring, segments, species, stations, variant
+from freshet.plans import downloads, experts, explorer, lookup, reconcile, scoring, segments, species, stations, variant
 from freshet.session import shared_dir
 from freshet.sources import fixtures as fx
 from freshet.sources import layers, sheets
@@ -549,16 +549,44 @@ def staged_layer(s, d):
 def csv_export(s, d):
     shown = explorer.explorer_streams(fx.expert_streams(s, d), fx.regions(s, d), "Summer", REGION, LABELS)
     shown = shown.select("StreamName", "row_id", "leaf_col", "geom")
-    path = layers.export_csv(shown, _place(s, d, "csv"), "Stream", REGION, order=["StreamName", "row_id"])
+    path = downloads.download(shown, "streams", _place(s, d, "csv"), REGION, order=["StreamName", "row_id"])
     return layers.read_csv(s, path, "row_number long, StreamName string, row_id long, leaf_col string")
 
 
 def layer_export(s, d):
     shown = explorer.explorer_stations(fx.stations(s, d), fx.regions(s, d), REGION)
-    path = layers.export_layer(shown.drop("xmin", "ymin", "xmax", "ymax"), _place(s, d, "layer"), "WSC", REGION)
+    shown = shown.drop("xmin", "ymin", "xmax", "ymax")
+    path = downloads.download(shown, "stations", _place(s, d, "layer"), REGION, form="layer")
     return layers.read_layer(s, path).select("STATION_NUMBER", *_ints("x", "y"))
 
 
+def section_export(s, d):
+    shown = species.sections_with_species(fx.ecosections(s, d), fx.species(s, d))
+    shown = shown.select("ECOSECTION_NAME", "summer_sens", "number_sar", "xmin", "ymin", "xmax", "ymax")
+    path = downloads.download(shown, "sections", _place(s, d, "sections_csv"), REGION, order=["ECOSECTION_NAME"])
+    return layers.read_csv(s, path, "row_number long, ECOSECTION_NAME string, summer_sens string, number_sar long")
+
+
+def expert_layer(s, d):
+    lines = experts.expert_layer(fx.expert_streams(s, d))
+    return lines.select("row_id", "BLUE_LINE_", "StreamName", F.size(F.col("geom")[0]).alias("n_vertices"))
+
+
+def app_stream_layer(s, d):
+    lines = experts.app_stream_layer(fx.expert_streams(s, d))
+    start = F.col("geom")[0][0]
+    return lines.select("row_id", F.size(F.col("geom")[0]).alias("n_vertices"),
+                        F.round(start["x"], 6).alias("lon"), F.round(start["y"], 6).alias("lat"))
+
+
+def species_matches(s, d):
+    return scoring.species_matches(_kept(s, d), fx.species(s, d))
+
+
+def crossing_counts(s, d):
+    return scoring.crossing_counts(_kept(s, d), fx.crossings(s, d))
+
+
 def station_registry(s, d):
     path = layers.write_layer(fx.stations(s, d), _place(s, d, "registry"))
     return layers.read_stations(s, path).select("STATION_NUMBER", "PROV_TERR_STATE_LOC")

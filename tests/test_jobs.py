@@ -122,6 +122,22 @@ def test_scored_streams(spark):
     assert {r.drought_risk for r in joined.collect()} == {4}
 
 
+def test_copies_of_a_segment_change_nothing(spark, monkeypatch):
+    from freshet.operators import joins, spatial
+
+    segs, *others = scoring_layers(spark)
+    plain = scoring.score_streams(segs, *others).orderBy("ECOSECTION_NAME", "GNIS_NAME").collect()
+    copies = segs.where("seg_id = 1").crossJoin(spark.range(400).select(F.col("id").alias("n")))
+    many = segs.union(copies.withColumn("seg_id", F.col("n") + 100).drop("n")).repartition(6)
+    monkeypatch.setattr(spatial, "MAX_PAIRS", 200)
+    monkeypatch.setattr(spatial, "FEW", 0)
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 10)
+    seen = []
+    monkeypatch.setattr(spatial, "dense_cells", lambda *a, _real=spatial.dense_cells, **k: seen.append(_real(*a, **k)) or seen[-1])
+    assert scoring.score_streams(many, *others).orderBy("ECOSECTION_NAME", "GNIS_NAME").collect() == plain
+    assert seen[0] is not None and seen[1] is None
+
+
 def test_species_text_repeats_per_crossing(spark):
     segs, sections, crossings, species, _ = scoring_layers(spark)
     kept = segs.where("seg_id IN (1, 5)")
