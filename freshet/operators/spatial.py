@@ -21,6 +21,7 @@ MAX_LEVEL = 3
 MAX_PAIRS = 200_000_000 # candidate pairs one cell may hold before it is cut
 MAX_DENSE = 1_000      # bound of the list of dense cells per level
 FEW = 1_000            # right sides up to this size are never worth a look for dense cells
+LIGHT = 256            # with at most this many features in the fullest cell, work stays linear in the left side
 SALTS = 64
 
 _DENSE = "__grid int, __lvl int, __cx long, __cy long, __cut boolean"
@@ -101,14 +102,14 @@ def _refine(df, side, cell, dense, level):
 def look(left, right, cell):
     """The grids the right side needs, and the dense cells if there are any.
 
-    Most often the right side alone settles it: its fullest cell against the size of the left side.
+    Most often the right side alone settles it: when its fullest cell holds few features, every left row meets
+    few candidates, and a cell with many left rows is split by the adaptive skew join.
     """
     per_cell = _file(right, "r", cell, GRIDS).groupBy(*_CELL).agg(F.count("*").alias("n"))
     per_grid = per_cell.groupBy("__grid").agg(F.max("n").alias("most"), F.sum("n").alias("total")).collect()
     grids = tuple(sorted(row["__grid"] for row in per_grid)) or (0,)
-    if sum(row["total"] for row in per_grid) <= FEW:
-        return grids, None
-    if max(row["most"] for row in per_grid) * left.count() <= MAX_PAIRS:
+    most = max((row["most"] for row in per_grid), default=0)
+    if most <= LIGHT or sum(row["total"] for row in per_grid) <= FEW or most * left.count() <= MAX_PAIRS:
         return grids, None
     return grids, dense_cells(left, right, cell, MAX_PAIRS, grids=grids)
 

@@ -3,6 +3,7 @@
 A layer is a Parquet data set with its geometry as nested arrays (`geom`), box columns or point columns.
 """
 
+import datetime
 import uuid
 
 from pyspark.sql import Window
@@ -69,8 +70,6 @@ def materialise(df, label):
 
 def export_name(kind, region="Whole Province", date=None):
     """Dated file name of a download; a chosen region is part of the name."""
-    import datetime
-
     day = date or datetime.date.today()
     tag = "" if region == "Whole Province" else f"{region}_"
     return f"{kind}_Drought_Sensitivity_{tag}{day}"

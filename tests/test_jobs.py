@@ -131,6 +131,7 @@ def test_copies_of_a_segment_change_nothing(spark, monkeypatch):
     many = segs.union(copies.withColumn("seg_id", F.col("n") + 100).drop("n")).repartition(6)
     monkeypatch.setattr(spatial, "MAX_PAIRS", 200)
     monkeypatch.setattr(spatial, "FEW", 0)
+    monkeypatch.setattr(spatial, "LIGHT", 0)
     monkeypatch.setattr(joins, "HEAVY_ROWS", 10)
     seen = []
     monkeypatch.setattr(spatial, "dense_cells", lambda *a, _real=spatial.dense_cells, **k: seen.append(_real(*a, **k)) or seen[-1])

@@ -97,6 +97,7 @@ def test_wide_features_use_coarser_grids(spark, tables, monkeypatch):
     want = sorted((p, i) for p, x, y in {q[0]: q for q in tables["points"]}.values() for i, a, b, c, d in boxes if a <= x <= c and b <= y <= d)
     monkeypatch.setattr(spatial, "WIDE", 16)
     monkeypatch.setattr(spatial, "FEW", 0)
+    monkeypatch.setattr(spatial, "LIGHT", 0)
     grids, _ = spatial.look(spatial.point_box(points, "l"), spatial.rect_box(layer, "r"), 4)
     assert grids == (0, 1, 2, 3)
     for max_pairs in (200_000_000, 10):
