@@ -15,9 +15,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    assert set(entry.registered.registry()) == set(entry.oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.registered.registry()))
 def test_query_equals_sql(spark, con, name):
     assert spark_rows(entry.queries()[name](spark, FOLDER)) == sql_rows(con, SQL[name])
