@@ -1,9 +1,17 @@
 """Registered queries of the document operators."""
 
-from freshet.llm import ngram_jaccard, quality_rules, substring_dedup
+from pyspark.sql import functions as F
+
+from freshet.llm import best_fit_packing, ngram_jaccard, quality_rules, secret_scan, substring_dedup
 from freshet.llm.common import read_documents
 
 
+def op1_secret_scan(spark, sf_dir):
+    found = secret_scan.scan(read_documents(spark, sf_dir), reviewed=spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select("doc_id", "start", F.char_length("finding").cast("long").alias("n_chars"),
+                        F.sha2(F.col("finding").cast("binary"), 256).alias("finding_sha256"), *secret_scan.FEATURES, "p_secret", "is_secret")
+
+
 def op2_substring_dedup(spark, sf_dir):
     return substring_dedup.digests(read_documents(spark, sf_dir))
 
@@ -12,6 +20,10 @@ def op3_ngram_jaccard(spark, sf_dir):
     return ngram_jaccard.jaccard_join(read_documents(spark, sf_dir))
 
 
+def op6_best_fit_packing(spark, sf_dir):
+    return best_fit_packing.pack(read_documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark, sf_dir):
     entries = quality_rules.verdicts(quality_rules.ledger(read_documents(spark, sf_dir)))
     return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -20,8 +32,10 @@ def op8_quality_rules(spark, sf_dir):
 
 def registry():
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_ngram_jaccard": op3_ngram_jaccard,
+        "op6_best_fit_packing": op6_best_fit_packing,
         "op8_quality_rules": op8_quality_rules,
     }
 

@@ -42,5 +42,9 @@ def substring_dedup(docs, width=20):
                 gone[s:s + width] = [True] * width
             seen.add(window)
         kept = b" ".join(w for w, g in zip(words, gone, strict=True) if not g)
-        out[i] = (len(words), sum(gone), hashlib.sha256(kept).hexdigest())
+        out[i] = (len(words), sum(gone), hashlib.sha256(kept).hexdigest(), gone)
     return out
+
+
+def kept_words(text, gone):
+    return [w for w, g in zip(words_of(text), gone, strict=True) if not g]
