@@ -141,21 +141,24 @@ class Words:
 
 # --- packed arrays --------------------------------------------------------------------------------------------
 
+_KINDS = {np.dtype(t).num: np.dtype(t) for t in "bBhHiIlqLQfd"}
+
+
 def squeeze(*arrays):
     """Integer arrays as one compressed value."""
     parts = [np.ascontiguousarray(a) for a in arrays]
-    head = np.array([len(parts), *[x for a in parts for x in (a.dtype.itemsize, len(a))]], np.int64)
+    head = np.array([len(parts), *[x for a in parts for x in (a.dtype.num, len(a))]], np.int64)
     return zstandard.ZstdCompressor(1).compress(head.tobytes() + b"".join(a.tobytes() for a in parts))
 
 
-def expand(blob, *kinds):
+def expand(blob):
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
-    sizes = np.frombuffer(raw, np.int64, 2 * n, 8)[1::2]
     out, at = [], 8 + 16 * n
-    for size, kind in zip(sizes, kinds, strict=True):
-        out.append(np.frombuffer(raw, kind, int(size), at))
-        at += int(size) * np.dtype(kind).itemsize
+    for kind, size in np.frombuffer(raw, np.int64, 2 * n, 8).reshape(n, 2).tolist():
+        kind = _KINDS[kind]
+        out.append(np.frombuffer(raw, kind, size, at))
+        at += size * kind.itemsize
     return out
 
 
@@ -172,7 +175,7 @@ def pack_places(keys, places):
 
 
 def unpack_places(blob):
-    keys, counts, step = expand(blob, np.int64, np.uint32, np.uint32)
+    keys, counts, step = expand(blob)
     with np.errstate(over="ignore"):
         keys = np.cumsum(keys)
     total = np.cumsum(step.astype(np.int64))

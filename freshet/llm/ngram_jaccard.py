@@ -1,8 +1,9 @@
 """N-gram Jaccard join: a blocked sparse matrix product of documents by word n-grams.
 
 Documents with equal n-gram sets are one class. Only the rarest n-grams of a class, as many as any partner must share
-one of, are joined to find the blocks that can hold links; then each block multiplies tiles of the incidence matrix,
-adds up overlaps column block by column block and drops pairs that can no longer reach the bound of their sizes.
+one of, are joined to find the blocks that can hold links. Each block multiplies tiles of the incidence matrix, adds up
+overlaps column block by column block and drops pairs that can no longer reach the bound of their sizes: first over
+those rarest n-grams alone, then over the whole sets of the classes that still have a partner.
 """
 
 import math
@@ -17,7 +18,7 @@ from freshet.llm.common import (
 )
 from freshet.sources.layers import materialise
 
-SKETCH_BITS = 18          # cells of the frequency sketch: its size, 1 MB, does not depend on the data
+SKETCH_BITS = 22          # cells of the frequency sketch: its size, 4 MB, does not depend on the data
 SKETCH_PARTS = 64
 TILE_GRAMS, TILE_DOCS = 200_000, 512
 COLUMNS = 2_048           # columns of the incidence matrix multiplied at once
@@ -43,7 +44,10 @@ def least_overlap(percent, n):
 
 
 def frequency_sketch(docs, width):
-    """Counts of all n-grams in 2**SKETCH_BITS cells, added up in two steps; only orders the n-grams by rarity."""
+    """Counts of all n-grams in 2**SKETCH_BITS cells, added up in two steps, as eighths of their binary logarithm.
+
+    The sketch only orders the n-grams by rarity: what shares a cell moves back in the order, no link is lost.
+    """
     cells = 1 << SKETCH_BITS
     size = cells // SKETCH_PARTS
 
@@ -52,29 +56,36 @@ def frequency_sketch(docs, width):
 
         total = np.zeros(cells, np.int64)
         for _, texts in doc_batches(batches):
-            for grams in gram_sets(texts, width):
-                np.add.at(total, (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            grams = np.concatenate([np.empty(0, np.uint64), *gram_sets(texts, width)])
+            cell, times = np.unique((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
+            total[cell] += times
         task = TaskContext.get().partitionId() % 128
         yield pa.RecordBatch.from_arrays([
             pa.array([task] * SKETCH_PARTS, pa.int64()), pa.array(range(SKETCH_PARTS), pa.int64()),
-            pa.array([squeeze(x) for x in total.reshape(SKETCH_PARTS, size)], pa.binary())], ["task", "part", "cells"])
+            pa.array([squeeze(x) for x in narrow(total).reshape(SKETCH_PARTS, size)], pa.binary())], ["task", "part", "cells"])
 
     def add(table):
-        total = sum(expand(x, np.int64)[0] for x in table["cells"].to_pylist())
-        return pa.table({"task": table["task"][:1], "part": table["part"][:1], "cells": pa.array([squeeze(total)], pa.binary())})
+        total = sum(expand(x)[0].astype(np.int64) for x in table["cells"].to_pylist())
+        return pa.table({"task": table["task"][:1], "part": table["part"][:1], "cells": pa.array([squeeze(narrow(total))], pa.binary())})
 
     schema = "task long, part long, cells binary"
     sums = docs.select("doc_id", "text").mapInArrow(count, schema).groupBy("task", "part").applyInArrow(add, schema)
     rows = sums.groupBy("part").applyInArrow(add, schema).collect()  # SKETCH_PARTS rows
-    out = np.zeros((SKETCH_PARTS, size), np.int64)
+    out = np.zeros((SKETCH_PARTS, size), np.uint8)
     for r in rows:
-        out[r["part"]] = expand(r["cells"], np.int64)[0]
+        out[r["part"]] = np.round(8 * np.log2(1 + expand(r["cells"])[0])).clip(0, 255)
     return out.ravel()
 
 
+def narrow(counts):
+    """Counts in the smallest unsigned type that holds them."""
+    top = int(counts.max(initial=0))
+    return counts.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(t).max))
+
+
 def signatures(docs, width, percent):
     """(doc_id, n, cls, prefix): set size, digest of the set (null if empty), its rarest n-grams; written to the shared folder."""
-    sketch = docs.sparkSession.sparkContext.broadcast(np.minimum(frequency_sketch(docs, width), (1 << 32) - 1).astype(np.uint32))
+    sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(docs, width))
 
     def run(batches):
         for ids, texts in doc_batches(batches):
@@ -165,13 +176,25 @@ def _cells(blocks, percent):
     return rows.join(open_cells, "cell")
 
 
-def overlaps(left, right, percent):
-    """Index pairs (i, j) of two lists of sets that reach the similarity: tiles of the product, added up by columns."""
+def link_bound(percent, a, b):
+    """Overlap at which sets of sizes a and b reach the similarity."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def prefix_bound(percent, a, b):
+    """Overlap of the prefixes without which sets of sizes a and b cannot link.
+
+    Past the prefix that ends first in the common order, at most the rest of its set can still be shared.
+    """
+    return np.maximum(1, link_bound(percent, a, b) - np.maximum(least_overlap(percent, a), least_overlap(percent, b)) + 1)
+
+
+def overlaps(left, right, need):
+    """Index pairs (i, j) of two lists of sets whose overlap reaches need[i, j]: a product of tiles, added up by columns."""
     n = [np.fromiter(map(len, x), np.int64, len(x)) for x in (left, right)]
     values = [np.concatenate(x) for x in (left, right)]
     rows = [np.repeat(np.arange(len(x)), k) for x, k in zip((left, right), n, strict=True)]
     shared = np.intersect1d(np.unique(values[0]), np.unique(values[1]), assume_unique=True)
-    need = -(-percent * (n[0][:, None] + n[1][None, :]) // (100 + percent))
     at, own, rest = [], [], []
     for v, r, k in zip(values, rows, n, strict=True):
         col = np.searchsorted(shared, v)
@@ -196,38 +219,43 @@ def overlaps(left, right, percent):
     return np.nonzero(total >= need)
 
 
-def _links(percent):
-    def solve(docs, sides, sets):
-        side = np.array(sides)
-        left = np.flatnonzero(side != 1)
-        right = np.flatnonzero(side != 0)
+def _by_cell(percent, bound, names):
+    """Python side of a round over cells: rows (cell, side, doc, n, grams), sorted by cell, to what `names` asks for.
+
+    ("cell", "side", "doc"): the members that have a partner; ("a", "b"): the pairs.
+    """
+
+    def solve(cell, rows):
+        side, doc, n = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         if not len(left) or not len(right):
-            return []
-        i, j = overlaps([sets[x] for x in left], [sets[x] for x in right], percent)
-        a, b = np.array(docs, np.int64)[left[i]], np.array(docs, np.int64)[right[j]]
-        return [(np.minimum(a, b)[a != b], np.maximum(a, b)[a != b])]
+            return
+        i, j = overlaps([rows[x][3] for x in left], [rows[x][3] for x in right], bound(percent, n[left][:, None], n[right][None, :]))
+        i, j = left[i], right[j]
+        i, j = i[doc[i] != doc[j]], j[doc[i] != doc[j]]
+        if names == ("a", "b"):
+            yield np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])
+        else:
+            some = np.unique(np.concatenate([i, j]))
+            yield np.full(len(some), cell), side[some], doc[some]
 
     def run(batches):
-        now, docs, sides, sets = None, [], [], []
+        now, rows = None, []
         for batch in batches:
-            out = []
-            for cell, side, doc, grams in zip(*[batch[c].to_pylist() for c in ("cell", "side", "doc", "grams")], strict=True):
+            for cell, *row, grams in zip(*[batch[c].to_pylist() for c in ("cell", "side", "doc", "n", "grams")], strict=True):
                 if cell != now:
-                    out += solve(docs, sides, sets) if docs else []
-                    now, docs, sides, sets = cell, [], [], []
-                docs.append(doc)
-                sides.append(side)
-                sets.append(np.frombuffer(grams, np.uint64))
-            a, b = (np.concatenate([np.empty(0, np.int64), *[x[k] for x in out]]) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-        for a, b in solve(docs, sides, sets) if docs else []:
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                    for out in solve(now, rows):
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
+                    now, rows = cell, []
+                rows.append((*row, np.frombuffer(grams, np.uint64)))
+        for out in solve(now, rows):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
 
     return run
 
 
 def _sets(docs, wanted, width):
-    """(doc, grams) of the wanted documents, their texts read again and moved compressed."""
+    """(doc, n, grams) of the wanted documents, their texts read again and moved compressed."""
     import zstandard
 
     def pack(batches):
@@ -239,21 +267,30 @@ def _sets(docs, wanted, width):
     def run(batches):
         for batch in batches:
             texts = [zstandard.ZstdDecompressor().decompress(x) for x in batch["body"].to_pylist()]
-            sets = [x.tobytes() for x in gram_sets(texts, width)] if texts else []
-            yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(sets, pa.binary())], ["doc", "grams"])
+            sets = list(gram_sets(texts, width)) if texts else []
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc"], pa.array(list(map(len, sets)), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+                ["doc", "n", "grams"])
 
     bodies = docs.select("doc_id", "text").mapInArrow(pack, "doc long, body binary")
-    return bodies.join(wanted, "doc", "left_semi").mapInArrow(run, "doc long, grams binary")
+    return bodies.join(wanted, "doc", "left_semi").mapInArrow(run, "doc long, n long, grams binary")
 
 
 def jaccard_links(docs, width=3, percent=90, signed=None):
     """Links (a, b), a < b, between the smallest documents of different classes."""
     signed = signatures(docs, width, percent) if signed is None else signed
     classes = signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("r")).select("r.*")
-    cells = materialise(_cells(materialise(_blocks(classes), "blocks"), percent), "cells")
-    rows = cells.join(_sets(docs, cells.select("doc").distinct(), width), "doc")
-    tasks = rows.repartition(F.col("cell")).sortWithinPartitions("cell")
-    return tasks.select("cell", "side", "doc", "grams").mapInArrow(_links(percent), "a long, b long").distinct()
+    cells = _cells(materialise(_blocks(classes), "blocks"), percent)
+
+    def round_of(members, sets, bound, names, kinds):
+        rows = members.join(sets, "doc").repartition(F.col("cell")).sortWithinPartitions("cell")
+        return rows.select("cell", "side", "doc", "n", "grams").mapInArrow(_by_cell(percent, bound, names), kinds)
+
+    rare = classes.select(F.col("doc_id").alias("doc"), "n", F.col("prefix").alias("grams"))
+    partners = round_of(cells, rare, prefix_bound, ("cell", "side", "doc"), "cell long, side long, doc long")
+    partners = materialise(partners, "partners")
+    whole = _sets(docs, partners.select("doc").distinct(), width)
+    return round_of(partners, whole, link_bound, ("a", "b"), "a long, b long").distinct()
 
 
 def jaccard_join(docs, width=3, percent=90):

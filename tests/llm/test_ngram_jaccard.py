@@ -72,7 +72,8 @@ def test_overlaps_by_column_blocks(monkeypatch):
     monkeypatch.setattr(nj, "COLUMNS", 7)
     pick = random.Random(1)
     sets = [np.unique(np.array([pick.randint(0, 60) for _ in range(pick.randint(1, 50))], np.uint64)) for _ in range(40)]
-    i, j = nj.overlaps(sets[:20], sets[20:], 50)
+    n = np.array(list(map(len, sets)))
+    i, j = nj.overlaps(sets[:20], sets[20:], nj.link_bound(50, n[:20, None], n[None, 20:]))
     want = {(a, b) for a in range(20) for b in range(20)
             if 2 * len(np.intersect1d(sets[a], sets[20 + b])) >= len(np.union1d(sets[a], sets[20 + b]))}
     assert set(zip(i.tolist(), j.tolist())) == want
