@@ -165,13 +165,19 @@ def expand(blob):
 def pack_places(keys, places):
     """(key, place) pairs sorted by both: distinct keys, their counts and the places as differences."""
     if not len(keys):
-        return squeeze(np.empty(0, np.int64), np.empty(0, np.uint32), np.empty(0, np.uint32))
+        return squeeze(np.empty(0, np.int64), np.empty(0, np.uint8), np.empty(0, np.uint8))
     new = np.concatenate([[True], keys[1:] != keys[:-1]])
     step = np.diff(places, prepend=0)
     step[new] = places[new]
     own, counts = keys[new], np.diff(np.append(np.flatnonzero(new), len(keys)))
     with np.errstate(over="ignore"):
-        return squeeze(np.diff(own, prepend=0).astype(np.int64), counts.astype(np.uint32), step.astype(np.uint32))
+        return squeeze(np.diff(own, prepend=0).astype(np.int64), narrow(counts), narrow(step))
+
+
+def narrow(counts):
+    """Counts in the smallest unsigned type that holds them."""
+    top = int(counts.max(initial=0))
+    return counts.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(t).max))
 
 
 def unpack_places(blob):
@@ -195,6 +201,46 @@ def spread(keys, n):
     return (mix(keys.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
+def bucket_rows(bucket, hashes, keys, places, settled):
+    """Places of hashes as one row per bucket (bucket, hashes, places, settled); places already settled ride on the first."""
+    import pyarrow as pa
+
+    by = np.lexsort((places, keys, bucket))
+    rows = [(int(bucket[by[a]]), by[a:b]) for a, b in zip(*runs(bucket[by]), strict=True)]
+    extra = pack_places(*settled)
+    return pa.RecordBatch.from_arrays([
+        pa.array([b for b, _ in rows], pa.int64()),
+        pa.array([hashes[x].tobytes() for _, x in rows], pa.binary()),
+        pa.array([pack_places(keys[x], places[x]) for _, x in rows], pa.binary()),
+        pa.array([extra if i == 0 else None for i in range(len(rows))], pa.binary()),
+    ], ["bucket", "hashes", "places", "settled"])
+
+
+BUCKET_SCHEMA = "bucket long, hashes binary, places binary, settled binary"
+
+
+def read_bucket(table):
+    """Hashes, keys and places of a bucket, and the settled keys and places that came with it."""
+    hashes = np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]])
+    return hashes, *join_places(table["places"]), *join_places(table["settled"])
+
+
+def join_places(column):
+    pairs = [unpack_places(x) for x in column.to_pylist() if x is not None]
+    return tuple(np.concatenate([np.empty(0, np.int64), *[p[i] for p in pairs]]) for i in (0, 1))
+
+
+def group_rows(keys, places, groups):
+    """Places as one row per group of documents (grp, places)."""
+    import pyarrow as pa
+
+    group = spread(keys, groups)
+    by = np.lexsort((places, keys, group))
+    cuts = list(zip(*runs(group[by]), strict=True))
+    return pa.table({"grp": pa.array([int(group[by[a]]) for a, _ in cuts], pa.int64()),
+                     "places": pa.array([pack_places(keys[by[a:b]], places[by[a:b]]) for a, b in cuts], pa.binary())})
+
+
 def covered(starts, width, n):
     """Positions below n covered by runs of `width` from each start."""
     edge = np.zeros(n + 1, np.int32)
@@ -230,7 +276,7 @@ def pack_texts(docs, groups):
 
 
 def unpack_text(body):
-    return zstandard.ZstdDecompressor().decompress(body)
+    return b"" if body is None else zstandard.ZstdDecompressor().decompress(body)
 
 
 # --- components -----------------------------------------------------------------------------------------------

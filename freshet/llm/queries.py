@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from freshet.llm import best_fit_packing, ngram_jaccard, quality_rules, secret_scan, substring_dedup
+from freshet.llm import best_fit_packing, ngram_jaccard, quality_rules, secret_scan, substring_dedup, suffix_dedup
 from freshet.llm.common import read_documents
 
 
@@ -30,6 +30,10 @@ def op8_quality_rules(spark, sf_dir):
                           "failed", "n_lines", "n_capitals")
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(read_documents(spark, sf_dir))
+
+
 def registry():
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -37,6 +41,7 @@ def registry():
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_quality_rules": op8_quality_rules,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 

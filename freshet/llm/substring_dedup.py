@@ -1,12 +1,11 @@
 """Substring dedup: Rabin-Karp hashes of every fixed-length word window, counted in Spark."""
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import functions as F
 
 from freshet.llm.common import (
-    BASE2, GAPS, Words, bucket_count, covered, doc_batches, mix, pack_places, pack_texts, rolling, runs, spread,
-    unpack_places, unpack_text,
+    BASE2, BUCKET_SCHEMA, GAPS, Words, bucket_count, bucket_rows, covered, doc_batches, group_rows, join_places, mix,
+    pack_texts, read_bucket, rolling, runs, unpack_text,
 )
 
 WIDTH = 20
@@ -34,16 +33,9 @@ def _windows(width, buckets):
             same = np.concatenate([[False], (key[by][1:] == key[by][:-1]) & (other[by][1:] == other[by][:-1])])
             lead = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
             later = np.sort(by[same & ((doc[by] != doc[lead]) | (place[by] != place[lead]))])
-            own = np.sort(by[~same])
+            own = by[~same]
             bucket = (other[own] % np.uint64(buckets)).astype(np.int64)
-            own, bucket = own[np.argsort(bucket, kind="stable")], np.sort(bucket)
-            rows = [(int(bucket[a]), own[a:b]) for a, b in zip(*runs(bucket), strict=True)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([b for b, _ in rows], pa.int64()),
-                pa.array([key[x].tobytes() for _, x in rows], pa.binary()),
-                pa.array([pack_places(doc[x], place[x]) for _, x in rows], pa.binary()),
-                pa.array([pack_places(doc[later], place[later]) if i == 0 else None for i in range(len(rows))], pa.binary()),
-            ], ["bucket", "hashes", "places", "settled"])
+            yield bucket_rows(bucket, key[own], doc[own], place[own], (doc[later], place[later]))
 
     return run
 
@@ -52,23 +44,12 @@ def _later(groups):
     """Reduce side: places of a bucket's windows that also start earlier, packed by group of documents."""
 
     def run(table):
-        key = np.concatenate([np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()])
-        pairs = [unpack_places(x) for x in table["places"].to_pylist()]
-        doc, place = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
+        key, doc, place, settled_doc, settled_place = read_bucket(table)
         by = np.lexsort((place, doc, key))
         same = np.concatenate([[False], key[by][1:] == key[by][:-1]])
         lead = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
         flag = by[same & ((doc[by] != doc[lead]) | (place[by] != place[lead]))]
-        settled = [unpack_places(x) for x in table["settled"].to_pylist() if x is not None]
-        doc, place = (np.concatenate([x[flag], *[p[i] for p in settled]]) for i, x in ((0, doc), (1, place)))
-        group = spread(doc, groups)
-        by = np.lexsort((place, doc, group))
-        doc, place, group = doc[by], place[by], group[by]
-        begins, ends = runs(group)
-        return pa.table({
-            "grp": pa.array([int(group[a]) for a in begins], pa.int64()),
-            "places": pa.array([pack_places(doc[a:b], place[a:b]) for a, b in zip(begins, ends, strict=True)], pa.binary()),
-        })
+        return group_rows(np.append(doc[flag], settled_doc), np.append(place[flag], settled_place), groups)
 
     return run
 
@@ -81,7 +62,7 @@ def repeated_windows(docs, width=WIDTH, buckets=None, groups=None):
     """
     buckets = buckets or bucket_count(docs)
     packed = docs.select("doc_id", "text").mapInArrow(
-        _windows(width, buckets), "bucket long, hashes binary, places binary, settled binary")
+        _windows(width, buckets), BUCKET_SCHEMA)
     return packed.groupBy("bucket").applyInArrow(_later(groups or buckets), "grp long, places binary")
 
 
@@ -118,8 +99,7 @@ def remove_repeats(docs, width=WIDTH):
     names = [*docs.columns, "n_words", "n_removed"]
 
     def cut(left, right):
-        pairs = [unpack_places(x) for x in right["places"].to_pylist()]
-        doc, place = (np.concatenate([np.empty(0, np.int64), *[p[i] for p in pairs]]) for i in (0, 1))
+        doc, place = join_places(right["places"])
         by = np.lexsort((place, doc))
         doc, place = doc[by], place[by]
         texts, counts, removed = [], [], []
