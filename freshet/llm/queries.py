@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from freshet.llm import best_fit_packing, ngram_jaccard, quality_rules, secret_scan, substring_dedup, suffix_dedup
+from freshet.llm import (
+    best_fit_packing, fingerprints, lm_score, ngram_jaccard, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_file,
+)
 from freshet.llm.common import read_documents
 
 
@@ -20,16 +22,33 @@ def op3_ngram_jaccard(spark, sf_dir):
     return ngram_jaccard.jaccard_join(read_documents(spark, sf_dir))
 
 
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(read_documents(spark, sf_dir))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return best_fit_packing.pack(read_documents(spark, sf_dir))
 
 
+def op7_token_file(spark, sf_dir):
+    import public_tokenizers
+
+    shards = token_file.write_tokens(read_documents(spark, sf_dir), str(public_tokenizers.path("byte_bpe_50k.json")))
+    return token_file.read_tokens(shards)
+
+
 def op8_quality_rules(spark, sf_dir):
     entries = quality_rules.verdicts(quality_rules.ledger(read_documents(spark, sf_dir)))
     return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                           "failed", "n_lines", "n_capitals")
 
 
+def op9_lm_score(spark, sf_dir):
+    """Documents labelled good are the target, all documents the background."""
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
+    return lm_score.cross_entropy_difference(read_documents(spark, sf_dir), good)
+
+
 def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(read_documents(spark, sf_dir))
 
@@ -39,8 +58,11 @@ def registry():
         "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_ngram_jaccard": op3_ngram_jaccard,
+        "op5_fingerprints": op5_fingerprints,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_token_file": op7_token_file,
         "op8_quality_rules": op8_quality_rules,
+        "op9_lm_score": op9_lm_score,
         "op10_suffix_dedup": op10_suffix_dedup,
     }
 
