@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from freshet.llm import (
-    best_fit_packing, fingerprints, lm_score, ngram_jaccard, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_file,
+    best_fit_packing, fingerprints, lm_score, ngram_jaccard, quality_rules, secret_scan,
+    sentencepiece_lattice, substring_dedup, suffix_dedup, token_file,
 )
 from freshet.llm.common import read_documents
 
@@ -22,6 +23,18 @@ def op3_ngram_jaccard(spark, sf_dir):
     return ngram_jaccard.jaccard_join(read_documents(spark, sf_dir))
 
 
+def op4_sentencepiece(spark, sf_dir):
+    """Every distinct word of all texts with its ids and the text decoded from them."""
+    import public_tokenizers
+
+    pieces, first_byte = sentencepiece_lattice.piece_table(spark, str(public_tokenizers.path("piece_bpe_32k.model")))
+    words = sentencepiece_lattice.distinct_words(read_documents(spark, sf_dir))
+    coded = sentencepiece_lattice.encode_words(words, pieces, first_byte)
+    return coded.select("word", F.col("n").alias("n_words"), F.size("ids").cast("long").alias("n_ids"),
+                        F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"),
+                        F.ltrim(F.translate(F.array_join("pieces", ""), sentencepiece_lattice.MARK, " ")).alias("decoded"))
+
+
 def op5_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(read_documents(spark, sf_dir))
 
@@ -58,6 +71,7 @@ def registry():
         "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_ngram_jaccard": op3_ngram_jaccard,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_fingerprints": op5_fingerprints,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_token_file": op7_token_file,
