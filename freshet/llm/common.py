@@ -27,11 +27,18 @@ def bucket_count(docs, per=BUCKET_BYTES):
     return max(2 * parts, text_bytes(docs) // per)
 
 
+def slices(batches, rows=256):
+    """Parts of record batches, so that only few rows are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def doc_batches(batches, limit=BATCH_BYTES):
     """Lists of doc ids (null: NULL_ID) and texts as bytes (null: empty) of about `limit` bytes."""
     ids, texts, size = [], [], 0
-    for batch in batches:
-        for i, x in zip(batch["doc_id"].to_pylist(), batch["text"].cast("binary").to_pylist(), strict=True):
+    for part in slices(batches):
+        for i, x in zip(part["doc_id"].to_pylist(), part["text"].cast("binary").to_pylist(), strict=True):
             ids.append(NULL_ID if i is None else i)
             texts.append(x or b"")
             size += len(texts[-1])
@@ -261,7 +268,7 @@ def pack_texts(docs, groups):
 
     def pack(batches):
         press = zstandard.ZstdCompressor(3)
-        for batch in batches:
+        for batch in slices(batches, 2_048):
             ids = batch.column(at_id).cast(pa.int64()).fill_null(NULL_ID)
             texts = batch.column(at_text).cast("binary").to_pylist()
             yield pa.RecordBatch.from_arrays(

@@ -1,7 +1,7 @@
 """N-gram Jaccard join: a blocked sparse matrix product of documents by word n-grams.
 
 Documents with equal n-gram sets are one class. Only the rarest n-grams of a class, as many as any partner must share
-one of, are joined to find the blocks that can hold links. Each block multiplies tiles of the incidence matrix, adds up
+one of, are joined to find the blocks that can hold links; n-grams that no other document holds drop out before. Each block multiplies tiles of the incidence matrix, adds up
 overlaps column block by column block and drops pairs that can no longer reach the bound of their sizes: first over
 those rarest n-grams alone, then over the whole sets of the classes that still have a partner.
 """
@@ -14,11 +14,12 @@ import xxhash
 from pyspark.sql import functions as F
 
 from freshet.llm.common import (
-    BUCKET_BYTES, NULL_ID, Words, components, doc_batches, expand, mix, pack_places, rolling, runs, squeeze, unpack_places,
+    BUCKET_BYTES, BUCKET_SCHEMA, NULL_ID, Words, bucket_count, bucket_rows, components, doc_batches, expand, group_rows,
+    join_places, mix, narrow, pack_places, pack_texts, read_bucket, rolling, runs, slices, squeeze, unpack_text,
 )
 from freshet.sources.layers import materialise
 
-SKETCH_BITS = 22          # cells of the frequency sketch: its size, 4 MB, does not depend on the data
+SKETCH_BITS = 20          # cells of the frequency sketch: its size, 1 MB, does not depend on the data
 SKETCH_PARTS = 64
 TILE_GRAMS, TILE_DOCS = 200_000, 512
 COLUMNS = 2_048           # columns of the incidence matrix multiplied at once
@@ -77,31 +78,82 @@ def frequency_sketch(docs, width):
     return out.ravel()
 
 
-def narrow(counts):
-    """Counts in the smallest unsigned type that holds them."""
-    top = int(counts.max(initial=0))
-    return counts.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(t).max))
+def _indexed(percent):
+    """Hashes below this bound are counted exactly: a share that holds more n-grams than a prefix needs."""
+    return np.uint64(min(1.0, 2.5 * (100 - percent) / 100 + 0.05) * ((1 << 64) - 2048))
 
 
-def signatures(docs, width, percent):
-    """(doc_id, n, cls, prefix): set size, digest of the set (null if empty), its rarest n-grams; written to the shared folder."""
-    sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(docs, width))
+def repeated_grams(docs, width, percent, buckets, groups):
+    """Which of the counted n-grams (by their number in the sorted set) another document holds too, as (grp, places).
 
-    def run(batches):
+    An n-gram that several documents of a batch hold is settled there and sent on once, whatever its frequency.
+    """
+    limit = _indexed(percent)
+
+    def count(batches):
         for ids, texts in doc_batches(batches):
-            sizes, digests, rare = [], [], []
-            for grams in gram_sets(texts, width):
-                n = len(grams)
-                sizes.append(n)
-                digests.append(xxhash.xxh3_128_digest(grams.tobytes()) if n else None)
-                keep = n - least_overlap(percent, n) + 1 if n else 0
-                order = np.lexsort((grams, sketch.value[(grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
-                rare.append(grams[order[:keep]].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(rare, pa.binary())],
-                ["doc_id", "n", "cls", "prefix"])
+            sets = [x[: np.searchsorted(x, limit)] for x in gram_sets(texts, width)]
+            lens = np.fromiter(map(len, sets), np.int64, len(sets))
+            grams, doc = np.concatenate([np.empty(0, np.uint64), *sets]), np.repeat(np.array(ids, np.int64), lens)
+            if not len(grams):
+                continue
+            place = np.concatenate([np.arange(n) for n in lens])
+            by = np.argsort(grams, kind="stable")
+            a, b = runs(grams[by])
+            many = by[np.repeat(b - a > 1, b - a)]
+            own = by[a]
+            bucket = (mix(grams[own]) % np.uint64(buckets)).astype(np.int64)
+            yield bucket_rows(bucket, grams[own], doc[own], place[own], tuple(x[many[np.lexsort((place[many], doc[many]))]] for x in (doc, place)))
+
+    def meet(table):
+        grams, doc, place, settled_doc, settled_place = read_bucket(table)
+        by = np.argsort(grams, kind="stable")
+        a, b = runs(grams[by])
+        many = by[np.repeat(b - a > 1, b - a)]
+        return group_rows(np.append(doc[many], settled_doc), np.append(place[many], settled_place), groups)
+
+    packed = docs.select("doc_id", "text").mapInArrow(count, BUCKET_SCHEMA)
+    return packed.groupBy("bucket").applyInArrow(meet, "grp long, places binary")
+
 
-    return materialise(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, cls binary, prefix binary"), "signatures")
+def signatures(docs, width, percent):
+    """(doc_id, n, cls, prefix), written to the shared folder: set size, digest of the set (null if empty), and those
+    n-grams of its prefix that another document may hold.
+
+    All documents order their n-grams alike: counted ones that no other document holds, counted ones that repeat
+    (by the sketch, rare first), then the rest, each by hash. The prefix is as long as any partner must share one of.
+    """
+    groups = bucket_count(docs)
+    sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(docs, width))
+    limit = _indexed(percent)
+    repeats = repeated_grams(docs, width, percent, groups, groups)
+
+    def sign(left, right):
+        doc, place = join_places(right["places"])
+        by = np.lexsort((place, doc))
+        doc, place = doc[by], place[by]
+        ids = left["__id"].to_pylist()
+        sizes, digests, rare = [], [], []
+        for i, grams in zip(ids, gram_sets([unpack_text(x) for x in left["__body"].to_pylist()], width) if ids else [], strict=True):
+            n = len(grams)
+            counted = int(np.searchsorted(grams, limit))
+            again = np.zeros(n, bool)
+            found = place[np.searchsorted(doc, i, "left"):np.searchsorted(doc, i, "right")]
+            again[found[found < counted]] = True
+            keep = (n - least_overlap(percent, n) + 1 if n else 0) - (counted - int(again.sum()))
+            level = sketch.value[(grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
+            level[counted:] = 256
+            order = np.lexsort((grams, level))
+            order = order[again[order] | (order >= counted)]
+            sizes.append(n)
+            digests.append(xxhash.xxh3_128_digest(grams.tobytes()) if n else None)
+            rare.append(grams[order[:max(0, keep)]].tobytes())
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int64()),
+                         "cls": pa.array(digests, pa.binary()), "prefix": pa.array(rare, pa.binary())})
+
+    out = pack_texts(docs.select("doc_id", "text"), groups).groupBy("__grp").cogroup(repeats.groupBy("grp")).applyInArrow(
+        sign, "doc_id long, n long, cls binary, prefix binary")
+    return materialise(out, "signatures")
 
 
 def _blocks(classes):
@@ -130,8 +182,7 @@ def _blocks(classes):
 
     def meet(table):
         grams = np.concatenate([np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()])
-        pairs = [unpack_places(x) for x in table["holders"].to_pylist()]
-        doc, n = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
+        doc, n = join_places(table["holders"])
         by = np.lexsort((doc, grams))
         a, b = runs(grams[by])
         pivot = np.repeat(doc[by[a]], b - a)
@@ -219,10 +270,27 @@ def overlaps(left, right, need):
     return np.nonzero(total >= need)
 
 
-def _by_cell(percent, bound, names):
+def _forest(i, j, n):
+    """Numbers of the pairs that connect what the pairs before them did not."""
+    root, out = list(range(n)), []
+
+    def top(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for k, (a, b) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+        a, b = top(a), top(b)
+        if a != b:
+            root[b] = a
+            out.append(k)
+    return np.array(out, np.int64)
+
+
+def _by_cell(percent, bound, names, forest=False):
     """Python side of a round over cells: rows (cell, side, doc, n, grams), sorted by cell, to what `names` asks for.
 
-    ("cell", "side", "doc"): the members that have a partner; ("a", "b"): the pairs.
+    ("cell", "side", "doc"): the members that have a partner; ("a", "b"): the pairs, or a spanning forest of them.
     """
 
     def solve(cell, rows):
@@ -234,6 +302,8 @@ def _by_cell(percent, bound, names):
         i, j = left[i], right[j]
         i, j = i[doc[i] != doc[j]], j[doc[i] != doc[j]]
         if names == ("a", "b"):
+            if forest:
+                i, j = i[(keep := _forest(i, j, len(rows)))], j[keep]
             yield np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])
         else:
             some = np.unique(np.concatenate([i, j]))
@@ -241,7 +311,7 @@ def _by_cell(percent, bound, names):
 
     def run(batches):
         now, rows = None, []
-        for batch in batches:
+        for batch in slices(batches):
             for cell, *row, grams in zip(*[batch[c].to_pylist() for c in ("cell", "side", "doc", "n", "grams")], strict=True):
                 if cell != now:
                     for out in solve(now, rows):
@@ -265,7 +335,7 @@ def _sets(docs, wanted, width):
                 [pa.array(ids, pa.int64()), pa.array([press.compress(x) for x in texts], pa.binary())], ["doc", "body"])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [zstandard.ZstdDecompressor().decompress(x) for x in batch["body"].to_pylist()]
             sets = list(gram_sets(texts, width)) if texts else []
             yield pa.RecordBatch.from_arrays(
@@ -276,48 +346,45 @@ def _sets(docs, wanted, width):
     return bodies.join(wanted, "doc", "left_semi").mapInArrow(run, "doc long, n long, grams binary")
 
 
-def jaccard_links(docs, width=3, percent=90, signed=None):
-    """Links (a, b), a < b, between the smallest documents of different classes."""
+def jaccard_links(docs, width=3, percent=90, signed=None, forest=False):
+    """Links (a, b), a < b, between the smallest documents of different classes.
+
+    With `forest`, each pair of tiles returns only as many links as connect what it links, at most its documents.
+    """
     signed = signatures(docs, width, percent) if signed is None else signed
     classes = signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("r")).select("r.*")
     cells = _cells(materialise(_blocks(classes), "blocks"), percent)
 
-    def round_of(members, sets, bound, names, kinds):
+    def round_of(members, sets, bound, names, kinds, forest=False):
         rows = members.join(sets, "doc").repartition(F.col("cell")).sortWithinPartitions("cell")
-        return rows.select("cell", "side", "doc", "n", "grams").mapInArrow(_by_cell(percent, bound, names), kinds)
+        return rows.select("cell", "side", "doc", "n", "grams").mapInArrow(_by_cell(percent, bound, names, forest), kinds)
 
     rare = classes.select(F.col("doc_id").alias("doc"), "n", F.col("prefix").alias("grams"))
     partners = round_of(cells, rare, prefix_bound, ("cell", "side", "doc"), "cell long, side long, doc long")
     partners = materialise(partners, "partners")
     whole = _sets(docs, partners.select("doc").distinct(), width)
-    return round_of(partners, whole, link_bound, ("a", "b"), "a long, b long").distinct()
+    return round_of(partners, whole, link_bound, ("a", "b"), "a long, b long", forest).distinct()
 
 
 def jaccard_join(docs, width=3, percent=90):
-    """Per document: doc_id, n_shingles, component_id, class_id, n_links.
+    """Per document: doc_id, n_shingles, component_id, class_id.
 
     Texts are lower-cased (A-Z); a document's set holds its distinct `width`-word n-grams, or its whole word sequence
     if that is shorter. Two documents link if 100 * intersection >= percent * union. class_id is the smallest document
-    with the same set, component_id the smallest reachable by links, n_links the number of other documents linked to.
-    Documents without words (null or empty texts) have size 0, no links and stand alone. A null doc_id counts as the
-    smallest; repeated rows each get the result of their doc_id, and rows that share a doc_id count as one document.
+    with the same set, component_id the smallest reachable by links. Documents without words (null or empty texts)
+    have size 0, no links and stand alone. A null doc_id counts as the smallest; repeated rows each get the result of
+    their doc_id, and rows that share a doc_id count as one document.
     """
     signed = signatures(docs, width, percent)
-    links = materialise(jaccard_links(docs, width, percent, signed), "links")
-    classes = signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
-    size = classes.groupBy("class_id").agg(F.sum("copies").alias("copies"))
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = ends.join(size, F.col("b") == F.col("class_id")).groupBy("a").agg(F.sum("copies").alias("others"))
-    found = components(links)
-    facts = classes.join(degree, F.col("class_id") == F.col("a"), "left").join(found, F.col("class_id") == F.col("node"), "left")
-    facts = facts.select("cls", "class_id", F.coalesce("component", "class_id").alias("component_id"),
-                         (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    found = components(jaccard_links(docs, width, percent, signed, forest=True))
+    classes = signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"))
+    facts = classes.join(found, F.col("class_id") == F.col("node"), "left")
+    facts = facts.select("cls", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     out = signed.join(facts, "cls", "left")
     real = lambda c: F.when(c != NULL_ID, c)
     return out.select(
         real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-        real(F.coalesce("component_id", "doc_id")).alias("component_id"), real(F.coalesce("class_id", "doc_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        real(F.coalesce("component_id", "doc_id")).alias("component_id"), real(F.coalesce("class_id", "doc_id")).alias("class_id"))
 
 
 def keep_one(docs, width=5, percent=80):
