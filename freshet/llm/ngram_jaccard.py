@@ -22,6 +22,7 @@ from freshet.sources.layers import materialise
 SKETCH_BITS = 20          # cells of the frequency sketch: its size, 1 MB, does not depend on the data
 SKETCH_PARTS = 64
 TILE_GRAMS, TILE_DOCS = 200_000, 512
+BATCH = 2_000_000         # bytes of text whose n-grams are in memory at once
 COLUMNS = 2_048           # columns of the incidence matrix multiplied at once
 
 
@@ -56,7 +57,7 @@ def frequency_sketch(docs, width):
         from pyspark import TaskContext
 
         total = np.zeros(cells, np.int64)
-        for _, texts in doc_batches(batches):
+        for _, texts in doc_batches(batches, BATCH):
             grams = np.concatenate([np.empty(0, np.uint64), *gram_sets(texts, width)])
             cell, times = np.unique((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
             total[cell] += times
@@ -91,7 +92,7 @@ def repeated_grams(docs, width, percent, buckets, groups):
     limit = _indexed(percent)
 
     def count(batches):
-        for ids, texts in doc_batches(batches):
+        for ids, texts in doc_batches(batches, BATCH):
             sets = [x[: np.searchsorted(x, limit)] for x in gram_sets(texts, width)]
             lens = np.fromiter(map(len, sets), np.int64, len(sets))
             grams, doc = np.concatenate([np.empty(0, np.uint64), *sets]), np.repeat(np.array(ids, np.int64), lens)
@@ -330,7 +331,7 @@ def _sets(docs, wanted, width):
 
     def pack(batches):
         press = zstandard.ZstdCompressor(3)
-        for ids, texts in doc_batches(batches):
+        for ids, texts in doc_batches(batches, BATCH):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([press.compress(x) for x in texts], pa.binary())], ["doc", "body"])
 
