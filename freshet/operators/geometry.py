@@ -105,10 +105,10 @@ def geom_hash(df, name="geom_hash"):
 
 
 def edge_fingerprint(edge_table, keys):
-    """Order-free fingerprint of each key's edge set: edge count and two combined 64-bit hashes."""
-    h1, h2 = F.xxhash64(*EDGE), F.xxhash64(F.lit(1), *EDGE)
+    """Order-free fingerprint of each key's edges: edge count and two sums of 64-bit hashes, so that repeats count."""
+    h1, h2 = (F.xxhash64(*seed, *EDGE).cast("decimal(20,0)") for seed in ([], [F.lit(1)]))
     return edge_table.groupBy(*_as_list(keys)).agg(
-        F.count("*").alias("n_edges"), F.bit_xor(h1).alias("h1"), F.bit_xor(h2).alias("h2")
+        F.count("*").alias("n_edges"), F.sum(h1).alias("h1"), F.sum(h2).alias("h2")
     )
 
 

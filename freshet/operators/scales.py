@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-MAX_HISTOGRAM = 2_048  # distinct values up to which natural breaks are exact
+BINS = 2_048  # equal bins from which natural breaks are chosen, unless the caller says otherwise
 
 
 def domain(df, col):
@@ -58,6 +58,7 @@ def pretty_bins(df, col, bins=5, name="bin"):
 def _break_classes(k):
     def classes(pdf):
         pdf = pdf.sort_values("value")
+        low, high = pdf["low"].to_numpy(float), pdf["high"].to_numpy(float)
         v, w = pdf["value"].to_numpy(float), pdf["n"].to_numpy(float)
         m = len(v)
         parts = min(k, m)
@@ -74,27 +75,26 @@ def _break_classes(k):
         rows, j = [], m
         for c in range(parts, 0, -1):
             i = back[c, j]
-            rows.append((c, v[i], v[j - 1], int(w[i:j].sum())))
+            rows.append((c, low[i], high[j - 1], int(w[i:j].sum())))
             j = i
         return pd.DataFrame(rows[::-1], columns=["class", "low", "high", "n"])
 
     return classes
 
 
-def natural_breaks(df, col, k=5):
-    """Classes with the least squared spread within them, as (class, low, high, n).
+def natural_breaks(df, col, k=5, bins=BINS):
+    """Classes with the least squared spread within them, as (class, low, high, n); every value lies in one class.
 
-    Spark counts the distinct values; only that histogram, at most MAX_HISTOGRAM rows, reaches the one task
-    that picks the breaks. Measures with more distinct values are binned to that many equal-width bins first
-    (each bin at its lowest value), so the breaks are then exact to one bin.
+    Values are counted in `bins` equal bins at every size; only that histogram reaches the one task that picks the
+    breaks. Classes end between bins, a bin stands at its mean, and the bounds are the values found in the bins.
+    Values further apart than one bin are therefore classed exactly.
     """
     value = F.col(col).cast("double")
     values = df.where(value.isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("n"))
     lo, hi = values.agg(F.min("value")).scalar(), values.agg(F.max("value")).scalar()
-    too_many = values.agg(F.count("*")).scalar() > MAX_HISTOGRAM
-    slot = F.least(F.floor((F.col("value") - lo) / ((hi - lo) / MAX_HISTOGRAM)), F.lit(MAX_HISTOGRAM - 1))
-    values = values.withColumn("slot", F.when(too_many, slot.cast("double")).otherwise(F.col("value")))
-    small = values.groupBy("slot").agg(F.min("value").alias("value"), F.sum("n").alias("n"))
+    slot = F.when(hi > lo, F.least(F.floor((F.col("value") - lo) / ((hi - lo) / bins)), F.lit(bins - 1))).otherwise(0)
+    small = values.groupBy(slot.alias("slot")).agg(
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"), F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n"))
     return small.groupBy(F.lit(1).alias("all")).applyInPandas(
         lambda pdf: _break_classes(k)(pdf), "class int, low double, high double, n long"
     )

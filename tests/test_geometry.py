@@ -85,3 +85,11 @@ def test_exact_rank_selection(spark):
     for k in (1, 17, 1750, len(values)):
         assert simplify.kth_largest(df, "v", k) == sorted(values, reverse=True)[k - 1]
     assert simplify.kth_largest(df, "v", len(values) + 1) is None
+
+
+def test_repeated_edges_do_not_cancel_in_fingerprints(spark):
+    rows = [(1, 0.0, 0.0, 1.0, 0.0), (1, 0.0, 0.0, 1.0, 0.0), (1, 5.0, 5.0, 6.0, 5.0),
+            (2, 2.0, 0.0, 3.0, 0.0), (2, 2.0, 0.0, 3.0, 0.0), (2, 5.0, 5.0, 6.0, 5.0)]
+    table = spark.createDataFrame(rows, "k int, " + ", ".join(f"{c} double" for c in geometry.EDGE))
+    a, b = geometry.edge_fingerprint(table, "k").orderBy("k").collect()
+    assert a.n_edges == b.n_edges == 3 and (a.h1, a.h2) != (b.h1, b.h2)

@@ -102,3 +102,12 @@ def test_region_filter_and_highlight(spark):
 def test_data_dictionary(spark):
     rows = explorer.data_dictionary(spark).collect()
     assert len(rows) == 19 and rows[0].Variable == "STATION_NUMBER"
+
+
+def test_natural_breaks_hold_every_value_beyond_the_bins(spark):
+    values = [i * 0.37 + (i % 7) * 0.01 for i in range(5_000)]
+    got = scales.natural_breaks(spark.createDataFrame([(v,) for v in values], "v double"), "v", 5).orderBy("class").collect()
+    assert sum(r.n for r in got) == 5_000
+    assert all(sum(r.low <= v <= r.high for r in got) == 1 for v in values)
+    few = scales.natural_breaks(spark.createDataFrame([(v,) for v in values], "v double"), "v", 5, bins=50).collect()
+    assert all(sum(r.low <= v <= r.high for r in few) == 1 for v in values)
