@@ -1,6 +1,5 @@
 """Token ids in binary shards: one id array per shard, document boundaries in Elias-Fano code with select structures."""
 
-import re
 import struct
 import zlib
 
@@ -9,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from freshet.llm.common import NULL_ID, id_of, pack_texts, unpack_text
+from freshet.llm.common import NULL_ID, id_of, slices
 from freshet.sources.layers import materialise
 
 END = 2
@@ -17,7 +16,6 @@ SHARD_TOKENS = 2_000_000
 CACHE_PIECES = 1_000_000  # pieces whose ids a worker remembers; it starts afresh beyond that
 MAGIC = b"EFTOK001"
 SAMPLE = 256              # one select sample per so many values
-_SPACED = re.compile(r"\s ")
 
 
 class EliasFano:
@@ -92,17 +90,18 @@ def read_shard(blob):
 
 
 class Encoder:
-    """Ids of many texts; equal space-separated pieces are encoded once per worker.
+    """Ids of many texts; equal pieces between spaces are encoded once per worker.
 
-    A cut before a space that follows a non-space is always a boundary of the tokenizer's own pre-tokenization, so
-    the pieces can be encoded apart. Texts with other runs of spaces, or with a special token, are encoded whole.
+    The tokenizer never joins a non-space with a space or a line end after it, so a text may be cut before each space
+    and line end that follows a non-space, and a word from a final mark after it. Texts with longer runs of spaces or
+    with a special token are encoded whole.
     """
 
     def __init__(self, path):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()] + ["\0"]
         self.clear()
 
     def clear(self):
@@ -111,30 +110,45 @@ class Encoder:
     def _plain(self, texts):
         return [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _pieces(text):
+        """Pieces as keys: "\\0" marks the first, a line end starts its own, all others follow a space."""
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return ["\0" + first, *rest]
+
+    def _learn(self, new):
+        texts = [p[1:] if p[:1] == "\0" else p if p[:1] == "\n" else " " + p for p in new]
+        # A key that ends in a space cannot be cut after; the text that holds it is encoded whole.
+        bad = [p in ("", "\n") or t[-1:].isspace() for p, t in zip(new, texts, strict=True)]
+        cut = [len(t) - 1 if t[-1:] in ",.;:!?" and t[-2:-1].isalpha() else len(t) for t in texts]
+        heads = list({t[:k] for t, k, b in zip(texts, cut, bad, strict=True) if not b} | {t[k:] for t, k in zip(texts, cut, strict=True)})
+        known = dict(zip(heads, self._plain(heads), strict=True))
+        for p, t, k, b in zip(new, texts, cut, bad, strict=True):
+            if b:
+                self.place[p] = -1
+                continue
+            self.place[p] = len(self.bounds) - 1
+            self.flat.append(known[t[:k]])
+            self.bounds.append(self.bounds[-1] + len(known[t[:k]]))
+            if k < len(t):
+                self.flat.append(known[t[k:]])
+                self.bounds[-1] += len(known[t[k:]])
+
     def encode(self, texts):
         if len(self.place) > CACHE_PIECES:
             self.clear()
-        pieces, whole = [], {}
-        for k, text in enumerate(texts):
-            if _SPACED.search(text) or any(t in text for t in self.special):
-                whole[k] = None
-                pieces.append([])
-            else:
-                first, *rest = text.split(" ")
-                pieces.append([first, *[" " + x for x in rest]])
-        new = list({p for own in pieces for p in own if p not in self.place})
-        for p, ids in zip(new, self._plain(new), strict=True):
-            self.place[p] = len(self.bounds) - 1
-            self.flat.append(ids)
-            self.bounds.append(self.bounds[-1] + len(ids))
+        pieces = [None if any(t in text for t in self.special) else self._pieces(text) for text in texts]
+        new = {p for own in pieces if own for p in own}
+        self._learn([p for p in new if p not in self.place])
         self.flat = [np.concatenate(self.flat)]
+        places = [None if own is None else np.fromiter(map(self.place.__getitem__, own), np.int64, len(own)) for own in pieces]
+        whole = [k for k, at in enumerate(places) if at is None or at.min() < 0]
         whole = dict(zip(whole, self._plain([texts[k] for k in whole]), strict=True))
         flat, bounds = self.flat[0], np.array(self.bounds)
-        for k, own in enumerate(pieces):
+        for k, at in enumerate(places):
             if k in whole:
                 yield whole[k]
             else:
-                at = np.fromiter(map(self.place.__getitem__, own), np.int64, len(own))
                 lens = bounds[at + 1] - bounds[at]
                 yield flat[np.repeat(bounds[at] - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())]
 
@@ -159,9 +173,8 @@ def write_tokens(docs, path, end=END, shard_tokens=SHARD_TOKENS):
     each of a table in the shared folder: first, last, seq (order of the shards), n_docs, n_tokens, shard. A null text
     is empty and still gets its end id; a null doc_id comes first; repeated rows are all written, ties by text.
     """
-    packed = pack_texts(docs.select("doc_id", "text"), 1).select("__id", "__body")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = packed.repartitionByRange(parts, "__id").sortWithinPartitions("__id", "__body")
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches):
         model, held, size, seq = encoder(path), [], 0, 0
@@ -176,16 +189,14 @@ def write_tokens(docs, path, end=END, shard_tokens=SHARD_TOKENS):
                 (keys[0], pa.int64()), (keys[-1], pa.int64()), (seq, pa.int64()), (len(held), pa.int64()),
                 (len(ids), pa.int64()), (shard, pa.binary()))], ["first", "last", "seq", "n_docs", "n_tokens", "shard"])
 
-        for batch in batches:
-            keys, bodies = batch["__id"].to_pylist(), batch["__body"].to_pylist()
-            for at in range(0, len(keys), 512):
-                texts = [unpack_text(x).decode() for x in bodies[at:at + 512]]
-                for i, ids in zip(keys[at:at + 512], model.encode(texts), strict=True):
-                    held.append((i, np.append(ids, np.uint32(end))))
-                    size += len(ids) + 1
-                    if size >= shard_tokens:
-                        yield flush()
-                        held, size, seq = [], 0, seq + 1
+        for batch in slices(batches, 1_024):
+            keys = batch["doc_id"].fill_null(NULL_ID).to_pylist()
+            for i, ids in zip(keys, model.encode([x or "" for x in batch["text"].to_pylist()]), strict=True):
+                held.append((i, np.append(ids, np.uint32(end))))
+                size += len(ids) + 1
+                if size >= shard_tokens:
+                    yield flush()
+                    held, size, seq = [], 0, seq + 1
         if held:
             yield flush()
 
