@@ -5,6 +5,7 @@ Only DataFrame functions are used; nothing leaves the JVM.
 
 from pyspark.sql import functions as F
 
+from freshet.llm.common import NULL_ID
 from freshet.sources.layers import number_rows
 
 CELLS = 24                       # of the fingerprint itself
@@ -113,17 +114,19 @@ def with_next(docs):
     Identical rows count as one document and are all returned. Only heads, digests and keys move to the document
     before; the order is found on keys alone.
     """
+    # Both joins read the same columns with the same keys, so the texts are shuffled once.
     text = F.coalesce("text", F.lit(""))
-    base = docs.select(F.col("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"), F.char_length(text).cast("long").alias("n"))
-    rows = number_rows(base.select("doc_id", "h", "n").distinct(), ["doc_id", "h"])
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("k"), F.xxhash64(text).alias("h"), text.alias("text"))
+    rows = number_rows(base.select("k", "h", F.char_length("text").alias("n")).distinct(), ["k", "h"])
     last = rows.agg(F.max("row_number")).scalar()
     before = rows.select(F.when(F.col("row_number") == last, 1).otherwise(F.col("row_number") + 1).alias("row_number"),
-                         F.col("doc_id").alias("to_id"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).alias("need"))
-    order = rows.join(before, "row_number").select(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h"), "to_id", "to_h", "need")
-    same = lambda i, h: F.col("doc_id").eqNullSafe(F.col(i)) & (F.col("h") == F.col(h))
-    heads = base.join(order, same("own_id", "own_h")).dropDuplicates(["own_id", "own_h"]).select(
-        "to_id", "to_h", F.left("text", F.col("need").cast("int")).alias("head"), paragraphs(F.col("text")).alias("next_keys"))
-    return base.join(heads, same("to_id", "to_h")).select("doc_id", "text", F.col("n").alias("n_chars"), "head", "next_keys")
+                         F.col("k").alias("to_k"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).cast("int").alias("need"))
+    order = rows.join(before, "row_number").select("k", "h", "to_k", "to_h", "need")
+    heads = base.join(order, ["k", "h"]).select(
+        F.col("to_k").alias("k"), F.col("to_h").alias("h"), F.left("text", F.col("need")).alias("head"), paragraphs(F.col("text")).alias("next_keys"))
+    joined = base.join(heads.dropDuplicates(["k", "h"]), ["k", "h"])
+    return joined.select(F.when(F.col("k") != NULL_ID, F.col("k")).alias("doc_id"), "text",
+                         F.char_length("text").cast("long").alias("n_chars"), "head", "next_keys")
 
 
 def fingerprints(docs):
