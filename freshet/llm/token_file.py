@@ -13,7 +13,7 @@ from freshet.sources.layers import materialise
 
 END = 2
 SHARD_TOKENS = 2_000_000
-CACHE_PIECES = 1_000_000  # pieces whose ids a worker remembers; it starts afresh beyond that
+CACHE_PIECES = 2_000_000  # pieces whose ids a worker remembers; it starts afresh beyond that
 MAGIC = b"EFTOK001"
 SAMPLE = 256              # one select sample per so many values
 
