@@ -4,15 +4,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from freshet.llm.common import (
-    GAPS, NULL_ID, bucket_count, expand, join_places, mix, narrow, pack_places, pack_texts, runs, spread, squeeze, unpack_text,
-)
+from freshet.llm.common import GAPS, NULL_ID, bucket_count, expand, mix, narrow, runs, slices, spread, squeeze
 from freshet.sources.layers import materialise
 
 VOCABULARY = 65_000   # most frequent words, at most 65,534; all others are one unknown word
 ADD = 0.01            # added to each bigram count
 START, UNKNOWN, FIRST = 0, 1, 2
 NANO = 1e9            # losses are added up as whole nanonats, so the order of addition cannot matter
+BLOCK_BYTES = 8_000_000  # text of the documents of a block and of the pairs of a bucket, on average
 
 
 def vocabulary(docs, size=VOCABULARY):
@@ -22,28 +21,62 @@ def vocabulary(docs, size=VOCABULARY):
     return [r["word"].encode() for r in top.collect()]
 
 
-def encode(docs, target, words):
-    """(doc_id key, target, ids): each text as 16-bit word numbers, written to the shared folder; target holds doc ids."""
-    groups = bucket_count(docs)
+def encode(docs, target, words, groups):
+    """Blocks of documents (grp, docs, ids), written to the shared folder: ids of words as 16-bit numbers, in order of key;
+    docs has the keys, their numbers of words and whether `target` names them. Rows of one doc_id share a block.
+    """
     number = docs.sparkSession.sparkContext.broadcast({w: k + FIRST for k, w in enumerate(words)})
-    wanted = target.select("doc_id").where("doc_id is not null").distinct().mapInArrow(
-        lambda batches: (pa.RecordBatch.from_arrays([pa.array(spread(b["doc_id"].to_numpy(), groups)), b["doc_id"].cast(pa.int64())],
-                                                    ["grp", "wanted"]) for b in batches), "grp long, wanted long")
 
-    def run(left, right):
-        chosen = set(right["wanted"].to_pylist())
+    def run(batches):
         find = number.value.get
-        ids = left["__id"].to_pylist()
-        texts = [np.array([find(w, UNKNOWN) for w in unpack_text(x).split()], np.uint16) for x in left["__body"].to_pylist()]
-        return pa.table({"key": pa.array(ids, pa.int64()), "target": pa.array([i in chosen for i in ids], pa.bool_()),
-                         "n": pa.array(list(map(len, texts)), pa.int64()), "ids": pa.array([squeeze(x) for x in texts], pa.binary())})
-
-    coded = pack_texts(docs.select("doc_id", "text"), groups).groupBy("__grp").cogroup(wanted.groupBy("grp")).applyInArrow(
-        run, "key long, target boolean, n long, ids binary")
-    return materialise(coded, "word-numbers")
-
-
-def history_counts(coded, size):
+        for part in slices(batches):
+            keys = part["doc_id"].cast(pa.int64()).fill_null(NULL_ID)
+            texts = [np.array([find(w, UNKNOWN) for w in (x or b"").split()], np.uint16) for x in part["text"].cast("binary").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(spread(keys.to_numpy(zero_copy_only=False), groups)), keys,
+                                              pa.array([squeeze(x) for x in texts], pa.binary())], ["grp", "key", "ids"])
+
+    def place(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(spread(b["doc_id"].to_numpy(zero_copy_only=False), groups)), b["doc_id"]], ["grp", "wanted"])
+
+    def gather(left, right):
+        keys = left["key"].to_numpy()
+        by = np.argsort(keys, kind="stable")
+        blobs = left["ids"].to_pylist()
+        texts = [expand(blobs[k])[0] for k in by]
+        hit = np.isin(keys[by], right["wanted"].to_numpy()).astype(np.uint8)
+        docs = squeeze(keys[by], np.fromiter(map(len, texts), np.int64, len(texts)), hit)
+        return pa.table({"grp": left["grp"].slice(0, 1), "docs": pa.array([docs], pa.binary()),
+                         "ids": pa.array([squeeze(np.concatenate(texts))], pa.binary())} if len(by) else
+                        {"grp": pa.array([], pa.int64()), "docs": pa.array([], pa.binary()), "ids": pa.array([], pa.binary())})
+
+    coded = docs.select("doc_id", "text").mapInArrow(run, "grp long, key long, ids binary")
+    wanted = target.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct().mapInArrow(place, "grp long, wanted long")
+    blocks = coded.groupBy("grp").cogroup(wanted.groupBy("grp")).applyInArrow(gather, "grp long, docs binary, ids binary")
+    return materialise(blocks, "word-numbers")
+
+
+def _words(docs, ids):
+    """keys, numbers of words, and for each word of a block: whether its document is in the target, the word before, the word."""
+    keys, lens, hit = expand(docs)
+    ids = expand(ids)[0]
+    before = np.concatenate([ids[:1], ids[:-1]])
+    before[(np.cumsum(lens) - lens)[lens > 0]] = START
+    return keys, lens, np.repeat(hit.astype(bool), lens), before, ids
+
+
+def _tally(chosen, before, ids, groups):
+    """Distinct pairs of a block in order of bucket, their buckets, counts and target counts, and the pair of each word."""
+    pairs, number = np.unique((before.astype(np.uint32) << np.uint32(16)) | ids, return_inverse=True)
+    n, t = (np.bincount(x, minlength=len(pairs)) for x in (number, number[chosen]))
+    bucket = (mix(pairs) % np.uint64(groups)).astype(np.int64)
+    by = np.lexsort((pairs, bucket))
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    return pairs[by].astype(np.int64), bucket[by], n[by], t[by], rank[number]
+
+
+def history_counts(blocks, size):
     """How often each word number is followed by a word, in the target and in all texts: two arrays of fixed length."""
 
     def count(batches):
@@ -51,20 +84,17 @@ def history_counts(coded, size):
 
         total = np.zeros((2, size), np.int64)
         for batch in batches:
-            for hit, ids in zip(batch["target"].to_pylist(), batch["ids"].to_pylist(), strict=True):
-                ids = expand(ids)[0]
-                if len(ids):
-                    seen = np.bincount(ids[:-1], minlength=size)
-                    seen[START] += 1
-                    total[1] += seen
-                    total[0] += seen if hit else 0
+            for docs, ids in zip(batch["docs"].to_pylist(), batch["ids"].to_pylist(), strict=True):
+                _, _, chosen, before, _ = _words(docs, ids)
+                total[0] += np.bincount(before[chosen], minlength=size)
+                total[1] += np.bincount(before, minlength=size)
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 128]), pa.array([squeeze(narrow(total.ravel()))], pa.binary())], ["task", "cells"])
 
     def add(table):
         total = sum(expand(x)[0].astype(np.int64) for x in table["cells"].to_pylist())
         return pa.table({"task": pa.array([0], pa.int64()), "cells": pa.array([squeeze(narrow(total))], pa.binary())})
 
-    sums = coded.select("target", "ids").mapInArrow(count, "task long, cells binary").groupBy("task").applyInArrow(add, "task long, cells binary")
+    sums = blocks.select("docs", "ids").mapInArrow(count, "task long, cells binary").groupBy("task").applyInArrow(add, "task long, cells binary")
     total = sum((expand(r["cells"])[0].astype(np.int64) for r in sums.collect()), np.zeros(2 * size, np.int64))  # 128 rows at most
     return total.reshape(2, size)
 
@@ -78,67 +108,53 @@ def cross_entropy_difference(docs, target, size=VOCABULARY, add=ADD):
     whitespace; all texts count and are scored whole. A document without words (null or empty text) has null losses.
     A null doc_id is never in the target; rows that share a doc_id are scored together, once. An empty target gives a
     uniform model.
+
+    Each block of documents sends its distinct pairs with their counts to buckets of pairs, and gets the counts of the
+    whole corpus back in the same order, so traffic grows with the text, whatever the number of blocks.
     """
     words = vocabulary(docs, size)
     width = len(words) + FIRST
-    coded = encode(docs, target, words)
-    groups = bucket_count(docs)
-    seen = docs.sparkSession.sparkContext.broadcast(history_counts(coded, width))
+    groups = bucket_count(docs, BLOCK_BYTES)
+    blocks = encode(docs, target, words, groups)
+    seen = docs.sparkSession.sparkContext.broadcast(history_counts(blocks, width))
 
     def pack(batches):
         for batch in batches:
-            doc, pairs, times, hits = [], [], [], []
-            for key, hit, ids in zip(*[batch[c].to_pylist() for c in ("key", "target", "ids")], strict=True):
-                ids = expand(ids)[0].astype(np.uint32)
-                pair, n = np.unique((np.concatenate([[np.uint32(START)], ids[:-1]]).astype(np.uint32) << np.uint32(16)) | ids, return_counts=True) if len(ids) else (ids, ids)
-                doc.append(np.full(len(pair), key, np.int64))
-                pairs.append(pair)
-                times.append(n)
-                hits.append(np.full(len(pair), hit))
-            doc, pairs, times, hits = (np.concatenate(x) for x in (doc, pairs, times, hits))
-            bucket = (mix(pairs) % np.uint64(groups)).astype(np.int64) * 2 + hits
-            by = np.lexsort((pairs, doc, bucket))
-            cuts = list(zip(*runs(bucket[by]), strict=True))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([int(bucket[by[a]]) // 2 for a, _ in cuts], pa.int64()),
-                pa.array([bool(bucket[by[a]] % 2) for a, _ in cuts], pa.bool_()),
-                pa.array([pack_places(doc[by[a:b]], pairs[by[a:b]].astype(np.int64)) for a, b in cuts], pa.binary()),
-                pa.array([squeeze(narrow(times[by[a:b]])) for a, b in cuts], pa.binary())], ["bucket", "target", "pairs", "times"])
-
-    def losses(table):
-        doc, pair = join_places(table["pairs"])
-        own = [expand(x)[0].astype(np.int64) for x in table["times"].to_pylist()]
-        hit = np.repeat(table["target"].to_numpy(zero_copy_only=False), list(map(len, own)))
-        times = np.concatenate(own)
-        _, number = np.unique(pair, return_inverse=True)
-        history, out = pair >> 16, []
-        for k, weight in enumerate((times * hit, times)):
-            n = np.bincount(number, weights=weight)[number]
-            out.append(np.round(-NANO * np.log((n + add) / (seen.value[k][history] + add * width))).astype(np.int64) * times)
-        by = np.argsort(doc, kind="stable")
-        a, _ = runs(doc[by])
-        keys, sums = doc[by][a], [np.add.reduceat(x[by], a) for x in out]
-        group = spread(keys, groups)
-        by = np.lexsort((keys, group))
-        cuts = list(zip(*runs(group[by]), strict=True))
-        return pa.table({"grp": pa.array([int(group[by[a]]) for a, _ in cuts], pa.int64()),
-                         "sums": pa.array([squeeze(np.diff(keys[by[a:b]], prepend=0), *[x[by[a:b]] for x in sums]) for a, b in cuts], pa.binary())})
-
-    def total(table):
-        parts = [expand(x) for x in table["sums"].to_pylist()]
-        doc = np.concatenate([np.cumsum(p[0]) for p in parts])
-        keys, number = np.unique(doc, return_inverse=True)
-        sums = [np.zeros(len(keys), np.int64) for _ in range(2)]
-        for k in (0, 1):
-            np.add.at(sums[k], number, np.concatenate([p[k + 1] for p in parts]))
-        return pa.table({"key": keys, "t": sums[0], "b": sums[1]})
-
-    packed = coded.select("key", "target", "ids").mapInArrow(pack, "bucket long, target boolean, pairs binary, times binary")
-    parts = packed.groupBy("bucket").applyInArrow(losses, "grp long, sums binary")
-    sums = parts.groupBy("grp").applyInArrow(total, "key long, t long, b long")
-    sizes = coded.groupBy("key").agg(F.sum("n").alias("n_tokens"))
-    out = sizes.join(sums, "key", "left")
-    per = lambda c: F.col(c) / F.lit(NANO) / F.col("n_tokens")
-    return out.select(F.when(F.col("key") != NULL_ID, F.col("key")).alias("doc_id"), "n_tokens", per("t").alias("target_loss"),
-                      per("b").alias("background_loss"), ((F.col("t") - F.col("b")) / F.lit(NANO) / F.col("n_tokens")).alias("score"))
-
+            for grp, own, ids in zip(*[batch[c].to_pylist() for c in ("grp", "docs", "ids")], strict=True):
+                pairs, bucket, n, t, _ = _tally(*_words(own, ids)[2:], groups)
+                cuts = list(zip(*runs(bucket), strict=True))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([int(bucket[a]) for a, _ in cuts], pa.int64()), pa.array([grp] * len(cuts), pa.int64()),
+                    pa.array([squeeze(narrow(np.diff(pairs[a:b], prepend=0)), narrow(n[a:b]), narrow(t[a:b])) for a, b in cuts], pa.binary()),
+                ], ["bucket", "grp", "counts"])
+
+    def add_up(table):
+        parts = [expand(x) for x in table["counts"].to_pylist()]
+        pairs = np.concatenate([np.cumsum(p[0], dtype=np.int64) for p in parts])
+        _, number = np.unique(pairs, return_inverse=True)
+        n, t = (np.bincount(number, weights=np.concatenate([p[k] for p in parts])).astype(np.int64)[number] for k in (1, 2))
+        ends = np.cumsum([len(p[0]) for p in parts])
+        sums = [squeeze(narrow(n[b - len(p[0]):b]), narrow(t[b - len(p[0]):b])) for p, b in zip(parts, ends, strict=True)]
+        return pa.table({"grp": table["grp"], "bucket": table["bucket"], "sums": pa.array(sums, pa.binary())})
+
+    def losses(left, right):
+        out = {c: [] for c in ("key", "n", "t", "b")}
+        for own, ids in zip(left["docs"].to_pylist(), left["ids"].to_pylist(), strict=True):
+            keys, lens, chosen, before, ids = _words(own, ids)
+            rank = _tally(chosen, before, ids, groups)[-1]
+            sums = [expand(x) for x in right.sort_by("bucket")["sums"].to_pylist()]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            stops = np.cumsum(lens)[np.append(first[1:], len(keys)) - 1]
+            out["key"].append(keys[first])
+            out["n"].append(np.diff(stops, prepend=0))
+            for name, part, known in (("b", 0, seen.value[1]), ("t", 1, seen.value[0])):
+                n = np.concatenate([np.empty(0, np.int64), *[x[part].astype(np.int64) for x in sums]])[rank]
+                loss = np.round(-NANO * np.log((n + add) / (known[before] + add * width))).astype(np.int64)
+                out[name].append(np.diff(np.concatenate([[0], np.cumsum(loss)])[stops], prepend=0))
+        return pa.table({c: pa.array(np.concatenate(x) if x else [], pa.int64()) for c, x in out.items()})
+
+    counts = blocks.mapInArrow(pack, "bucket long, grp long, counts binary").groupBy("bucket").applyInArrow(add_up, "grp long, bucket long, sums binary")
+    scored = blocks.groupBy("grp").cogroup(counts.groupBy("grp")).applyInArrow(losses, "key long, n long, t long, b long")
+    per = lambda x: x / F.lit(NANO) / F.nullif(F.col("n"), F.lit(0))
+    return scored.select(F.when(F.col("key") != NULL_ID, F.col("key")).alias("doc_id"), F.col("n").alias("n_tokens"), per(F.col("t")).alias("target_loss"),
+                         per(F.col("b")).alias("background_loss"), per(F.col("t") - F.col("b")).alias("score"))
