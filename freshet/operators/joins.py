@@ -2,11 +2,11 @@
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 HEAVY_ROWS = 1_000_000  # a key with more rows than this is spread over several tasks
-MAX_HEAVY = 1_000       # bound of the broadcast list of such keys
+MAX_HEAVY = 10_000      # a listed key holds more than this part of all heavy rows, so fewer keys than this are listed
 SALTS = 64
 
 
@@ -43,16 +43,20 @@ def anti_join(left, right, on):
 
 
 def heavy_keys(counts, on, weight="n", heavy_rows=HEAVY_ROWS):
-    """The heaviest keys of a per-key count table, at most MAX_HEAVY of them."""
+    """Keys with at least `heavy_rows` rows that hold more than a MAX_HEAVY-th of all rows of such keys.
+
+    The list is complete by that rule and shorter than MAX_HEAVY; the window sees one row per heavy key.
+    """
     on = _as_list(on)
-    top = counts.where(F.col(weight) >= heavy_rows).orderBy(F.desc(weight)).limit(MAX_HEAVY)
-    return top.select(*on, F.lit(True).alias("__heavy"))
+    top = counts.where(F.col(weight) >= heavy_rows).select(*on, F.col(weight).alias("__n"))
+    share = F.col("__n") * MAX_HEAVY > F.sum("__n").over(Window.partitionBy())
+    return top.withColumn("__heavy", share).where("__heavy").drop("__n")
 
 
 def spread_join(left, right, on, heavy, how="left", salts=SALTS):
     """Null-safe join whose heavy keys are salted.
 
-    `heavy` comes from heavy_keys, so its broadcast is bounded by MAX_HEAVY rows. Rows of a heavy key
+    `heavy` comes from heavy_keys, so its broadcast is shorter than MAX_HEAVY rows. Rows of a heavy key
     take their salt from the input partition they sit in (stable when a task is run again), and the
     matching right rows are repeated once per salt. All other keys keep salt 0.
     """

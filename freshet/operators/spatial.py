@@ -9,6 +9,7 @@ appears once in each grid in use. Cells with too many candidate pairs are cut in
 what cannot be cut (many features at one spot) is salted over several tasks.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from freshet.functions.geo import edge_hits_box, edge_hits_edge, point_near_edge
@@ -19,7 +20,7 @@ WIDE = 1_000           # a right-hand feature that covers more cells moves to th
 GRIDS = (0, 1, 2, 3)   # grid g has cells FINER ** g times as wide as given
 MAX_LEVEL = 3
 MAX_PAIRS = 200_000_000 # candidate pairs one cell may hold before it is cut
-MAX_DENSE = 1_000      # bound of the list of dense cells per level
+MAX_DENSE = 10_000     # a listed cell holds more than this part of the pairs of all dense cells, so fewer are listed
 FEW = 1_000            # right sides up to this size are never worth a look for dense cells
 LIGHT = 256            # with at most this many features in the fullest cell, work stays linear in the left side
 SALTS = 64
@@ -117,8 +118,9 @@ def look(left, right, cell):
 def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, grids=(0,)):
     """Cells whose candidate pairs exceed `max_pairs`: those to cut, and at the last level those to salt.
 
-    Only cell counts are aggregated, and at most MAX_DENSE cells per level come back, heaviest first; a cell
-    left out is merely slower, never wrong. Returns None when no cell is dense.
+    Only cell counts are aggregated. Per level the cells with more than a MAX_DENSE-th of the pairs of all dense
+    cells come back, which are fewer than MAX_DENSE; the list is complete by that rule. Returns None when no cell
+    is dense.
     """
     spark = left.sparkSession
     l_cells, r_cells = _file(left, "l", cell, grids), _file(right, "r", cell, grids)
@@ -129,7 +131,8 @@ def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, gri
         ).groupBy(*_CELL).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
         pairs = F.col("l").cast("double") * F.col("r")
         heavy = counts.where((pairs > max_pairs) & (F.col("__lvl") == level))
-        cells = heavy.orderBy(F.desc(pairs)).limit(MAX_DENSE).select(*_CELL).collect()
+        share = heavy.withColumn("__share", pairs * MAX_DENSE > F.sum(pairs).over(Window.partitionBy()))
+        cells = share.where("__share").select(*_CELL).collect()
         if not cells:
             break
         can_cut = level < max_level
@@ -143,18 +146,14 @@ def dense_cells(left, right, cell, max_pairs=MAX_PAIRS, max_level=MAX_LEVEL, gri
     return spark.createDataFrame(found, _DENSE)
 
 
-def cell_join(left, right, predicate, cell, dense="auto", grids=(0,), distinct_left=False, salts=SALTS):
+def cell_join(left, right, predicate, cell, dense="auto", grids=(0,), salts=SALTS):
     """Inner join of two boxed tables on grid cells; each matching pair of rows appears exactly once.
 
-    dense='auto' looks for wide features and dense cells first (one count per cell); None skips that.
-    distinct_left is for callers that need each distinct left row only once: copies are then removed, but only
-    where dense cells make the extra shuffle worthwhile.
+    dense='auto' looks for wide features and dense cells first (one count per cell); None skips that. Equal rows
+    stay separate rows on both sides, whatever is found.
     """
     if isinstance(dense, str):
         grids, dense = look(left, right, cell)
-        if dense is not None and distinct_left:
-            left = left.distinct()
-            dense = dense_cells(left, right, cell, MAX_PAIRS, grids=grids)
     l_cells, r_cells = _file(left, "l", cell, grids), _file(right, "r", cell, grids)
     keys = list(_CELL)
     if dense is not None:
@@ -240,6 +239,23 @@ def points_in_polygons(points, rings, point_id, polygon_id, cell, **options):
     return counts.where("n % 2 = 1").drop("n")
 
 
+def points_meet_polygons(points, rings, point_id, polygon_id, cell, **options):
+    """(point, polygon) pairs with the point inside or on the border."""
+    inside = points_in_polygons(points, rings, point_id, polygon_id, cell, **options)
+    own = rings.withColumnsRenamed({"px": "ax", "py": "ay", "qx": "bx", "qy": "by"})
+    border = edges_near_points(own, points.select(point_id, "x", "y"), 0, cell, **options).select(point_id, polygon_id)
+    return inside.union(border).distinct()
+
+
+def edges_in_polygons(edge_table, line_id, rings, polygon_id, cell, **options):
+    """(line, polygon) pairs of a line given as its edges: an edge meets a ring, or starts inside."""
+    touching = edges_on_edges(edge_table.select(line_id, "ax", "ay", "bx", "by"), rings, cell, **options).select(line_id, polygon_id)
+    starts = edge_table.select(F.struct(line_id, F.col("ax").alias("x"), F.col("ay").alias("y")).alias("__p")).distinct()
+    starts = starts.select("__p", "__p.x", "__p.y")
+    inside = points_in_polygons(starts, rings, "__p", polygon_id, cell, **options)
+    return touching.union(inside.select(F.col(f"__p.{line_id}").alias(line_id), polygon_id)).distinct()
+
+
 def lines_in_polygons(df, rings, line_id, polygon_id, cell, **options):
     """(line, polygon) pairs that meet: an edge crosses a ring, or a part starts inside."""
     from freshet.operators.geometry import edges

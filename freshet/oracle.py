@@ -141,7 +141,7 @@ CTES = {
     "names": "SELECT BLUE_LINE_KEY, GNIS_NAME, count(*) AS n FROM fx_segments GROUP BY ALL",
     "several": "SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY BLUE_LINE_KEY) AS nn FROM names) WHERE nn>1",
     "correctors": """SELECT BLUE_LINE_KEY, string_agg(CASE WHEN GNIS_NAME<>'Unknown' THEN GNIS_NAME END, ', '
-        ORDER BY n DESC, GNIS_NAME NULLS LAST) AS corrector FROM several GROUP BY BLUE_LINE_KEY""",
+        ORDER BY n DESC, GNIS_NAME NULLS LAST) AS corrector FROM several WHERE BLUE_LINE_KEY IS NOT NULL GROUP BY BLUE_LINE_KEY""",
     "sar_codes": """SELECT ECOSECTION_CODE, CAST(sum(n) AS BIGINT) AS number_sar FROM (
         SELECT unnest(string_split(ECOSECTION, ';')) AS ECOSECTION_CODE, n FROM (SELECT ECOSECTION, count(*) AS n FROM fx_sar
         WHERE TAX_CLASS IN ('amphibians','ray-finned fishes','bivalves','Lampreys') GROUP BY ECOSECTION)) GROUP BY ECOSECTION_CODE""",
@@ -156,7 +156,7 @@ CTES = {
     "found_keys": "SELECT GNIS_NAME, BLUE_LINE_KEY FROM (SELECT h.*, row_number() OVER (PARTITION BY GNIS_NAME ORDER BY seg_id) AS rn"
                   " FROM (" + _box_pairs("e.seg_id, e.BLUE_LINE_KEY, e.GNIS_NAME",
                                          "(SELECT * FROM fx_edges WHERE GNIS_NAME IN (SELECT StreamName FROM fx_expert_streams))",
-                                         "fx_ecosections", 50000) + ") h) WHERE rn=1 AND BLUE_LINE_KEY IS NOT NULL",
+                                         "section_parts", 50000) + ") h) WHERE rn=1 AND BLUE_LINE_KEY IS NOT NULL",
     "found_edges": "SELECT DISTINCT e.BLUE_LINE_KEY, e.GNIS_NAME, ax, ay, bx, by_ FROM fx_edges e JOIN found_keys f"
                    " ON e.BLUE_LINE_KEY=f.BLUE_LINE_KEY AND e.GNIS_NAME=f.GNIS_NAME",
     "found_sizes": f"SELECT BLUE_LINE_KEY, GNIS_NAME, count(*) AS n_edges, sum({_LEN}) AS length_m FROM found_edges GROUP BY ALL",
@@ -179,8 +179,28 @@ CTES = {
     "shown": """SELECT *, CASE WHEN Summer_Sen='Y' THEN 'Yes (<20% MAD)' WHEN Summer_Sen IS NOT NULL THEN 'No (>=20% MAD)' END AS sum_label,
         CASE WHEN Winter_Sen='Y' THEN 'Yes (<20% MAD)' WHEN Winter_Sen IS NOT NULL THEN 'No (>=20% MAD)' END AS wint_label,
         coalesce(Summer_Sen,'NA')||coalesce(Winter_Sen,'NA') AS sens_combo FROM fx_expert_streams""",
+    "rated": f"""SELECT DISTINCT ECOSECTION_NAME, BLUE_LINE_KEY, GNIS_NAME, CAST(sum(part) OVER (PARTITION BY ECOSECTION_NAME, BLUE_LINE_KEY)
+        AS BIGINT) AS priority_rating FROM (SELECT s.ECOSECTION_NAME, s.BLUE_LINE_KEY, s.GNIS_NAME,
+        coalesce({_code('s.summer_sens')},0)+coalesce({_code('s.winter_sens')},0)
+        +coalesce(CASE b.fish_observed WHEN 'N' THEN 1 WHEN 'Y' THEN 2 END,0)
+        +coalesce(CASE b.habitat_value WHEN 'Low habitat value' THEN 1 WHEN 'Medium habitat value' THEN 2 WHEN 'High habitat value' THEN 3 END,0)
+        +coalesce(x.number_sar,0) AS part FROM (SELECT DISTINCT k.ECOSECTION_NAME, k.BLUE_LINE_KEY, k.summer_sens, k.winter_sens,
+        CASE WHEN c.hit THEN c.corrector ELSE k.GNIS_NAME END AS GNIS_NAME FROM kept k LEFT JOIN (
+          SELECT ECOSECTION_NAME, BLUE_LINE_KEY, TRUE AS hit, string_agg(CASE WHEN GNIS_NAME<>'Unknown' THEN GNIS_NAME END, ', '
+          ORDER BY n DESC, GNIS_NAME NULLS LAST) AS corrector FROM (SELECT {_k3}, count(*) AS n FROM kept WHERE BLUE_LINE_KEY IS NOT NULL GROUP BY ALL)
+          GROUP BY ECOSECTION_NAME, BLUE_LINE_KEY HAVING count(*)>1) c
+        ON {_same('k', 'c', ['ECOSECTION_NAME', 'BLUE_LINE_KEY'])}) s JOIN sar_sections x ON s.ECOSECTION_NAME=x.ECOSECTION_NAME
+        LEFT JOIN best b ON {_same('s', 'b', ['ECOSECTION_NAME', 'BLUE_LINE_KEY'])})""",
+    # A concave polygon is the union of two boxes: the whole lower half and the left part of the upper half.
+    **{name: f"""SELECT {cols}, xmin, ymin, xmax, CAST((ymin+ymax)/2 AS BIGINT) AS ymax FROM {source} UNION ALL
+        SELECT {cols}, xmin, CAST((ymin+ymax)/2 AS BIGINT), CAST((xmin+xmax)/2 AS BIGINT), ymax FROM {source}"""
+       for name, cols, source in (("region_parts", "region_id, REGION_NAME", "fx_regions"),
+                                  ("section_parts", "eco_id, ECOSECTION_NAME", "fx_ecosections"))},
+    "texts_once": f"""SELECT {', '.join('s.' + c for c in _K5)}, coalesce(t.a,'NA') AS SCI_NAME, coalesce(t.b,'NA') AS ENG_NAME FROM streams s
+        LEFT JOIN (SELECT {_k5}, string_agg(coalesce(SCI_NAME,'NA'), ', ' ORDER BY occ_id) AS a, string_agg(ENG_NAME, ', ' ORDER BY occ_id) AS b
+        FROM species_hits GROUP BY {_k5}) t ON {_same('s', 't', _K5)}""",
     "hand_regions": "SELECT h.row_id, r.REGION_NAME FROM fx_expert_streams h LEFT JOIN ("
-                    + _box_pairs("e.row_id, p.region_id", "hand_edges", "fx_regions", 50000)
+                    + _box_pairs("e.row_id, p.region_id", "hand_edges", "region_parts", 50000)
                     + ") p USING (row_id) LEFT JOIN fx_regions r USING (region_id)",
 }
 
@@ -293,18 +313,16 @@ SQL = {
     "crossing_on_line": _point_pairs("e.seg_id, p.assessment_id", "fx_edges", 0),
     "species_overlay": _box_pairs("e.seg_id, p.occ_id", "fx_edges", "fx_sar", 1000),
     "region_overlay": _box_pairs("e.seg_id, p.region_id", "fx_edges", "fx_regions", 50000),
-    "polygon_overlay": _box_pairs("e.seg_id, p.region_id", "fx_edges", "fx_regions", 50000),
+    "polygon_overlay": _box_pairs("e.seg_id, p.region_id", "fx_edges", "region_parts", 50000),
     "expert_overlay": _edge_pairs("e.seg_id, p.row_id", "fx_edges", "unkeyed_edges"),
     "name_matched_overlay": _edge_pairs("e.seg_id, p.row_id", "fx_edges", "hand_edges", "e.GNIS_NAME=p.StreamName"),
     "spatial_left_join": "SELECT row_id, StreamName, REGION_NAME FROM hand_regions JOIN fx_expert_streams USING (row_id)",
     "streams_by_section": "SELECT h.row_id, s.ECOSECTION_NAME AS EcoSection FROM (" + _box_pairs(
-        "e.row_id, p.eco_id", "hand_edges", "fx_ecosections", 50000) + ") h JOIN fx_ecosections s USING (eco_id)",
+        "e.row_id, p.eco_id", "hand_edges", "section_parts", 50000) + ") h JOIN fx_ecosections s USING (eco_id)",
     # aggregates
     "species_richness": f"SELECT {_k3}, number_distinct_SAR FROM richness",
     "species_text": f"SELECT {_k3}, SCI_NAME, ENG_NAME FROM texts",
-    "species_text_once": f"""SELECT {', '.join('s.' + c for c in _K3)}, coalesce(t.a,'NA') AS SCI_NAME, coalesce(t.b,'NA') AS ENG_NAME FROM streams s
-        LEFT JOIN (SELECT {_k5}, string_agg(coalesce(SCI_NAME,'NA'), ', ' ORDER BY occ_id) AS a, string_agg(ENG_NAME, ', ' ORDER BY occ_id) AS b
-        FROM species_hits GROUP BY {_k5}) t ON {_same('s', 't', _K5)}""",
+    "species_text_once": f"SELECT {_k3}, SCI_NAME, ENG_NAME FROM texts_once",
     "aquatic_species": """SELECT occ_id, SCI_NAME AS scientific_name, TAX_CLASS AS tax_class, ECOSECTION AS ecosec FROM fx_sar
         WHERE TAX_CLASS IN ('amphibians','ray-finned fishes','bivalves','Lampreys')""",
     "species_by_section": "SELECT ECOSECTION_CODE, number_sar FROM sar_codes",
@@ -322,32 +340,23 @@ SQL = {
         SELECT BLUE_LINE_KEY, GNIS_NAME, variable, max(value) AS value FROM long_parts GROUP BY ALL) GROUP BY ALL""",
     "top_200_risk": f"SELECT {_k3}, drought_risk FROM scored ORDER BY drought_risk DESC, BLUE_LINE_KEY NULLS LAST, GNIS_NAME NULLS LAST, ECOSECTION_NAME LIMIT 200",
     "stream_delivery": f"""SELECT h.drought_risk, h.BLUE_LINE_KEY, h.GNIS_NAME, h.number_distinct_SAR, t.SCI_NAME, t.ENG_NAME, h.stream_winter_sens,
-        h.stream_summer_sens, h.summer_sens, h.winter_sens, h.fish_observed FROM harmonized h LEFT JOIN texts t ON {_same('h', 't', _K5)}""",
+        h.stream_summer_sens, h.summer_sens, h.winter_sens, h.fish_observed FROM harmonized h LEFT JOIN texts_once t ON {_same('h', 't', _K5)}""",
     "keep_best_crossing": "SELECT ECOSECTION_NAME, BLUE_LINE_KEY, assessment_id, fish_observed, habitat_value, final_score FROM best",
-    "priority_rating": f"""SELECT DISTINCT ECOSECTION_NAME, BLUE_LINE_KEY, GNIS_NAME, CAST(sum(part) OVER (PARTITION BY ECOSECTION_NAME, BLUE_LINE_KEY)
-        AS BIGINT) AS priority_rating FROM (SELECT s.ECOSECTION_NAME, s.BLUE_LINE_KEY, s.GNIS_NAME,
-        coalesce({_code('s.summer_sens')},0)+coalesce({_code('s.winter_sens')},0)
-        +coalesce(CASE b.fish_observed WHEN 'N' THEN 1 WHEN 'Y' THEN 2 END,0)
-        +coalesce(CASE b.habitat_value WHEN 'Low habitat value' THEN 1 WHEN 'Medium habitat value' THEN 2 WHEN 'High habitat value' THEN 3 END,0)
-        +coalesce(x.number_sar,0) AS part FROM (SELECT DISTINCT k.ECOSECTION_NAME, k.BLUE_LINE_KEY, k.summer_sens, k.winter_sens,
-        CASE WHEN c.hit THEN c.corrector ELSE k.GNIS_NAME END AS GNIS_NAME FROM kept k LEFT JOIN (
-          SELECT ECOSECTION_NAME, BLUE_LINE_KEY, TRUE AS hit, string_agg(CASE WHEN GNIS_NAME<>'Unknown' THEN GNIS_NAME END, ', '
-          ORDER BY n DESC, GNIS_NAME NULLS LAST) AS corrector FROM (SELECT {_k3}, count(*) AS n FROM kept GROUP BY ALL)
-          GROUP BY ECOSECTION_NAME, BLUE_LINE_KEY HAVING count(*)>1) c
-        ON {_same('k', 'c', ['ECOSECTION_NAME', 'BLUE_LINE_KEY'])}) s JOIN sar_sections x ON s.ECOSECTION_NAME=x.ECOSECTION_NAME
-        LEFT JOIN best b ON {_same('s', 'b', ['ECOSECTION_NAME', 'BLUE_LINE_KEY'])})""",
+    "priority_rating": "SELECT * FROM rated",
     # lookup and reconciliation
-    "lookup_streams": "SELECT f.BLUE_LINE_KEY, f.GNIS_NAME, q.request_no, z.n_edges, CAST(round(z.length_m*1000) AS BIGINT) AS length_mm,"
-                      " repeat(coalesce(t.l,'NA')||', ', q.times-1)||coalesce(t.l,'NA') AS Ecosections FROM found_keys f JOIN"
+    **{name: "SELECT f.BLUE_LINE_KEY, f.GNIS_NAME, q.request_no, z.n_edges, CAST(round(z.length_m*1000) AS BIGINT) AS length_mm,"
+                      f" {text} AS Ecosections FROM found_keys f JOIN"
                       " (SELECT StreamName, CAST(row_number() OVER (PARTITION BY StreamName ORDER BY row_id) AS INT) AS request_no,"
                       " CAST(count(*) OVER (PARTITION BY StreamName) AS INT) AS times FROM fx_expert_streams) q ON f.GNIS_NAME=q.StreamName"
                       " JOIN found_sizes z ON f.BLUE_LINE_KEY=z.BLUE_LINE_KEY AND f.GNIS_NAME=z.GNIS_NAME LEFT JOIN"
                       " (SELECT BLUE_LINE_KEY, GNIS_NAME, string_agg(ECOSECTION_NAME, ', ' ORDER BY eco_id) AS l FROM ("
-                      + _box_pairs("e.BLUE_LINE_KEY, e.GNIS_NAME, p.eco_id, p.ECOSECTION_NAME", "found_edges", "fx_ecosections", 50000)
-                      + ") GROUP BY ALL) t ON f.BLUE_LINE_KEY=t.BLUE_LINE_KEY AND f.GNIS_NAME=t.GNIS_NAME",
+                      + _box_pairs("e.BLUE_LINE_KEY, e.GNIS_NAME, p.eco_id, p.ECOSECTION_NAME", "found_edges", "section_parts", 50000)
+                      + ") GROUP BY ALL) t ON f.BLUE_LINE_KEY=t.BLUE_LINE_KEY AND f.GNIS_NAME=t.GNIS_NAME"
+       for name, text in (("lookup_streams", "coalesce(t.l,'NA')"),
+                          ("lookup_streams_repeated", "repeat(coalesce(t.l,'NA')||', ', q.times-1)||coalesce(t.l,'NA')"))},
     "lookup_in_section": "SELECT GNIS_NAME, Ecosection, BLUE_LINE_KEY FROM (SELECT h.*, r.Ecosection, row_number() OVER"
                          " (PARTITION BY GNIS_NAME, Ecosection ORDER BY seg_id) AS rn FROM ("
-                         + _box_pairs("e.seg_id, e.BLUE_LINE_KEY, e.GNIS_NAME, p.ECOSECTION_NAME", "fx_edges", "fx_ecosections", 50000)
+                         + _box_pairs("e.seg_id, e.BLUE_LINE_KEY, e.GNIS_NAME, p.ECOSECTION_NAME", "fx_edges", "section_parts", 50000)
                          + ") h JOIN (SELECT DISTINCT StreamName, Ecosection FROM fx_expert_streams) r"
                          " ON h.GNIS_NAME=r.StreamName AND h.ECOSECTION_NAME=r.Ecosection) WHERE rn=1 AND BLUE_LINE_KEY IS NOT NULL",
     "lookup_unmatched": """SELECT row_id, StreamName AS Stream, Ecosection FROM fx_expert_streams
@@ -396,7 +405,7 @@ SQL = {
     "delivery_lines": f"""WITH areas AS (SELECT *, abs((x1-x0)*(y2-y0)-(y1-y0)*(x2-x0))/2.0 AS area FROM kept),
         ranked AS (SELECT area, row_number() OVER (ORDER BY area DESC) AS r, count(*) OVER () AS n FROM areas)
         SELECT a.seg_id, s.drought_risk, CASE WHEN area>=(SELECT min(area) FROM ranked WHERE r<=round(0.025*n)) THEN 3 ELSE 2 END AS n_vertices
-        FROM areas a LEFT JOIN scored s ON {_same('a', 's', _K3)}""",
+        FROM areas a LEFT JOIN harmonized s ON {_same('a', 's', _K3)}""",
     # scales
     "rescale_mad": "SELECT row_id, round(1-(mad_l_s-min(mad_l_s) OVER ())/(max(mad_l_s) OVER ()-min(mad_l_s) OVER ()),9) AS scaled FROM fx_hydromaster",
     "score_histogram": """WITH lim AS (SELECT min(final_score) AS lo, max(final_score) AS hi FROM fx_pscis),
@@ -429,7 +438,7 @@ SQL = {
         WHERE {_SHORT}='{REGION}'""",
     "whole_province_streams": f"""SELECT row_id, StreamName, {_SEASONS['winter']} AS leaf_col, REGION_NAME FROM shown
         JOIN hand_regions USING (row_id) ORDER BY StreamName, row_id""",
-    "region_filter_stations": f"""SELECT STATION_NUMBER, STATION_NAME, REGION_NAME FROM fx_stations JOIN fx_regions
+    "region_filter_stations": f"""SELECT DISTINCT STATION_NUMBER, STATION_NAME, REGION_NAME FROM fx_stations JOIN region_parts
         ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax WHERE {_SHORT}='{REGION}'""",
     "region_highlight": f"""SELECT REGION_NAME, CASE WHEN {_SHORT}='{REGION}' THEN 'black' ELSE 'lightgrey' END AS leaf_colour,
         CASE WHEN {_SHORT}='{REGION}' THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS leaf_opac FROM fx_regions""",
@@ -437,8 +446,11 @@ SQL = {
     "region_choices": f"SELECT 'Whole Province' AS choice UNION ALL SELECT DISTINCT {_SHORT} FROM fx_regions",
     "stream_popup": """SELECT GNIS_NAME AS "Name", sum_label AS "Stream Summer Sensitivity", wint_label AS "Stream Winter Sensitivity" FROM shown""",
     "section_popup": """SELECT ECOSECTION_NAME AS "Name", winter_sens AS "Winter Sensitivity", summer_sens AS "Summer Sensitivity" FROM fx_ecosections""",
-    "rating_popup": """SELECT coalesce(CAST(BLUE_LINE_KEY AS VARCHAR),'NA') AS "Name", fish_observed AS "Fish Observed", barrier AS "Barrier",
-        habitat_value AS "Habitat Value", assessment_date AS "Assessment Date", final_score AS "Priority Rating" FROM best""",
+    "rating_popup": f"""SELECT r.GNIS_NAME AS "Name", l.summer_sens AS "Summer Sensitivity", l.winter_sens AS "Winter Sensitivity",
+        b.assessment_date AS "Assessment Date", b.fish_observed AS "Fish Observed", b.barrier AS "Barrier", b.habitat_value AS "Habitat Value",
+        r.priority_rating AS "Priority Rating" FROM rated r
+        LEFT JOIN (SELECT DISTINCT ECOSECTION_NAME, BLUE_LINE_KEY, summer_sens, winter_sens FROM kept) l ON {_same('r', 'l', ['ECOSECTION_NAME', 'BLUE_LINE_KEY'])}
+        LEFT JOIN best b ON {_same('r', 'b', ['ECOSECTION_NAME', 'BLUE_LINE_KEY'])}""",
     # sources and sinks
     "layer_roundtrip": "SELECT assessment_id, barrier, final_score FROM fx_pscis WHERE final_score>20",
     "catalogue_by_name": "SELECT seg_id, BLUE_LINE_KEY FROM fx_segments WHERE GNIS_NAME='CREEK_7'",
@@ -446,7 +458,7 @@ SQL = {
     "staged_layer": "SELECT occ_id, TAX_CLASS FROM fx_sar",
     "csv_export": f"""SELECT row_number() OVER (ORDER BY StreamName, row_id) AS row_number, StreamName, row_id, {_SEASONS['summer']} AS leaf_col
         FROM shown JOIN hand_regions USING (row_id) WHERE {_SHORT}='{REGION}'""",
-    "layer_export": f"""SELECT STATION_NUMBER, x, y FROM fx_stations JOIN fx_regions
+    "layer_export": f"""SELECT DISTINCT STATION_NUMBER, x, y FROM fx_stations JOIN region_parts
         ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax WHERE {_SHORT}='{REGION}'""",
     "section_export": "SELECT row_number() OVER (ORDER BY ECOSECTION_NAME) AS row_number, ECOSECTION_NAME, summer_sens, number_sar FROM sar_sections",
     "expert_layer": "SELECT row_id, BLUE_LINE_, StreamName, 2 AS n_vertices FROM fx_expert_streams",

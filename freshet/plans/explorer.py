@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from freshet.functions.nulls import paste
 from freshet.functions.text import strip_region
-from freshet.operators.geometry import boundary_points, edges
-from freshet.operators.spatial import edges_in_boxes, points_in_boxes, spatial_join
+from freshet.operators.geometry import boundary_points
+from freshet.operators.spatial import lines_in_polygons, points_meet_polygons, ring_edges, spatial_join
 from freshet.plans.species import project
 
 WHOLE = "Whole Province"
@@ -95,14 +95,15 @@ def filter_region(df, region):
 def explorer_streams(hand, regions, season, region, labels, cell=50_000):
     """Streams with display columns and class, matched to regions; a stream in two regions appears twice."""
     shown = season_class(sens_combo(sens_labels(hand)), season, labels)
-    pairs = edges_in_boxes(edges(hand, ["row_id"]), regions, cell)
-    return filter_region(spatial_join(shown, regions, pairs, "row_id", "region_id"), region)
+    pairs = lines_in_polygons(hand, ring_edges(regions, ["region_id"]), "row_id", "region_id", cell)
+    return filter_region(spatial_join(shown, regions.drop("geom"), pairs, "row_id", "region_id"), region)
 
 
 def explorer_stations(stations, regions, region, cell=50_000):
     """Stations matched to regions."""
-    pairs = points_in_boxes(stations.select("STATION_NUMBER", "x", "y"), regions, cell)
-    return filter_region(spatial_join(stations, regions, pairs, "STATION_NUMBER", "region_id"), region)
+    points = stations.select("STATION_NUMBER", "x", "y")
+    pairs = points_meet_polygons(points, ring_edges(regions, ["region_id"]), "STATION_NUMBER", "region_id", cell)
+    return filter_region(spatial_join(stations, regions.drop("geom"), pairs, "STATION_NUMBER", "region_id"), region)
 
 
 def region_highlight(regions, region):

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from freshet.operators.geometry import dissolve, dissolved_size, edges
 from freshet.operators.groups import text_list
-from freshet.operators.joins import anti_join, inner_join, left_join
-from freshet.operators.spatial import edges_in_boxes
+from freshet.operators.joins import anti_join, inner_join, left_join, semi_join
+from freshet.operators.spatial import edges_in_polygons, ring_edges
 from freshet.sources.layers import materialise
 
 STREAM = ["BLUE_LINE_KEY", "GNIS_NAME"]
@@ -16,13 +16,14 @@ def requested_keys(requests, catalogue, ecosections, cell=50_000, match_section=
 
     A name whose first segment has no key finds nothing. `match_section` looks only at the requested section.
     """
-    names = requests.select(F.col("Stream").alias("GNIS_NAME"), *(["Ecosection"] if match_section else [])).distinct()
-    found = inner_join(catalogue.select("seg_id", "BLUE_LINE_KEY", "GNIS_NAME", "geom"), names, "GNIS_NAME")
-    keep = ["GNIS_NAME", "BLUE_LINE_KEY", "seg_id"] + (["Ecosection"] if match_section else [])
-    met = edges_in_boxes(edges(found, keep), ecosections.select("ECOSECTION_NAME", "xmin", "ymin", "xmax", "ymax"), cell)
+    names = requests.select(F.col("Stream").alias("GNIS_NAME"), "Ecosection").distinct()
+    named = semi_join(catalogue.select(F.struct("GNIS_NAME", "seg_id", "BLUE_LINE_KEY").alias("line"), "GNIS_NAME", "geom"), names, "GNIS_NAME")
+    rings = ring_edges(ecosections, ["ECOSECTION_NAME"])
+    met = edges_in_polygons(edges(named, ["line"]), "line", rings, "ECOSECTION_NAME", cell).select("line.*", F.col("ECOSECTION_NAME").alias("Ecosection"))
     by = ["GNIS_NAME"]
     if match_section:
-        met, by = met.where("Ecosection = ECOSECTION_NAME"), ["GNIS_NAME", "Ecosection"]
+        by = ["GNIS_NAME", "Ecosection"]
+        met = semi_join(met, names, by)
     first = met.groupBy(*by).agg(F.min(F.struct("seg_id", "BLUE_LINE_KEY")).alias("first"))
     return first.select(*by, F.col("first.BLUE_LINE_KEY").alias("BLUE_LINE_KEY")).where("BLUE_LINE_KEY IS NOT NULL")
 
@@ -37,7 +38,7 @@ def lookup_lines(found, catalogue):
     return materialise(lines, "catalogue_lines")
 
 
-def lookup_streams(requests, catalogue, ecosections, cell=50_000, repeats=True):
+def lookup_streams(requests, catalogue, ecosections, cell=50_000, repeats=False):
     """Found streams with size and the sections they touch; a repeated request stays a repeated row.
 
     Requests are counted per name and the rows repeated at the very end. With `repeats` the section list is
@@ -46,8 +47,8 @@ def lookup_streams(requests, catalogue, ecosections, cell=50_000, repeats=True):
     found = requested_keys(requests, catalogue, ecosections, cell)
     times = requests.groupBy(F.col("Stream").alias("GNIS_NAME")).agg(F.count("*").cast("int").alias("times"))
     lines = lookup_lines(found, catalogue)
-    touched = edges_in_boxes(lines, ecosections.select("eco_id", "ECOSECTION_NAME", "xmin", "ymin", "xmax", "ymax"), cell)
-    touched = touched.select(*STREAM, "eco_id", "ECOSECTION_NAME").distinct()
+    rings = ring_edges(ecosections.select(F.struct("eco_id", "ECOSECTION_NAME").alias("eco"), "geom"), ["eco"])
+    touched = edges_in_polygons(lines.withColumn("line", F.struct(*STREAM)), "line", rings, "eco", cell).select("line.*", "eco.*")
     sections = text_list(touched, STREAM, {"Ecosections": "ECOSECTION_NAME"}, "eco_id")
     streams = left_join(inner_join(found, times, "GNIS_NAME"), dissolved_size(lines, STREAM), STREAM)
     streams = left_join(streams, sections, STREAM)

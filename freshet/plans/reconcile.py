@@ -96,14 +96,17 @@ def reconcile(hand, catalogue_lines, cell=1000, unkeyed="0"):
     merged_keys = materialise(flagged.select("BLUE_LINE_").distinct(), "merged_keys")
     members = semi_join(rows, merged_keys, "BLUE_LINE_")
     sizes = members.groupBy("BLUE_LINE_").agg(F.count("*").alias("n"))
-    marked = spread_join(rows, merged_keys.withColumn("merged", F.lit(True)), "BLUE_LINE_", heavy_keys(sizes, "BLUE_LINE_"))
+    # Unkeyed rows, often the most frequent value, can match nothing and take no part in the joins on the key.
+    loose = F.lit(False) if unkeyed is None else F.col("BLUE_LINE_").eqNullSafe(unkeyed)
+    marked = spread_join(rows.where(~loose), merged_keys.withColumn("merged", F.lit(True)), "BLUE_LINE_", heavy_keys(sizes, "BLUE_LINE_"))
+    marked = marked.unionByName(rows.where(loose).withColumn("merged", F.lit(None).cast("boolean")))
     own_section = F.when(F.col("merged").isNull(), F.col("Ecosection"))
     replaced = F.col("new_name").isNotNull().alias("replaced")
     distinct = marked.withColumn("Ecosection", own_section).select(
         *ALL_SEVEN, "merged", replaced, "n_edges", "length_m", "geometry_id").distinct()
     lists = text_list(members, "BLUE_LINE_", {"Ecosections": "Ecosection"}, "row_id")
-    section = F.when(F.col("merged"), F.col("Ecosections")).otherwise(F.col("Ecosection"))
-    return left_join(distinct, lists, "BLUE_LINE_").withColumn("Ecosection", section).drop("merged", "Ecosections")
+    listed = left_join(distinct.where("merged"), lists, "BLUE_LINE_").withColumn("Ecosection", F.col("Ecosections")).drop("Ecosections")
+    return listed.unionByName(distinct.where("merged IS NULL")).drop("merged")
 
 
 def apply_overrides(hand, overrides):

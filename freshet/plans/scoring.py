@@ -54,7 +54,7 @@ def stream_overlays(segments, crossings, species, experts, radius=50, cell=1000,
     meets = F.when(kind == CROSSING, point_near_edge(a, b, p, radius)).when(
         kind == SPECIES, edge_hits_box(a, b, (*p, *q))).otherwise(edge_hits_edge(a, b, p, q))
     features = _features(crossings, species, experts, radius)
-    hits = cell_join(edge_box(edges(segments, STREAM), "l"), features, meets, cell, distinct_left=True, **options)
+    hits = cell_join(edge_box(edges(segments, STREAM), "l"), features, meets, cell, **options)
     labels = hits.groupBy(*STREAM, "kind", "label").agg(F.min("first").alias("first"))
     return labels.groupBy(*STREAM).agg(
         F.min(F.when(kind == CROSSING, F.col("first"))).alias("crossing"),
@@ -102,22 +102,22 @@ def score_streams(segments, ecosections, crossings, species, experts, radius=50,
 def species_matches(segments, species, cell=1000):
     """Every (stream, occurrence) match once, as rows: the whole result, however many a stream has."""
     boxes = species.select("occ_id", "SCI_NAME", "ENG_NAME", "xmin", "ymin", "xmax", "ymax")
-    found = edges_in_boxes(edges(segments, STREAM), boxes, cell, distinct_left=True)
+    found = edges_in_boxes(edges(segments, STREAM), boxes, cell)
     return found.select(*STREAM, "occ_id", "SCI_NAME", "ENG_NAME").distinct()
 
 
 def crossing_counts(segments, crossings, radius=50, cell=1000):
     """Number of crossings along each stream that has any."""
     points = crossings.select("assessment_id", "x", "y")
-    near = edges_near_points(edges(segments, STREAM), points, radius, cell, distinct_left=True)
+    near = edges_near_points(edges(segments, STREAM), points, radius, cell)
     return near.select(*STREAM, "assessment_id").distinct().groupBy(*STREAM).agg(F.count("*").cast("int").alias("times"))
 
 
-def species_lists(segments, crossings, species, radius=50, cell=1000, repeats=True):
+def species_lists(segments, crossings, species, radius=50, cell=1000, repeats=False):
     """Names of the species along each stream, as text.
 
-    The matches of a stream are its crossings times its species, so with `repeats` the species list is written
-    once per crossing (once when there is none). It is built once and repeated as text; the crossings and
+    Each species is listed once per occurrence. The matches of a stream are its crossings times its species, so
+    with `repeats` the list is written once per crossing (once when there is none). It is built once and repeated as text; the crossings and
     species of a stream are never paired. Without species the list is NA. A stream whose text would not fit
     into one cell is served by species_matches and crossing_counts.
     """
@@ -148,6 +148,7 @@ def delivery_table(scored, texts):
 
 
 def delivery_lines(segments, scored, share=0.025):
-    """Delivered geometry: one row per stream and member line, generalised over the layer and in lon/lat."""
+    """Delivered geometry: one row per stream and member line, generalised over the layer and in lon/lat, with the
+    values harmonized across sections."""
     lines = segments.select("seg_id", *STREAM, "geom")
-    return left_join(reproject(simplify_keep(lines, share), 3005, 4326), scored, STREAM)
+    return left_join(reproject(simplify_keep(lines, share), 3005, 4326), harmonized_streams(scored), STREAM)

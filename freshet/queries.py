@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from freshet.functions.nulls import clean_numeric, fill_missing, flag_to_int, not_in, paste, to_int
+from freshet.functions.nulls import clean_numeric, fill_missing, flag_to_int, not_in, to_int
 from freshet.functions.ordinal import SENSITIVITY, encode
 from freshet.functions.text import snake_columns
 from freshet.operators import geometry, groups, joins, naming, scales, score, simplify, spatial
@@ -73,7 +73,10 @@ def null_safe_left_join(s, d):
 
 def first_match_join(s, d):
     keys = fx.segments(s, d).select("BLUE_LINE_KEY").distinct()
-    return joins.left_join(keys, scoring.keyed_experts(fx.expert_streams(s, d)), "BLUE_LINE_KEY")
+    hand = fx.expert_streams(s, d).where("BLUE_LINE_ <> '0'").select(
+        to_int(F.col("BLUE_LINE_")).alias("BLUE_LINE_KEY"), "row_id", F.col("Summer_Sen").alias("stream_summer_sens"),
+        F.col("Winter_Sen").alias("stream_winter_sens"))
+    return joins.left_join_first(keys, hand, "BLUE_LINE_KEY", "row_id").drop("row_id")
 
 
 def semi_join_stations(s, d):
@@ -201,7 +204,7 @@ def _region_rings(s, d):
 
 
 def polygon_overlay(s, d):
-    rings = spatial.ring_edges(_region_rings(s, d), ["region_id"])
+    rings = spatial.ring_edges(fx.regions(s, d), ["region_id"])
     return spatial.lines_in_polygons(fx.segments(s, d), rings, "seg_id", "region_id", 50_000)
 
 
@@ -221,15 +224,15 @@ def name_matched_overlay(s, d):
 def spatial_left_join(s, d):
     hand = fx.expert_streams(s, d)
     regions = fx.regions(s, d)
-    pairs = spatial.edges_in_boxes(geometry.edges(hand, ["row_id"]), regions, 50_000)
-    return spatial.spatial_join(hand, regions, pairs, "row_id", "region_id").select("row_id", "StreamName", "REGION_NAME")
+    pairs = spatial.lines_in_polygons(hand, spatial.ring_edges(regions, ["region_id"]), "row_id", "region_id", 50_000)
+    return spatial.spatial_join(hand, regions.drop("geom"), pairs, "row_id", "region_id").select("row_id", "StreamName", "REGION_NAME")
 
 
 def streams_by_section(s, d):
     hand = fx.expert_streams(s, d)
     sections = fx.ecosections(s, d)
-    pairs = spatial.edges_in_boxes(geometry.edges(hand, ["row_id"]), sections, 50_000)
-    joined = spatial.spatial_join(hand, sections, pairs, "row_id", "eco_id", how="inner")
+    pairs = spatial.lines_in_polygons(hand, spatial.ring_edges(sections, ["eco_id"]), "row_id", "eco_id", 50_000)
+    joined = spatial.spatial_join(hand, sections.drop("geom"), pairs, "row_id", "eco_id", how="inner")
     return joined.select("row_id", F.col("ECOSECTION_NAME").alias("EcoSection"))
 
 
@@ -242,11 +245,11 @@ def species_richness(s, d):
 
 
 def species_text(s, d):
-    return scoring.species_lists(_kept(s, d), fx.crossings(s, d), fx.species(s, d))
+    return scoring.species_lists(_kept(s, d), fx.crossings(s, d), fx.species(s, d), repeats=True)
 
 
 def species_text_once(s, d):
-    return scoring.species_lists(_kept(s, d), fx.crossings(s, d), fx.species(s, d), repeats=False)
+    return scoring.species_lists(_kept(s, d), fx.crossings(s, d), fx.species(s, d))
 
 
 def aquatic_species(s, d):
@@ -326,11 +329,19 @@ def _requests(s, d):
     return fx.expert_streams(s, d).select("row_id", F.col("StreamName").alias("Stream"), "Ecosection")
 
 
-def lookup_streams(s, d):
-    found = lookup.lookup_streams(_requests(s, d), fx.segments(s, d), fx.ecosections(s, d))
+def _looked_up(s, d, **options):
+    found = lookup.lookup_streams(_requests(s, d), fx.segments(s, d), fx.ecosections(s, d), **options)
     return found.select("BLUE_LINE_KEY", "GNIS_NAME", "request_no", "n_edges", _mm("length_m"), "Ecosections")
 
 
+def lookup_streams(s, d):
+    return _looked_up(s, d)
+
+
+def lookup_streams_repeated(s, d):
+    return _looked_up(s, d, repeats=True)
+
+
 def lookup_in_section(s, d):
     return lookup.requested_keys(_requests(s, d), fx.segments(s, d), fx.ecosections(s, d), match_section=True)
 
@@ -514,8 +525,9 @@ def section_popup(s, d):
 
 
 def rating_popup(s, d):
-    best = variant.best_crossings(_kept(s, d), fx.crossings(s, d)).withColumn("GNIS_NAME", paste(F.col("BLUE_LINE_KEY")))
-    return explorer.rating_popup(best.withColumn("priority_rating", F.col("final_score")))
+    kept = _kept(s, d)
+    rated = joins.left_join(priority_rating(s, d), segments.key_levels(fx.segments(s, d)), "BLUE_LINE_KEY")
+    return explorer.rating_popup(joins.left_join(rated, variant.best_crossings(kept, fx.crossings(s, d)), variant.KEY))
 
 
 # --- sources and sinks ------------------------------------------------------------------------------------

@@ -154,12 +154,21 @@ def _boxes(df):
     return df.withColumns({c: F.col(c).cast("double") for c in ("xmin", "ymin", "xmax", "ymax")})
 
 
+def _polygons(df):
+    """Boxes without their upper right quarter, each as one closed ring; the box columns stay."""
+    df = _boxes(df).withColumns({"xmid": (F.col("xmin") + F.col("xmax")) / 2, "ymid": (F.col("ymin") + F.col("ymax")) / 2})
+    ring = line_geom(("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymid"), ("xmid", "ymid"), ("xmid", "ymax"), ("xmin", "ymax"), ("xmin", "ymin"))
+    return df.withColumn("geom", ring).drop("xmid", "ymid")
+
+
 def regions(spark, sf_dir):
-    return _boxes(load(spark, sf_dir, "fx_regions"))
+    """Concave polygons; their boxes have common sides."""
+    return _polygons(load(spark, sf_dir, "fx_regions"))
 
 
 def ecosections(spark, sf_dir):
-    return _boxes(load(spark, sf_dir, "fx_ecosections"))
+    """Concave polygons; their boxes have common sides."""
+    return _polygons(load(spark, sf_dir, "fx_ecosections"))
 
 
 def species(spark, sf_dir):

@@ -73,12 +73,13 @@ def test_lookup_takes_the_first_key_and_repeats_requests(spark):
         "seg_id long, BLUE_LINE_KEY int, GNIS_NAME string")
     sections = spark.createDataFrame(
         [(1, "west", 0.0, 0.0, 100.0, 100.0), (2, "east", 100.0, 0.0, 200.0, 100.0)],
-        "eco_id long, ECOSECTION_NAME string, xmin double, ymin double, xmax double, ymax double")
+        "eco_id long, ECOSECTION_NAME string, xmin double, ymin double, xmax double, ymax double").withColumn("geom", geometry.line_geom(
+            ("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"), ("xmin", "ymin")))
     asked = spark.createDataFrame([("A", "west"), ("A", "east"), ("B", "west"), ("C", "west")], "Stream string, Ecosection string")
-    found = lookup.lookup_streams(asked, segs, sections, cell=50).collect()
+    found = lookup.lookup_streams(asked, segs, sections, cell=50, repeats=True).collect()
     assert {(r.GNIS_NAME, r.BLUE_LINE_KEY, r.Ecosections, r.n_edges) for r in found} == {("A", 60, "west, east, west, east", 2)}
     assert len(found) == 2
-    once = lookup.lookup_streams(asked, segs, sections, cell=50, repeats=False)
+    once = lookup.lookup_streams(asked, segs, sections, cell=50)
     assert {r.Ecosections for r in once.collect()} == {"west, east"}
     keys = lookup.requested_keys(asked, segs, sections, cell=50, match_section=True)
     assert {(r.Ecosection, r.BLUE_LINE_KEY) for r in keys.collect()} == {("west", 60), ("east", 60)}
@@ -142,9 +143,9 @@ def test_copies_of_a_segment_change_nothing(spark, monkeypatch):
 def test_species_text_repeats_per_crossing(spark):
     segs, sections, crossings, species, _ = scoring_layers(spark)
     kept = segs.where("seg_id IN (1, 5)")
-    texts = {r.GNIS_NAME: r.SCI_NAME for r in scoring.species_lists(kept, crossings, species).collect()}
+    texts = {r.GNIS_NAME: r.SCI_NAME for r in scoring.species_lists(kept, crossings, species, repeats=True).collect()}
     assert texts == {"A": "S1, S1, NA, S1, S1, NA", "C": "NA"}
-    once = scoring.species_lists(kept, crossings, species, repeats=False)
+    once = scoring.species_lists(kept, crossings, species)
     assert {r.GNIS_NAME: r.SCI_NAME for r in once.collect()} == {"A": "S1, S1, NA", "C": "NA"}
 
 
@@ -211,3 +212,19 @@ def test_name_filter_reaches_the_scan(spark, folder):
     df = layers.read_layer(spark, path).where("GNIS_NAME = 'A'").select("k")
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(GNIS_NAME,A)" in text and "z" not in text.split("ReadSchema:")[1].split(">")[0]
+
+
+def test_regions_are_polygons_not_boxes(spark):
+    ring = [(0, 0), (100, 0), (100, 50), (50, 50), (50, 100), (0, 100), (0, 0)]
+    regions = layer(spark, [(1, "North Natural Resource Region", [ring])], "region_id long, REGION_NAME string")
+    hand = hand_layer(spark, [
+        (1, "1", "notch", "Y", "N", "e", [[(70, 70), (90, 90)]]), (2, "2", "inside", "Y", "N", "e", [[(10, 10), (20, 10)]]),
+        (3, "3", "across", "Y", "N", "e", [[(70, 70), (40, 70)]]), (4, "4", "touching", "Y", "N", "e", [[(100, 20), (120, 20)]])])
+    labels = {"none": "a", "some": "b", "all": "c"}
+    shown = explorer.explorer_streams(hand, regions, "Summer", "North", labels, cell=30)
+    assert {r.StreamName for r in shown.collect()} == {"inside", "across", "touching"}
+    points = spark.createDataFrame(
+        [("notch", 70.0, 70.0), ("inside", 20.0, 70.0), ("border", 0.0, 30.0), ("corner", 50.0, 50.0), ("right", 100.0, 10.0)],
+        "STATION_NUMBER string, x double, y double")
+    found = explorer.explorer_stations(points, regions, "North", cell=30)
+    assert {r.STATION_NUMBER for r in found.collect()} == {"inside", "border", "corner", "right"}
