@@ -137,7 +137,7 @@ def test_copies_of_a_segment_change_nothing(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(spatial, "dense_cells", lambda *a, _real=spatial.dense_cells, **k: seen.append(_real(*a, **k)) or seen[-1])
     assert scoring.score_streams(many, *others).orderBy("ECOSECTION_NAME", "GNIS_NAME").collect() == plain
-    assert seen[0] is not None and seen[1] is None
+    assert len(seen) == 1 and seen[0] is not None
 
 
 def test_species_text_repeats_per_crossing(spark):
