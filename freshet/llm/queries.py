@@ -30,9 +30,9 @@ def op4_sentencepiece(spark, sf_dir):
     pieces, first_byte = sentencepiece_lattice.piece_table(spark, str(public_tokenizers.path("piece_bpe_32k.model")))
     words = sentencepiece_lattice.distinct_words(read_documents(spark, sf_dir))
     coded = sentencepiece_lattice.encode_words(words, pieces, first_byte)
-    return coded.select("word", F.col("n").alias("n_words"), F.size("ids").cast("long").alias("n_ids"),
-                        F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"),
-                        F.ltrim(F.translate(F.array_join("pieces", ""), sentencepiece_lattice.MARK, " ")).alias("decoded"))
+    both = sentencepiece_lattice.decode_ids(coded, pieces, first_byte, key="word_id")
+    return both.select("word", F.col("n").alias("n_words"), F.size("ids").cast("long").alias("n_ids"),
+                       F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"), F.col("text").alias("decoded"))
 
 
 def op5_fingerprints(spark, sf_dir):

@@ -7,9 +7,11 @@ Viterbi pass over them is folded with higher-order functions. Every distinct wor
 from pyspark.sql import functions as F
 
 from freshet.llm.common import GAPS
+from freshet.sources.layers import materialise
 
 MARK = "▁"          # stands for the space before a word
 UNKNOWN_COST = 10.0      # below the worst piece, for each character that no piece covers
+PART_CHARS = 500_000     # characters of distinct words in a part
 
 
 def piece_table(spark, path):
@@ -32,58 +34,68 @@ def distinct_words(docs):
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
-def encode_words(words, pieces, first_byte):
-    """Adds `ids` (array) and `pieces` to a table with distinct `word`s: the path of highest total score.
+def encode_words(words, pieces, first_byte, part_chars=PART_CHARS):
+    """(word_id, word, n, ids) of a table with distinct `word`s and their `n`: `ids` is the path of highest total score.
 
     Ties go to the earlier start of the last piece, then to the higher id. A character without a piece becomes its
-    UTF-8 bytes' pieces. The words stay where their distinct-ing put them: the lattice adds no shuffle of its own.
+    UTF-8 bytes' pieces. The words are written once with a number each, and dealt out by number in parts of about
+    `part_chars` characters, so that the edges of a part fit in memory; edges carry the number, not the word, and are
+    grouped where they arise. A word is one row: its edges, up to the piece length per character, must fit in a task,
+    and the fold takes time with the square of a single word's length.
     """
     bounds = pieces.agg(F.max(F.char_length("piece")).alias("len"), F.min("score").alias("score")).first()
     longest, worst = bounds["len"] or 1, bounds["score"] or 0.0
-    text = F.concat(F.lit(MARK), F.col("word"))
-    size = F.char_length("__t")
-    at = words.withColumn("__t", text).select("word", "n", "__t", F.explode(F.sequence(F.lit(0), size - 1)).alias("b"))
-    spans = at.select("word", "n", "b", F.explode(F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("b"))), lambda k: F.struct(
-            (F.col("b") + k).alias("e"), F.substring("__t", F.col("b") + 1, k).alias("piece")))).alias("s")).select("word", "n", "b", "s.*")
+    numbered = materialise(words.select(F.monotonically_increasing_id().alias("__w"), "word", "n"), "words")
+    chars = numbered.agg(F.sum(F.char_length("word"))).first()[0] or 0
+    parts = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // part_chars)
+    dealt = numbered.repartition(parts, "__w").withColumn("__t", F.concat(F.lit(MARK), "word"))
+    at = dealt.select("__w", "word", "n", "__t", F.explode(F.sequence(F.lit(0), F.char_length("__t") - 1)).alias("b"))
+    ahead = at.select("__w", "b", *[F.when(F.col("b") == 0, F.col(c)).alias(c) for c in ("word", "n")],
+                      F.substring("__t", F.col("b") + 1, F.lit(longest)).alias("__t"))
+    spans = ahead.select("__w", "b", "word", "n", F.explode(F.transform(
+        F.sequence(F.lit(1), F.char_length("__t")), lambda k: F.struct(k.alias("k"), F.substring("__t", F.lit(1), k).alias("piece")))).alias("s"))
     # Bounded by the model's vocabulary.
-    joined = spans.join(F.broadcast(pieces), "piece", "left").where((F.col("id").isNotNull()) | (F.col("e") == F.col("b") + 1))
-    edge = F.struct(F.coalesce("score", F.lit(worst - UNKNOWN_COST)).alias("score"), (-F.col("b")).alias("back"),
-                    F.coalesce("id", F.lit(-1)).alias("id"), "piece")
-    ends = joined.groupBy("word", "n", "e").agg(F.collect_list(edge).alias("edges"))
-    lattice = ends.groupBy("word", "n").agg(F.sort_array(F.collect_list(F.struct("e", "edges"))).alias("ends"))
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-1).alias("id"), F.lit("").alias("piece")))
-
-    def forward(best, end):
-        reach = F.transform(end["edges"], lambda x: F.struct(
-            (F.get(best, -x["back"])["score"] + x["score"]).alias("score"), x["back"].alias("back"), x["id"].alias("id"), x["piece"].alias("piece")))
-        return F.concat(best, F.array(F.array_max(reach)))
-
-    best = lattice.select("word", "n", F.aggregate("ends", start, forward).alias("best"))
-    byte_ids = lambda piece: F.transform(
-        F.sequence(F.lit(0), F.octet_length(piece) - 1),
-        lambda k: F.conv(F.substring(F.hex(F.encode(piece, "UTF-8")), 2 * k + 1, F.lit(2)), 16, 10).cast("int") + first_byte)
-    state = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"), F.array().cast("array<string>").alias("pieces"))
+    joined = spans.select("__w", "b", "word", "n", "s.*").join(F.broadcast(pieces), "piece", "left").where("id is not null or k = 1")
+    edge = F.struct((F.col("b") + F.col("k")).alias("e"), "b", F.coalesce("id", F.lit(-1)).alias("id"),
+                    F.coalesce("score", F.lit(worst - UNKNOWN_COST)).alias("score"))
+    lattice = joined.groupBy("__w").agg(F.max("word").alias("word"), F.max("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
+    node = lambda score, back, i: F.struct(score.alias("score"), back.alias("back"), i.alias("id"))
+    start = node(F.lit(0.0), F.lit(0), F.lit(-1))
+    state = F.struct(F.array().cast("array<struct<score:double,back:int,id:int>>").alias("best"), start.alias("last"), F.lit(0).alias("at"))
+
+    def forward(s, x):
+        """`best` holds the nodes before the one at `at`, `last` the best way to that one so far."""
+        source = F.when(x["b"] == s["at"], s["last"]).otherwise(F.get(s["best"], x["b"]))
+        way = node(source["score"] + x["score"], -x["b"], x["id"])
+        same = F.struct(s["best"].alias("best"), F.greatest(s["last"], way).alias("last"), s["at"].alias("at"))
+        return F.when(x["e"] == s["at"], same).otherwise(
+            F.struct(F.concat(s["best"], F.array(s["last"])).alias("best"), way.alias("last"), x["e"].alias("at")))
+
+    best = lattice.select("__w", "word", "n", F.aggregate("edges", state, forward, lambda s: F.concat(s["best"], F.array(s["last"]))).alias("best"))
+    byte_ids = lambda char: F.transform(
+        F.sequence(F.lit(0), F.octet_length(char) - 1),
+        lambda k: F.conv(F.substring(F.hex(F.encode(char, "UTF-8")), 2 * k + 1, F.lit(2)), 16, 10).cast("int") + first_byte)
+    done = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
     def back(s, k):
-        node = F.get(F.col("best"), k)
-        ids = F.when(node["id"] >= 0, F.array(node["id"])).otherwise(byte_ids(node["piece"]))
-        took = F.struct((-node["back"]).alias("at"), F.concat(ids, s["ids"]).alias("ids"), F.concat(F.array(node["piece"]), s["pieces"]).alias("pieces"))
-        return F.when(s["at"] == k, took).otherwise(s)
+        got = F.get(F.col("best"), k)
+        ids = F.when(got["id"] >= 0, F.array(got["id"])).otherwise(byte_ids(F.substring(F.concat(F.lit(MARK), "word"), k, F.lit(1))))
+        return F.when(s["at"] == k, F.struct((-got["back"]).alias("at"), F.concat(ids, s["ids"]).alias("ids"))).otherwise(s)
 
-    path = F.aggregate(F.sequence(F.size("best") - 1, F.lit(1), F.lit(-1)), state, back)
-    # Generated, so that the pass is folded once however often its columns are used.
-    return best.select("word", "n", F.inline(F.array(path))).select("word", "n", "ids", "pieces")
+    path = F.aggregate(F.sequence(F.size("best") - 1, F.lit(1), F.lit(-1)), done, back, lambda s: s["ids"])
+    return best.select(F.col("__w").alias("word_id"), "word", "n", path.alias("ids"))
 
 
 def decode_ids(df, pieces, first_byte, ids="ids", key="word"):
-    """(key, text) from an id array: the pieces of a row in order, byte pieces joined to UTF-8, marks back to spaces."""
-    rows = df.select(key, F.posexplode(ids).alias("k", "id"))
-    hexed = pieces.select("id", F.hex(F.encode("piece", "UTF-8")).alias("h"))
-    known = rows.join(F.broadcast(hexed), "id", "left").withColumn(
-        "h", F.coalesce("h", F.lpad(F.hex(F.col("id") - first_byte), 2, "0")))
+    """Adds `text` to a table with an id array per distinct `key`: the pieces of a row in order, byte pieces joined to
+    UTF-8, marks back to spaces. Rows without ids are left out."""
+    own = [c for c in df.columns if c != key]
+    rows = df.select(key, *own, F.posexplode(ids).alias("k", "__id"))
+    hexed = pieces.select(F.col("id").alias("__id"), F.hex(F.encode("piece", "UTF-8")).alias("h"))
+    known = rows.join(F.broadcast(hexed), "__id", "left").withColumn(
+        "h", F.coalesce("h", F.lpad(F.hex(F.col("__id") - first_byte), 2, "0")))
     text = F.decode(F.unhex(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "h"))), lambda x: x["h"]), "")), "UTF-8")
-    return known.groupBy(key).agg(F.ltrim(F.translate(text, MARK, " ")).alias("text"))
+    return known.groupBy(key).agg(*[F.first(c).alias(c) for c in own], F.ltrim(F.translate(text, MARK, " ")).alias("text"))
 
 
 def encode_documents(docs, pieces, first_byte):
