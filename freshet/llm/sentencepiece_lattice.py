@@ -52,10 +52,10 @@ def encode_words(words, pieces, first_byte, part_chars=PART_CHARS):
     at = dealt.select("__w", "word", "n", "__t", F.explode(F.sequence(F.lit(0), F.char_length("__t") - 1)).alias("b"))
     ahead = at.select("__w", "b", *[F.when(F.col("b") == 0, F.col(c)).alias(c) for c in ("word", "n")],
                       F.substring("__t", F.col("b") + 1, F.lit(longest)).alias("__t"))
-    spans = ahead.select("__w", "b", "word", "n", F.explode(F.transform(
-        F.sequence(F.lit(1), F.char_length("__t")), lambda k: F.struct(k.alias("k"), F.substring("__t", F.lit(1), k).alias("piece")))).alias("s"))
+    spans = ahead.select("__w", "b", "word", "n", "__t", F.explode(F.sequence(F.lit(1), F.char_length("__t"))).alias("k"))
+    spans = spans.select("__w", "b", "word", "n", "k", F.substring("__t", F.lit(1), F.col("k")).alias("piece"))
     # Bounded by the model's vocabulary.
-    joined = spans.select("__w", "b", "word", "n", "s.*").join(F.broadcast(pieces), "piece", "left").where("id is not null or k = 1")
+    joined = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or k = 1")
     edge = F.struct((F.col("b") + F.col("k")).alias("e"), "b", F.coalesce("id", F.lit(-1)).alias("id"),
                     F.coalesce("score", F.lit(worst - UNKNOWN_COST)).alias("score"))
     lattice = joined.groupBy("__w").agg(F.max("word").alias("word"), F.max("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
@@ -90,12 +90,13 @@ def decode_ids(df, pieces, first_byte, ids="ids", key="word"):
     """Adds `text` to a table with an id array per distinct `key`: the pieces of a row in order, byte pieces joined to
     UTF-8, marks back to spaces. Rows without ids are left out."""
     own = [c for c in df.columns if c != key]
-    rows = df.select(key, *own, F.posexplode(ids).alias("k", "__id"))
+    rows = df.select(key, *own, F.posexplode(ids).alias("k", "__id")).select(
+        key, "k", "__id", *[F.when(F.col("k") == 0, F.col(c)).alias(c) for c in own])
     hexed = pieces.select(F.col("id").alias("__id"), F.hex(F.encode("piece", "UTF-8")).alias("h"))
     known = rows.join(F.broadcast(hexed), "__id", "left").withColumn(
         "h", F.coalesce("h", F.lpad(F.hex(F.col("__id") - first_byte), 2, "0")))
     text = F.decode(F.unhex(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "h"))), lambda x: x["h"]), "")), "UTF-8")
-    return known.groupBy(key).agg(*[F.first(c).alias(c) for c in own], F.ltrim(F.translate(text, MARK, " ")).alias("text"))
+    return known.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in own], F.ltrim(F.translate(text, MARK, " ")).alias("text"))
 
 
 def encode_documents(docs, pieces, first_byte):
