@@ -2,6 +2,7 @@
 
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from freshet.sources.layers import materialise
 END = 2
 SHARD_TOKENS = 2_000_000
 CACHE_PIECES = 2_000_000  # pieces whose ids a worker remembers; it starts afresh beyond that
+MARKS = frozenset(",.;:!?")  # cut off a word before it is looked up
 MAGIC = b"EFTOK001"
 SAMPLE = 256              # one select sample per so many values
 
@@ -105,10 +107,13 @@ class Encoder:
         self.clear()
 
     def clear(self):
-        self.place, self.flat, self.bounds = {}, [np.empty(0, np.uint32)], [0]
+        self.place, self.flat, self.bounds = {}, np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def _plain(self, texts):
-        return [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of texts end to end, and the number of ids of each."""
+        ids = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
 
     @staticmethod
     def _pieces(text):
@@ -117,40 +122,45 @@ class Encoder:
         return ["\0" + first, *rest]
 
     def _learn(self, new):
-        texts = [p[1:] if p[:1] == "\0" else p if p[:1] == "\n" else " " + p for p in new]
-        # A key that ends in a space cannot be cut after; the text that holds it is encoded whole.
-        bad = [p in ("", "\n") or t[-1:].isspace() for p, t in zip(new, texts, strict=True)]
-        cut = [len(t) - 1 if t[-1:] in ",.;:!?" and t[-2:-1].isalpha() else len(t) for t in texts]
-        heads = list({t[:k] for t, k, b in zip(texts, cut, bad, strict=True) if not b} | {t[k:] for t, k in zip(texts, cut, strict=True)})
-        known = dict(zip(heads, self._plain(heads), strict=True))
-        for p, t, k, b in zip(new, texts, cut, bad, strict=True):
-            if b:
+        heads, number, head, tail = {}, len(self.bounds) - 1, [], []
+        for p in new:
+            text = p[1:] if p[:1] == "\0" else p if p[:1] == "\n" else " " + p
+            # A key that ends in a space cannot be cut after; the text that holds it is encoded whole.
+            if text[-1:].isspace() or not p or p == "\n":
                 self.place[p] = -1
                 continue
-            self.place[p] = len(self.bounds) - 1
-            self.flat.append(known[t[:k]])
-            self.bounds.append(self.bounds[-1] + len(known[t[:k]]))
-            if k < len(t):
-                self.flat.append(known[t[k:]])
-                self.bounds[-1] += len(known[t[k:]])
+            cut = text[-1:] in MARKS and text[-2:-1].isalpha()
+            head.append(heads.setdefault(text[:-1] if cut else text, len(heads)))
+            tail.append(heads.setdefault(text[-1:], len(heads)) if cut else -1)
+            self.place[p] = number
+            number += 1
+        if not head:
+            return
+        flat, lens = self._plain(list(heads))
+        parts = np.array([head, tail]).T.ravel()  # of each key: its head, then its mark
+        parts = parts[parts >= 0]
+        own = np.array(lens)[head] + np.where(np.array(tail) >= 0, lens[tail], 0)
+        self.flat = np.concatenate([self.flat, gather(flat, np.cumsum(lens) - lens, lens, parts)])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(own)])
 
     def encode(self, texts):
         if len(self.place) > CACHE_PIECES:
             self.clear()
         pieces = [None if any(t in text for t in self.special) else self._pieces(text) for text in texts]
-        new = {p for own in pieces if own for p in own}
-        self._learn([p for p in new if p not in self.place])
-        self.flat = [np.concatenate(self.flat)]
+        self._learn(set().union(*filter(None, pieces)) - self.place.keys())
         places = [None if own is None else np.fromiter(map(self.place.__getitem__, own), np.int64, len(own)) for own in pieces]
         whole = [k for k, at in enumerate(places) if at is None or at.min() < 0]
-        whole = dict(zip(whole, self._plain([texts[k] for k in whole]), strict=True))
-        flat, bounds = self.flat[0], np.array(self.bounds)
+        flat, lens = self._plain([texts[k] for k in whole])
+        whole = dict(zip(whole, np.split(flat, np.cumsum(lens)[:-1]), strict=True)) if whole else {}
+        sizes = np.diff(self.bounds)
         for k, at in enumerate(places):
-            if k in whole:
-                yield whole[k]
-            else:
-                lens = bounds[at + 1] - bounds[at]
-                yield flat[np.repeat(bounds[at] - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())]
+            yield whole[k] if k in whole else gather(self.flat, self.bounds, sizes, at)
+
+
+def gather(flat, begins, lens, at):
+    """The stretches `at` of an array, end to end."""
+    own = lens[at]
+    return flat[np.repeat(begins[at] - np.cumsum(own) + own, own) + np.arange(own.sum())]
 
 
 _encoders = {}
