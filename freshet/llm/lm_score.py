@@ -15,9 +15,27 @@ BLOCK_BYTES = 8_000_000  # text of the documents of a block and of the pairs of
 
 
 def vocabulary(docs, size=VOCABULARY):
-    """The `size` most frequent words of all texts, ties by word: the same table serves both models."""
+    """The `size` most frequent words of all texts, ties by word: the same table serves both models.
+
+    The counts are written once. A histogram of their logarithms and one of the counts in the bin that holds the last
+    place give the least count of the vocabulary, so only words with that count or more are sent to be ordered.
+    """
     words = docs.select(F.explode(F.array_remove(F.split("text", GAPS), "")).alias("word"))
-    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    counts = materialise(words.groupBy("word").agg(F.count("*").alias("n")), "word-counts").withColumn("bin", F.floor(F.log2("n") * 8))
+
+    def last(rows, left):
+        """The lowest key among the first `left` words from the top, and how many places it leaves to fill there."""
+        rows = sorted(rows, reverse=True)
+        for key, number in rows:
+            if number >= left:
+                return key, left
+            left -= number
+        return (rows[-1][0] if rows else 0), left
+
+    low, left = last([(r["bin"], r["count"]) for r in counts.groupBy("bin").count().collect()], size)  # 512 bins at most
+    # The counts within one bin, an eighth of an octave.
+    least, _ = last([(r["n"], r["count"]) for r in counts.where(F.col("bin") == low).groupBy("n").count().collect()], left)
+    top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(size)
     return [r["word"].encode() for r in top.collect()]
 
 
