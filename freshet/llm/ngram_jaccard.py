@@ -196,7 +196,7 @@ def _blocks(classes):
 
 
 def _cells(blocks, percent):
-    """(cell, side, doc): pairs of tiles whose sizes allow links; side 0 meets side 1, side 2 meets itself.
+    """(cell, side, doc, pivot): pairs of tiles whose sizes allow links; side 0 meets side 1, side 2 meets itself.
 
     Classes of a block are told apart by size, so that a link joins the same or neighbouring sizes, and dealt out
     over tiles of bounded size by hash. A block of any size thus becomes many tasks of bounded memory.
@@ -222,7 +222,7 @@ def _cells(blocks, percent):
               lambda j: F.when(t == j, 2).when(t < j, 0).otherwise(1)),
         meets(F.col("above"), c, c + 1, lambda j: t, lambda j: j, lambda j: F.lit(0)),
         meets(F.col("below"), c - 1, c, lambda j: j, lambda j: t, lambda j: F.lit(1)))
-    rows = placed.select("doc", F.inline(rows)).distinct()
+    rows = placed.select("doc", "pivot", F.inline(rows)).distinct()
     open_cells = rows.groupBy("cell").agg(F.count("*").alias("n"), F.min("side").alias("lo"), F.max("side").alias("hi"))
     open_cells = open_cells.where(((F.col("lo") == 2) & (F.col("n") > 1)) | (F.col("lo") != F.col("hi"))).select("cell")
     return rows.join(open_cells, "cell")
@@ -289,36 +289,63 @@ def _forest(i, j, n):
 
 
 def _by_cell(percent, bound, names, forest=False):
-    """Python side of a round over cells: rows (cell, side, doc, n, grams), sorted by cell, to what `names` asks for.
+    """Python side of a round over cells: rows (cell, side, doc, pivot, n, grams), sorted by cell, to what `names` asks for.
 
-    ("cell", "side", "doc"): the members that have a partner; ("a", "b"): the pairs, or a spanning forest of them.
+    ("cell", "side", "doc", "pivot"): the members that have a partner; ("a", "b"): the pairs, or a spanning forest of
+    them. ("a", "b", "others"): a forest (others null), and per member a the documents of the classes it links to (b
+    null). Rows then also have `copies`, the documents of their class, and `pivots`, all pivots under which the member
+    has a partner: a pair belongs to the cell of the smallest pivot that its members share, and is counted there only.
     """
+    counted = names == ("a", "b", "others")
+    columns = ["cell", "side", "doc", "pivot", "n", "grams", *(["copies", "pivots"] if counted else [])]
+
+    def own_pairs(rows, left, right, i, j):
+        """Which of the pairs have no smaller pivot in common."""
+        lists = [np.array(r[6], np.int64) for r in rows]
+        lower = [x[x < r[2]] for x, r in zip(lists, rows, strict=True)]
+        again = np.zeros((len(left), len(right)), bool)
+        again[overlaps([lower[x] for x in left], [lower[x] for x in right], np.ones(again.shape, np.int64))] = True
+        return ~again[i, j]
 
     def solve(cell, rows):
-        side, doc, n = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
+        side, doc, n = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 3))
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         if not len(left) or not len(right):
             return
-        i, j = overlaps([rows[x][3] for x in left], [rows[x][3] for x in right], bound(percent, n[left][:, None], n[right][None, :]))
+        i, j = overlaps([rows[x][4] for x in left], [rows[x][4] for x in right], bound(percent, n[left][:, None], n[right][None, :]))
+        if counted and len(i):
+            own = own_pairs(rows, left, right, i, j)
+            i, j = i[own], j[own]
         i, j = left[i], right[j]
         i, j = i[doc[i] != doc[j]], j[doc[i] != doc[j]]
-        if names == ("a", "b"):
+        if counted:
+            copies = np.array([r[5] for r in rows], np.int64)
+            _, once = np.unique(np.stack([np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])], 1), axis=0, return_index=True)
+            i, j = i[once], j[once]
+            ends, at = np.unique(np.concatenate([doc[i], doc[j]]), return_inverse=True)
+            others = np.zeros(len(ends), np.int64)
+            np.add.at(others, at, np.concatenate([copies[j], copies[i]]))
+            keep = _forest(i, j, len(rows))
+            a, b = np.minimum(doc[i], doc[j])[keep], np.maximum(doc[i], doc[j])[keep]
+            yield a, b, pa.nulls(len(a), pa.int64())
+            yield ends, pa.nulls(len(ends), pa.int64()), others
+        elif names == ("a", "b"):
             if forest:
                 i, j = i[(keep := _forest(i, j, len(rows)))], j[keep]
             yield np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])
         else:
             some = np.unique(np.concatenate([i, j]))
-            yield np.full(len(some), cell), side[some], doc[some]
+            yield np.full(len(some), cell), side[some], doc[some], np.array([rows[x][2] for x in some], np.int64)
 
     def run(batches):
         now, rows = None, []
         for batch in slices(batches):
-            for cell, *row, grams in zip(*[batch[c].to_pylist() for c in ("cell", "side", "doc", "n", "grams")], strict=True):
+            for cell, side, doc, pivot, n, grams, *more in zip(*[batch[c].to_pylist() for c in columns], strict=True):
                 if cell != now:
                     for out in solve(now, rows):
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
                     now, rows = cell, []
-                rows.append((*row, np.frombuffer(grams, np.uint64)))
+                rows.append((side, doc, pivot, n, np.frombuffer(grams, np.uint64), *more))
         for out in solve(now, rows):
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
 
@@ -347,10 +374,18 @@ def _sets(docs, wanted, width):
     return bodies.join(wanted, "doc", "left_semi").mapInArrow(run, "doc long, n long, grams binary")
 
 
-def jaccard_links(docs, width=3, percent=90, signed=None, forest=False):
+def _copies(signed):
+    """(cls, class_id, copies): of each class the smallest document and the number of its documents."""
+    once = signed.where("cls is not null").select("cls", "doc_id").distinct()
+    return once.groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
+
+
+def jaccard_links(docs, width=3, percent=90, signed=None, forest=False, counted=False):
     """Links (a, b), a < b, between the smallest documents of different classes.
 
-    With `forest`, each pair of tiles returns only as many links as connect what it links, at most its documents.
+    With `forest`, each pair of tiles returns only as many links as connect what it links, at most its documents. With
+    `counted`, rows (a, b, others): such forests, and with b null shares of the number of documents that a links to
+    outside its class; every link is in one share of each of its ends.
     """
     signed = signatures(docs, width, percent) if signed is None else signed
     classes = signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("r")).select("r.*")
@@ -358,38 +393,52 @@ def jaccard_links(docs, width=3, percent=90, signed=None, forest=False):
 
     def round_of(members, sets, bound, names, kinds, forest=False):
         rows = members.join(sets, "doc").repartition(F.col("cell")).sortWithinPartitions("cell")
-        return rows.select("cell", "side", "doc", "n", "grams").mapInArrow(_by_cell(percent, bound, names, forest), kinds)
+        more = ["copies", "pivots"] if "others" in names else []
+        return rows.select("cell", "side", "doc", "pivot", "n", "grams", *more).mapInArrow(_by_cell(percent, bound, names, forest), kinds)
 
     rare = classes.select(F.col("doc_id").alias("doc"), "n", F.col("prefix").alias("grams"))
-    partners = round_of(cells, rare, prefix_bound, ("cell", "side", "doc"), "cell long, side long, doc long")
+    partners = round_of(cells, rare, prefix_bound, ("cell", "side", "doc", "pivot"), "cell long, side long, doc long, pivot long")
     partners = materialise(partners, "partners")
     whole = _sets(docs, partners.select("doc").distinct(), width)
-    return round_of(partners, whole, link_bound, ("a", "b"), "a long, b long", forest).distinct()
+    if not counted:
+        return round_of(partners, whole, link_bound, ("a", "b"), "a long, b long", forest).distinct()
+    size = _copies(signed).groupBy(F.col("class_id").alias("doc")).agg(F.sum("copies").alias("copies"))
+    about = partners.groupBy("doc").agg(F.collect_set("pivot").alias("pivots")).join(size, "doc")
+    return round_of(partners, whole.join(about, "doc"), link_bound, ("a", "b", "others"), "a long, b long, others long")
 
 
-def jaccard_join(docs, width=3, percent=90):
-    """Per document: doc_id, n_shingles, component_id, class_id.
+def jaccard_join(docs, width=3, percent=90, counted=True):
+    """Per document: doc_id, n_shingles, component_id, class_id, n_links.
 
     Texts are lower-cased (A-Z); a document's set holds its distinct `width`-word n-grams, or its whole word sequence
     if that is shorter. Two documents link if 100 * intersection >= percent * union. class_id is the smallest document
-    with the same set, component_id the smallest reachable by links. Documents without words (null or empty texts)
-    have size 0, no links and stand alone. A null doc_id counts as the smallest; repeated rows each get the result of
-    their doc_id, and rows that share a doc_id count as one document.
+    with the same set, component_id the smallest reachable by links, n_links the number of other documents linked to
+    (left out without `counted`). Documents without words (null or empty texts) have size 0, no links and stand alone.
+    A null doc_id counts as the smallest; repeated rows each get the result of their doc_id, and rows that share a
+    doc_id count as one document.
     """
     signed = signatures(docs, width, percent)
-    found = components(jaccard_links(docs, width, percent, signed, forest=True))
-    classes = signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"))
-    facts = classes.join(found, F.col("class_id") == F.col("node"), "left")
-    facts = facts.select("cls", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    out = signed.join(facts, "cls", "left")
+    classes = _copies(signed)
+    if counted:
+        links = materialise(jaccard_links(docs, width, percent, signed, counted=True), "links")
+        found = components(links.where("b is not null"))
+        degree = links.where("b is null").groupBy(F.col("a").alias("class_id")).agg(F.sum("others").alias("others"))
+        classes = classes.join(degree, "class_id", "left")
+        classes = classes.withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
+    else:
+        found = components(jaccard_links(docs, width, percent, signed, forest=True))
+    facts = classes.join(found, F.col("class_id") == F.col("node"), "left").withColumn("component_id", F.coalesce("component", "class_id"))
+    links = ["n_links"] if counted else []
+    out = signed.join(facts.select("cls", "class_id", "component_id", *links), "cls", "left")
     real = lambda c: F.when(c != NULL_ID, c)
     return out.select(
         real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-        real(F.coalesce("component_id", "doc_id")).alias("component_id"), real(F.coalesce("class_id", "doc_id")).alias("class_id"))
+        real(F.coalesce("component_id", "doc_id")).alias("component_id"), real(F.coalesce("class_id", "doc_id")).alias("class_id"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in links])
 
 
 def keep_one(docs, width=5, percent=80):
     """The documents without near copies: of each component the one with the smallest doc_id stays, with its columns."""
-    kept = jaccard_join(docs, width, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = jaccard_join(docs, width, percent, counted=False).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])

@@ -100,3 +100,31 @@ def test_keep_one_and_nulls(spark):
 
 def test_empty_table(spark):
     assert nj.jaccard_join(brute.edge_docs(spark, [])).count() == 0
+
+
+def links_of(docs, width, percent):
+    """The number of other documents that each document links to, by comparing all pairs."""
+    sets = {}
+    for i, t in docs:
+        w = lower(t).split()
+        sets[i] = {tuple(w[k:k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+    return {i: sum(1 for j in sets if j != i and sets[i] & sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]))
+            for i in sets}
+
+
+def links_found(df):
+    return {r["doc_id"]: r["n_links"] for r in df.collect()}
+
+
+def test_number_of_links(spark):
+    assert links_found(queries.op3_ngram_jaccard(spark, FOLDER)) == links_of(brute.corpus(FOLDER), 3, 90)
+    assert links_found(nj.jaccard_join(brute.edge_docs(spark))) == links_of([(r[0], r[1]) for r in brute.edge_rows()], 3, 90)
+
+
+def test_number_of_links_over_tiles_copies_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(nj, "TILE_DOCS", 8)
+    docs = near_copies(90)
+    docs += [(100 + i, t) for i, t in docs[:20]] + docs[5:15]  # equal texts, and rows that are there twice
+    want = links_of(docs, 5, 80)
+    assert len(set(want.values())) > 3
+    assert links_found(nj.jaccard_join(brute.edge_docs(spark, [(i, t, "s", 0) for i, t in docs]), 5, 80)) == want
