@@ -35,6 +35,14 @@ def op4_sentencepiece(spark, sf_dir):
                        F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"), F.col("text").alias("decoded"))
 
 
+def op4_document_round_trip(spark, sf_dir):
+    """Every document with the ids of its whole text and the text decoded from them."""
+    import public_tokenizers
+
+    pieces, first_byte = sentencepiece_lattice.piece_table(spark, str(public_tokenizers.path("piece_bpe_32k.model")))
+    return sentencepiece_lattice.round_trip(read_documents(spark, sf_dir), pieces, first_byte)
+
+
 def op5_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(read_documents(spark, sf_dir))
 
@@ -71,6 +79,7 @@ def registry():
         "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_ngram_jaccard": op3_ngram_jaccard,
+        "op4_document_round_trip": op4_document_round_trip,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_fingerprints": op5_fingerprints,
         "op6_best_fit_packing": op6_best_fit_packing,

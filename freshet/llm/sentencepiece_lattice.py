@@ -4,9 +4,11 @@ Bounded-length substrings of each distinct word are joined to the piece table; t
 Viterbi pass over them is folded with higher-order functions. Every distinct word is solved once.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from freshet.llm.common import GAPS
+from freshet.llm.common import GAPS, Words, bucket_count, doc_batches, expand, id_of, narrow, runs, squeeze
 from freshet.sources.layers import materialise
 
 MARK = "▁"          # stands for the space before a word
@@ -108,3 +110,121 @@ def encode_documents(docs, pieces, first_byte):
     at = docs.select("doc_id", F.posexplode_outer(F.array_remove(F.split("text", GAPS), "")).alias("k", "word"))
     rows = at.join(words, "word", "left").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("x"))
     return rows.select("doc_id", F.flatten(F.transform("x", lambda x: F.coalesce(x["ids"], F.array().cast("array<int>")))).alias("ids"))
+
+
+def _laid_out(first, last):
+    """Numbers first[k] .. last[k] - 1 of every k, one after the other."""
+    n = last - first
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def round_trip(docs, pieces, first_byte):
+    """Per row of documents: doc_id, n_words, n_ids, ids (of the whole text, in order) and the text decoded from them.
+
+    Decoded words are separated by one space. Rows are gathered in blocks, written once. A block asks the buckets of
+    words for its distinct words, by 64-bit hash, and gets their ids back in the same order, so what is exchanged are
+    the distinct words of a block, not their occurrences. Null and empty texts have no ids and an empty decoded text.
+    """
+    import zstandard
+
+    buckets = bucket_count(docs)
+    table = {r["id"]: r["piece"].replace(MARK, " ").encode() for r in pieces.collect()}  # bounded by the model's vocabulary
+    table.update({first_byte + k: bytes([k]) for k in range(256)})
+    spelt = docs.sparkSession.sparkContext.broadcast([table.get(k, b"") for k in range(max(table) + 1)])
+
+    def gather(batches):
+        from pyspark import TaskContext
+
+        at = TaskContext.get().partitionId() << 32
+        for ids, texts in doc_batches(batches):
+            lens = np.fromiter(map(len, texts), np.int64, len(texts))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([at], pa.int64()), pa.array([squeeze(np.array(ids, np.int64), lens)], pa.binary()),
+                pa.array([zstandard.ZstdCompressor(3).compress(b"".join(texts))], pa.binary())], ["block", "docs", "body"])
+            at += 1
+
+    def words_of(own, body):
+        """doc ids, words and their distinct hashes in order of bucket and hash, the bucket of each, and the place of each word in them."""
+        ids, lens = expand(own)
+        body, ends = zstandard.ZstdDecompressor().decompress(body), np.cumsum(lens)
+        words = Words([body[b - n:b] for n, b in zip(lens.tolist(), ends.tolist(), strict=True)])
+        hashes, number = np.unique(words.hashes, return_inverse=True)
+        bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        return ids, words.first, hashes[by], bucket[by], rank[number]
+
+    def ask(batches):
+        for batch in batches:
+            for block, own, body in zip(*[batch[c].to_pylist() for c in ("block", "docs", "body")], strict=True):
+                _, _, hashes, bucket, _ = words_of(own, body)
+                cuts = list(zip(*runs(bucket), strict=True))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([int(bucket[a]) for a, _ in cuts], pa.int64()), pa.array([block] * len(cuts), pa.int64()),
+                    pa.array([hashes[a:b].tobytes() for a, b in cuts], pa.binary())], ["bucket", "block", "hashes"])
+
+    def deal(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            hashes = Words([x.encode() for x in batch["word"].to_pylist()]).hashes
+            bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+            ids, ends = batch["ids"].flatten().to_numpy(), np.cumsum(batch["ids"].value_lengths().to_numpy())
+            begins = np.concatenate([[0], ends[:-1]])
+            by = np.argsort(bucket, kind="stable")
+            cuts = [by[a:b] for a, b in zip(*runs(bucket[by]), strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([int(bucket[x[0]]) for x in cuts], pa.int64()),
+                pa.array([squeeze(hashes[x], narrow((ends - begins)[x]), narrow(ids[_laid_out(begins[x], ends[x])])) for x in cuts], pa.binary()),
+            ], ["bucket", "known"])
+
+    def answer(left, right):
+        parts = [expand(x) for x in right["known"].to_pylist()]
+        hashes = np.concatenate([np.empty(0, np.uint64), *[p[0] for p in parts]])
+        ends = np.cumsum(np.concatenate([np.empty(0, np.int64), *[p[1].astype(np.int64) for p in parts]]))
+        ids = np.concatenate([np.empty(0, np.int64), *[p[2].astype(np.int64) for p in parts]])
+        begins = np.concatenate([np.zeros(1, np.int64), ends])[: len(ends)]
+        by = np.argsort(hashes)
+        if (hashes[by][1:] == hashes[by][:-1]).any():
+            raise ValueError("two words share a hash")
+        out = []
+        for x in left["hashes"].to_pylist():
+            asked = np.frombuffer(x, np.uint64)
+            place = by[np.searchsorted(hashes, asked, sorter=by)]
+            if (hashes[place] != asked).any():
+                raise ValueError("a word of a block is not in the table of words")
+            out.append(squeeze(narrow(ends[place] - begins[place]), narrow(ids[_laid_out(begins[place], ends[place])])))
+        return pa.table({"block": left["block"], "bucket": left["bucket"], "ids": pa.array(out, pa.binary())})
+
+    def finish(left, right):
+        parts = [expand(x) for x in right.sort_by("bucket")["ids"].to_pylist()]
+        lens = np.concatenate([np.empty(0, np.int64), *[p[0].astype(np.int64) for p in parts]])
+        known = np.concatenate([np.empty(0, np.int64), *[p[1].astype(np.int64) for p in parts]])
+        ends = np.cumsum(lens)
+        letters = np.frombuffer(b"".join(spelt.value), np.uint8)
+        letter_ends = np.cumsum(np.fromiter(map(len, spelt.value), np.int64, len(spelt.value)))
+        letter_begins = np.concatenate([[0], letter_ends[:-1]])
+        out = {c: [] for c in ("doc_id", "n_words", "n_ids", "ids", "decoded")}
+        for own, body in zip(left["docs"].to_pylist(), left["body"].to_pylist(), strict=True):
+            docs, first, _, _, rank = words_of(own, body)
+            coded = known[_laid_out(ends[rank] - lens[rank], ends[rank])]
+            stops = np.concatenate([[0], np.cumsum(lens[rank])])[first]
+            text = letters[_laid_out(letter_begins[coded], letter_ends[coded])].tobytes()
+            cuts = np.concatenate([[0], np.cumsum((letter_ends - letter_begins)[coded])])[stops].tolist()
+            out["doc_id"] += map(id_of, docs)
+            out["n_words"].append(np.diff(first))
+            out["n_ids"].append(np.diff(stops))
+            out["ids"].append(pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(coded, pa.int32())))
+            out["decoded"] += [text[a:b].removeprefix(b" ") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        ids = pa.chunked_array(out["ids"], pa.list_(pa.int32()))
+        count = lambda x: pa.array(np.concatenate([np.empty(0, np.int64), *x]), pa.int64())
+        return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "n_words": count(out["n_words"]), "n_ids": count(out["n_ids"]),
+                         "ids": ids, "decoded": pa.array(out["decoded"], pa.binary()).cast(pa.string())})
+
+    blocks = materialise(docs.select("doc_id", "text").mapInArrow(gather, "block long, docs binary, body binary"), "text-blocks")
+    words = encode_words(distinct_words(docs), pieces, first_byte).select("word", "ids").mapInArrow(deal, "bucket long, known binary")
+    asked = blocks.mapInArrow(ask, "bucket long, block long, hashes binary")
+    answers = asked.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(answer, "block long, bucket long, ids binary")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        finish, "doc_id long, n_words long, n_ids long, ids array<int>, decoded string")

@@ -62,3 +62,27 @@ def test_lattice_adds_no_shuffle(spark, model):
     pieces, first, _ = model
     plan = sl.encode_words(sl.distinct_words(brute.edge_docs(spark)), pieces, first)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_every_document_is_encoded_and_decoded(spark, model):
+    _, first, table = model
+    texts, known = dict(brute.corpus(FOLDER)), {}
+    rows = queries.registry()["op4_document_round_trip"](spark, FOLDER).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        words = [w.decode() for w in brute.words_of(texts[r["doc_id"]])]
+        for w in words:
+            if w not in known:
+                known[w] = viterbi(w, table, first)
+        assert r["decoded"] == " ".join(words) and r["n_words"] == len(words)
+        assert r["ids"] == [i for w in words for i in known[w]] and r["n_ids"] == len(r["ids"])
+
+
+def test_round_trip_of_edge_texts_null_ids_and_repeated_rows(spark, model):
+    pieces, first, table = model
+    rows = [*brute.edge_rows(), (None, "one two", "s", 0), (4, "other words", "s", 0)]
+    got = sl.round_trip(brute.edge_docs(spark, rows), pieces, first).select("doc_id", "ids", "decoded").collect()
+    words = {k: [w.decode() for w in brute.words_of(r[1])] for k, r in enumerate(rows)}
+    want = [(r[0], [i for w in words[k] for i in viterbi(w, table, first)], " ".join(words[k])) for k, r in enumerate(rows)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert sl.round_trip(brute.edge_docs(spark, []), pieces, first).count() == 0
