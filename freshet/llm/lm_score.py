@@ -4,18 +4,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from freshet.llm.common import GAPS, NULL_ID, bucket_count, expand, mix, narrow, runs, slices, spread, squeeze
+from freshet.llm.common import (
+    BASE, GAPS, NULL_ID, Words, bucket_count, expand, mix, narrow, pack_texts, runs, spread, squeeze, unpack_text,
+)
 from freshet.sources.layers import materialise
 
-VOCABULARY = 65_000   # most frequent words, at most 65,534; all others are one unknown word
+VOCABULARY = None     # all words; a number keeps as many of the most frequent ones, and all others are one unknown word
 ADD = 0.01            # added to each bigram count
-START, UNKNOWN, FIRST = 0, 1, 2
+START, UNKNOWN = np.uint64(0), np.uint64(1)  # in place of the 64-bit hash of a word
+HISTORY = np.uint64(0xD6E8FEB86659FD93)      # tells the key of a word that others follow from keys of pairs
 NANO = 1e9            # losses are added up as whole nanonats, so the order of addition cannot matter
 BLOCK_BYTES = 8_000_000  # text of the documents of a block and of the pairs of a bucket, on average
 
 
-def vocabulary(docs, size=VOCABULARY):
-    """The `size` most frequent words of all texts, ties by word: the same table serves both models.
+def vocabulary(docs, size):
+    """The `size` most frequent words of all texts, ties by word.
 
     The counts are written once. A histogram of their logarithms and one of the counts in the bin that holds the last
     place give the least count of the vocabulary, so only words with that count or more are sent to be ordered.
@@ -39,82 +42,65 @@ def vocabulary(docs, size=VOCABULARY):
     return [r["word"].encode() for r in top.collect()]
 
 
-def encode(docs, target, words, groups):
-    """Blocks of documents (grp, docs, ids), written to the shared folder: ids of words as 16-bit numbers, in order of key;
-    docs has the keys, their numbers of words and whether `target` names them. Rows of one doc_id share a block.
-    """
-    number = docs.sparkSession.sparkContext.broadcast({w: k + FIRST for k, w in enumerate(words)})
+def n_words(docs):
+    """The number of distinct words of all texts."""
+    return docs.select(F.explode(F.array_remove(F.split("text", GAPS), "")).alias("word")).distinct().count()
+
 
-    def run(batches):
-        find = number.value.get
-        for part in slices(batches):
-            keys = part["doc_id"].cast(pa.int64()).fill_null(NULL_ID)
-            texts = [np.array([find(w, UNKNOWN) for w in (x or b"").split()], np.uint16) for x in part["text"].cast("binary").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(spread(keys.to_numpy(zero_copy_only=False), groups)), keys,
-                                              pa.array([squeeze(x) for x in texts], pa.binary())], ["grp", "key", "ids"])
+def gather_blocks(docs, target, groups):
+    """Blocks of documents (grp, docs, body), written to the shared folder: docs has the keys in order, the bytes of
+    their texts and whether `target` names them, body the texts. Rows of one doc_id share a block.
+    """
+    import zstandard
 
     def place(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(spread(b["doc_id"].to_numpy(zero_copy_only=False), groups)), b["doc_id"]], ["grp", "wanted"])
 
     def gather(left, right):
-        keys = left["key"].to_numpy()
+        keys = left["__id"].to_numpy()
         by = np.argsort(keys, kind="stable")
-        blobs = left["ids"].to_pylist()
-        texts = [expand(blobs[k])[0] for k in by]
+        bodies = left["__body"].to_pylist()
+        texts = [unpack_text(bodies[k]) for k in by]
         hit = np.isin(keys[by], right["wanted"].to_numpy()).astype(np.uint8)
         docs = squeeze(keys[by], np.fromiter(map(len, texts), np.int64, len(texts)), hit)
-        return pa.table({"grp": left["grp"].slice(0, 1), "docs": pa.array([docs], pa.binary()),
-                         "ids": pa.array([squeeze(np.concatenate(texts))], pa.binary())} if len(by) else
-                        {"grp": pa.array([], pa.int64()), "docs": pa.array([], pa.binary()), "ids": pa.array([], pa.binary())})
+        return pa.table({"grp": left["__grp"].slice(0, 1), "docs": pa.array([docs], pa.binary()),
+                         "body": pa.array([zstandard.ZstdCompressor(3).compress(b"".join(texts))], pa.binary())} if len(by) else
+                        {"grp": pa.array([], pa.int64()), "docs": pa.array([], pa.binary()), "body": pa.array([], pa.binary())})
 
-    coded = docs.select("doc_id", "text").mapInArrow(run, "grp long, key long, ids binary")
     wanted = target.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct().mapInArrow(place, "grp long, wanted long")
-    blocks = coded.groupBy("grp").cogroup(wanted.groupBy("grp")).applyInArrow(gather, "grp long, docs binary, ids binary")
-    return materialise(blocks, "word-numbers")
+    packed = pack_texts(docs.select("doc_id", "text"), groups).select("__grp", "__id", "__body")
+    blocks = packed.groupBy("__grp").cogroup(wanted.groupBy("grp")).applyInArrow(gather, "grp long, docs binary, body binary")
+    return materialise(blocks, "word-blocks")
+
 
+def _words(docs, body, known):
+    """keys, numbers of words, and for each word of a block: whether its document is in the target, the word before, the word.
 
-def _words(docs, ids):
-    """keys, numbers of words, and for each word of a block: whether its document is in the target, the word before, the word."""
+    Words are their 64-bit hashes; those not among `known` (sorted, None: all are) are the unknown word.
+    """
     keys, lens, hit = expand(docs)
-    ids = expand(ids)[0]
+    body, ends = unpack_text(body), np.cumsum(lens)
+    words = Words([body[b - n:b] for n, b in zip(lens.tolist(), ends.tolist(), strict=True)])
+    ids, lens = words.hashes, np.diff(words.first)
+    if known is not None:
+        ids = np.where(np.isin(ids, known), ids, UNKNOWN)
     before = np.concatenate([ids[:1], ids[:-1]])
     before[(np.cumsum(lens) - lens)[lens > 0]] = START
     return keys, lens, np.repeat(hit.astype(bool), lens), before, ids
 
 
 def _tally(chosen, before, ids, groups):
-    """Distinct pairs of a block in order of bucket, their buckets, counts and target counts, and the pair of each word."""
-    pairs, number = np.unique((before.astype(np.uint32) << np.uint32(16)) | ids, return_inverse=True)
-    n, t = (np.bincount(x, minlength=len(pairs)) for x in (number, number[chosen]))
-    bucket = (mix(pairs) % np.uint64(groups)).astype(np.int64)
-    by = np.lexsort((pairs, bucket))
+    """Distinct keys of a block in order of bucket, their buckets, counts and target counts, and for each word the places
+    of its pair and of the word before it. Keys are 64-bit hashes of pairs and of the words that others follow.
+    """
+    keys, number = np.unique(np.concatenate([mix(before * np.uint64(BASE) + ids), mix(before ^ HISTORY)]), return_inverse=True)
+    n, t = (np.bincount(x, minlength=len(keys)) for x in (number, number[np.concatenate([chosen, chosen])]))
+    bucket = (keys % np.uint64(groups)).astype(np.int64)
+    by = np.argsort(bucket, kind="stable")
     rank = np.empty(len(by), np.int64)
     rank[by] = np.arange(len(by))
-    return pairs[by].astype(np.int64), bucket[by], n[by], t[by], rank[number]
-
-
-def history_counts(blocks, size):
-    """How often each word number is followed by a word, in the target and in all texts: two arrays of fixed length."""
-
-    def count(batches):
-        from pyspark import TaskContext
-
-        total = np.zeros((2, size), np.int64)
-        for batch in batches:
-            for docs, ids in zip(batch["docs"].to_pylist(), batch["ids"].to_pylist(), strict=True):
-                _, _, chosen, before, _ = _words(docs, ids)
-                total[0] += np.bincount(before[chosen], minlength=size)
-                total[1] += np.bincount(before, minlength=size)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 128]), pa.array([squeeze(narrow(total.ravel()))], pa.binary())], ["task", "cells"])
-
-    def add(table):
-        total = sum(expand(x)[0].astype(np.int64) for x in table["cells"].to_pylist())
-        return pa.table({"task": pa.array([0], pa.int64()), "cells": pa.array([squeeze(narrow(total))], pa.binary())})
-
-    sums = blocks.select("docs", "ids").mapInArrow(count, "task long, cells binary").groupBy("task").applyInArrow(add, "task long, cells binary")
-    total = sum((expand(r["cells"])[0].astype(np.int64) for r in sums.collect()), np.zeros(2 * size, np.int64))  # 128 rows at most
-    return total.reshape(2, size)
+    return keys[by], bucket[by], n[by], t[by], rank[number[:len(ids)]], rank[number[len(ids):]]
 
 
 def cross_entropy_difference(docs, target, size=VOCABULARY, add=ADD):
@@ -122,34 +108,34 @@ def cross_entropy_difference(docs, target, size=VOCABULARY, add=ADD):
     to the target).
 
     The target model counts the bigrams of the documents named in `target` (doc_id), the background model those of all
-    documents; both smooth alike, P(w|v) = (n(v, w) + add) / (n(v) + add * vocabulary). Words are separated by
+    documents; both smooth alike, P(w|v) = (n(v, w) + add) / (n(v) + add * vocabulary). The vocabulary is every word of
+    the texts, or with `size` the most frequent ones; a word is known by its 64-bit hash. Words are separated by
     whitespace; all texts count and are scored whole. A document without words (null or empty text) has null losses.
     A null doc_id is never in the target; rows that share a doc_id are scored together, once. An empty target gives a
     uniform model.
 
-    Each block of documents sends its distinct pairs with their counts to buckets of pairs, and gets the counts of the
+    Each block of documents sends its distinct pairs and words with their counts to buckets, and gets the counts of the
     whole corpus back in the same order, so traffic grows with the text, whatever the number of blocks.
     """
-    words = vocabulary(docs, size)
-    width = len(words) + FIRST
+    words = None if size is None else vocabulary(docs, size)
+    width = (n_words(docs) if words is None else len(words)) + 2  # the start and the unknown word
+    known = docs.sparkSession.sparkContext.broadcast(None if words is None else np.sort(Words(words).hashes))
     groups = bucket_count(docs, BLOCK_BYTES)
-    blocks = encode(docs, target, words, groups)
-    seen = docs.sparkSession.sparkContext.broadcast(history_counts(blocks, width))
+    blocks = gather_blocks(docs, target, groups)
 
     def pack(batches):
         for batch in batches:
-            for grp, own, ids in zip(*[batch[c].to_pylist() for c in ("grp", "docs", "ids")], strict=True):
-                pairs, bucket, n, t, _ = _tally(*_words(own, ids)[2:], groups)
+            for grp, own, body in zip(*[batch[c].to_pylist() for c in ("grp", "docs", "body")], strict=True):
+                keys, bucket, n, t, _, _ = _tally(*_words(own, body, known.value)[2:], groups)
                 cuts = list(zip(*runs(bucket), strict=True))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([int(bucket[a]) for a, _ in cuts], pa.int64()), pa.array([grp] * len(cuts), pa.int64()),
-                    pa.array([squeeze(narrow(np.diff(pairs[a:b], prepend=0)), narrow(n[a:b]), narrow(t[a:b])) for a, b in cuts], pa.binary()),
+                    pa.array([squeeze(keys[a:b], narrow(n[a:b]), narrow(t[a:b])) for a, b in cuts], pa.binary()),
                 ], ["bucket", "grp", "counts"])
 
     def add_up(table):
         parts = [expand(x) for x in table["counts"].to_pylist()]
-        pairs = np.concatenate([np.cumsum(p[0], dtype=np.int64) for p in parts])
-        _, number = np.unique(pairs, return_inverse=True)
+        _, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         n, t = (np.bincount(number, weights=np.concatenate([p[k] for p in parts])).astype(np.int64)[number] for k in (1, 2))
         ends = np.cumsum([len(p[0]) for p in parts])
         sums = [squeeze(narrow(n[b - len(p[0]):b]), narrow(t[b - len(p[0]):b])) for p, b in zip(parts, ends, strict=True)]
@@ -157,17 +143,17 @@ def cross_entropy_difference(docs, target, size=VOCABULARY, add=ADD):
 
     def losses(left, right):
         out = {c: [] for c in ("key", "n", "t", "b")}
-        for own, ids in zip(left["docs"].to_pylist(), left["ids"].to_pylist(), strict=True):
-            keys, lens, chosen, before, ids = _words(own, ids)
-            rank = _tally(chosen, before, ids, groups)[-1]
+        for own, body in zip(left["docs"].to_pylist(), left["body"].to_pylist(), strict=True):
+            keys, lens, chosen, before, ids = _words(own, body, known.value)
+            pair, history = _tally(chosen, before, ids, groups)[-2:]
             sums = [expand(x) for x in right.sort_by("bucket")["sums"].to_pylist()]
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             stops = np.cumsum(lens)[np.append(first[1:], len(keys)) - 1]
             out["key"].append(keys[first])
             out["n"].append(np.diff(stops, prepend=0))
-            for name, part, known in (("b", 0, seen.value[1]), ("t", 1, seen.value[0])):
-                n = np.concatenate([np.empty(0, np.int64), *[x[part].astype(np.int64) for x in sums]])[rank]
-                loss = np.round(-NANO * np.log((n + add) / (known[before] + add * width))).astype(np.int64)
+            for name, part in (("b", 0), ("t", 1)):
+                n = np.concatenate([np.empty(0, np.int64), *[x[part].astype(np.int64) for x in sums]])
+                loss = np.round(-NANO * np.log((n[pair] + add) / (n[history] + add * width))).astype(np.int64)
                 out[name].append(np.diff(np.concatenate([[0], np.cumsum(loss)])[stops], prepend=0))
         return pa.table({c: pa.array(np.concatenate(x) if x else [], pa.int64()) for c, x in out.items()})
 

@@ -53,3 +53,11 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert lm.cross_entropy_difference(brute.edge_docs(spark, []), none).count() == 0
     assert lm.cross_entropy_difference(brute.edge_docs(spark), none).count() == len(brute.edge_rows())
+
+
+def test_more_words_than_sixteen_bits_hold(spark):
+    rows = [(i, " ".join(f"w{k}" for k in range(i * 2000, (i + 2) * 2000)), "s", 0) for i in range(36)]
+    want = expected([r[:2] for r in rows], {0, 35}, None)
+    assert len({w for r in rows for w in r[1].split()}) > 1 << 16
+    target = spark.createDataFrame([(0,), (35,)], "doc_id long")
+    check(lm.cross_entropy_difference(brute.edge_docs(spark, rows), target), want)
