@@ -100,11 +100,18 @@ def evident_labels(rows):
 def train(labelled, rows=TRAIN_ROWS):
     """Forest fitted on labelled findings (FEATURES and `label`), or None if one of the two labels is missing.
 
-    At most `rows` of them are used, those with the smallest hashes of their content, so the sample is the same on
-    every run. This is the only place where rows are left out; every finding is scored.
+    A finding counts once per label, however often it is copied. At most `rows` are used, taken from both labels in
+    turn by the smallest hashes of their content, so the sample is the same on every run and holds both labels if there
+    are both. This is the only place where rows are left out; every finding is scored.
     """
-    sample = labelled.where("label is not null").select(*FEATURES, "label", F.xxhash64("finding", "before", "after").alias("h"))
-    sample = materialise(sample.orderBy("h", *FEATURES).limit(rows).drop("h").coalesce(1), "secret-sample")
+    content = F.struct(F.xxhash64("finding", "before", "after").alias("h"), *FEATURES)
+    once = labelled.where("label is not null").groupBy("finding", "label").agg(F.min(content).alias("x")).select("label", "x.*")
+    once = materialise(once, "secret-labels")
+    first = [once.where(F.col("label") == k).orderBy("h", *FEATURES).limit(rows) for k in (0, 1)]
+    # The window holds at most `rows` findings of each label.
+    turn = F.row_number().over(Window.partitionBy("label").orderBy("h", *FEATURES))
+    both = first[0].unionByName(first[1]).withColumn("turn", turn)
+    sample = materialise(both.orderBy("turn", "label").limit(rows).select(*FEATURES, "label").coalesce(1), "secret-sample")
     if sample.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
@@ -112,9 +119,9 @@ def train(labelled, rows=TRAIN_ROWS):
 
 
 def score(rows, model):
-    """Findings with p_secret; without a model the evidence alone decides."""
+    """Findings with p_secret; without a model the evidence alone decides, and what has none is no secret."""
     if model is None:
-        return rows.withColumn("p_secret", F.coalesce(evident_labels(rows), F.lit(0.5)))
+        return rows.withColumn("p_secret", F.coalesce(evident_labels(rows), F.lit(0.0)))
     seen = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="x").transform(rows))
     return seen.withColumn("p_secret", vector_to_array("probability")[1]).drop("x", "rawPrediction", "probability", "prediction")
 

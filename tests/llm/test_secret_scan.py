@@ -66,3 +66,22 @@ def test_empty_table_edge_texts_and_plan(spark):
     assert s.scan(brute.edge_docs(spark)).count() == 0
     plan = s.scan(brute.edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_without_both_labels_nothing_without_evidence_is_redacted(spark):
+    rows = [(i, f"build 7f3a9c2e51d{i:02d}b8e604 of today, order {10**16 + i} was paid", "src", 0) for i in range(5)]
+    docs = brute.edge_docs(spark, rows)
+    assert {r["text"] for r in s.redact(docs).collect()} == {r[1] for r in rows}
+    none = spark.createDataFrame([], "doc_id long")
+    assert s.scan(docs, reviewed=none).where("is_secret").count() == 0
+
+
+def test_copies_of_a_finding_do_not_fill_the_sample(spark):
+    texts = [f"number {k}7f3a9c2e51d0b8e604 here" for k in range(7)]
+    hashes = s.findings(brute.edge_docs(spark, [(i, t, "s", 0) for i, t in enumerate(texts)]), "grp")
+    by_hash = [r["doc_id"] for r in hashes.orderBy(F.xxhash64("finding", "before", "after")).collect()]
+    last = by_hash[-1]  # the only one with its label
+    rows = [(i, t, "s", k) for i, t in enumerate(texts) for k in range(1 if i == last else 30)]
+    words = spark.createDataFrame([], "word string")
+    found = s.featurize(s.findings(brute.edge_docs(spark, rows), "grp"), words)
+    assert s.train(found.withColumn("label", (F.col("doc_id") == last).cast("double")), rows=20) is not None
