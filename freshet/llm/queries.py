@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from freshet.llm import (
-    best_fit_packing, fill_in_middle, fingerprints, lm_score, ngram_jaccard, quality_rules, secret_scan,
+    best_fit_packing, fill_in_middle, fingerprints, license_scan, lm_score, ngram_jaccard, quality_rules, secret_scan,
     sentencepiece_lattice, substring_dedup, suffix_dedup, token_file,
 )
 from freshet.llm.common import read_documents
@@ -74,6 +74,10 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(read_documents(spark, sf_dir))
 
 
+def op12_license_scan(spark, sf_dir):
+    return license_scan.license_scan(read_documents(spark, sf_dir))
+
+
 def op13_fill_in_middle(spark, sf_dir):
     return fill_in_middle.digests(fill_in_middle.fill_in_middle(fill_in_middle.store_frames(read_documents(spark, sf_dir))))
 
@@ -91,11 +95,13 @@ def registry():
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_score": op9_lm_score,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op12_license_scan": op12_license_scan,
         "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
 def oracle_sql():
     return {
+        "op12_license_scan": license_scan.oracle_sql(),
         "op13_fill_in_middle": fill_in_middle.ORACLE_SQL,
     }
