@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from freshet.llm import (
-    best_fit_packing, fill_in_middle, fingerprints, license_scan, lm_score, ngram_jaccard, quality_rules, secret_scan,
+    best_fit_packing, fill_in_middle, fingerprints, license_scan, lm_score, ngram_jaccard, phrase_mining,
+    quality_rules, secret_scan,
     sentencepiece_lattice, substring_dedup, suffix_dedup, token_file,
 )
 from freshet.llm.common import read_documents
@@ -74,6 +75,10 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(read_documents(spark, sf_dir))
 
 
+def op11_phrase_mining(spark, sf_dir):
+    return phrase_mining.collocations(read_documents(spark, sf_dir))
+
+
 def op12_license_scan(spark, sf_dir):
     return license_scan.license_scan(read_documents(spark, sf_dir))
 
@@ -95,6 +100,7 @@ def registry():
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_score": op9_lm_score,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_phrase_mining": op11_phrase_mining,
         "op12_license_scan": op12_license_scan,
         "op13_fill_in_middle": op13_fill_in_middle,
     }
