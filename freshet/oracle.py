@@ -4,7 +4,7 @@ The statements follow the definitions step by step (windows, full match tables)
 Spark side. Line x feature joins carry a cell prefilter; matches are made distinct afterwards.
 """
 
-from freshet.sources.fixtures import VIEWS, view_sql
+from freshet.sources.fixtures import HAND_RIVER, RIVER_X, RIVER_Y, VIEWS, view_sql
 
 REGION = "ASIA"
 
@@ -93,9 +93,103 @@ _SEVEN = ["BLUE_LINE_", "GNIS_NAME", "StreamName", "EcoProvinc", "Ecosection", "
 _k3, _k5, _seven = ", ".join(_K3), ", ".join(_K5), ", ".join(_SEVEN)
 _LEN = "sqrt((bx-ax)*(bx-ax)+(by_-ay)*(by_-ay))"
 
+
+def _dissolved(name, source, keys):
+    """Distinct edges of a key in one direction, edges without length left out; `source` has ax, ay, bx, by_."""
+    return {f"{name}_edges": f"""SELECT DISTINCT {keys}, CASE WHEN (ax,ay)<(bx,by_) THEN ax ELSE bx END AS ax, CASE WHEN (ax,ay)<(bx,by_) THEN ay ELSE by_ END AS ay,
+        CASE WHEN (ax,ay)<(bx,by_) THEN bx ELSE ax END AS bx, CASE WHEN (ax,ay)<(bx,by_) THEN by_ ELSE ay END AS by_
+        FROM {source} WHERE ax<>bx OR ay<>by_"""}
+
+
+def _walks(name, key):
+    """Parts of the dissolved edges of a key, by walking: from each node to the next one, and around each ring from its
+    smallest vertex. `path` lists the vertices of a part."""
+    def steps(extra):
+        return f"""SELECT w.key, w.sx, w.sy, w.tx, w.ty, w.hx AS px, w.hy AS py, d.vx AS hx, d.vy AS hy, list_append(w.path, [d.vx, d.vy]) AS path
+            FROM {{walk}} w JOIN {name}_degrees g ON g.key=w.key AND g.x=w.hx AND g.y=w.hy AND g.n=2
+            JOIN {name}_darts d ON d.key=w.key AND d.ux=w.hx AND d.uy=w.hy AND (d.vx<>w.px OR d.vy<>w.py) {extra}"""
+
+    def first(degree):
+        return f"""SELECT d.key, ux AS sx, uy AS sy, vx AS tx, vy AS ty, ux AS px, uy AS py, vx AS hx, vy AS hy, [[ux, uy], [vx, vy]] AS path
+            FROM {name}_darts d JOIN {name}_degrees g ON g.key=d.key AND g.x=d.ux AND g.y=d.uy AND g.n{degree}"""
+
+    open_steps = steps("").format(walk=f"{name}_open")
+    ring_steps = steps("WHERE (w.hx,w.hy)>(w.sx,w.sy)").format(walk=f"{name}_rings")
+    return {
+        f"{name}_darts": f"SELECT {key} AS key, ax AS ux, ay AS uy, bx AS vx, by_ AS vy FROM {name}_edges"
+                         f" UNION ALL SELECT {key}, bx, by_, ax, ay FROM {name}_edges",
+        f"{name}_degrees": f"SELECT key, ux AS x, uy AS y, count(*) AS n FROM {name}_darts GROUP BY ALL",
+        f"{name}_open": f"{first('<>2')} UNION ALL {open_steps}",
+        f"{name}_rings": f"{first('=2')} WHERE (vx,vy)>(ux,uy) UNION ALL {ring_steps}",
+        f"{name}_parts": f"""SELECT w.key, path, len(path)-1 AS n_edges, {_path_length('path')} AS length_m FROM {name}_open w
+            JOIN {name}_degrees g ON g.key=w.key AND g.x=w.hx AND g.y=w.hy AND g.n<>2 WHERE [sx,sy,tx,ty]<[hx,hy,px,py]
+            UNION ALL SELECT key, path, len(path)-1, {_path_length('path')} FROM {name}_rings WHERE hx=sx AND hy=sy AND (tx,ty)<(px,py)""",
+    }
+
+
+def _path_length(path):
+    return (f"list_sum(list_transform(range(1, len({path})), lambda i: sqrt(({path}[i+1][1]-{path}[i][1])*({path}[i+1][1]-{path}[i][1])"
+            f"+({path}[i+1][2]-{path}[i][2])*({path}[i+1][2]-{path}[i][2]))))")
+
+
+def _areas(name, source, key):
+    """Effective areas of the inner vertices of lines (`source` has the key, `rank` and `path`), one vertex dropped per step."""
+    triangle = "abs((rest[p][1]-rest[p-1][1])*(rest[p+1][2]-rest[p-1][2])-(rest[p][2]-rest[p-1][2])*(rest[p+1][1]-rest[p-1][1]))/2"
+    return {
+        f"{name}_steps": f"""SELECT {key}, path AS rest, NULL::BIGINT AS gone, 0.0::DOUBLE AS area FROM (SELECT {key},
+            list_transform(range(1, len(path)+1), lambda i: [path[i][1]::DOUBLE, path[i][2]::DOUBLE, i-1]) AS path FROM {source}) UNION ALL
+            SELECT {key}, list_concat(rest[1:pos-1], rest[pos+1:len(rest)]) AS rest, CAST(rest[pos][3] AS BIGINT) AS gone, greatest(area, low) AS area FROM (
+            SELECT {key}, rest, area, list_min(t) AS low, list_position(t, list_min(t))+1 AS pos FROM (
+            SELECT {key}, rest, area, list_transform(range(2, len(rest)), lambda p: {triangle}) AS t FROM {name}_steps WHERE len(rest)>2))""",
+        f"{name}_areas": f"SELECT {key}, gone AS i, area FROM {name}_steps WHERE gone IS NOT NULL",
+    }
+
+
+def _kept_vertices(areas, key, share, per="1"):
+    """Vertices with the largest areas: about `share` of all, or of those of each group `per`; ties at the bound stay."""
+    return f"""SELECT {key}, i FROM (SELECT *, min(CASE WHEN r<=round_even({share}::DOUBLE*n,0) THEN area END) OVER (PARTITION BY {per}) AS bound FROM (
+        SELECT *, row_number() OVER (PARTITION BY {per} ORDER BY area DESC) AS r, count(*) OVER (PARTITION BY {per}) AS n FROM {areas})) WHERE area>=bound"""
+
+
+def _thinned(source, key, kept):
+    """Lines of `source` with their ends and the `kept` inner vertices."""
+    return f"""SELECT {key}, list_filter(path, lambda v, i: i=1 OR i=len(path) OR list_contains(coalesce(kept, []), i-1)) AS path FROM {source}
+        LEFT JOIN (SELECT {key}, list(i) AS kept FROM ({kept}) GROUP BY {key}) USING ({key})"""
+
+
+def _pack(cols):
+    return "struct_pack(" + ", ".join(f"{c} := {c}" for c in cols) + ")"
+
+
+_SUM = "CAST(list_sum(list_transform(path, lambda v: v[1]*31+v[2]*17)) AS BIGINT) AS vertex_sum"
+_PART = ", ".join(f"CAST(part[{i}][{j}] AS BIGINT) AS {c}" for c, i, j in (("x", 1, 1), ("y", 1, 2), ("next_x", 2, 1), ("next_y", 2, 2)))
+_TOLERANCE = 40
+_GAP = ("sqrt(({p}[1]-({a}[1]+t*({b}[1]-{a}[1])))*({p}[1]-({a}[1]+t*({b}[1]-{a}[1])))+({p}[2]-({a}[2]+t*({b}[2]-{a}[2])))*({p}[2]-({a}[2]+t*({b}[2]-{a}[2]))))")
 _EXPERT_LEVELS = """CASE WHEN {c} IS NULL THEN NULL WHEN {c}='Y' THEN 1 ELSE 0 END"""
 
 CTES = {
+    "river_points": f"SELECT k AS river_id, name, ECOSECTION_NAME, i, {RIVER_X} AS x, {RIVER_Y} AS y FROM (SELECT *, unnest(range(0, n)) AS i FROM fx_rivers)",
+    "river_edges": """SELECT * FROM (SELECT river_id, name, ECOSECTION_NAME, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_
+        FROM river_points WINDOW w AS (PARTITION BY river_id ORDER BY i)) WHERE bx IS NOT NULL""",
+    **_dissolved("named", "river_edges", "name"), **_walks("named", "name"),
+    "river_lines": "SELECT river_id, list([x, y] ORDER BY i) AS path FROM river_points GROUP BY river_id",
+    **_areas("river", "river_lines", "river_id"),
+    "section_areas": "SELECT a.*, ECOSECTION_NAME FROM river_areas a JOIN (SELECT DISTINCT river_id, ECOSECTION_NAME FROM river_points) USING (river_id)",
+    "split_steps": f"""SELECT river_id, path, 1 AS a, len(path) AS b, true AS more FROM river_lines UNION ALL
+        SELECT river_id, path, unnest([a, m]) AS a, unnest([m, b]) AS b, true AS more FROM (SELECT *, a+list_position(gaps, list_max(gaps)) AS m FROM (
+        SELECT river_id, path, a, b, list_transform(range(a+1, b), lambda i: list_transform([CASE WHEN l2>0 THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+          ((path[i][1]-path[a][1])*(path[b][1]-path[a][1])+(path[i][2]-path[a][2])*(path[b][2]-path[a][2]))/l2)) ELSE 0.0::DOUBLE END],
+          lambda t: {_GAP.format(p='path[i]', a='path[a]', b='path[b]')})[1]) AS gaps FROM (SELECT river_id, path, a, b,
+          CAST((path[b][1]-path[a][1])*(path[b][1]-path[a][1])+(path[b][2]-path[a][2])*(path[b][2]-path[a][2]) AS DOUBLE) AS l2
+          FROM split_steps WHERE b-a>1)) WHERE list_max(gaps)>{_TOLERANCE})""",
+    "hand_river_edges": f"""SELECT {_seven}, ax, ay, bx, by_ FROM river_edges JOIN hand_river_names USING (river_id)""",
+    "hand_river_names": f"SELECT k AS river_id, {', '.join(f'{sql} AS {c}' for c, sql in HAND_RIVER.items())} FROM fx_rivers",
+    **_dissolved("drawn", "hand_river_edges", _seven), **_walks("drawn", _pack(_SEVEN)),
+    "drawn_lines": "SELECT key, path[1:2] AS part, path FROM drawn_parts", **_areas("drawn", "drawn_lines", "key, part"),
+    **_dissolved("stream", "kept_edges", _k3), **_walks("stream", _pack(_K3)),
+    "stream_lines": "SELECT key, path[1:2] AS part, path FROM stream_parts", **_areas("stream", "stream_lines", "key, part"),
+    "thin_lines": _thinned("stream_lines", "key, part", _kept_vertices("stream_areas", "key, part", 0.025, "key.ECOSECTION_NAME")),
+    **_areas("thin", "thin_lines", "key, part"),
     "fx_edges": "SELECT seg_id, BLUE_LINE_KEY, GNIS_NAME, x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by_ FROM fx_segments"
                 " UNION ALL SELECT seg_id, BLUE_LINE_KEY, GNIS_NAME, x1, y1, x2, y2 FROM fx_segments",
     "hand_edges": "SELECT row_id, BLUE_LINE_, StreamName, Summer_Sen, Winter_Sen, x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by_"
@@ -249,7 +343,7 @@ def _needed(sql, seen):
         body = view_sql(word) if word in VIEWS else CTES.get(word)
         if body is None or word in seen:
             continue
-        seen.add(word)
+        seen.add(word)  # a recursive definition names itself
         order += _needed(body, seen) + [(word, body.replace("AS STRING", "AS VARCHAR"))]
     return order
 
@@ -259,7 +353,7 @@ def _with(sql):
     blocks = _needed(sql, set())
     if not blocks:
         return sql
-    head = "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in blocks)
+    head = ("WITH RECURSIVE " if any(name.endswith(("_open", "_rings", "_steps")) for name, _ in blocks) else "WITH ") + ",\n".join(f"{name} AS ({body})" for name, body in blocks)
     if sql.lstrip().startswith("WITH "):
         return head + ",\n" + sql.lstrip()[5:]
     return head + "\n" + sql
@@ -387,6 +481,8 @@ SQL = {
         +sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)))*1000) AS BIGINT) AS length_mm FROM fx_segments""",
     "dissolve_counts": f"""SELECT BLUE_LINE_KEY, GNIS_NAME, count(*) AS n_edges, CAST(round(sum({_LEN})*1000) AS BIGINT) AS length_mm
         FROM (SELECT DISTINCT BLUE_LINE_KEY, GNIS_NAME, ax, ay, bx, by_ FROM fx_edges) GROUP BY BLUE_LINE_KEY, GNIS_NAME""",
+    "dissolved_lines": """SELECT key AS name, CAST(path[1][1] AS BIGINT) AS x, CAST(path[1][2] AS BIGINT) AS y, CAST(path[2][1] AS BIGINT) AS next_x,
+        CAST(path[2][2] AS BIGINT) AS next_y, n_edges, CAST(round(length_m*1000) AS BIGINT) AS length_mm FROM named_parts""",
     "expert_dissolve": f"""SELECT {_seven}, count(*) AS n_edges, CAST(round(sum(sqrt((x1-x0)*(x1-x0)+(y1-y0)*(y1-y0)))*1000) AS BIGINT) AS length_mm
         FROM (SELECT DISTINCT {_seven}, x0, y0, x1, y1 FROM fx_expert_streams) GROUP BY {_seven}""",
     "equal_geometries": "SELECT min(seg_id) AS first_seg, count(*) AS n FROM fx_segments GROUP BY x0, y0, x1, y1, x2, y2",
@@ -401,6 +497,18 @@ SQL = {
     "simplify_by_share": """WITH areas AS (SELECT seg_id, abs((x1-x0)*(y2-y0)-(y1-y0)*(x2-x0))/2.0 AS area FROM fx_segments),
         ranked AS (SELECT area, row_number() OVER (ORDER BY area DESC) AS r, count(*) OVER () AS n FROM areas)
         SELECT seg_id, CASE WHEN area>=(SELECT min(area) FROM ranked WHERE r<=round(0.025*n)) THEN 3 ELSE 2 END AS n_vertices FROM areas""",
+    "simplify_rivers": "SELECT river_id, CAST(len(path) AS INT) AS n_vertices, " + _SUM + " FROM ("
+                       + _thinned("river_lines", "river_id", _kept_vertices("river_areas", "river_id", 0.1)) + ")",
+    "simplify_by_section": "SELECT river_id, ECOSECTION_NAME, CAST(len(path) AS INT) AS n_vertices, " + _SUM + " FROM ("
+                           + _thinned("river_lines", "river_id", _kept_vertices("section_areas", "river_id", 0.1, "ECOSECTION_NAME"))
+                           + ") JOIN (SELECT DISTINCT river_id, ECOSECTION_NAME FROM river_points) USING (river_id)",
+    "simplify_rivers_by_tolerance": """SELECT river_id, CAST(count(*) AS INT) AS n_vertices, CAST(sum(path[v][1]*31+path[v][2]*17) AS BIGINT) AS vertex_sum
+        FROM (SELECT DISTINCT river_id, path, unnest([a, b]) AS v FROM split_steps) GROUP BY river_id""",
+    "delivery_lines_simplified": "SELECT t.ECOSECTION_NAME, t.BLUE_LINE_KEY, t.GNIS_NAME, x, y, next_x, next_y, h.drought_risk, n_vertices, lon, lat FROM ("
+        + _lonlat(f"key.ECOSECTION_NAME AS ECOSECTION_NAME, key.BLUE_LINE_KEY AS BLUE_LINE_KEY, key.GNIS_NAME AS GNIS_NAME, {_PART}, n_vertices",
+                  "SELECT key, part, CAST(len(path) AS INT) AS n_vertices, path[len(path)][1] AS end_x, path[len(path)][2] AS end_y FROM ("
+                  + _thinned("thin_lines", "key, part", _kept_vertices("thin_areas", "key, part", 0.1)) + ")", "end_x", "end_y")
+        + f") t LEFT JOIN (SELECT DISTINCT {_k3}, drought_risk FROM harmonized) h ON {_same('t', 'h', _K3)}",
     "region_simplified": "SELECT REGION_NAME, REGION_NAME AS ORG_UNIT_NAME, 5 AS n_vertices FROM fx_regions",
     "delivery_lines": f"""WITH areas AS (SELECT *, abs((x1-x0)*(y2-y0)-(y1-y0)*(x2-x0))/2.0 AS area FROM kept),
         ranked AS (SELECT area, row_number() OVER (ORDER BY area DESC) AS r, count(*) OVER () AS n FROM areas)
@@ -461,7 +569,8 @@ SQL = {
     "layer_export": f"""SELECT DISTINCT STATION_NUMBER, x, y FROM fx_stations JOIN region_parts
         ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax WHERE {_SHORT}='{REGION}'""",
     "section_export": "SELECT row_number() OVER (ORDER BY ECOSECTION_NAME) AS row_number, ECOSECTION_NAME, summer_sens, number_sar FROM sar_sections",
-    "expert_layer": "SELECT row_id, BLUE_LINE_, StreamName, 2 AS n_vertices FROM fx_expert_streams",
+    "expert_layer": f"SELECT {', '.join('key.' + c + ' AS ' + c for c in _SEVEN)}, {_PART}, CAST(len(path) AS INT) AS n_vertices, {_SUM} FROM ("
+                    + _thinned("drawn_lines", "key, part", _kept_vertices("drawn_areas", "key, part", 0.05)) + ")",
     "app_stream_layer": "SELECT row_id, 2 AS n_vertices, round(lon,6) AS lon, round(lat,6) AS lat FROM (" + _lonlat("row_id", "SELECT * FROM fx_expert_streams", "x0", "y0") + ")",
     "species_matches": f"SELECT {_k3}, occ_id, SCI_NAME, ENG_NAME FROM species_hits",
     "crossing_counts": f"SELECT {_k3}, CAST(count(DISTINCT assessment_id) AS INT) AS times FROM near GROUP BY {_k3}",

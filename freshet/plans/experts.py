@@ -3,16 +3,17 @@
 from pyspark.sql import functions as F
 
 from freshet.functions.nulls import to_str
+from freshet.operators.chains import dissolved_lines
 from freshet.operators.geometry import drop_z, reproject
 from freshet.operators.simplify import simplify_keep, simplify_tolerance
+from freshet.plans.reconcile import ALL_SEVEN
 
 
 def expert_layer(hand, share=0.05):
-    """Flat lines with the key as text, generalised over the layer; one row per member line of a stream.
-
-    reconcile.merge_hand_lines gives the same rows dissolved on their seven attributes.
-    """
-    return simplify_keep(drop_z(hand).withColumn("BLUE_LINE_", to_str(F.col("BLUE_LINE_"))), share)
+    """Hand lines without Z, the key as text, dissolved on their seven attributes and generalised over the layer: one row
+    per attributes and part."""
+    flat = drop_z(hand).withColumn("BLUE_LINE_", to_str(F.col("BLUE_LINE_")))
+    return simplify_keep(dissolved_lines(flat, ALL_SEVEN), share)
 
 
 def app_stream_layer(hand, tolerance=50):

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from freshet.functions.geo import edge_hits_box, edge_hits_edge, point_near_edge
 from freshet.functions.nulls import UNKNOWN, coalesce_sources, row_sum0, to_int
 from freshet.operators import score
+from freshet.operators.chains import dissolved_lines
 from freshet.operators.geometry import edges, reproject
 from freshet.operators.groups import first_per, text_list
 from freshet.operators.joins import left_join
-from freshet.operators.simplify import simplify_keep
+from freshet.operators.simplify import simplify_by_section, simplify_keep
 from freshet.operators.spatial import cell_join, edge_box, edges_in_boxes, edges_near_points, with_box
 from freshet.plans.segments import keep_streams, key_levels
 
@@ -152,3 +153,14 @@ def delivery_lines(segments, scored, share=0.025):
     values harmonized across sections."""
     lines = segments.select("seg_id", *STREAM, "geom")
     return left_join(reproject(simplify_keep(lines, share), 3005, 4326), harmonized_streams(scored), STREAM)
+
+
+def delivery_layer(segments, scored, share=0.025, again=0.10):
+    """The delivered layer: streams dissolved to lines from node to node, one row per stream and part.
+
+    Each section keeps its own share of vertices; the sections together are then thinned once more over the whole layer,
+    moved to longitude and latitude, and given the values harmonized across sections.
+    """
+    lines = dissolved_lines(segments.select(*STREAM, "geom"), STREAM)
+    lines = simplify_keep(simplify_by_section(lines, "ECOSECTION_NAME", share), again)
+    return left_join(reproject(lines, 3005, 4326), harmonized_streams(scored), STREAM)

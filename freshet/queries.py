@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from freshet.functions.nulls import clean_numeric, fill_missing, flag_to_int, not_in, to_int
 from freshet.functions.ordinal import SENSITIVITY, encode
 from freshet.functions.text import snake_columns
-from freshet.operators import geometry, groups, joins, naming, scales, score, simplify, spatial
+from freshet.operators import chains, geometry, groups, joins, naming, scales, score, simplify, spatial
 from freshet.plans import downloads, experts, explorer, lookup, reconcile, scoring, segments, species, stations, variant
 from freshet.session import shared_dir
 from freshet.sources import fixtures as fx
@@ -399,6 +399,11 @@ def dissolve_counts(s, d):
     return sizes.select(*keys, "n_edges", _mm("length_m"))
 
 
+def dissolved_lines(s, d):
+    lines = geometry.with_length(chains.dissolved_lines(fx.rivers(s, d), ["name"]))
+    return lines.select("name", *_part_start(), "n_edges", _mm("length_m"))
+
+
 def expert_dissolve(s, d):
     lines = reconcile.merge_hand_lines(geometry.drop_z(fx.expert_streams(s, d)))
     sizes = geometry.dissolved_size(lines, reconcile.ALL_SEVEN)
@@ -442,6 +447,36 @@ def simplify_by_share(s, d):
     return lines.select("seg_id", F.size(F.col("geom")[0]).alias("n_vertices"))
 
 
+def _checked(lines, *keep):
+    """Number of vertices and a checksum of the whole coordinates of one-part lines."""
+    part = F.col("geom")[0]
+    total = F.aggregate(part, F.lit(0).cast("long"), lambda a, v: a + (v["x"] * 31 + v["y"] * 17).cast("long"))
+    return lines.select(*keep, F.size(part).alias("n_vertices"), total.alias("vertex_sum"))
+
+
+def simplify_rivers(s, d):
+    return _checked(simplify.simplify_keep(fx.rivers(s, d), 0.1), "river_id")
+
+
+def simplify_rivers_by_tolerance(s, d):
+    return _checked(simplify.simplify_tolerance(fx.rivers(s, d), 40), "river_id")
+
+
+def simplify_by_section(s, d):
+    return _checked(simplify.simplify_by_section(fx.rivers(s, d), "ECOSECTION_NAME", 0.1), "river_id", "ECOSECTION_NAME")
+
+
+def _part_start():
+    return [F.col(f"part.{c}").cast("long").alias(c) for c in ("x", "y", "next_x", "next_y")]
+
+
+def delivery_lines_simplified(s, d):
+    lines = scoring.delivery_layer(_kept(s, d), _scored(s, d))
+    end = F.element_at(F.col("geom")[0], -1)
+    return lines.select(*K3, *_part_start(), "drought_risk", F.size(F.col("geom")[0]).alias("n_vertices"),
+                        F.round(end["x"], 6).alias("lon"), F.round(end["y"], 6).alias("lat"))
+
+
 def region_simplified(s, d):
     rings = _region_rings(s, d).join(fx.regions(s, d).select("region_id", "REGION_NAME"), "region_id")
     simple = stations.region_layer(rings.withColumn("ORG_UNIT_NAME", F.col("REGION_NAME")))
@@ -580,8 +615,8 @@ def section_export(s, d):
 
 
 def expert_layer(s, d):
-    lines = experts.expert_layer(fx.expert_streams(s, d))
-    return lines.select("row_id", "BLUE_LINE_", "StreamName", F.size(F.col("geom")[0]).alias("n_vertices"))
+    lines = experts.expert_layer(fx.rivers(s, d, hand=True))
+    return _checked(lines, *reconcile.ALL_SEVEN, *_part_start())
 
 
 def app_stream_layer(s, d):

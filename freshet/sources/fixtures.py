@@ -93,7 +93,37 @@ SELECT concat('08',CAST(s_suppkey AS STRING)) AS STATION_NUMBER,
  {X} AS x, {Y} AS y
 FROM {{supplier}}""".format(**_xy("s_suppkey"))
 
+# Streams of eight members: five that follow each other, a tributary, a line across them and a closed line; vertex i of n.
+RIVERS = """
+SELECT *, CASE WHEN j<=5 THEN 2+(k*k*7)%38+CASE WHEN k%64=3 THEN 300 ELSE 0 END
+               WHEN j=6 THEN CASE WHEN g%3=0 THEN 3 ELSE 2 END
+               WHEN g%3=0 THEN 5 ELSE 2*(3+k%20)+1 END AS n,
+ concat('RIVER_',CAST(g AS STRING)) AS name, concat('Ecosection ',CAST(g%25 AS STRING)) AS ECOSECTION_NAME, {X} AS ox, {Y} AS oy
+FROM (SELECT CAST(p_partkey AS BIGINT) AS k, CAST(floor(p_partkey/8) AS BIGINT) AS g, p_partkey%8 AS j FROM {{part}}) t""".format(**_xy("g"))
+
+_BACK = "CASE WHEN i=n-1 THEN 0 WHEN i<floor(n/2) THEN i ELSE n-2-i END"
+RIVER_X = f"""CASE WHEN j<=4 THEN ox+j*1000+CAST(floor(i*1000/(n-1)) AS BIGINT)
+ WHEN j=5 THEN ox+2000+(i*7*k)%50
+ WHEN j=6 AND g%3=0 THEN ox+CASE WHEN i=0 THEN 0 ELSE 2000 END
+ WHEN j=6 THEN ox+300+i*400
+ WHEN g%3=0 THEN ox+CASE WHEN i IN (1,2) THEN 1500 ELSE 500 END
+ ELSE ox+5200+({_BACK})*30 END"""
+RIVER_Y = f"""CASE WHEN j<=4 THEN oy+CASE WHEN i=0 OR i=n-1 THEN 0 ELSE (i*i*13+k*29)%200 END
+ WHEN j=5 THEN oy-20*i
+ WHEN j=6 AND g%3=0 THEN oy-1000+CASE WHEN i=2 THEN 400 ELSE 0 END
+ WHEN j=6 THEN oy-500+i*1200
+ WHEN g%3=0 THEN oy-1000-CASE WHEN i IN (2,3) THEN 200 ELSE 0 END
+ ELSE oy-500+CASE WHEN i<floor(n/2) OR i=n-1 THEN 0 ELSE 100 END+(({_BACK})*({_BACK})*3)%20 END"""
+
+# Attributes of rivers as hand-digitized lines: members of a stream agree but for the winter flag of the last two.
+HAND_RIVER = {
+    "BLUE_LINE_": "CAST(g AS STRING)", "GNIS_NAME": "name", "StreamName": "name", "EcoProvinc": "concat('Province ',CAST(g%9 AS STRING))",
+    "Ecosection": "ECOSECTION_NAME", "Summer_Sen": "CASE g%3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' ELSE NULL END",
+    "Winter_Sen": "CASE WHEN j>5 THEN 'N' ELSE 'Y' END",
+}
+
 VIEWS = {
+    "fx_rivers": (RIVERS, "part"),
     "fx_segments": (SEGMENTS, "lineitem"),
     "fx_ecosections": (ECOSECTIONS, "nation"),
     "fx_regions": (REGIONS, "region"),
@@ -150,6 +180,16 @@ def expert_streams(spark, sf_dir):
     return df.withColumn("geom", line_geom(("x0", "y0"), ("x1", "y1"))).drop("x0", "y0", "x1", "y1")
 
 
+def rivers(spark, sf_dir, hand=False):
+    """Lines of 2 to several hundred vertices that meet in nodes, cross, overlap and close to rings; with `hand` they have the
+    attributes of hand-digitized lines."""
+    df = load(spark, sf_dir, "fx_rivers")
+    attributes = [F.expr(sql).alias(c) for c, sql in HAND_RIVER.items() if hand]
+    vertex = f"named_struct('x', CAST({RIVER_X} AS DOUBLE), 'y', CAST({RIVER_Y} AS DOUBLE))"
+    return df.withColumn("geom", F.expr(f"array(transform(sequence(0, n - 1), i -> {vertex}))")).select(
+        F.col("k").alias("river_id"), *(attributes or ["name", "ECOSECTION_NAME"]), "geom")
+
+
 def _boxes(df):
     return df.withColumns({c: F.col(c).cast("double") for c in ("xmin", "ymin", "xmax", "ymax")})
 
