@@ -172,6 +172,25 @@ CTES = {
     "river_edges": """SELECT * FROM (SELECT river_id, name, ECOSECTION_NAME, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_
         FROM river_points WINDOW w AS (PARTITION BY river_id ORDER BY i)) WHERE bx IS NOT NULL""",
     **_dissolved("named", "river_edges", "name"), **_walks("named", "name"),
+    "met_edges": """SELECT e.*, f.ax AS px, f.ay AS py, f.bx AS qx, f.by_ AS qy, (e.ax,e.ay,e.bx,e.by_)<(f.ax,f.ay,f.bx,f.by_) AS first
+        FROM named_edges e JOIN named_edges f ON e.name=f.name AND (e.ax<>f.ax OR e.ay<>f.ay OR e.bx<>f.bx OR e.by_<>f.by_)
+        AND e.ax<=f.bx AND f.ax<=e.bx AND least(e.ay,e.by_)<=greatest(f.ay,f.by_) AND least(f.ay,f.by_)<=greatest(e.ay,e.by_)""",
+    "cut_edges": "SELECT DISTINCT name, ax, ay, bx, by_, cx, cy FROM ("
+                 + " UNION ALL ".join(f"""SELECT name, ax, ay, bx, by_, CAST({v}x AS DOUBLE) AS cx, CAST({v}y AS DOUBLE) AS cy FROM met_edges
+        WHERE (bx-ax)*({v}y-ay)-(by_-ay)*({v}x-ax)=0 AND {v}x BETWEEN least(ax,bx) AND greatest(ax,bx) AND {v}y BETWEEN least(ay,by_) AND greatest(ay,by_)
+        AND NOT ({v}x=ax AND {v}y=ay) AND NOT ({v}x=bx AND {v}y=by_)""" for v in "pq")
+                 + """ UNION ALL SELECT name, ax, ay, bx, by_, floor((x0+s*dx)*1048576+0.5)/1048576, floor((y0+s*dy)*1048576+0.5)/1048576 FROM (
+        SELECT *, CAST((x2-x0)*ey-(y2-y0)*ex AS DOUBLE)/CAST(dx*ey-dy*ex AS DOUBLE) AS s FROM (
+        SELECT *, x1-x0 AS dx, y1-y0 AS dy, x3-x2 AS ex, y3-y2 AS ey FROM (SELECT name, ax, ay, bx, by_,
+          CASE WHEN first THEN ax ELSE px END AS x0, CASE WHEN first THEN ay ELSE py END AS y0, CASE WHEN first THEN bx ELSE qx END AS x1,
+          CASE WHEN first THEN by_ ELSE qy END AS y1, CASE WHEN first THEN px ELSE ax END AS x2, CASE WHEN first THEN py ELSE ay END AS y2,
+          CASE WHEN first THEN qx ELSE bx END AS x3, CASE WHEN first THEN qy ELSE by_ END AS y3 FROM met_edges
+          WHERE sign((bx-ax)*(py-ay)-(by_-ay)*(px-ax))*sign((bx-ax)*(qy-ay)-(by_-ay)*(qx-ax))<0
+            AND sign((qx-px)*(ay-py)-(qy-py)*(ax-px))*sign((qx-px)*(by_-py)-(qy-py)*(bx-px))<0))))""",
+    "cut_pieces": """SELECT name, cx AS ax, cy AS ay, dx AS bx, dy AS by_ FROM (SELECT *, lead(cx) OVER w AS dx, lead(cy) OVER w AS dy FROM (
+        SELECT * FROM cut_edges UNION ALL SELECT name, ax, ay, bx, by_, ax, ay FROM named_edges UNION ALL SELECT name, ax, ay, bx, by_, bx, by_ FROM named_edges)
+        WINDOW w AS (PARTITION BY name, ax, ay, bx, by_ ORDER BY (cx-ax)*(bx-ax)+(cy-ay)*(by_-ay))) WHERE dx IS NOT NULL""",
+    **_dissolved("noded", "cut_pieces", "name"), **_walks("noded", "name"),
     "river_lines": "SELECT river_id, list([x, y] ORDER BY i) AS path FROM river_points GROUP BY river_id",
     **_areas("river", "river_lines", "river_id"),
     "section_areas": "SELECT a.*, ECOSECTION_NAME FROM river_areas a JOIN (SELECT DISTINCT river_id, ECOSECTION_NAME FROM river_points) USING (river_id)",
@@ -483,6 +502,9 @@ SQL = {
         FROM (SELECT DISTINCT BLUE_LINE_KEY, GNIS_NAME, ax, ay, bx, by_ FROM fx_edges) GROUP BY BLUE_LINE_KEY, GNIS_NAME""",
     "dissolved_lines": """SELECT key AS name, CAST(path[1][1] AS BIGINT) AS x, CAST(path[1][2] AS BIGINT) AS y, CAST(path[2][1] AS BIGINT) AS next_x,
         CAST(path[2][2] AS BIGINT) AS next_y, n_edges, CAST(round(length_m*1000) AS BIGINT) AS length_mm FROM named_parts""",
+    "noded_union": f"SELECT name, count(*) AS n_edges, CAST(round(sum({_LEN})*1000) AS BIGINT) AS length_mm FROM noded_edges GROUP BY name",
+    "noded_lines": "SELECT key AS name, " + ", ".join(f"CAST(round(path[{i}][{j}]*1000) AS BIGINT) AS {c}" for c, i, j in (
+        ("x", 1, 1), ("y", 1, 2), ("next_x", 2, 1), ("next_y", 2, 2))) + ", n_edges, CAST(round(length_m*1000) AS BIGINT) AS length_mm FROM noded_parts",
     "expert_dissolve": f"""SELECT {_seven}, count(*) AS n_edges, CAST(round(sum(sqrt((x1-x0)*(x1-x0)+(y1-y0)*(y1-y0)))*1000) AS BIGINT) AS length_mm
         FROM (SELECT DISTINCT {_seven}, x0, y0, x1, y1 FROM fx_expert_streams) GROUP BY {_seven}""",
     "equal_geometries": "SELECT min(seg_id) AS first_seg, count(*) AS n FROM fx_segments GROUP BY x0, y0, x1, y1, x2, y2",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from freshet.functions.nulls import clean_numeric, fill_missing, flag_to_int, not_in, to_int
 from freshet.functions.ordinal import SENSITIVITY, encode
 from freshet.functions.text import snake_columns
-from freshet.operators import chains, geometry, groups, joins, naming, scales, score, simplify, spatial
+from freshet.operators import chains, geometry, groups, joins, naming, noding, scales, score, simplify, spatial
 from freshet.plans import downloads, experts, explorer, lookup, reconcile, scoring, segments, species, stations, variant
 from freshet.session import shared_dir
 from freshet.sources import fixtures as fx
@@ -404,6 +404,17 @@ def dissolved_lines(s, d):
     return lines.select("name", *_part_start(), "n_edges", _mm("length_m"))
 
 
+def noded_union(s, d):
+    sizes = geometry.dissolved_size(noding.node_edges(geometry.dissolve(fx.rivers(s, d), ["name"]), ["name"], 250), ["name"])
+    return sizes.select("name", "n_edges", _mm("length_m"))
+
+
+def noded_lines(s, d):
+    lines = geometry.with_length(chains.dissolved_lines(fx.rivers(s, d), ["name"], cell=250))
+    return lines.select("name", *[F.round(F.col(f"part.{c}") * 1000).cast("long").alias(c) for c in ("x", "y", "next_x", "next_y")],
+                        "n_edges", _mm("length_m"))
+
+
 def expert_dissolve(s, d):
     lines = reconcile.merge_hand_lines(geometry.drop_z(fx.expert_streams(s, d)))
     sizes = geometry.dissolved_size(lines, reconcile.ALL_SEVEN)
