@@ -44,6 +44,20 @@ def edges(df, keep):
     )
 
 
+def part_edges(df, keep):
+    """Edge table with `part_no` and `place`, the number of the part and of the edge in it, from 0."""
+    parts = df.select(*_as_list(keep), F.posexplode("geom").alias("part_no", "part")).where(F.size("part") > 1)
+    pairs = parts.select(
+        *_as_list(keep), "part_no",
+        F.posexplode(F.expr("arrays_zip(slice(part, 1, size(part) - 1), slice(part, 2, size(part) - 1))")).alias("place", "e"),
+    )
+    return pairs.select(
+        *_as_list(keep), "part_no", "place",
+        F.col("e")["0"]["x"].alias("ax"), F.col("e")["0"]["y"].alias("ay"),
+        F.col("e")["1"]["x"].alias("bx"), F.col("e")["1"]["y"].alias("by"),
+    )
+
+
 def edge_length():
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     return F.sqrt(dx * dx + dy * dy)

@@ -222,18 +222,27 @@ def ring_edges(polygons, keep):
     return other_edges(edges(boxed, [*keep, "poly_xmin"]))
 
 
+def ray_box(rings, side):
+    """The box in which a ray to the right can cross a ring edge: from the left side of its polygon up to the edge."""
+    px, py, qx, qy = (F.col(c) for c in ("px", "py", "qx", "qy"))
+    return with_box(rings, side, F.col("poly_xmin"), F.least(py, qy), F.greatest(px, qx), F.greatest(py, qy))
+
+
+def crosses_ray(p, q, v):
+    """The edge p-q crosses the ray to the right of v; a vertex on the ray counts for one of its edges only."""
+    straddles = (p[1] <= v[1]) != (q[1] <= v[1])
+    turn = (q[0] - p[0]) * (v[1] - p[1]) - (q[1] - p[1]) * (v[0] - p[0])
+    return straddles & (F.when(q[1] > p[1], turn).otherwise(-turn) > 0)
+
+
 def points_in_polygons(points, rings, point_id, polygon_id, cell, **options):
     """(point, polygon) pairs with the point inside, by counting the ring edges on a ray to the right.
 
     Each ring edge is filed in the cells from its polygon's left side up to itself, so a point meets exactly
     the edges its ray can cross, and no task ever holds a whole polygon.
     """
-    px, py, qx, qy, x, y = (F.col(c) for c in ("px", "py", "qx", "qy", "x", "y"))
-    straddles = (py <= y) != (qy <= y)
-    lower_first = qy > py
-    turn = (qx - px) * (y - py) - (qy - py) * (x - px)
-    crossed = straddles & (F.when(lower_first, turn).otherwise(-turn) > 0)
-    filed = with_box(rings, "r", F.col("poly_xmin"), F.least(py, qy), F.greatest(px, qx), F.greatest(py, qy))
+    crossed = crosses_ray(_point("px", "py"), _point("qx", "qy"), _point("x", "y"))
+    filed = ray_box(rings, "r")
     hits = cell_join(point_box(points, "l"), filed, crossed, cell, **options)
     counts = hits.groupBy(point_id, polygon_id).agg(F.count("*").alias("n"))
     return counts.where("n % 2 = 1").drop("n")

@@ -226,7 +226,7 @@ CTES = {
     "crossed": f"SELECT s.*, coalesce(n.assessment_id,0) AS assessment_id, coalesce(n.fish_observed,'Unknown') AS fish_observed,"
                f" coalesce(n.habitat_value,'Unknown') AS habitat_value, coalesce(n.final_score,0) AS final_score,"
                f" coalesce(n.barrier,'Unknown') AS barrier, n.assessment_date FROM streams s LEFT JOIN near n ON {_same('s', 'n', _K5)}",
-    "species_hits": _box_pairs(", ".join(f"e.{c}" for c in _K5) + ", p.occ_id, p.SCI_NAME, p.ENG_NAME", "kept_edges", "fx_sar", 1000),
+    "species_hits": _box_pairs(", ".join(f"e.{c}" for c in _K5) + ", p.occ_id, p.SCI_NAME, p.ENG_NAME", "kept_edges", "species_parts", 1000),
     "matched": f"SELECT c.*, h.occ_id, h.SCI_NAME, h.ENG_NAME FROM crossed c LEFT JOIN species_hits h ON {_same('c', 'h', _K5)}",
     "richness": f"SELECT {_k5}, count(DISTINCT SCI_NAME) AS number_distinct_SAR FROM matched WHERE SCI_NAME IS NOT NULL GROUP BY {_k5}",
     "one_row": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_k5} ORDER BY assessment_id) AS rn FROM crossed) WHERE rn=1",
@@ -309,6 +309,11 @@ CTES = {
         SELECT {cols}, xmin, CAST((ymin+ymax)/2 AS BIGINT), CAST((xmin+xmax)/2 AS BIGINT), ymax FROM {source}"""
        for name, cols, source in (("region_parts", "region_id, REGION_NAME", "fx_regions"),
                                   ("section_parts", "eco_id, ECOSECTION_NAME", "fx_ecosections"))},
+    # A species area is the left part of its upper half and four strips of the lower half around the hole.
+    "species_parts": " UNION ALL ".join(f"SELECT occ_id, SCI_NAME, ENG_NAME, CAST({x0} AS BIGINT) AS xmin, CAST({y0} AS BIGINT) AS ymin,"
+        f" CAST({x1} AS BIGINT) AS xmax, CAST({y1} AS BIGINT) AS ymax FROM fx_sar" for x0, y0, x1, y1 in (
+            ("xmin", "(ymin+ymax)/2", "(xmin+xmax)/2", "ymax"), ("xmin", "ymin", "xmax", "ymin+100"), ("xmin", "ymin+500", "xmax", "(ymin+ymax)/2"),
+            ("xmin", "ymin", "xmin+100", "(ymin+ymax)/2"), ("xmin+1100", "ymin", "xmax", "(ymin+ymax)/2"))),
     "texts_once": f"""SELECT {', '.join('s.' + c for c in _K5)}, coalesce(t.a,'NA') AS SCI_NAME, coalesce(t.b,'NA') AS ENG_NAME FROM streams s
         LEFT JOIN (SELECT {_k5}, string_agg(coalesce(SCI_NAME,'NA'), ', ' ORDER BY occ_id) AS a, string_agg(ENG_NAME, ', ' ORDER BY occ_id) AS b
         FROM species_hits GROUP BY {_k5}) t ON {_same('s', 't', _K5)}""",
@@ -424,7 +429,7 @@ SQL = {
     # spatial joins
     "crossing_within_50m": _point_pairs("e.seg_id, p.assessment_id", "fx_edges", 50),
     "crossing_on_line": _point_pairs("e.seg_id, p.assessment_id", "fx_edges", 0),
-    "species_overlay": _box_pairs("e.seg_id, p.occ_id", "fx_edges", "fx_sar", 1000),
+    "species_overlay": _box_pairs("e.seg_id, p.occ_id", "fx_edges", "species_parts", 1000),
     "region_overlay": _box_pairs("e.seg_id, p.region_id", "fx_edges", "fx_regions", 50000),
     "polygon_overlay": _box_pairs("e.seg_id, p.region_id", "fx_edges", "region_parts", 50000),
     "expert_overlay": _edge_pairs("e.seg_id, p.row_id", "fx_edges", "unkeyed_edges"),

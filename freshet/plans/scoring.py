@@ -8,55 +8,66 @@ shuffled once, and only per-stream aggregates leave it; no table of all matches
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from freshet.functions.geo import edge_hits_box, edge_hits_edge, point_near_edge
+from freshet.functions.geo import edge_hits_edge, point_near_edge
 from freshet.functions.nulls import UNKNOWN, coalesce_sources, row_sum0, to_int
 from freshet.operators import score
 from freshet.operators.chains import dissolved_lines
-from freshet.operators.geometry import edges, reproject
+from freshet.operators.geometry import edges, part_edges, reproject
 from freshet.operators.groups import first_per, text_list
 from freshet.operators.joins import left_join
 from freshet.operators.simplify import simplify_by_section, simplify_keep
-from freshet.operators.spatial import cell_join, edge_box, edges_in_boxes, edges_near_points, with_box
+from freshet.operators.spatial import cell_join, crosses_ray, edge_box, edges_near_points, lines_in_polygons, ring_edges, with_box
 from freshet.plans.segments import keep_streams, key_levels
 
 STREAM = ["ECOSECTION_NAME", "BLUE_LINE_KEY", "GNIS_NAME"]
-CROSSING, SPECIES, EXPERT = 0, 1, 2
+CROSSING, SPECIES, EXPERT, INSIDE = 0, 1, 2, 3
 
 
 def _features(crossings, species, experts, radius):
-    """The three overlay layers as one table, reduced to what a stream can make use of.
+    """The overlay layers as one table, reduced to what a stream can make use of.
 
-    Crossings at one spot: only the first can win. Species: one row per place and name. Expert lines: only
-    those with a summer flag count, and of equal edges only the first.
+    Crossings at one spot: only the first can win. Expert lines: only those with a summer flag count, and of equal edges only
+    the first. Species areas: one per polygon and name; each ring edge is filed twice, as a line that streams can touch
+    (SPECIES) and with the box of the rays it can cross (INSIDE), by which the start of a line is found inside.
     """
     first = F.struct(
         F.col("assessment_id").alias("fid"), F.col("fish_observed").alias("a"), F.col("habitat_value").alias("b"))
+    nowhere, nothing = F.lit(None).cast("double").alias("poly_xmin"), F.lit(None).cast("string").alias("label")
     points = crossings.groupBy("x", "y").agg(F.min(first).alias("first")).select(
         F.lit(CROSSING).alias("kind"), F.col("x").alias("px"), F.col("y").alias("py"), F.col("x").alias("qx"),
-        F.col("y").alias("qy"), F.lit(None).cast("string").alias("label"), "first")
-    nobody = F.struct(F.lit(0).cast("long").alias("fid"), F.lit(None).cast("string").alias("a"),
-                      F.lit(None).cast("string").alias("b"))
-    boxes = species.where("SCI_NAME IS NOT NULL").select(
-        F.lit(SPECIES), "xmin", "ymin", "xmax", "ymax", "SCI_NAME").distinct().withColumn("first", nobody)
+        F.col("y").alias("qy"), nowhere, nothing, "first")
     flags = F.struct(F.col("row_id").alias("fid"), F.col("Summer_Sen").alias("a"), F.col("Winter_Sen").alias("b"))
     unkeyed = experts.where("BLUE_LINE_ = '0' AND Summer_Sen IS NOT NULL").withColumn("first", flags)
     lines = edges(unkeyed, ["first"]).groupBy("ax", "ay", "bx", "by").agg(F.min("first").alias("first")).select(
-        F.lit(EXPERT), "ax", "ay", "bx", "by", F.lit(None).cast("string"), "first")
-    features = points.union(boxes).union(lines)
-    xs, ys = (F.col("px"), F.col("qx")), (F.col("py"), F.col("qy"))
+        F.lit(EXPERT), "ax", "ay", "bx", "by", nowhere, nothing, "first")
+    polygon = F.struct(F.col("occ_id").alias("fid"), F.lit(None).cast("string").alias("a"), F.lit(None).cast("string").alias("b"))
+    areas = species.where("SCI_NAME IS NOT NULL").groupBy("SCI_NAME", "geom").agg(F.min(polygon).alias("first"))
+    rings = ring_edges(areas, ["SCI_NAME", "first"]).select(
+        F.explode(F.array(F.lit(SPECIES), F.lit(INSIDE))).alias("kind"), "px", "py", "qx", "qy", "poly_xmin", "SCI_NAME", "first")
+    features = points.union(lines).union(rings)
     reach = F.when(F.col("kind") == CROSSING, F.lit(float(radius))).otherwise(F.lit(0.0))
-    return with_box(features, "r", F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys), reach)
+    left = F.when(F.col("kind") == INSIDE, F.col("poly_xmin")).otherwise(F.least("px", "qx"))
+    return with_box(features, "r", left, F.least("py", "qy"), F.greatest("px", "qx"), F.greatest("py", "qy"), reach)
 
 
 def stream_overlays(segments, crossings, species, experts, radius=50, cell=1000, **options):
-    """Per stream: its first crossing, number of species and first expert line; streams without any are absent."""
+    """Per stream: its first crossing, number of species and first expert line; streams without any are absent.
+
+    A line lies in a species area if it touches a ring of it or if the start of a part is inside. Ring edges on the ray of a
+    start are counted per start and area, before streams are formed; only starts take part in that, one per part of a segment.
+    """
     a, b, p, q = [(F.col(c[0]), F.col(c[1])) for c in (("ax", "ay"), ("bx", "by"), ("px", "py"), ("qx", "qy"))]
     kind = F.col("kind")
     meets = F.when(kind == CROSSING, point_near_edge(a, b, p, radius)).when(
-        kind == SPECIES, edge_hits_box(a, b, (*p, *q))).otherwise(edge_hits_edge(a, b, p, q))
+        kind == INSIDE, (F.col("place") == 0) & crosses_ray(p, q, a)).otherwise(edge_hits_edge(a, b, p, q))
     features = _features(crossings, species, experts, radius)
-    hits = cell_join(edge_box(edges(segments, STREAM), "l"), features, meets, cell, **options)
-    labels = hits.groupBy(*STREAM, "kind", "label").agg(F.min("first").alias("first"))
+    hits = cell_join(edge_box(part_edges(segments, ["seg_id", *STREAM]), "l"), features, meets, cell, **options)
+    # One row per start and area with the number of crossed ring edges; all other kinds become one row per stream and label.
+    start = F.when(kind == INSIDE, F.struct("seg_id", "part_no", F.col("first.fid").alias("fid"))).alias("start")
+    counted = hits.groupBy(*STREAM, "kind", "label", start).agg(F.min("first").alias("first"), F.count("*").alias("n"))
+    found = counted.where((kind != INSIDE) | (F.col("n") % 2 == 1))
+    found = found.withColumn("kind", F.when(kind == INSIDE, F.lit(SPECIES)).otherwise(kind))
+    labels = found.groupBy(*STREAM, "kind", "label").agg(F.min("first").alias("first"))
     return labels.groupBy(*STREAM).agg(
         F.min(F.when(kind == CROSSING, F.col("first"))).alias("crossing"),
         F.sum((kind == SPECIES).cast("int")).alias("species"),
@@ -102,9 +113,9 @@ def score_streams(segments, ecosections, crossings, species, experts, radius=50,
 
 def species_matches(segments, species, cell=1000):
     """Every (stream, occurrence) match once, as rows: the whole result, however many a stream has."""
-    boxes = species.select("occ_id", "SCI_NAME", "ENG_NAME", "xmin", "ymin", "xmax", "ymax")
-    found = edges_in_boxes(edges(segments, STREAM), boxes, cell)
-    return found.select(*STREAM, "occ_id", "SCI_NAME", "ENG_NAME").distinct()
+    rings = ring_edges(species.select(F.struct("occ_id", "SCI_NAME", "ENG_NAME").alias("area"), "geom"), ["area"])
+    found = lines_in_polygons(segments.select(F.struct(*STREAM).alias("line"), "geom"), rings, "line", "area", cell)
+    return found.select("line.*", "area.*")
 
 
 def crossing_counts(segments, crossings, radius=50, cell=1000):

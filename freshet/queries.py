@@ -190,8 +190,7 @@ def crossing_on_line(s, d):
 
 
 def species_overlay(s, d):
-    boxes = fx.species(s, d).select("occ_id", "xmin", "ymin", "xmax", "ymax")
-    return spatial.edges_in_boxes(_segment_edges(s, d), boxes, 1000).select("seg_id", "occ_id").distinct()
+    return spatial.lines_in_polygons(fx.segments(s, d), spatial.ring_edges(fx.species(s, d), ["occ_id"]), "seg_id", "occ_id", 1000)
 
 
 def region_overlay(s, d):
@@ -239,9 +238,8 @@ def streams_by_section(s, d):
 # --- aggregates -------------------------------------------------------------------------------------------
 
 def species_richness(s, d):
-    boxes = fx.species(s, d).where("SCI_NAME IS NOT NULL").select("SCI_NAME", "xmin", "ymin", "xmax", "ymax")
-    hits = spatial.edges_in_boxes(geometry.edges(_kept(s, d), K3), boxes, 1000)
-    return hits.select(*K3, "SCI_NAME").distinct().groupBy(*K3).agg(F.count("*").alias("number_distinct_SAR"))
+    matches = scoring.species_matches(_kept(s, d), fx.species(s, d).where("SCI_NAME IS NOT NULL"))
+    return matches.select(*K3, "SCI_NAME").distinct().groupBy(*K3).agg(F.count("*").alias("number_distinct_SAR"))
 
 
 def species_text(s, d):

@@ -212,7 +212,11 @@ def ecosections(spark, sf_dir):
 
 
 def species(spark, sf_dir):
-    return _boxes(load(spark, sf_dir, "fx_sar"))
+    """Concave areas with a hole in their lower half."""
+    df = _polygons(load(spark, sf_dir, "fx_sar"))
+    x, y = F.col("xmin"), F.col("ymin")
+    hole = F.array(*[F.struct((x + dx).alias("x"), (y + dy).alias("y")) for dx, dy in ((100, 100), (1100, 100), (1100, 500), (100, 500), (100, 100))])
+    return df.withColumn("geom", F.concat("geom", F.array(hole)))
 
 
 def _points(df):

@@ -103,7 +103,8 @@ def scoring_layers(spark):
         "assessment_id long, x double, y double, fish_observed string, habitat_value string")
     species = spark.createDataFrame(
         [(1, "S1", "e1", -5.0, -5.0, 5.0, 5.0), (2, "S1", "e1", 50.0, -5.0, 60.0, 5.0), (3, None, "e3", 50.0, -5.0, 60.0, 5.0)],
-        "occ_id long, SCI_NAME string, ENG_NAME string, xmin double, ymin double, xmax double, ymax double")
+        "occ_id long, SCI_NAME string, ENG_NAME string, xmin double, ymin double, xmax double, ymax double").withColumn(
+            "geom", geometry.line_geom(("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"), ("xmin", "ymin")))
     experts = layer(spark, [
         (1, "2", "N", "Y", [[(0, 0), (1, 1)]]), (2, "0", None, "Y", [[(50, -10), (50, 10)]]),
         (3, "0", "Y", None, [[(60, -10), (60, 10)]]), (4, "0", "N", "N", [[(70, -10), (70, 10)]])],
@@ -140,6 +141,25 @@ def test_copies_of_a_segment_change_nothing(spark, monkeypatch):
     assert len(seen) == 1 and seen[0] is not None
 
 
+def test_species_areas_with_holes_and_equal_segments(spark):
+    def area(i, name, *rings):
+        return (i, name, name, [[{"x": float(x), "y": float(y)} for x, y in (*r, r[0])] for r in rings])
+
+    box = [(-10, -10), (300, -10), (300, 90), (-10, 90)]
+    hole = [(-5, -5), (250, -5), (250, 50), (-5, 50)]
+    concave = [(-10, -10), (300, -10), (300, -2), (10, -2), (10, 80), (-10, 80)]
+    areas = spark.createDataFrame([
+        area(1, "around", box), area(2, "around", box), area(3, "hole", box, hole), area(4, "concave", concave), area(5, None, box)],
+        "occ_id long, SCI_NAME string, ENG_NAME string, geom array<array<struct<x:double,y:double>>>")
+    segs, sections, crossings, _, experts = scoring_layers(spark)
+    near = segs.where("seg_id = 1")
+    for many in (near, near.union(near).union(near.withColumn("seg_id", F.lit(99).cast("long")))):
+        one = scoring.score_streams(many, sections, crossings, areas, experts).first()
+        assert one.number_distinct_SAR == 2  # inside the plain area and through the border of the concave one, not in the hole
+        found = scoring.species_matches(many.select("seg_id", *scoring.STREAM, "geom"), areas)
+        assert {(r.occ_id, r.SCI_NAME) for r in found.collect()} == {(1, "around"), (2, "around"), (4, "concave"), (5, None)}
+
+
 def test_species_text_repeats_per_crossing(spark):
     segs, sections, crossings, species, _ = scoring_layers(spark)
     kept = segs.where("seg_id IN (1, 5)")
