@@ -1,6 +1,7 @@
 """Shared parts of the document operators: batches, word hashes, packed exchanges, connected components."""
 
 import numpy as np
+import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ BATCH_BYTES = 4_000_000   # text gathered in a task before it is hashed together
 BUCKET_BYTES = 4_000_000  # text whose hashes meet in one bucket, on average
 CHUNK = 1 << 20           # bytes hashed at once; only a longer word makes it longer
 NULL_ID = -(1 << 63)      # a null doc_id sorts first and is written back as null
+LEAST_ID = -(1 << 62)     # ids are not smaller; the keys below stand for rows without id, each text with its own
 
 
 def read_documents(spark, sf_dir):
@@ -27,6 +29,17 @@ def bucket_count(docs, per=BUCKET_BYTES):
     return max(2 * parts, text_bytes(docs) // per)
 
 
+def null_key(text):
+    """The key of a row without id: below all ids, and by its text, so that different texts stay different documents."""
+    return NULL_ID + (xxhash.xxh64_intdigest(text, 42) >> 2)
+
+
+def row_key():
+    """doc_id, or the same key for rows without one, as a column."""
+    by_text = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2) + F.lit(NULL_ID)
+    return F.coalesce(F.col("doc_id").cast("long"), by_text)
+
+
 def slices(batches, rows=256):
     """Parts of record batches, so that only few rows are Python objects at a time."""
     for batch in batches:
@@ -35,12 +48,12 @@ def slices(batches, rows=256):
 
 
 def doc_batches(batches, limit=BATCH_BYTES):
-    """Lists of doc ids (null: NULL_ID) and texts as bytes (null: empty) of about `limit` bytes."""
+    """Lists of doc ids (null: null_key) and texts as bytes (null: empty) of about `limit` bytes."""
     ids, texts, size = [], [], 0
     for part in slices(batches):
         for i, x in zip(part["doc_id"].to_pylist(), part["text"].cast("binary").to_pylist(), strict=True):
-            ids.append(NULL_ID if i is None else i)
             texts.append(x or b"")
+            ids.append(null_key(texts[-1]) if i is None else i)
             size += len(texts[-1])
             if size >= limit:
                 yield ids, texts
@@ -50,7 +63,7 @@ def doc_batches(batches, limit=BATCH_BYTES):
 
 
 def id_of(key):
-    return None if key == NULL_ID else int(key)
+    return None if key < LEAST_ID else int(key)
 
 
 # --- hashes ---------------------------------------------------------------------------------------------------
@@ -269,8 +282,10 @@ def pack_texts(docs, groups):
     def pack(batches):
         press = zstandard.ZstdCompressor(3)
         for batch in slices(batches, 2_048):
-            ids = batch.column(at_id).cast(pa.int64()).fill_null(NULL_ID)
+            ids = batch.column(at_id).cast(pa.int64())
             texts = batch.column(at_text).cast("binary").to_pylist()
+            if ids.null_count:
+                ids = pa.array([null_key(x or b"") if i is None else i for i, x in zip(ids.to_pylist(), texts, strict=True)], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(spread(ids.to_numpy(zero_copy_only=False), groups)), ids,
                  pa.array([None if x is None else press.compress(x) for x in texts], pa.binary()),

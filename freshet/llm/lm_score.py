@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from freshet.llm.common import (
-    BASE, GAPS, NULL_ID, Words, bucket_count, expand, mix, narrow, pack_texts, runs, spread, squeeze, unpack_text,
+    BASE, GAPS, LEAST_ID, Words, bucket_count, expand, mix, narrow, pack_texts, runs, spread, squeeze, unpack_text,
 )
 from freshet.sources.layers import materialise
 
@@ -111,7 +111,8 @@ def cross_entropy_difference(docs, target, size=VOCABULARY, add=ADD):
     documents; both smooth alike, P(w|v) = (n(v, w) + add) / (n(v) + add * vocabulary). The vocabulary is every word of
     the texts, or with `size` the most frequent ones; a word is known by its 64-bit hash. Words are separated by
     whitespace; all texts count and are scored whole. A document without words (null or empty text) has null losses.
-    A null doc_id is never in the target; rows that share a doc_id are scored together, once. An empty target gives a
+    Rows without doc_id are never in the target and are told apart by their text; rows that share a doc_id are scored
+    together, once. An empty target gives a
     uniform model.
 
     Each block of documents sends its distinct pairs and words with their counts to buckets, and gets the counts of the
@@ -160,5 +161,5 @@ def cross_entropy_difference(docs, target, size=VOCABULARY, add=ADD):
     counts = blocks.mapInArrow(pack, "bucket long, grp long, counts binary").groupBy("bucket").applyInArrow(add_up, "grp long, bucket long, sums binary")
     scored = blocks.groupBy("grp").cogroup(counts.groupBy("grp")).applyInArrow(losses, "key long, n long, t long, b long")
     per = lambda x: x / F.lit(NANO) / F.nullif(F.col("n"), F.lit(0))
-    return scored.select(F.when(F.col("key") != NULL_ID, F.col("key")).alias("doc_id"), F.col("n").alias("n_tokens"), per(F.col("t")).alias("target_loss"),
+    return scored.select(F.when(F.col("key") >= LEAST_ID, F.col("key")).alias("doc_id"), F.col("n").alias("n_tokens"), per(F.col("t")).alias("target_loss"),
                          per(F.col("b")).alias("background_loss"), per(F.col("t") - F.col("b")).alias("score"))

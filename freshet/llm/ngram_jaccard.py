@@ -14,8 +14,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 from freshet.llm.common import (
-    BUCKET_BYTES, BUCKET_SCHEMA, NULL_ID, Words, bucket_count, bucket_rows, components, doc_batches, expand, group_rows,
-    join_places, mix, narrow, pack_places, pack_texts, read_bucket, rolling, runs, slices, squeeze, unpack_text,
+    BUCKET_BYTES, BUCKET_SCHEMA, LEAST_ID, Words, bucket_count, bucket_rows, components, doc_batches, expand, group_rows,
+    join_places, mix, narrow, pack_places, pack_texts, read_bucket, rolling, row_key, runs, slices, squeeze,
+    unpack_text,
 )
 from freshet.sources.layers import materialise
 
@@ -407,16 +408,8 @@ def jaccard_links(docs, width=3, percent=90, signed=None, forest=False, counted=
     return round_of(partners, whole.join(about, "doc"), link_bound, ("a", "b", "others"), "a long, b long, others long")
 
 
-def jaccard_join(docs, width=3, percent=90, counted=True):
-    """Per document: doc_id, n_shingles, component_id, class_id, n_links.
-
-    Texts are lower-cased (A-Z); a document's set holds its distinct `width`-word n-grams, or its whole word sequence
-    if that is shorter. Two documents link if 100 * intersection >= percent * union. class_id is the smallest document
-    with the same set, component_id the smallest reachable by links, n_links the number of other documents linked to
-    (left out without `counted`). Documents without words (null or empty texts) have size 0, no links and stand alone.
-    A null doc_id counts as the smallest; repeated rows each get the result of their doc_id, and rows that share a
-    doc_id count as one document.
-    """
+def _joined(docs, width, percent, counted):
+    """jaccard_join with the keys of rows in place of their ids."""
     signed = signatures(docs, width, percent)
     classes = _copies(signed)
     if counted:
@@ -430,15 +423,31 @@ def jaccard_join(docs, width=3, percent=90, counted=True):
     facts = classes.join(found, F.col("class_id") == F.col("node"), "left").withColumn("component_id", F.coalesce("component", "class_id"))
     links = ["n_links"] if counted else []
     out = signed.join(facts.select("cls", "class_id", "component_id", *links), "cls", "left")
-    real = lambda c: F.when(c != NULL_ID, c)
-    return out.select(
-        real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-        real(F.coalesce("component_id", "doc_id")).alias("component_id"), real(F.coalesce("class_id", "doc_id")).alias("class_id"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in links])
+    return out.select("doc_id", "n", *[F.coalesce(c, "doc_id").alias(c) for c in ("component_id", "class_id")],
+                      *[F.coalesce(c, F.lit(0)).alias(c) for c in links])
+
+
+def jaccard_join(docs, width=3, percent=90, counted=True):
+    """Per document: doc_id, n_shingles, component_id, class_id, n_links.
+
+    Texts are lower-cased (A-Z); a document's set holds its distinct `width`-word n-grams, or its whole word sequence
+    if that is shorter. Two documents link if 100 * intersection >= percent * union. class_id is the smallest document
+    with the same set, component_id the smallest reachable by links, n_links the number of other documents linked to
+    (left out without `counted`). Documents without words (null or empty texts) have size 0, no links and stand alone.
+    Rows without doc_id come first, each text a document of its own, and are written with null ids; repeated rows each get
+    the result of their doc_id, and rows that share a doc_id count as one document.
+    """
+    out = _joined(docs, width, percent, counted)
+    real = lambda c: F.when(F.col(c) >= LEAST_ID, F.col(c)).alias(c)
+    return out.select(real("doc_id"), F.col("n").alias("n_shingles"), real("component_id"), real("class_id"), *(["n_links"] if counted else []))
 
 
 def keep_one(docs, width=5, percent=80):
-    """The documents without near copies: of each component the one with the smallest doc_id stays, with its columns."""
-    kept = jaccard_join(docs, width, percent, counted=False).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])
+    """The documents without near copies: of each component the one with the smallest doc_id stays, with its columns.
+
+    Of rows with one doc_id and text one stays; rows without doc_id are known by their text, and of those that share a
+    doc_id every text stays if the id does.
+    """
+    kept = _joined(docs, width, percent, False).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    keyed = docs.withColumns({"__key": row_key(), "__text": F.xxhash64("text")})
+    return keyed.join(kept, F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key", "__text"]).drop("__key", "__text")

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from freshet.llm.common import GAPS
+from freshet.llm.common import GAPS, row_key
 from freshet.sources.layers import materialise
 
 CHARS = "A-Za-z0-9_+/=\\-"
@@ -144,10 +144,12 @@ def scan(docs, labelled=None, reviewed=None, path="source", least=0.5):
 
 
 def redact(docs, mark="[SECRET]", **options):
-    """The documents, all columns, with every secret replaced by `mark`; rows sharing a doc_id share their secrets."""
-    found = scan(docs, **options).where("is_secret").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("finding").alias("__s"))
+    """The documents, all columns, with every secret replaced by `mark`; rows sharing a doc_id share their secrets, rows
+    without one are known by their text."""
+    found = scan(docs.withColumn("doc_id", row_key()), **options).where("is_secret").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("finding").alias("__s"))
     # Longest first, so that a secret inside another does not cut it.
     order = F.sort_array(F.transform("__s", lambda s: F.struct((-F.char_length(s)).alias("n"), s.alias("s"))))
     text = F.aggregate(order, F.col("text"), lambda t, s: F.replace(t, s["s"], F.lit(mark)))
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left")
-    return joined.select(*[(F.when(F.col("__s").isNull(), F.col("text")).otherwise(text).alias(c) if c == "text" else docs[c]) for c in docs.columns])
+    docs = docs.withColumn("__key", row_key())
+    joined = docs.join(found, F.col("__key") == F.col("__id"), "left")
+    return joined.select(*[(F.when(F.col("__s").isNull(), F.col("text")).otherwise(text).alias(c) if c == "text" else docs[c]) for c in docs.columns if c != "__key"])

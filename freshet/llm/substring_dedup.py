@@ -84,7 +84,8 @@ def remove_repeats(docs, width=WIDTH):
 
     Earlier means a smaller doc_id, or an earlier start in the same document; windows are judged on the input.
     Runs of removed words are maximal: overlapping and adjoining windows merge. Kept words keep their gaps. A null
-    text has no words and stays null, a null doc_id counts as the smallest. Rows that repeat a doc_id with the same
+    text has no words and stays null. Rows without doc_id come before all others, in an order by their texts, each text a
+    document of its own. Rows that repeat a doc_id with the same
     text get the same result (the same place is not earlier than itself); rows that share a doc_id but differ in text
     count as one document, whose places are numbered by row. Columns named n_words or n_removed are replaced.
     """
