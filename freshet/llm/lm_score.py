@@ -14,7 +14,7 @@ ADD = 0.01            # added to each bigram count
 START, UNKNOWN = np.uint64(0), np.uint64(1)  # in place of the 64-bit hash of a word
 HISTORY = np.uint64(0xD6E8FEB86659FD93)      # tells the key of a word that others follow from keys of pairs
 NANO = 1e9            # losses are added up as whole nanonats, so the order of addition cannot matter
-BLOCK_BYTES = 8_000_000  # text of the documents of a block and of the pairs of a bucket, on average
+BLOCK_BYTES = 7_000_000  # text of the documents of a block and of the pairs of a bucket, on average
 
 
 def vocabulary(docs, size):
@@ -94,12 +94,19 @@ def _tally(chosen, before, ids, groups):
     """Distinct keys of a block in order of bucket, their buckets, counts and target counts, and for each word the places
     of its pair and of the word before it. Keys are 64-bit hashes of pairs and of the words that others follow.
     """
-    keys, number = np.unique(np.concatenate([mix(before * np.uint64(BASE) + ids), mix(before ^ HISTORY)]), return_inverse=True)
-    n, t = (np.bincount(x, minlength=len(keys)) for x in (number, number[np.concatenate([chosen, chosen])]))
+    keys = np.concatenate([mix(before * np.uint64(BASE) + ids), mix(before ^ HISTORY)])
+    by = np.argsort(keys).astype(np.uint32)
+    keys = keys[by]
+    starts = runs(keys)[0]
+    keys, number = keys[starts], np.empty(len(by), np.uint32)
+    number[by] = np.repeat(np.arange(len(starts), dtype=np.uint32), np.diff(np.append(starts, len(by))))
+    del by
+    n = np.diff(np.append(starts, len(number)))
+    t = np.bincount(number[:len(ids)][chosen], minlength=len(keys)) + np.bincount(number[len(ids):][chosen], minlength=len(keys))
     bucket = (keys % np.uint64(groups)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
-    rank = np.empty(len(by), np.int64)
-    rank[by] = np.arange(len(by))
+    rank = np.empty(len(by), np.uint32)
+    rank[by] = np.arange(len(by), dtype=np.uint32)
     return keys[by], bucket[by], n[by], t[by], rank[number[:len(ids)]], rank[number[len(ids):]]
 
 
