@@ -9,6 +9,7 @@ from freshet.llm.common import (
 )
 
 WIDTH = 20
+BATCH = 2_500_000  # text whose windows are hashed together
 
 
 def _windows(width, buckets):
@@ -19,7 +20,7 @@ def _windows(width, buckets):
     """
 
     def run(batches):
-        for ids, texts in doc_batches(batches):
+        for ids, texts in doc_batches(batches, BATCH):
             order = np.argsort(np.array(ids, np.int64), kind="stable")
             ids, texts = np.array(ids, np.int64)[order], [texts[i] for i in order]
             words = Words(texts)
@@ -34,6 +35,7 @@ def _windows(width, buckets):
             lead = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
             later = np.sort(by[same & ((doc[by] != doc[lead]) | (place[by] != place[lead]))])
             own = by[~same]
+            del words, by, lead, same, text
             bucket = (other[own] % np.uint64(buckets)).astype(np.int64)
             yield bucket_rows(bucket, key[own], doc[own], place[own], (doc[later], place[later]))
 
