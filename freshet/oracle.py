@@ -191,6 +191,7 @@ CTES = {
         SELECT * FROM cut_edges UNION ALL SELECT name, ax, ay, bx, by_, ax, ay FROM named_edges UNION ALL SELECT name, ax, ay, bx, by_, bx, by_ FROM named_edges)
         WINDOW w AS (PARTITION BY name, ax, ay, bx, by_ ORDER BY (cx-ax)*(bx-ax)+(cy-ay)*(by_-ay))) WHERE dx IS NOT NULL""",
     **_dissolved("noded", "cut_pieces", "name"), **_walks("noded", "name"),
+    **_dissolved("half", "(SELECT *, 1 AS one FROM river_edges WHERE river_id%2=0)", "one"),
     "river_lines": "SELECT river_id, list([x, y] ORDER BY i) AS path FROM river_points GROUP BY river_id",
     **_areas("river", "river_lines", "river_id"),
     "section_areas": "SELECT a.*, ECOSECTION_NAME FROM river_areas a JOIN (SELECT DISTINCT river_id, ECOSECTION_NAME FROM river_points) USING (river_id)",
@@ -599,6 +600,21 @@ SQL = {
     "expert_layer": f"SELECT {', '.join('key.' + c + ' AS ' + c for c in _SEVEN)}, {_PART}, CAST(len(path) AS INT) AS n_vertices, {_SUM} FROM ("
                     + _thinned("drawn_lines", "key, part", _kept_vertices("drawn_areas", "key, part", 0.05)) + ")",
     "app_stream_layer": "SELECT row_id, 2 AS n_vertices, round(lon,6) AS lon, round(lat,6) AS lat FROM (" + _lonlat("row_id", "SELECT * FROM fx_expert_streams", "x0", "y0") + ")",
+    "sheet_file": "SELECT row_id+3 AS row_no, stream AS stream_name, mad_l_s_text AS mad_l_s FROM fx_hydromaster",
+    "station_points": "SELECT STATION_NUMBER, x, y FROM fx_stations",
+    "dissolve_selection": f"SELECT count(*) AS n_edges, CAST(round(sum({_LEN})*1000) AS BIGINT) AS length_mm FROM half_edges",
+    "flat_lines": f"SELECT river_id, CAST(len(path) AS INT) AS n_vertices, {_SUM} FROM river_lines",
+    "dated_export": f"""SELECT 'Stream_Drought_Sensitivity_{REGION}_2024-04-08.csv' AS file, count(*) AS n FROM hand_regions WHERE {_SHORT}='{REGION}'""",
+    "station_csv_export": f"""SELECT row_number() OVER (ORDER BY STATION_NUMBER) AS row_number, STATION_NUMBER, STATION_NAME FROM (
+        SELECT DISTINCT STATION_NUMBER, STATION_NAME FROM fx_stations JOIN region_parts
+        ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax WHERE {_SHORT}='{REGION}')""",
+    "stream_layer_export": f"""SELECT row_id, {_SEASONS['summer']} AS leaf_col, 2 AS n_vertices, CAST((x0+x1)*31+(y0+y1)*17 AS BIGINT) AS vertex_sum
+        FROM shown JOIN hand_regions USING (row_id) WHERE {_SHORT}='{REGION}'""",
+    "section_layer_export": """SELECT ECOSECTION_NAME, number_sar, 7 AS n_vertices, CAST(31*(3*xmin+2*xmax+(xmin+xmax))+17*(3*ymin+2*ymax+(ymin+ymax)) AS BIGINT)
+        AS vertex_sum FROM sar_sections""",
+    "station_popup": f"""SELECT DISTINCT STATION_NUMBER, STATION_NAME, PROV_TERR_STATE_LOC FROM fx_stations JOIN region_parts
+        ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax WHERE {_SHORT}='{REGION}'""",
+    "legend_values": "SELECT DISTINCT final_score FROM fx_pscis WHERE final_score IS NOT NULL ORDER BY final_score DESC",
     "species_matches": f"SELECT {_k3}, occ_id, SCI_NAME, ENG_NAME FROM species_hits",
     "crossing_counts": f"SELECT {_k3}, CAST(count(DISTINCT assessment_id) AS INT) AS times FROM near GROUP BY {_k3}",
     "station_registry": "SELECT STATION_NUMBER, PROV_TERR_STATE_LOC FROM fx_stations",

@@ -7,6 +7,7 @@ from freshet.functions.text import strip_region
 from freshet.operators.geometry import boundary_points
 from freshet.operators.spatial import lines_in_polygons, points_meet_polygons, ring_edges, spatial_join
 from freshet.plans.species import project
+from freshet.sources.layers import GEOMETRY
 
 WHOLE = "Whole Province"
 
@@ -151,6 +152,16 @@ def rating_popup(streams):
     return project(streams, RATING_POPUP)
 
 
+def station_popup(stations):
+    """All attributes of the stations that are shown."""
+    return stations.drop(*GEOMETRY)
+
+
+def legend_values(df, col):
+    """Distinct values of a legend, the highest first."""
+    return df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(F.desc(col))
+
+
 def data_dictionary(spark):
     """Station variables and their definitions, unpivoted from one wide row."""
     wide = spark.range(1).select(*[F.lit(text).alias(name) for name, text in STATION_VARIABLES.items()])

@@ -2,28 +2,36 @@
 
 from pyspark.sql import functions as F
 
-from freshet.operators.geometry import dissolve, dissolved_size, edges
+from freshet.operators.geometry import dissolve, dissolved_size
 from freshet.operators.groups import text_list
 from freshet.operators.joins import anti_join, inner_join, left_join, semi_join
-from freshet.operators.spatial import edges_in_polygons, ring_edges
+from freshet.operators.spatial import lines_in_polygons, ring_edges
 from freshet.sources.layers import materialise
 
 STREAM = ["BLUE_LINE_KEY", "GNIS_NAME"]
 
 
-def requested_keys(requests, catalogue, ecosections, cell=50_000, match_section=False):
+def section_matches(requests, catalogue, ecosections, cell=50_000):
+    """Catalogue segments with a requested name beside each section they meet: GNIS_NAME, seg_id, BLUE_LINE_KEY, eco_id,
+    Ecosection. One start per part and all edges take part in the join."""
+    names = requests.select(F.col("Stream").alias("GNIS_NAME")).distinct()
+    line = F.struct("GNIS_NAME", "seg_id", "BLUE_LINE_KEY").alias("line")
+    named = semi_join(catalogue.select(line, "GNIS_NAME", "geom"), names, "GNIS_NAME")
+    rings = ring_edges(ecosections.select(F.struct("eco_id", F.col("ECOSECTION_NAME").alias("Ecosection")).alias("eco"), "geom"), ["eco"])
+    return lines_in_polygons(named, rings, "line", "eco", cell).select("line.*", "eco.*")
+
+
+def requested_keys(requests, catalogue, ecosections, cell=50_000, match_section=False, met=None):
     """One stream key per requested name: that of the first catalogue segment that meets a section.
 
-    A name whose first segment has no key finds nothing. `match_section` looks only at the requested section.
+    A name whose first segment has no key finds nothing. `match_section` looks only at the requested section; `met` are
+    section_matches that are already there.
     """
-    names = requests.select(F.col("Stream").alias("GNIS_NAME"), "Ecosection").distinct()
-    named = semi_join(catalogue.select(F.struct("GNIS_NAME", "seg_id", "BLUE_LINE_KEY").alias("line"), "GNIS_NAME", "geom"), names, "GNIS_NAME")
-    rings = ring_edges(ecosections, ["ECOSECTION_NAME"])
-    met = edges_in_polygons(edges(named, ["line"]), "line", rings, "ECOSECTION_NAME", cell).select("line.*", F.col("ECOSECTION_NAME").alias("Ecosection"))
+    met = section_matches(requests, catalogue, ecosections, cell) if met is None else met
     by = ["GNIS_NAME"]
     if match_section:
         by = ["GNIS_NAME", "Ecosection"]
-        met = semi_join(met, names, by)
+        met = semi_join(met, requests.select(F.col("Stream").alias("GNIS_NAME"), "Ecosection").distinct(), by)
     first = met.groupBy(*by).agg(F.min(F.struct("seg_id", "BLUE_LINE_KEY")).alias("first"))
     return first.select(*by, F.col("first.BLUE_LINE_KEY").alias("BLUE_LINE_KEY")).where("BLUE_LINE_KEY IS NOT NULL")
 
@@ -44,12 +52,13 @@ def lookup_streams(requests, catalogue, ecosections, cell=50_000, repeats=False)
     Requests are counted per name and the rows repeated at the very end. With `repeats` the section list is
     also written once per request of the stream.
     """
-    found = requested_keys(requests, catalogue, ecosections, cell)
+    met = materialise(section_matches(requests, catalogue, ecosections, cell), "section_matches")
+    found = requested_keys(requests, catalogue, ecosections, cell, met=met)
     times = requests.groupBy(F.col("Stream").alias("GNIS_NAME")).agg(F.count("*").cast("int").alias("times"))
     lines = lookup_lines(found, catalogue)
-    rings = ring_edges(ecosections.select(F.struct("eco_id", "ECOSECTION_NAME").alias("eco"), "geom"), ["eco"])
-    touched = edges_in_polygons(lines.withColumn("line", F.struct(*STREAM)), "line", rings, "eco", cell).select("line.*", "eco.*")
-    sections = text_list(touched, STREAM, {"Ecosections": "ECOSECTION_NAME"}, "eco_id")
+    # The sections of a stream are those its segments were found to meet, as all of them have the requested name.
+    touched = inner_join(met, found, STREAM).select(*STREAM, "eco_id", "Ecosection").distinct()
+    sections = text_list(touched, STREAM, {"Ecosections": "Ecosection"}, "eco_id")
     streams = left_join(inner_join(found, times, "GNIS_NAME"), dissolved_size(lines, STREAM), STREAM)
     streams = left_join(streams, sections, STREAM)
     text = F.coalesce("Ecosections", F.lit("NA"))

@@ -7,7 +7,8 @@ edges per (key, name).
 from pyspark.sql import functions as F
 
 from freshet.functions.nulls import paste
-from freshet.operators.geometry import dissolve, dissolved_size, edge_fingerprint, edges, with_length
+from freshet.operators.equality import geometry_classes
+from freshet.operators.geometry import EDGE, dissolve, dissolved_size, edges, with_length
 from freshet.operators.groups import column_dupes, text_list
 from freshet.operators.joins import heavy_keys, inner_join, left_join, semi_join, spread_join
 from freshet.operators.spatial import edges_on_edges, other_edges
@@ -65,16 +66,14 @@ def replace_geometry(hand, updates):
 
 
 def _geometry_ids(hand_marked, catalogue_lines):
-    """Fingerprint and size of the geometry each hand row ends up with."""
-    own = edges(hand_marked.where("new_name IS NULL"), ["row_id"])
-    own_size = dissolved_size(own, "row_id")
-    own_ids = left_join(edge_fingerprint(own, "row_id").drop("n_edges"), own_size, "row_id")
-    new_ids = left_join(edge_fingerprint(catalogue_lines, STREAM).drop("n_edges"), dissolved_size(catalogue_lines, STREAM), STREAM)
-    new_ids = new_ids.withColumnsRenamed({"BLUE_LINE_KEY": "new_key", "GNIS_NAME": "new_name"})
-    kept = left_join(hand_marked.where("new_name IS NULL"), own_ids, "row_id")
-    taken = left_join(hand_marked.where("new_name IS NOT NULL"), new_ids, ["new_key", "new_name"])
-    both = kept.unionByName(taken)
-    return both.withColumn("geometry_id", F.struct("n_edges", "h1", "h2")).drop("h1", "h2", "geom")
+    """Size of the geometry each hand row ends up with, and geometry_id, which is equal where all edges are equal."""
+    own = hand_marked.where("new_name IS NULL").withColumn("__g", paste(F.lit("row "), F.col("row_id")))
+    stream = F.to_json(F.struct(*STREAM))
+    every = edges(own, ["__g"]).unionByName(catalogue_lines.select(stream.alias("__g"), *EDGE))
+    facts = left_join(geometry_classes(every, "__g").withColumnRenamed("class", "geometry_id"), dissolved_size(every, "__g"), "__g")
+    taken = hand_marked.where("new_name IS NOT NULL").withColumn(
+        "__g", F.to_json(F.struct(F.col("new_key").alias(STREAM[0]), F.col("new_name").alias(STREAM[1]))))
+    return left_join(own.unionByName(taken), facts, "__g").drop("__g", "geom")
 
 
 def reconcile(hand, catalogue_lines, cell=1000, unkeyed="0"):

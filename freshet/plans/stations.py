@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.nulls import clean_numeric
 from freshet.functions.text import snake_columns
+from freshet.operators.geometry import points_from
 from freshet.operators.groups import first_per
 from freshet.operators.joins import left_join, semi_join
 from freshet.operators.simplify import simplify_tolerance
@@ -65,5 +66,4 @@ def crossing_layer(raw):
 
 def station_points(registry):
     """Registry coordinates as points in longitude and latitude."""
-    return registry.withColumns({
-        "x": F.col("LONGITUDE").cast("double"), "y": F.col("LATITUDE").cast("double")}).drop("LONGITUDE", "LATITUDE")
+    return points_from(registry, "LONGITUDE", "LATITUDE").drop("LONGITUDE", "LATITUDE")

@@ -648,6 +648,68 @@ def station_registry(s, d):
     return layers.read_stations(s, path).select("STATION_NUMBER", "PROV_TERR_STATE_LOC")
 
 
+def sheet_file(s, d):
+    """A sheet staged as CSV: a line above the names, the names, then one line per row."""
+    body = fx.hydromaster(s, d).select(F.col("stream").alias("c1"), F.col("mad_l_s_text").alias("c2"), F.lit(None).cast("string").alias("c3"),
+                                       (F.col("row_id") + 3).alias(sheets.ROW))
+    top = body.where(F.col(sheets.ROW) == 3)
+    lines = top.select(F.lit("Table 1"), F.lit(None), F.lit(None), F.lit(1)).union(
+        top.select(F.lit("Stream Name"), F.lit("MAD L/s"), F.lit("none"), F.lit(2))).union(body).toDF(*body.columns)
+    path = _place(s, d, "sheet")
+    lines.coalesce(1).sortWithinPartitions(sheets.ROW).drop(sheets.ROW).write.mode("overwrite").option("header", True).csv(path)
+    table = sheets.promote_header(sheets.read_sheet(s, path, 3), row=2, drop_last=1)
+    return snake_columns(table).withColumnRenamed("row", "row_no")
+
+
+def station_points(s, d):
+    registry = fx.stations(s, d).select("STATION_NUMBER", F.col("x").cast("string").alias("LONGITUDE"), F.col("y").cast("string").alias("LATITUDE"))
+    return stations.station_points(registry).select("STATION_NUMBER", *_ints("x", "y"))
+
+
+def dissolve_selection(s, d):
+    chosen = fx.rivers(s, d).where("river_id % 2 = 0")
+    return geometry.dissolved_size(geometry.dissolve(chosen, []), []).select("n_edges", _mm("length_m"))
+
+
+def flat_lines(s, d):
+    high = F.transform("geom", lambda p: F.transform(p, lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y"), F.lit(7.0).alias("z"))))
+    return _checked(geometry.drop_z(fx.rivers(s, d).withColumn("geom", high)), "river_id")
+
+
+def dated_export(s, d):
+    shown = explorer.explorer_streams(fx.expert_streams(s, d), fx.regions(s, d), "Summer", REGION, LABELS)
+    path = downloads.download(shown.select("StreamName", "row_id"), "streams", _place(s, d, "dated"), REGION, order=["StreamName", "row_id"], date="2024-04-08")
+    rows = layers.read_csv(s, path, "row_number long, StreamName string, row_id long")
+    return rows.select(F.element_at(F.split(F.input_file_name(), "/"), -2).alias("file")).groupBy("file").agg(F.count("*").alias("n"))
+
+
+def station_csv_export(s, d):
+    shown = explorer.explorer_stations(fx.stations(s, d), fx.regions(s, d), REGION).select("STATION_NUMBER", "STATION_NAME", "x", "y")
+    path = downloads.download(shown, "stations", _place(s, d, "stations_csv"), REGION, order=["STATION_NUMBER"])
+    return layers.read_csv(s, path, "row_number long, STATION_NUMBER string, STATION_NAME string")
+
+
+def stream_layer_export(s, d):
+    shown = explorer.explorer_streams(fx.expert_streams(s, d), fx.regions(s, d), "Summer", REGION, LABELS)
+    path = downloads.download(shown.select("row_id", "StreamName", "leaf_col", "geom"), "streams", _place(s, d, "streams_layer"), REGION, form="layer")
+    return _checked(layers.read_layer(s, path), "row_id", "leaf_col")
+
+
+def section_layer_export(s, d):
+    shown = species.sections_with_species(fx.ecosections(s, d), fx.species(s, d)).select("ECOSECTION_NAME", "number_sar", "geom")
+    path = downloads.download(shown, "sections", _place(s, d, "sections_layer"), REGION, form="layer")
+    return _checked(layers.read_layer(s, path), "ECOSECTION_NAME", "number_sar")
+
+
+def station_popup(s, d):
+    shown = explorer.explorer_stations(fx.stations(s, d), fx.regions(s, d), REGION)
+    return explorer.station_popup(shown).select("STATION_NUMBER", "STATION_NAME", "PROV_TERR_STATE_LOC")
+
+
+def legend_values(s, d):
+    return explorer.legend_values(fx.crossings(s, d), "final_score")
+
+
 def expert_flag_counts(s, d):
     hand = fx.expert_streams(s, d)
     flags = {c: flag_to_int(F.col(c)) for c in ("Summer_Sen", "Winter_Sen")}
