@@ -79,10 +79,15 @@ def ledger(docs, key="doc_id", text="text"):
     A null text is an empty one; repeated rows get one entry each; other columns are left out, so none can clash.
     """
     rows = measure(docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")), "__text")
+    return rows.select(F.col("__key").alias(key), *MEASURES, failure_bits().alias("failed"))
+
+
+def failure_bits():
+    """Every rule evaluated once on the measurements of a row, as bits."""
     failed = F.lit(0)
     for rule, fails in RULES.items():
         failed = failed.bitwiseOR(F.when(fails(F.col), rule_bit(rule)).otherwise(0))
-    return rows.select(F.col("__key").alias(key), *MEASURES, failed.alias("failed"))
+    return failed
 
 
 def verdicts(entries, policy="v2"):
@@ -114,8 +119,38 @@ def keep_good(docs, policy="v2"):
     names = [f"__c{i}" for i in range(len(docs.columns))]
     held = docs.toDF(*names)
     text = names[docs.columns.index("text")]
-    rows = measure(held, text)
-    bad = F.lit(False)
-    for rule in POLICIES[policy]:
-        bad = bad | RULES[rule](F.col)
-    return rows.where(~bad).select(*names).toDF(*docs.columns)
+    entries = verdicts(measure(held, text).withColumn("failed", failure_bits()), policy)
+    return entries.where("kept").select(*names).toDF(*docs.columns)
+
+
+_CHARS = r"[^\x20\x09-\x0D]"
+
+_LEDGER_SQL = rf"""
+WITH read AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+  split AS (SELECT r, regexp_extract_all(t, '{_CHARS}+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_CHARS}')) AS lines FROM read),
+  places AS (SELECT r, unnest(range(1, len(w) - {WINDOW - 2})) AS i,
+    unnest(list_transform(range(1, len(w) - {WINDOW - 2}), lambda k: array_to_string(w[k:k + {WINDOW - 1}], ' '))) AS words FROM split),
+  windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, words) AS n FROM places),
+  steps AS (SELECT r, least({WINDOW}, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, {WINDOW})) AS step FROM windows WHERE n > 1),
+  covered AS (SELECT r, sum(step) AS words FROM steps GROUP BY r),
+  measured AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(words, 0) AS BIGINT) AS n_repeat_words,
+    CAST(len(lines) AS BIGINT) AS n_lines, CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_capitals
+    FROM read JOIN split USING (r) LEFT JOIN covered USING (r)),
+  ledger AS (SELECT *, CAST((CASE WHEN n_words < 10 THEN {rule_bit("few_words")} ELSE 0 END)
+    + (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN {rule_bit("repeated_windows")} ELSE 0 END)
+    + (CASE WHEN 10 * n_symbols > n_words THEN {rule_bit("symbols")} ELSE 0 END)
+    + (CASE WHEN 2 * n_dup_lines > n_lines THEN {rule_bit("repeated_lines")} ELSE 0 END)
+    + (CASE WHEN word_chars < 2 * n_words OR word_chars > 12 * n_words THEN {rule_bit("word_length")} ELSE 0 END)
+    + (CASE WHEN 2 * n_capitals > word_chars THEN {rule_bit("capitals")} ELSE 0 END) AS INTEGER) AS failed FROM measured)
+"""
+
+ORACLE_SQL = _LEDGER_SQL + f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {policy_mask("base")} <> 0 AS base_failed,
+  failed & {policy_mask("v2")} = 0 AS kept, failed, n_lines, n_capitals FROM ledger"""
+
+ABLATION_SQL = _LEDGER_SQL + f""", cases(policy, rule, mask, bit) AS (VALUES
+  {", ".join(f"('{p}', '{r}', {policy_mask(p)}, {rule_bit(r)})" for p, rules in POLICIES.items() for r in rules)})
+SELECT policy, rule, count(*) FILTER (failed & mask = 0) AS kept, count(*) FILTER (failed & mask & ~bit = 0) AS kept_without,
+  count(*) FILTER (failed & mask = bit) AS rejected_alone FROM ledger, cases GROUP BY policy, rule"""

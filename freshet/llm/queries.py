@@ -65,6 +65,11 @@ def op8_quality_rules(spark, sf_dir):
                           "failed", "n_lines", "n_capitals")
 
 
+def quality_ablations(spark, sf_dir):
+    """What each rule of each policy costs: one ledger over all documents, then bit operations."""
+    return quality_rules.ablations(quality_rules.ledger(read_documents(spark, sf_dir)))
+
+
 def op9_lm_score(spark, sf_dir):
     """Documents labelled good are the target, all documents the background."""
     good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
@@ -98,6 +103,7 @@ def registry():
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_token_file": op7_token_file,
         "op8_quality_rules": op8_quality_rules,
+        "quality_ablations": quality_ablations,
         "op9_lm_score": op9_lm_score,
         "op10_suffix_dedup": op10_suffix_dedup,
         "op11_phrase_mining": op11_phrase_mining,
@@ -108,6 +114,8 @@ def registry():
 
 def oracle_sql():
     return {
+        "op8_quality_rules": quality_rules.ORACLE_SQL,
+        "quality_ablations": quality_rules.ABLATION_SQL,
         "op12_license_scan": license_scan.oracle_sql(),
         "op13_fill_in_middle": fill_in_middle.ORACLE_SQL,
     }

@@ -1,6 +1,9 @@
 import random
 from collections import Counter
 
+import duckdb
+import pytest
+
 from freshet.llm import queries
 from freshet.llm import quality_rules as q
 from tests.llm import brute
@@ -75,3 +78,22 @@ def test_empty_table_and_plan(spark):
     assert q.ablations(q.ledger(docs)).count() == 0
     plan = q.verdicts(q.ledger(docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("query, sql", [(queries.op8_quality_rules, q.ORACLE_SQL), (queries.quality_ablations, q.ABLATION_SQL)])
+def test_queries_equal_sql(spark, query, sql):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+    df = query(spark, FOLDER)
+    found = con.sql(sql)
+    assert found.columns == df.columns
+    assert sorted(found.fetchall()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_edge_texts_equal_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in brute.edge_rows()])
+    got = q.verdicts(q.ledger(brute.edge_docs(spark)))
+    want = con.sql(q.ORACLE_SQL)
+    assert sorted(want.fetchall()) == sorted(tuple(r) for r in got.select(*want.columns).collect())
