@@ -16,6 +16,7 @@ END = 2
 SHARD_TOKENS = 2_000_000
 CACHE_PIECES = 2_000_000  # pieces whose ids a worker remembers; it starts afresh beyond that
 MARKS = frozenset(",.;:!?")  # cut off a word before it is looked up
+JOINED = 4_096            # words encoded together as lines of one text
 MAGIC = b"EFTOK001"
 SAMPLE = 256              # one select sample per so many values
 
@@ -104,6 +105,8 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()] + ["\0"]
+        line, two = (self.model.encode(t, add_special_tokens=False).ids for t in ("\n", " a\n b"))
+        self.line = line[0] if len(line) == 1 and two.count(line[0]) == 1 else None  # a line end before " x" is an id of its own
         self.clear()
 
     def clear(self):
@@ -115,6 +118,22 @@ class Encoder:
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
 
+    def _words(self, heads):
+        """As _plain. Heads that are a space and a non-space on are encoded as lines, cut again at the id of the line end."""
+        if self.line is None:
+            return self._plain(heads)
+        alone = np.array([x[:1] != " " or x[1:2].isspace() or "\n" in x for x in heads])
+        joined = [x for x, own in zip(heads, alone.tolist(), strict=True) if not own]
+        flat, lens = self._plain(["\n".join(joined[k:k + JOINED]) + "\n" for k in range(0, len(joined), JOINED)])
+        ends = flat == self.line
+        sizes, at = np.empty(len(heads), np.int64), np.flatnonzero(ends)
+        sizes[~alone] = np.diff(at, prepend=-1) - 1
+        other, sizes[alone] = self._plain([x for x, own in zip(heads, alone.tolist(), strict=True) if own])
+        out = np.empty(sizes.sum(), np.uint32)
+        from_lines = np.repeat(~alone, sizes)
+        out[from_lines], out[~from_lines] = flat[~ends], other
+        return out, sizes
+
     @staticmethod
     def _pieces(text):
         """Pieces as keys: "\\0" marks the first, a line end starts its own, all others follow a space."""
@@ -123,20 +142,26 @@ class Encoder:
 
     def _learn(self, new):
         heads, number, head, tail = {}, len(self.bounds) - 1, [], []
+        number_of = heads.setdefault
         for p in new:
-            text = p[1:] if p[:1] == "\0" else p if p[:1] == "\n" else " " + p
+            first = p[:1]
+            text = p[1:] if first == "\0" else p if first == "\n" else " " + p
+            last = text[-1:]
             # A key that ends in a space cannot be cut after; the text that holds it is encoded whole.
-            if text[-1:].isspace() or not p or p == "\n":
+            if last.isspace() or not p:
                 self.place[p] = -1
                 continue
-            cut = text[-1:] in MARKS and text[-2:-1].isalpha()
-            head.append(heads.setdefault(text[:-1] if cut else text, len(heads)))
-            tail.append(heads.setdefault(text[-1:], len(heads)) if cut else -1)
+            if last in MARKS and text[-2:-1].isalpha():
+                head.append(number_of(text[:-1], len(heads)))
+                tail.append(number_of(last, len(heads)))
+            else:
+                head.append(number_of(text, len(heads)))
+                tail.append(-1)
             self.place[p] = number
             number += 1
         if not head:
             return
-        flat, lens = self._plain(list(heads))
+        flat, lens = self._words(list(heads))
         parts = np.array([head, tail]).T.ravel()  # of each key: its head, then its mark
         parts = parts[parts >= 0]
         own = np.array(lens)[head] + np.where(np.array(tail) >= 0, lens[tail], 0)

@@ -38,6 +38,16 @@ def test_edge_texts_in_many_shards(spark):
     assert as_dict(tf.read_tokens(shards)) == expected(sorted((r[0], r[1]) for r in rows))
 
 
+def test_words_encoded_as_lines_equal_words_encoded_alone():
+    texts = ["", "\0", "one two, two", "a \u00a0b \u2003c  d", " x\n y\n\nz \n", "tail \u00a0", "\u0085 q", "\x1c\x1d r \x1c", "1 22 333 ab12, !? ' 's don't"]
+    texts += [f" w{k} {k}\t{k},\n\u00e9{k}." for k in range(6_000)]
+    for line in (True, False):
+        model = tf.Encoder(PATH)
+        assert model.line is not None
+        model.line = model.line if line else None
+        assert [x.tolist() for x in model.encode(texts)] == [MODEL.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_null_and_repeated_ids(spark):
     rows = [(None, "one", "x", 1), (3, "two words", "x", 1), (3, "two words", "x", 1), (None, None, "x", 1)]
     got = sorted(tuple(r) for r in tf.read_tokens(tf.write_tokens(brute.edge_docs(spark, rows), PATH)).select("start", "n_tokens").collect())
