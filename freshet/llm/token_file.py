@@ -92,6 +92,21 @@ def read_shard(blob):
     return docs, ends, np.frombuffer(blob, np.uint32 if wide else np.uint16, offset=at)
 
 
+class Growing:
+    """An array that is appended to; its room doubles, so that what it holds is rarely copied."""
+
+    def __init__(self, dtype):
+        self.room, self.n = np.empty(1_024, dtype), 0
+
+    def extend(self, values):
+        n = self.n + len(values)
+        if n > len(self.room):
+            room = np.empty(2 * n, self.room.dtype)
+            room[:self.n] = self.room[:self.n]
+            self.room = room
+        self.room[self.n:n], self.n = values, n
+
+
 class Encoder:
     """Ids of many texts; equal pieces between spaces are encoded once per worker.
 
@@ -110,7 +125,7 @@ class Encoder:
         self.clear()
 
     def clear(self):
-        self.place, self.flat, self.bounds = {}, np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.place, self.flat, self.begins, self.sizes = {}, Growing(np.uint32), Growing(np.int64), Growing(np.int64)
 
     def _plain(self, texts):
         """Ids of texts end to end, and the number of ids of each."""
@@ -122,7 +137,7 @@ class Encoder:
         """As _plain. Heads that are a space and a non-space on are encoded as lines, cut again at the id of the line end."""
         if self.line is None:
             return self._plain(heads)
-        alone = np.array([x[:1] != " " or x[1:2].isspace() or "\n" in x for x in heads])
+        alone = np.array([x[:1] != " " or x[1:2].isspace() for x in heads])
         joined = [x for x, own in zip(heads, alone.tolist(), strict=True) if not own]
         flat, lens = self._plain(["\n".join(joined[k:k + JOINED]) + "\n" for k in range(0, len(joined), JOINED)])
         ends = flat == self.line
@@ -141,7 +156,7 @@ class Encoder:
         return ["\0" + first, *rest]
 
     def _learn(self, new):
-        heads, number, head, tail = {}, len(self.bounds) - 1, [], []
+        heads, number, head, tail = {}, self.sizes.n, [], []
         number_of = heads.setdefault
         for p in new:
             first = p[:1]
@@ -165,8 +180,9 @@ class Encoder:
         parts = np.array([head, tail]).T.ravel()  # of each key: its head, then its mark
         parts = parts[parts >= 0]
         own = np.array(lens)[head] + np.where(np.array(tail) >= 0, lens[tail], 0)
-        self.flat = np.concatenate([self.flat, gather(flat, np.cumsum(lens) - lens, lens, parts)])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(own)])
+        self.begins.extend(self.flat.n + np.cumsum(own) - own)
+        self.sizes.extend(own)
+        self.flat.extend(gather(flat, np.cumsum(lens) - lens, lens, parts))
 
     def encode(self, texts):
         if len(self.place) > CACHE_PIECES:
@@ -177,9 +193,8 @@ class Encoder:
         whole = [k for k, at in enumerate(places) if at is None or at.min() < 0]
         flat, lens = self._plain([texts[k] for k in whole])
         whole = dict(zip(whole, np.split(flat, np.cumsum(lens)[:-1]), strict=True)) if whole else {}
-        sizes = np.diff(self.bounds)
         for k, at in enumerate(places):
-            yield whole[k] if k in whole else gather(self.flat, self.bounds, sizes, at)
+            yield whole[k] if k in whole else gather(self.flat.room, self.begins.room, self.sizes.room, at)
 
 
 def gather(flat, begins, lens, at):
