@@ -4,7 +4,7 @@ The statements follow the definitions step by step (windows, full match tables)
 Spark side. Line x feature joins carry a cell prefilter; matches are made distinct afterwards.
 """
 
-from freshet.sources.fixtures import HAND_RIVER, RIVER_X, RIVER_Y, VIEWS, view_sql
+from freshet.sources.fixtures import HAND_RIVER, RIVER_X, RIVER_Y, TILE_X, TILE_Y, VIEWS, view_sql
 
 REGION = "ASIA"
 
@@ -157,6 +157,23 @@ def _thinned(source, key, kept):
         LEFT JOIN (SELECT {key}, list(i) AS kept FROM ({kept}) GROUP BY {key}) USING ({key})"""
 
 
+def _coverage(name, source, key, share):
+    """Arcs of the polygons in `source` (key, ax, ay, bx, by_), thinned, once for each polygon that has their first edge; rings
+    without nodes that are left with two edges are gone."""
+    return {
+        **_dissolved(f"{name}_all", f"(SELECT *, 1 AS one FROM {source})", "one"), **_walks(f"{name}_all", "one"),
+        f"{name}_arcs": f"SELECT path[1:2] AS part, path FROM {name}_all_parts", **_areas(f"{name}_arc", f"{name}_arcs", "part"),
+        f"{name}_thin": _thinned(f"{name}_arcs", "part", _kept_vertices(f"{name}_arc_areas", "part", share)),
+        f"{name}_owned": f"""SELECT e.{key}, path, path[1]=path[len(path)] AS closed FROM {name}_thin JOIN (SELECT {key}, ax, ay, bx, by_ FROM {source}
+            UNION ALL SELECT {key}, bx, by_, ax, ay FROM {source}) e ON part[1][1]=e.ax AND part[1][2]=e.ay AND part[2][1]=e.bx AND part[2][2]=e.by_
+            WHERE path[1]<>path[len(path)] OR len(path)>3""",
+    }
+
+
+_RING_SUMS = """CAST(sum(len(path)-1) AS INT) AS n_vertices, CAST(sum(list_sum(list_transform(path, lambda v: v[1]*62+v[2]*34))
+    -(path[1][1]+path[len(path)][1])*31-(path[1][2]+path[len(path)][2])*17)/2 AS BIGINT) AS vertex_sum"""
+
+
 def _pack(cols):
     return "struct_pack(" + ", ".join(f"{c} := {c}" for c in cols) + ")"
 
@@ -202,6 +219,17 @@ CTES = {
           lambda t: {_GAP.format(p='path[i]', a='path[a]', b='path[b]')})[1]) AS gaps FROM (SELECT river_id, path, a, b,
           CAST((path[b][1]-path[a][1])*(path[b][1]-path[a][1])+(path[b][2]-path[a][2])*(path[b][2]-path[a][2]) AS DOUBLE) AS l2
           FROM split_steps WHERE b-a>1)) WHERE list_max(gaps)>{_TOLERANCE})""",
+    "tile_points": f"SELECT tile_id, i, {TILE_X} AS x, {TILE_Y} AS y FROM (SELECT *, unnest(range(0, 49)) AS i FROM fx_tiles)",
+    "tile_edges": """SELECT * FROM (SELECT tile_id, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_
+        FROM tile_points WINDOW w AS (PARTITION BY tile_id ORDER BY i)) WHERE bx IS NOT NULL""",
+    **_coverage("tile", "tile_edges", "tile_id", 0.1),
+    "aquatic": "SELECT * FROM fx_sar WHERE TAX_CLASS IN ('amphibians','ray-finned fishes','bivalves','Lampreys')",
+    "area_points": """SELECT occ_id, unnest([0,0,0,0,0,0,0,1,1,1,1,1]) AS r, unnest(range(0, 12)) AS i,
+        unnest([xmin,xmax,xmax,(xmin+xmax)/2,(xmin+xmax)/2,xmin,xmin,xmin+100,xmin+1100,xmin+1100,xmin+100,xmin+100]) AS x,
+        unnest([ymin,ymin,(ymin+ymax)/2,(ymin+ymax)/2,ymax,ymax,ymin,ymin+100,ymin+100,ymin+500,ymin+500,ymin+100]) AS y FROM aquatic""",
+    "area_edges": """SELECT * FROM (SELECT occ_id, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_
+        FROM area_points WINDOW w AS (PARTITION BY occ_id, r ORDER BY i)) WHERE bx IS NOT NULL""",
+    **_coverage("area", "area_edges", "occ_id", 0.05),
     "hand_river_edges": f"""SELECT {_seven}, ax, ay, bx, by_ FROM river_edges JOIN hand_river_names USING (river_id)""",
     "hand_river_names": f"SELECT k AS river_id, {', '.join(f'{sql} AS {c}' for c, sql in HAND_RIVER.items())} FROM fx_rivers",
     **_dissolved("drawn", "hand_river_edges", _seven), **_walks("drawn", _pack(_SEVEN)),
@@ -537,6 +565,13 @@ SQL = {
                   "SELECT key, part, CAST(len(path) AS INT) AS n_vertices, path[len(path)][1] AS end_x, path[len(path)][2] AS end_y FROM ("
                   + _thinned("thin_lines", "key, part", _kept_vertices("thin_areas", "key, part", 0.1)) + ")", "end_x", "end_y")
         + f") t LEFT JOIN (SELECT DISTINCT {_k3}, drought_risk FROM harmonized) h ON {_same('t', 'h', _K3)}",
+    "coverage_simplified": f"SELECT tile_id, zone, n_vertices, vertex_sum FROM fx_tiles JOIN (SELECT tile_id, {_RING_SUMS} FROM tile_owned GROUP BY tile_id) USING (tile_id)",
+    "common_borders": f"""SELECT owners, count(*) AS n_edges, CAST(round(sum({_LEN})*1000) AS BIGINT) AS length_mm FROM (
+        SELECT least(a,b)[1] AS ax, least(a,b)[2] AS ay, greatest(a,b)[1] AS bx, greatest(a,b)[2] AS by_, count(*) AS owners FROM (
+        SELECT path[i] AS a, path[i+1] AS b FROM (SELECT path, unnest(range(1, len(path))) AS i FROM tile_owned)) GROUP BY ALL) GROUP BY owners""",
+    "species_simplified": f"""SELECT occ_id, SCI_NAME AS scientific_name, TAX_CLASS AS tax_class, CAST(coalesce(n_rings, 0) AS INT) AS n_rings,
+        coalesce(n_vertices, 0) AS n_vertices, coalesce(vertex_sum, 0) AS vertex_sum FROM aquatic LEFT JOIN (
+        SELECT occ_id, count(*) AS n_rings, {_RING_SUMS} FROM area_owned GROUP BY occ_id) USING (occ_id)""",
     "region_simplified": "SELECT REGION_NAME, REGION_NAME AS ORG_UNIT_NAME, 5 AS n_vertices FROM fx_regions",
     "delivery_lines": f"""WITH areas AS (SELECT *, abs((x1-x0)*(y2-y0)-(y1-y0)*(x2-x0))/2.0 AS area FROM kept),
         ranked AS (SELECT area, row_number() OVER (ORDER BY area DESC) AS r, count(*) OVER () AS n FROM areas)

@@ -1,11 +1,13 @@
 """Registered queries: one per operator or job, each over whole tables of a test-data folder."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from freshet.functions.nulls import clean_numeric, fill_missing, flag_to_int, not_in, to_int
 from freshet.functions.ordinal import SENSITIVITY, encode
 from freshet.functions.text import snake_columns
-from freshet.operators import chains, geometry, groups, joins, naming, noding, scales, score, simplify, spatial
+from freshet.operators import chains, coverage, geometry, groups, joins, naming, noding, scales, score, simplify, spatial
 from freshet.plans import downloads, experts, explorer, lookup, reconcile, scoring, segments, species, stations, variant
 from freshet.session import shared_dir
 from freshet.sources import fixtures as fx
@@ -486,6 +488,29 @@ def delivery_lines_simplified(s, d):
                         F.round(end["x"], 6).alias("lon"), F.round(end["y"], 6).alias("lat"))
 
 
+def _checked_rings(polygons, *keep):
+    """Rings and their vertices, the last of each not counted, with a checksum of all coordinates."""
+    vertices = F.flatten(F.transform("geom", lambda ring: F.slice(ring, 2, F.size(ring) - 1)))
+    total = F.aggregate(vertices, F.lit(0).cast("long"), lambda a, v: a + (v["x"] * 31 + v["y"] * 17).cast("long"))
+    return polygons.select(*keep, F.size("geom").alias("n_rings"), F.size(vertices).alias("n_vertices"), total.alias("vertex_sum"))
+
+
+def coverage_simplified(s, d):
+    simple = coverage.simplify_coverage(fx.tiles(s, d), "tile_id", partial(simplify.simplify_keep, share=0.1))
+    return _checked_rings(simple, "tile_id", "zone").drop("n_rings")
+
+
+def common_borders(s, d):
+    """Edges of a simplified layer by the number of polygons that have them."""
+    simple = coverage.simplify_coverage(fx.tiles(s, d), "tile_id", partial(simplify.simplify_keep, share=0.1))
+    owners = geometry.canonical(geometry.edges(simple, ["tile_id"])).groupBy(*geometry.EDGE).agg(F.count("*").alias("owners"))
+    return geometry.dissolved_size(owners, "owners").select("owners", "n_edges", _mm("length_m"))
+
+
+def species_simplified(s, d):
+    return _checked_rings(species.species_layer(fx.species(s, d), "occ_id"), "occ_id", "scientific_name", "tax_class")
+
+
 def region_simplified(s, d):
     rings = _region_rings(s, d).join(fx.regions(s, d).select("region_id", "REGION_NAME"), "region_id")
     simple = stations.region_layer(rings.withColumn("ORG_UNIT_NAME", F.col("REGION_NAME")))

@@ -101,6 +101,18 @@ SELECT *, CASE WHEN j<=5 THEN 2+(k*k*7)%38+CASE WHEN k%64=3 THEN 300 ELSE 0 END
  concat('RIVER_',CAST(g AS STRING)) AS name, concat('Ecosection ',CAST(g%25 AS STRING)) AS ECOSECTION_NAME, {X} AS ox, {Y} AS oy
 FROM (SELECT CAST(p_partkey AS BIGINT) AS k, CAST(floor(p_partkey/8) AS BIGINT) AS g, p_partkey%8 AS j FROM {{part}}) t""".format(**_xy("g"))
 
+# Tiles of a grid, 25 in a row and some of them missing; vertex i of 48, twelve on each side, is moved off a side but at corners.
+TILES = """
+SELECT p_partkey AS tile_id, concat('Zone ',CAST(p_partkey%9 AS STRING)) AS zone, CAST((p_partkey-1)%25 AS BIGINT)*12 AS gx,
+ CAST(floor((p_partkey-1)/25) AS BIGINT)*12 AS gy
+FROM {part} WHERE p_partkey%11<>5"""
+
+_SIDE = "CASE WHEN i%48<12 THEN 0 WHEN i%48<24 THEN 1 WHEN i%48<36 THEN 2 ELSE 3 END"
+_TILE_X = f"(gx+CASE {_SIDE} WHEN 0 THEN i%12 WHEN 1 THEN 12 WHEN 2 THEN 12-i%12 ELSE 0 END)"
+_TILE_Y = f"(gy+CASE {_SIDE} WHEN 0 THEN 0 WHEN 1 THEN i%12 WHEN 2 THEN 12 ELSE 12-i%12 END)"
+TILE_X = f"{_TILE_X}*100+CASE WHEN i%12<>0 AND {_SIDE} IN (1,3) THEN ({_TILE_X}*5+{_TILE_Y}*{_TILE_Y}*7)%60 ELSE 0 END"
+TILE_Y = f"{_TILE_Y}*100+CASE WHEN i%12<>0 AND {_SIDE} IN (0,2) THEN ({_TILE_X}*{_TILE_X}*7+{_TILE_Y}*13)%60 ELSE 0 END"
+
 _BACK = "CASE WHEN i=n-1 THEN 0 WHEN i<floor(n/2) THEN i ELSE n-2-i END"
 RIVER_X = f"""CASE WHEN j<=4 THEN ox+j*1000+CAST(floor(i*1000/(n-1)) AS BIGINT)
  WHEN j=5 THEN ox+2000+(i*7*k)%50
@@ -124,6 +136,7 @@ HAND_RIVER = {
 
 VIEWS = {
     "fx_rivers": (RIVERS, "part"),
+    "fx_tiles": (TILES, "part"),
     "fx_segments": (SEGMENTS, "lineitem"),
     "fx_ecosections": (ECOSECTIONS, "nation"),
     "fx_regions": (REGIONS, "region"),
@@ -190,6 +203,12 @@ def rivers(spark, sf_dir, hand=False):
         F.col("k").alias("river_id"), *(attributes or ["name", "ECOSECTION_NAME"]), "geom")
 
 
+def tiles(spark, sf_dir):
+    """Polygons of 48 winding edges that have their sides in common; where a tile is missing, the layer has a lake."""
+    vertex = f"named_struct('x', CAST({TILE_X} AS DOUBLE), 'y', CAST({TILE_Y} AS DOUBLE))"
+    return load(spark, sf_dir, "fx_tiles").withColumn("geom", F.expr(f"array(transform(sequence(0, 48), i -> {vertex}))")).drop("gx", "gy")
+
+
 def _boxes(df):
     return df.withColumns({c: F.col(c).cast("double") for c in ("xmin", "ymin", "xmax", "ymax")})
 
