@@ -230,6 +230,14 @@ CTES = {
     "area_edges": """SELECT * FROM (SELECT occ_id, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_
         FROM area_points WINDOW w AS (PARTITION BY occ_id, r ORDER BY i)) WHERE bx IS NOT NULL""",
     **_coverage("area", "area_edges", "occ_id", 0.05),
+    "tidy_rows": f"""SELECT k.ECOSECTION_NAME, k.BLUE_LINE_KEY, CASE WHEN c.hit THEN c.corrector ELSE k.GNIS_NAME END AS GNIS_NAME, x0, y0, x1, y1, x2, y2
+        FROM kept k LEFT JOIN (SELECT ECOSECTION_NAME, BLUE_LINE_KEY, TRUE AS hit, string_agg(CASE WHEN GNIS_NAME<>'Unknown' THEN GNIS_NAME END, ', '
+        ORDER BY n DESC, GNIS_NAME NULLS LAST) AS corrector FROM (SELECT {_k3}, count(*) AS n FROM kept WHERE BLUE_LINE_KEY IS NOT NULL GROUP BY ALL)
+        GROUP BY ECOSECTION_NAME, BLUE_LINE_KEY HAVING count(*)>1) c ON k.ECOSECTION_NAME=c.ECOSECTION_NAME AND k.BLUE_LINE_KEY=c.BLUE_LINE_KEY
+        WHERE k.ECOSECTION_NAME IN (SELECT ECOSECTION_NAME FROM sar_sections)""",
+    "tidy_pairs": f"SELECT {_k3}, x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by_ FROM tidy_rows UNION ALL SELECT {_k3}, x1, y1, x2, y2 FROM tidy_rows",
+    **_dissolved("tidy", "tidy_pairs", _k3), **_walks("tidy", _pack(_K3)),
+    "tidy_lines": "SELECT key, path[1:2] AS part, path FROM tidy_parts", **_areas("tidy", "tidy_lines", "key, part"),
     "hand_river_edges": f"""SELECT {_seven}, ax, ay, bx, by_ FROM river_edges JOIN hand_river_names USING (river_id)""",
     "hand_river_names": f"SELECT k AS river_id, {', '.join(f'{sql} AS {c}' for c, sql in HAND_RIVER.items())} FROM fx_rivers",
     **_dissolved("drawn", "hand_river_edges", _seven), **_walks("drawn", _pack(_SEVEN)),
@@ -315,6 +323,14 @@ CTES = {
         LEFT JOIN (SELECT * FROM longer WHERE CAST(BLUE_LINE_KEY AS VARCHAR)||GNIS_NAME IN (SELECT uniqID FROM hand_keys)) l
         ON h.BLUE_LINE_||h.StreamName = CAST(l.BLUE_LINE_KEY AS VARCHAR)||l.GNIS_NAME
         LEFT JOIN found_sizes z ON l.BLUE_LINE_KEY=z.BLUE_LINE_KEY AND l.GNIS_NAME=z.GNIS_NAME""",
+    "reconciled": f"""SELECT DISTINCT {', '.join('h.' + c for c in _SEVEN if c != 'Ecosection')}, coalesce(t.l, h.Ecosection) AS Ecosection,
+        h.replaced, h.n_edges, CAST(round(h.length_m*1000) AS BIGINT) AS length_mm, h.gid FROM hand_after h LEFT JOIN (
+        SELECT BLUE_LINE_, string_agg(Ecosection, ', ' ORDER BY row_id) AS l FROM hand_after
+        WHERE BLUE_LINE_ IN (SELECT BLUE_LINE_ FROM dup_keys) GROUP BY BLUE_LINE_) t ON h.BLUE_LINE_=t.BLUE_LINE_""",
+    "overridden": "SELECT DISTINCT BLUE_LINE_ FROM fx_expert_streams WHERE row_id%50=2",
+    "geometry_edges": """SELECT concat_ws(':',x0,y0,x1,y1) AS gid, x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by_ FROM fx_expert_streams
+        UNION ALL SELECT concat_ws('/',BLUE_LINE_KEY,GNIS_NAME), ax, ay, bx, by_ FROM found_edges""",
+    **_dissolved("united", "(SELECT r.BLUE_LINE_, g.ax, g.ay, g.bx, g.by_ FROM reconciled r JOIN overridden USING (BLUE_LINE_) JOIN geometry_edges g USING (gid))", "BLUE_LINE_"),
     "dup_keys": """SELECT DISTINCT BLUE_LINE_ FROM (SELECT BLUE_LINE_, row_number() OVER (PARTITION BY gid ORDER BY row_id) AS a,
         row_number() OVER (PARTITION BY Summer_Sen ORDER BY row_id) AS b, row_number() OVER (PARTITION BY Winter_Sen ORDER BY row_id) AS c,
         row_number() OVER (PARTITION BY BLUE_LINE_ ORDER BY row_id) AS d FROM hand_after) WHERE a>1 AND b>1 AND c>1 AND d>1 AND BLUE_LINE_<>'0'""",
@@ -490,6 +506,11 @@ SQL = {
         h.stream_summer_sens, h.summer_sens, h.winter_sens, h.fish_observed FROM harmonized h LEFT JOIN texts_once t ON {_same('h', 't', _K5)}""",
     "keep_best_crossing": "SELECT ECOSECTION_NAME, BLUE_LINE_KEY, assessment_id, fish_observed, habitat_value, final_score FROM best",
     "priority_rating": "SELECT * FROM rated",
+    "rated_lines": "SELECT t.ECOSECTION_NAME, t.BLUE_LINE_KEY, t.GNIS_NAME, x, y, next_x, next_y, r.priority_rating, n_vertices, lon, lat FROM ("
+        + _lonlat(f"key.ECOSECTION_NAME AS ECOSECTION_NAME, key.BLUE_LINE_KEY AS BLUE_LINE_KEY, key.GNIS_NAME AS GNIS_NAME, {_PART}, n_vertices",
+                  "SELECT key, part, CAST(len(path) AS INT) AS n_vertices, path[len(path)][1] AS end_x, path[len(path)][2] AS end_y FROM ("
+                  + _thinned("tidy_lines", "key, part", _kept_vertices("tidy_areas", "key, part", 0.05, "key.ECOSECTION_NAME")) + ")", "end_x", "end_y")
+        + f") t LEFT JOIN rated r ON {_same('t', 'r', _K3)}",
     # lookup and reconciliation
     **{name: "SELECT f.BLUE_LINE_KEY, f.GNIS_NAME, q.request_no, z.n_edges, CAST(round(z.length_m*1000) AS BIGINT) AS length_mm,"
                       f" {text} AS Ecosections FROM found_keys f JOIN"
@@ -515,10 +536,11 @@ SQL = {
           WHERE BLUE_LINE_KEY IS NOT NULL AND GNIS_NAME IS NOT NULL GROUP BY ALL)) WHERE rn=1) u
         ON h.BLUE_LINE_||h.StreamName = CAST(u.BLUE_LINE_KEY AS VARCHAR)||u.GNIS_NAME
         AND h.BLUE_LINE_||h.StreamName IN (SELECT uniqID FROM hand_keys)""",
-    "reconcile_lines": f"""SELECT * EXCLUDE (gid) FROM (SELECT DISTINCT {', '.join('h.' + c for c in _SEVEN if c != 'Ecosection')}, coalesce(t.l, h.Ecosection) AS Ecosection,
-        h.replaced, h.n_edges, CAST(round(h.length_m*1000) AS BIGINT) AS length_mm, h.gid FROM hand_after h LEFT JOIN (
-        SELECT BLUE_LINE_, string_agg(Ecosection, ', ' ORDER BY row_id) AS l FROM hand_after
-        WHERE BLUE_LINE_ IN (SELECT BLUE_LINE_ FROM dup_keys) GROUP BY BLUE_LINE_) t ON h.BLUE_LINE_=t.BLUE_LINE_)""",
+    "reconcile_lines": "SELECT * EXCLUDE (gid) FROM reconciled",
+    "reconcile_overridden": f"""SELECT * EXCLUDE (gid) FROM reconciled WHERE BLUE_LINE_ NOT IN (SELECT BLUE_LINE_ FROM overridden) UNION ALL
+        SELECT DISTINCT r.* EXCLUDE (gid) REPLACE ('Upland, Basin' AS Ecosection, true AS replaced, u.n_edges AS n_edges, u.length_mm AS length_mm)
+        FROM reconciled r JOIN (SELECT BLUE_LINE_, count(*) AS n_edges, CAST(round(sum({_LEN})*1000) AS BIGINT) AS length_mm FROM united_edges
+        GROUP BY BLUE_LINE_) u USING (BLUE_LINE_)""",
     "column_duplicates": """SELECT row_id, a>1 AND b>1 AND c>1 AND d>1 AS is_dup FROM (SELECT row_id,
         row_number() OVER (PARTITION BY row_id%700 ORDER BY row_id) AS a, row_number() OVER (PARTITION BY Summer_Sen ORDER BY row_id) AS b,
         row_number() OVER (PARTITION BY Winter_Sen ORDER BY row_id) AS c, row_number() OVER (PARTITION BY BLUE_LINE_ ORDER BY row_id) AS d

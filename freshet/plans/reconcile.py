@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.nulls import paste
 from freshet.operators.equality import geometry_classes
-from freshet.operators.geometry import EDGE, dissolve, dissolved_size, edges, with_length
+from freshet.operators.geometry import EDGE, canonical, dissolve, dissolved_size, edges, with_length
 from freshet.operators.groups import column_dupes, text_list
 from freshet.operators.joins import heavy_keys, inner_join, left_join, semi_join, spread_join
 from freshet.operators.spatial import edges_on_edges, other_edges
@@ -65,18 +65,36 @@ def replace_geometry(hand, updates):
     return spread_join(keyed, last.drop("n"), "uniqID", heavy)
 
 
+def _edge_sets(hand_marked, catalogue_lines):
+    """Edges of the lines that hand rows keep and of the catalogue streams, by `__g`."""
+    own = hand_marked.where("new_name IS NULL").withColumn("__g", paste(F.lit("row "), F.col("row_id")))
+    return edges(own, ["__g"]).unionByName(catalogue_lines.select(F.to_json(F.struct(*STREAM)).alias("__g"), *EDGE))
+
+
 def _geometry_ids(hand_marked, catalogue_lines):
     """Size of the geometry each hand row ends up with, and geometry_id, which is equal where all edges are equal."""
     own = hand_marked.where("new_name IS NULL").withColumn("__g", paste(F.lit("row "), F.col("row_id")))
-    stream = F.to_json(F.struct(*STREAM))
-    every = edges(own, ["__g"]).unionByName(catalogue_lines.select(stream.alias("__g"), *EDGE))
+    every = _edge_sets(hand_marked, catalogue_lines)
     facts = left_join(geometry_classes(every, "__g").withColumnRenamed("class", "geometry_id"), dissolved_size(every, "__g"), "__g")
     taken = hand_marked.where("new_name IS NOT NULL").withColumn(
         "__g", F.to_json(F.struct(F.col("new_key").alias(STREAM[0]), F.col("new_name").alias(STREAM[1]))))
     return left_join(own.unionByName(taken), facts, "__g").drop("__g", "geom")
 
 
-def reconcile(hand, catalogue_lines, cell=1000, unkeyed="0"):
+def _with_overrides(rows, overrides, edge_sets):
+    """Rows of listed keys take the given section list and the union of their lines; repeated rows are removed."""
+    listed = overrides.where("Ecosection IS NOT NULL").select("BLUE_LINE_", F.col("Ecosection").alias("__section"))
+    joined = materialise(left_join(rows, listed, "BLUE_LINE_"), "overridden")
+    chosen = joined.where("__section IS NOT NULL")
+    members = chosen.select("BLUE_LINE_", F.col("geometry_id").alias("__g")).distinct()
+    sizes = dissolved_size(inner_join(canonical(edge_sets), members, "__g").select("BLUE_LINE_", *EDGE).distinct(), "BLUE_LINE_")
+    united = left_join(chosen.drop("n_edges", "length_m"), sizes, "BLUE_LINE_").withColumns({
+        "Ecosection": F.col("__section"), "replaced": F.lit(True),
+        "geometry_id": paste(F.lit("united "), F.col("BLUE_LINE_"))})
+    return joined.where("__section IS NULL").select(rows.columns).unionByName(united.select(rows.columns).distinct())
+
+
+def reconcile(hand, catalogue_lines, cell=1000, unkeyed="0", overrides=None):
     """Hand layer after replacement: geometry size, merged section lists, repeated rows removed.
 
     Rows are flagged when geometry, both flags and key each occurred in an earlier row; all rows of a flagged
@@ -84,11 +102,15 @@ def reconcile(hand, catalogue_lines, cell=1000, unkeyed="0"):
     merged (None merges them like any key). Repeated rows are removed before the lists are attached, so a
     list is written once per remaining row.
 
+    `overrides` (BLUE_LINE_ and Ecosection, each key once) are manual corrections made last: all rows of a listed key share
+    the union of the lines they then have and the given section list; they count as replaced.
+
     The replaced rows are used many times and therefore written to the shared folder; `catalogue_lines`
     should be a written table as well, as lookup_lines gives it.
     """
     updates = touching_longer(catalogue_lines, hand, cell)
-    rows = materialise(_geometry_ids(replace_geometry(hand, updates), catalogue_lines), "hand_rows")
+    replaced_rows = replace_geometry(hand, updates)
+    rows = materialise(_geometry_ids(replaced_rows, catalogue_lines), "hand_rows")
     flagged = column_dupes(rows, ["geometry_id", "Summer_Sen", "Winter_Sen", "BLUE_LINE_"], "row_id").where("is_dup")
     if unkeyed is not None:
         flagged = flagged.where(F.col("BLUE_LINE_") != unkeyed)
@@ -105,7 +127,8 @@ def reconcile(hand, catalogue_lines, cell=1000, unkeyed="0"):
         *ALL_SEVEN, "merged", replaced, "n_edges", "length_m", "geometry_id").distinct()
     lists = text_list(members, "BLUE_LINE_", {"Ecosections": "Ecosection"}, "row_id")
     listed = left_join(distinct.where("merged"), lists, "BLUE_LINE_").withColumn("Ecosection", F.col("Ecosections")).drop("Ecosections")
-    return listed.unionByName(distinct.where("merged IS NULL")).drop("merged")
+    out = listed.unionByName(distinct.where("merged IS NULL")).drop("merged")
+    return out if overrides is None else _with_overrides(out, overrides, _edge_sets(replaced_rows, catalogue_lines))
 
 
 def apply_overrides(hand, overrides):

@@ -323,6 +323,14 @@ def priority_rating(s, d):
     return variant.rate_streams(fx.segments(s, d), sections, fx.crossings(s, d), sections)
 
 
+def rated_lines(s, d):
+    sections = species.sections_with_species(fx.ecosections(s, d), fx.species(s, d))
+    lines = variant.rated_lines(fx.segments(s, d), sections, priority_rating(s, d))
+    end = F.element_at(F.col("geom")[0], -1)
+    return lines.select(*K3, *_part_start(), "priority_rating", F.size(F.col("geom")[0]).alias("n_vertices"),
+                        F.round(end["x"], 6).alias("lon"), F.round(end["y"], 6).alias("lat"))
+
+
 # --- lookup and reconciliation ----------------------------------------------------------------------------
 
 def _requests(s, d):
@@ -372,6 +380,13 @@ def reconcile_lines(s, d):
     return merged.select(*reconcile.ALL_SEVEN, "replaced", "n_edges", _mm("length_m"))
 
 
+def reconcile_overridden(s, d):
+    hand = fx.expert_streams(s, d)
+    listed = hand.where("row_id % 50 = 2").groupBy("BLUE_LINE_").agg(F.lit("Upland, Basin").alias("Ecosection"))
+    merged = reconcile.reconcile(hand, _catalogue_lines(s, d), overrides=listed)
+    return merged.select(*reconcile.ALL_SEVEN, "replaced", "n_edges", _mm("length_m"))
+
+
 def column_duplicates(s, d):
     hand = fx.expert_streams(s, d).withColumn("geometry_id", F.col("row_id") % 700)
     flagged = groups.column_dupes(hand, ["geometry_id", "Summer_Sen", "Winter_Sen", "BLUE_LINE_"], "row_id")

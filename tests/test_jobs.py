@@ -66,6 +66,18 @@ def test_override_unites_rows_of_a_key(spark):
     assert geometry.dissolved_size(united, "BLUE_LINE_").first().length_m == 6.0
 
 
+def test_reconcile_with_overrides(spark):
+    hand = hand_layer(spark, [
+        (1, "7", "Fraser", "Y", "N", "North", [[(0, 0), (10, 0)]]),
+        (2, "9", "Cherry", "Y", "N", "a", [[(0, 50), (3, 54)]]), (3, "9", "Cherry", "Y", "N", "b", [[(3, 55), (3, 54)]]),
+        (4, "9", "Cherry", "N", "N", "c", [[(3, 54), (3, 55)]]), (5, None, "Loose", "Y", "N", "d", [[(900, 0), (901, 0)]])])
+    lines = catalogue(spark, [(7, "Fraser", [[(0, 0), (100, 0)]])])
+    listed = spark.createDataFrame([("9", "a, b"), ("7", None), ("404", "x")], "BLUE_LINE_ string, Ecosection string")
+    rows = [(r.StreamName, r.Ecosection, r.Summer_Sen, r.replaced, r.n_edges, r.length_m) for r in reconcile.reconcile(hand, lines, overrides=listed).collect()]
+    assert sorted(rows) == [("Cherry", "a, b", "N", True, 2, 6.0), ("Cherry", "a, b", "Y", True, 2, 6.0),
+                            ("Fraser", "North", "Y", True, 1, 100.0), ("Loose", "d", "Y", False, 1, 1.0)]
+
+
 def test_lookup_takes_the_first_key_and_repeats_requests(spark):
     segs = layer(spark, [
         (1, 50, "A", [[(-90, 0), (-80, 0)]]), (2, 60, "A", [[(5, 5), (6, 5)]]), (3, 70, "A", [[(7, 7), (8, 7)]]),
