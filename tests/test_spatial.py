@@ -160,3 +160,28 @@ def test_golden_counts(spark):
     near = spatial.edges_near_points(edges, fx.crossings(spark, folder), 50, 1000).select("seg_id", "assessment_id").distinct()
     row = near.agg(F.count("*"), F.countDistinct("seg_id"), F.sum(F.col("seg_id") % 1000003)).first()
     assert tuple(row) == (3748, 2535, 2272828503)
+
+
+@pytest.mark.parametrize("cell", [7, 64, 1000])
+def test_lines_near_points_settles_each_pair_in_one_cell(spark, tables, cell, monkeypatch):
+    ids = {i: None if i % 40 == 0 else i // 5 for i, *_ in tables["left"]}
+    edges = spark.createDataFrame([(ids[i], *e) for i, *e in tables["left"]], "lid int, ax double, ay double, bx double, by double")
+    spots = [(None if i % 16 == 0 else i % 60 if i < 80 else i, x, y) for i, x, y in tables["points"]]
+    points = spark.createDataFrame(spots, "pid int, x double, y double")
+    want = {(ids[i], p) for i, *e in tables["left"] for p, x, y in spots if segment_distance2(e[:2], e[2:], (x, y)) <= 900}
+    for max_pairs in (200_000_000, 40):
+        found = None if max_pairs > 40 else spatial.dense_cells(
+            spatial.edge_box(edges, "l", reach=30.0), spatial.point_box(points, "r"), cell, max_pairs)
+        got = [(r.lid, r.pid) for r in spatial.lines_near_points(edges, "lid", points, "pid", 30, cell, dense=found).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    single = points.where("pid >= 60 OR pid BETWEEN 20 AND 47").dropDuplicates(["pid"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pairs = spatial.lines_near_points(edges, "lid", single, "pid", 30, cell, dense=None)
+        text = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text[:text.index("SortMergeJoin")] and "Aggregate" not in text[:text.index("SortMergeJoin")]  # pairs are not shuffled
+    assert text[text.index("SortMergeJoin"):].count("REPARTITION_BY_COL") == 1
+    got = [(r.lid, r.pid) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == {w for w in want if w[1] in {r.pid for r in single.collect()}}
