@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from freshet.operators import geometry
-from freshet.plans import explorer, lookup, reconcile, scoring, stations
+from freshet.plans import explorer, lookup, reconcile, scoring, stations, variant
 from freshet.sources import layers, sheets
 from tests.test_geometry import layer
 
@@ -260,3 +260,29 @@ def test_regions_are_polygons_not_boxes(spark):
         "STATION_NUMBER string, x double, y double")
     found = explorer.explorer_stations(points, regions, "North", cell=30)
     assert {r.STATION_NUMBER for r in found.collect()} == {"inside", "border", "corner", "right"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_species_are_counted_as_bit_sets(spark):
+    segs, sections, crossings, _, experts = scoring_layers(spark)
+    box = "array(array(" + ", ".join(f"struct({x}D AS x, {y}D AS y)" for x, y in ((-5, -5), (5, -5), (5, 5), (-5, 5), (-5, -5))) + "))"
+    around = "array(array(" + ", ".join(f"struct({x}D AS x, {y}D AS y)" for x, y in ((-50, -50), (500, -50), (500, 90), (-50, 90), (-50, -50))) + "))"
+    species = spark.range(150).selectExpr(
+        "id AS occ_id", "concat('S', id % 130) AS SCI_NAME", "'e' AS ENG_NAME", f"CASE WHEN id % 130 < 70 THEN {box} ELSE {around} END AS geom")
+    near = segs.where("seg_id IN (1, 2)")
+    overlays = scoring.stream_overlays(near, crossings, species, experts, dense=None)
+    assert {r.ECOSECTION_NAME: r.species for r in overlays.collect()} == {"s1": 130, "s2": 60}
+    counts = scoring.species_richness(near, species, dense=None)
+    assert {r.ECOSECTION_NAME: r.number_distinct_SAR for r in counts.collect()} == {"s1": 130, "s2": 60}
+    assert "SortAggregate" not in plan(counts)  # matches are never sorted: they are united in a hash table before the shuffle
+
+
+def test_best_crossing_is_taken_without_a_sort_of_the_matches(spark):
+    segs, _, crossings, _, _ = scoring_layers(spark)
+    scores = crossings.withColumn("final_score", F.when(F.col("assessment_id") == 7, 4).when(F.col("assessment_id") == 5, 4))
+    best = variant.best_crossings(segs.where("seg_id IN (1, 5)"), scores)
+    assert {(r.BLUE_LINE_KEY, r.assessment_id, r.final_score, r.habitat_value) for r in best.collect()} == {(1, 5, 4, "Unknown"), (None, 0, 0, "Unknown")}
+    assert "WindowGroupLimit" not in plan(best)
