@@ -132,6 +132,14 @@ def test_polygon_with_hole(spark):
         if inside(a, rings) or any(cross(a, b, p, q) for ring in rings for p, q in zip(ring, ring[1:])):
             want.add(i)
     assert met == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        starts = spatial.starts_in_polygons(df, edges, "poly", 50, dense=None)
+        text = starts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r.pid for r in starts.collect()) == [i for i, x, y in spots if inside((x, y), rings)]
+    assert "Exchange" not in text[:text.index("SortMergeJoin")]  # pairs of a start and a polygon are not shuffled
 
 
 def test_left_join_keeps_unmatched_and_repeats(spark):
