@@ -24,6 +24,7 @@ SKETCH_BITS = 20          # cells of the frequency sketch: its size, 1 MB, does
 SKETCH_PARTS = 64
 TILE_GRAMS, TILE_DOCS = 200_000, 512
 BATCH = 2_000_000         # bytes of text whose n-grams are in memory at once
+PART = 500_000            # the same where nothing is packed by batch
 COLUMNS = 2_048           # columns of the incidence matrix multiplied at once
 
 
@@ -41,6 +42,19 @@ def gram_sets(texts, width):
             yield np.empty(0, np.uint64)
 
 
+def packed_sets(bodies, width, limit=PART):
+    """gram_sets of packed texts, of which about `limit` bytes are unpacked at a time."""
+    texts, size = [], 0
+    for body in bodies:
+        texts.append(unpack_text(body.as_py()))
+        size += len(texts[-1])
+        if size >= limit:
+            yield from gram_sets(texts, width)
+            texts, size = [], 0
+    if texts:
+        yield from gram_sets(texts, width)
+
+
 def least_overlap(percent, n):
     """Smallest overlap with any partner: intersection >= percent/100 * union >= percent/100 * n."""
     return (percent * n + 99) // 100
@@ -58,7 +72,7 @@ def frequency_sketch(docs, width):
         from pyspark import TaskContext
 
         total = np.zeros(cells, np.int64)
-        for _, texts in doc_batches(batches, BATCH):
+        for _, texts in doc_batches(batches, PART):
             grams = np.concatenate([np.empty(0, np.uint64), *gram_sets(texts, width)])
             cell, times = np.unique((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
             total[cell] += times
@@ -136,7 +150,7 @@ def signatures(docs, width, percent):
         doc, place = doc[by], place[by]
         ids = left["__id"].to_pylist()
         sizes, digests, rare = [], [], []
-        for i, grams in zip(ids, gram_sets([unpack_text(x) for x in left["__body"].to_pylist()], width) if ids else [], strict=True):
+        for i, grams in zip(ids, packed_sets(left["__body"], width), strict=True):
             n = len(grams)
             counted = int(np.searchsorted(grams, limit))
             again = np.zeros(n, bool)

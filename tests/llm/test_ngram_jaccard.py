@@ -128,3 +128,17 @@ def test_number_of_links_over_tiles_copies_and_repeated_rows(spark, monkeypatch)
     want = links_of(docs, 5, 80)
     assert len(set(want.values())) > 3
     assert links_found(nj.jaccard_join(brute.edge_docs(spark, [(i, t, "s", 0) for i, t in docs]), 5, 80)) == want
+
+
+def test_packed_texts_are_unpacked_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    from freshet.llm import ngram_jaccard
+
+    seen, texts = [], [b"a b c d", b"", b"a b", b"x y z " * 50, b"a b c d e"]
+    real = ngram_jaccard.gram_sets
+    monkeypatch.setattr(ngram_jaccard, "unpack_text", lambda x: x)
+    monkeypatch.setattr(ngram_jaccard, "gram_sets", lambda part, width: seen.append(len(part)) or real(part, width))
+    got = [x.tolist() for x in ngram_jaccard.packed_sets(pa.chunked_array([pa.array(texts, pa.binary())]), 3, limit=100)]
+    assert got == [x.tolist() for x in real(texts, 3)]
+    assert seen == [4, 1]
