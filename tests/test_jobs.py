@@ -2,13 +2,16 @@
 
 import datetime
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from freshet.operators import geometry
+from freshet.operators import geometry, spatial
 from freshet.plans import explorer, lookup, reconcile, scoring, stations, variant
 from freshet.sources import layers, sheets
 from tests.test_geometry import layer
+from tests.test_spatial import cross, inside, segment_distance2
 
 HAND = "row_id long, BLUE_LINE_ string, StreamName string, Summer_Sen string, Winter_Sen string, Ecosection string, GNIS_NAME string, EcoProvinc string"
 
@@ -286,3 +289,46 @@ def test_best_crossing_is_taken_without_a_sort_of_the_matches(spark):
     best = variant.best_crossings(segs.where("seg_id IN (1, 5)"), scores)
     assert {(r.BLUE_LINE_KEY, r.assessment_id, r.final_score, r.habitat_value) for r in best.collect()} == {(1, 5, 4, "Unknown"), (None, 0, 0, "Unknown")}
     assert "WindowGroupLimit" not in plan(best)
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_lines_of_many_edges_meet_all_overlays_in_one_join(spark, monkeypatch, dense):
+    pick = random.Random(11)
+    if dense:  # every cell is cut, and what is left is salted
+        for name in ("FEW", "LIGHT", "MAX_PAIRS"):
+            monkeypatch.setattr(spatial, name, 0)
+        monkeypatch.setattr(spatial, "MAX_LEVEL", 1)
+    ways = []
+    for _ in range(40):
+        x, y = pick.randint(-300, 300), pick.randint(-300, 300)
+        way = [(x, y)]
+        for _ in range(pick.randint(1, 11)):
+            x, y = x + pick.randint(-70, 70), y + pick.randint(-70, 70)
+            way.append((x, y))
+        ways.append(way)
+    segs = layer(spark, [("s", i, "n", [w]) for i, w in enumerate(ways)], "ECOSECTION_NAME string, BLUE_LINE_KEY int, GNIS_NAME string")
+    spots = [(i, pick.randint(-300, 300), pick.randint(-300, 300)) for i in range(60)]
+    crossings = spark.createDataFrame([(i, float(x), float(y), "Y", None) for i, x, y in spots],
+                                      "assessment_id long, x double, y double, fish_observed string, habitat_value string")
+    hand = [(i, "0", "Y", None, [[(x, y), (x + 80, y + 30)]]) for i, x, y in ((i, pick.randint(-300, 300), pick.randint(-300, 300)) for i in range(8))]
+    experts = layer(spark, hand, "row_id long, BLUE_LINE_ string, Summer_Sen string, Winter_Sen string")
+    rings = [[(x, y), (x + 300, y), (x + 250, y + 260), (x + 120, y + 90), (x, y + 200), (x, y)] for x, y in ((-320, -200), (-100, -100), (20, -300))]
+    rings = [[shell, [(x + 40, y + 40), (x + 110, y + 40), (x + 70, y + 70), (x + 40, y + 40)]] for shell in rings for x, y in shell[:1]]
+    species = layer(spark, [(i, f"S{i}", r) for i, r in enumerate(rings)], "occ_id long, SCI_NAME string")
+    want = {}
+    for k, way in enumerate(ways):
+        steps = list(zip(way, way[1:], strict=False))
+        near = [i for i, x, y in spots if any(segment_distance2(a, b, (x, y)) <= 2500 for a, b in steps)]
+        lines = [i for i, *_, ((p, q),) in hand if any(cross(a, b, p, q) for a, b in steps)]
+        areas = [r for r in rings if inside(way[0], r) or any(cross(a, b, p, q) for a, b in steps for ring in r for p, q in zip(ring, ring[1:], strict=False))]
+        if near or lines or areas:
+            want[k] = (min(near, default=None), len(areas), min(lines, default=None))
+    for cell in (500,) if dense else (40, 500):
+        overlays = scoring.stream_overlays(segs, crossings, species, experts, cell=cell)
+        got = {r.BLUE_LINE_KEY: (r.crossing and r.crossing.fid, r.species, r.expert and r.expert.fid) for r in overlays.collect()}
+        assert got == want
+    if not dense:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        text = plan(scoring.stream_overlays(segs, crossings, species, experts, dense=None))
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert text.count("Exchange hashpartitioning(__cx") == 2  # lines and features are shuffled once each, starts not at all
