@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from freshet.operators import chains
@@ -69,6 +70,39 @@ def test_random_graphs_equal_walking(spark):
         assert got.get(key, []) == want
 
 
+@pytest.mark.parametrize("limit, large", [(1, 10**6), (9, 1), (10**6, 2)])
+def test_lines_that_leave_their_chunk(spark, monkeypatch, limit, large):
+    monkeypatch.setattr(chains, "CHUNK", limit)
+    monkeypatch.setattr(chains, "LARGE", large)
+    monkeypatch.setattr(chains, "BLOCK", 2)
+    pick = random.Random(5)
+    rows = [("r", *map(float, e)) for e in ((0, 0, 5, 0), (5, 0, 5, 5), (5, 5, 0, 5), (0, 5, 0, 0), (9, 9, 19, 9))]
+    for key in [None, "a", "b"]:
+        for _ in range(30):
+            a = (float(pick.randint(0, 6)), float(pick.randint(0, 4)))
+            rows.append((key, *a, a[0] + pick.choice([-1, 0, 1]), a[1] + pick.choice([-1, 0, 1])))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+    try:
+        got = found(table(spark, rows))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for key in {r[0] for r in rows}:
+        assert got.get(key, []) == walk({((r[1], r[2]), (r[3], r[4])) for r in rows if r[0] == key})
+
+
+def test_short_parts_take_no_rounds(spark):
+    ways = [(k, i, float(k * 7919 % 100 + i), float(i * i % 5)) for k in range(50) for i in range(30)]
+    rows = [(f"k{k}", x, y, float(k * 7919 % 100 + i + 1), float((i + 1) ** 2 % 5)) for k, i, x, y in ways]
+    rounds = []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        parts = chains.chain_parts(table(spark, rows), "key", rounds=rounds)
+        assert parts.groupBy("key").agg(F.max("n_edges").alias("n")).where("n = 30").count() == 50
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rounds == []
+
+
 def test_rings_loops_and_single_edges(spark):
     ring = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
     loop = [(5, 5), (6, 5), (6, 6), (5, 5), (4, 4)]
