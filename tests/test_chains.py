@@ -103,6 +103,12 @@ def test_short_parts_take_no_rounds(spark):
     assert rounds == []
 
 
+def test_a_layer_without_keys(spark):
+    rows = [("k", *map(float, e)) for e in ((0, 0, 1, 0), (1, 0, 2, 1), (5, 5, 6, 5), (6, 5, 6, 6), (6, 6, 5, 5))]
+    parts = chains.chain_parts(table(spark, rows).drop("key"), [])
+    assert sorted(tuple(r) for r in parts.groupBy("part.x", "n_edges").count().collect()) == [(0.0, 2, 2), (5.0, 3, 3)]
+
+
 def test_rings_loops_and_single_edges(spark):
     ring = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
     loop = [(5, 5), (6, 5), (6, 6), (5, 5), (4, 4)]
