@@ -1,11 +1,14 @@
 """Token ids in binary shards: one id array per shard, document boundaries in Elias-Fano code with select structures."""
 
+import re
 import struct
 import zlib
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,7 +18,8 @@ from freshet.sources.layers import materialise
 END = 2
 SHARD_TOKENS = 2_000_000
 CACHE_PIECES = 2_000_000  # pieces whose ids a worker remembers; it starts afresh beyond that
-MARKS = frozenset(",.;:!?")  # cut off a word before it is looked up
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # cut off the end of a word before it is looked up
+LETTERS = re.compile(" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")  # the pre-tokenizer leaves such a word whole
 JOINED = 4_096            # words encoded together as lines of one text
 MAGIC = b"EFTOK001"
 SAMPLE = 256              # one select sample per so many values
@@ -111,49 +115,62 @@ class Encoder:
     """Ids of many texts; equal pieces between spaces are encoded once per worker.
 
     The tokenizer never joins a non-space with a space or a line end after it, so a text may be cut before each space
-    and line end that follows a non-space, and a word from a final mark after it. Texts with longer runs of spaces or
-    with a special token are encoded whole.
+    and line end that follows a non-space, and a word that ends in a letter from the marks after it. Texts with longer
+    runs of spaces or with a special token are encoded whole.
     """
 
     def __init__(self, path):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Split
 
         self.model = Tokenizer.from_file(path)
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()] + ["\0"]
         line, two = (self.model.encode(t, add_special_tokens=False).ids for t in ("\n", " a\n b"))
         self.line = line[0] if len(line) == 1 and two.count(line[0]) == 1 else None  # a line end before " x" is an id of its own
+        alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {k: alphabet.pre_tokenize_str(chr(k))[0][0][-1] for k in range(128)}
+        for c in map(chr, range(0x80, 0x250)):
+            self.letters.update(zip(c.encode(), alphabet.pre_tokenize_str(c)[0][0], strict=True))
+        self.by_word = Tokenizer.from_file(path)
+        self.by_word.pre_tokenizer = Split(self.letters[10], "isolated")
         self.clear()
 
     def clear(self):
         self.place, self.flat, self.begins, self.sizes = {}, Growing(np.uint32), Growing(np.int64), Growing(np.int64)
 
-    def _plain(self, texts):
+    def _plain(self, texts, model=None):
         """Ids of texts end to end, and the number of ids of each."""
-        ids = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in (model or self.model).encode_batch_fast(texts, add_special_tokens=False)]
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
 
+    def _lines(self, heads, end="\n", model=None):
+        """As _plain, of heads encoded as lines and cut again at the id of the line end."""
+        flat, _ = self._plain([end.join(heads[k:k + JOINED]) + end for k in range(0, len(heads), JOINED)], model)
+        ends = flat == self.line
+        return flat[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1
+
     def _words(self, heads):
-        """As _plain. Heads that are a space and a non-space on are encoded as lines, cut again at the id of the line end."""
+        """As _plain. Heads that are a space and a non-space on are encoded as lines; those of letters alone are one word to the
+        pre-tokenizer, so they go to the model as such, spelt in its letters for bytes."""
         if self.line is None:
             return self._plain(heads)
-        alone = np.array([x[:1] != " " or x[1:2].isspace() for x in heads])
-        joined = [x for x, own in zip(heads, alone.tolist(), strict=True) if not own]
-        flat, lens = self._plain(["\n".join(joined[k:k + JOINED]) + "\n" for k in range(0, len(joined), JOINED)])
-        ends = flat == self.line
-        sizes, at = np.empty(len(heads), np.int64), np.flatnonzero(ends)
-        sizes[~alone] = np.diff(at, prepend=-1) - 1
-        other, sizes[alone] = self._plain([x for x, own in zip(heads, alone.tolist(), strict=True) if own])
-        out = np.empty(sizes.sum(), np.uint32)
-        from_lines = np.repeat(~alone, sizes)
-        out[from_lines], out[~from_lines] = flat[~ends], other
+        kind = np.array([2 if LETTERS.fullmatch(x) else int(x[:1] == " " and not x[1:2].isspace()) for x in heads], np.int8)
+        own, lines, letters = ([x for x, k in zip(heads, kind.tolist(), strict=True) if k == n] for n in range(3))
+        spelt = [x.encode().decode("latin-1").translate(self.letters) for x in letters]
+        sizes, parts = np.empty(len(heads), np.int64), [self._plain(own), self._lines(lines), self._lines(spelt, self.letters[10], self.by_word)]
+        for n, (_, lens) in enumerate(parts):
+            sizes[kind == n] = lens
+        out, kind = np.empty(sizes.sum(), np.uint32), np.repeat(kind, sizes)
+        for n, (flat, _) in enumerate(parts):
+            out[kind == n] = flat
         return out, sizes
 
     @staticmethod
-    def _pieces(text):
-        """Pieces as keys: "\\0" marks the first, a line end starts its own, all others follow a space."""
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return ["\0" + first, *rest]
+    def _pieces(texts):
+        """The pieces of every text as keys: "\\0" marks the first, a line end starts its own, all others follow a space."""
+        lines = pc.replace_substring(texts, "\n", " \n")
+        return pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\0", texts.type), lines, pa.scalar("", texts.type)), " ")
 
     def _learn(self, new):
         heads, number, head, tail = {}, self.sizes.n, [], []
@@ -166,9 +183,10 @@ class Encoder:
             if last.isspace() or not p:
                 self.place[p] = -1
                 continue
-            if last in MARKS and text[-2:-1].isalpha():
-                head.append(number_of(text[:-1], len(heads)))
-                tail.append(number_of(last, len(heads)))
+            core = text.rstrip(MARKS) if last in MARKS else text
+            if core != text and core[-1:].isalpha():
+                head.append(number_of(core, len(heads)))
+                tail.append(number_of(text[len(core):], len(heads)))
             else:
                 head.append(number_of(text, len(heads)))
                 tail.append(-1)
@@ -185,16 +203,28 @@ class Encoder:
         self.flat.extend(gather(flat, np.cumsum(lens) - lens, lens, parts))
 
     def encode(self, texts):
+        """Ids of each text. Texts are split and equal pieces found for all of them at once, so only distinct pieces are looked up."""
         if len(self.place) > CACHE_PIECES:
             self.clear()
-        pieces = [None if any(t in text for t in self.special) else self._pieces(text) for text in texts]
-        self._learn(set().union(*filter(None, pieces)) - self.place.keys())
-        places = [None if own is None else np.fromiter(map(self.place.__getitem__, own), np.int64, len(own)) for own in pieces]
-        whole = [k for k, at in enumerate(places) if at is None or at.min() < 0]
-        flat, lens = self._plain([texts[k] for k in whole])
-        whole = dict(zip(whole, np.split(flat, np.cumsum(lens)[:-1]), strict=True)) if whole else {}
-        for k, at in enumerate(places):
-            yield whole[k] if k in whole else gather(self.flat.room, self.begins.room, self.sizes.room, at)
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        whole = reduce(np.logical_or, (pc.match_substring(texts, t).to_numpy(zero_copy_only=False) for t in self.special))
+        pieces = self._pieces(texts.filter(pa.array(~whole)))
+        counts, pieces = pieces.value_lengths().to_numpy(), pieces.flatten().dictionary_encode()
+        keys = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()  # many times as fast as to_pylist
+        found = list(map(self.place.get, keys))
+        self._learn([p for p, at in zip(keys, found, strict=True) if at is None])
+        found = [self.place[p] if at is None else at for p, at in zip(keys, found, strict=True)]
+        at = np.array(found, np.int64)[pieces.indices.to_numpy()]
+        if len(counts):  # a text has one piece at least
+            begins = np.cumsum(counts) - counts
+            bad = np.minimum.reduceat(at, begins) < 0
+            at, counts, whole[~whole] = at[np.repeat(~bad, counts)], counts[~bad], bad
+        stops = np.concatenate([[0], np.cumsum(self.sizes.room[at])])[np.cumsum(counts)]
+        known = iter(np.split(gather(self.flat.room, self.begins.room, self.sizes.room, at), stops))
+        flat, lens = self._plain(texts.filter(pa.array(whole)).to_pylist())
+        others = iter(np.split(flat, np.cumsum(lens)))
+        for own in whole.tolist():
+            yield next(others if own else known)
 
 
 def gather(flat, begins, lens, at):
@@ -241,7 +271,7 @@ def write_tokens(docs, path, end=END, shard_tokens=SHARD_TOKENS):
 
         for batch in slices(batches, 1_024):
             keys = batch["doc_id"].fill_null(NULL_ID).to_pylist()
-            for i, ids in zip(keys, model.encode([x or "" for x in batch["text"].to_pylist()]), strict=True):
+            for i, ids in zip(keys, model.encode(batch["text"].fill_null("")), strict=True):
                 held.append((i, np.append(ids, np.uint32(end))))
                 size += len(ids) + 1
                 if size >= shard_tokens:

@@ -66,3 +66,19 @@ def test_elias_fano(values):
 def test_space_of_boundaries():
     ends = np.cumsum(np.random.default_rng(1).integers(1, 1000, 50_000))
     assert 8 * len(tf.EliasFano.of(ends).to_bytes()) / len(ends) < 2.1 + np.log2(ends[-1] / len(ends))
+
+
+def test_words_of_letters_and_marks_after_them_are_not_split_again():
+    class Counted:
+        chars = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.chars += sum(map(len, texts))
+            return MODEL.encode_batch_fast(texts, **options)
+
+    names = ["".join(chr(97 + int(d)) for d in str(k)) + "\u00e9\u0107" * (k % 2) for k in range(3_000)]
+    texts = [f"x {w}%%% {w}!! {w}, {w}\n{w.upper()}." for w in names]
+    model = tf.Encoder(PATH)
+    model.model = Counted()
+    assert [x.tolist() for x in model.encode(texts)] == [MODEL.encode(t, add_special_tokens=False).ids for t in texts]
+    assert model.model.chars < 30_000  # the words after a line end alone; each form of a word as its own text has 100,000
