@@ -9,6 +9,8 @@ from freshet.operators.spatial import lines_in_polygons, ring_edges
 from freshet.sources.layers import materialise
 
 STREAM = ["BLUE_LINE_KEY", "GNIS_NAME"]
+RUN_BYTES = 8_000_000     # of repeated lists that come from one row
+TASK_BYTES = 250_000_000  # of repeated lists that a task writes
 
 
 def section_matches(requests, catalogue, ecosections, cell=50_000):
@@ -61,12 +63,28 @@ def lookup_streams(requests, catalogue, ecosections, cell=50_000, repeats=False)
     sections = text_list(touched, STREAM, {"Ecosections": "Ecosection"}, "eco_id")
     streams = left_join(inner_join(found, times, "GNIS_NAME"), dissolved_size(lines, STREAM), STREAM)
     streams = left_join(streams, sections, STREAM)
-    text = F.coalesce("Ecosections", F.lit("NA"))
+    streams = streams.withColumn("Ecosections", F.coalesce("Ecosections", F.lit("NA")))
+    first, last = F.lit(1), F.col("times")
     if repeats:
-        text = F.concat(F.repeat(F.concat(text, F.lit(", ")), F.col("times") - 1), text)
-    streams = streams.withColumn("Ecosections", text)
-    each = F.explode(F.sequence(F.lit(1), F.col("times")))
-    return streams.withColumn("request_no", each).drop("times")
+        streams, (first, last) = _dealt(streams), (F.col("__first"), F.col("__last"))
+        text = F.concat(F.repeat(F.concat("Ecosections", F.lit(", ")), F.col("times") - 1), "Ecosections")
+        streams = streams.withColumn("Ecosections", text)
+    return streams.withColumn("request_no", F.explode(F.sequence(first, last))).drop("times", "__first", "__last")
+
+
+def _dealt(streams, run=RUN_BYTES, task=TASK_BYTES):
+    """Runs of requests of each stream, `__first` to `__last`, whose repeated lists take about `run` bytes, dealt out to tasks of
+    about `task` bytes. A list per request grows with the square of the requests of a stream, and a stream is one row until then;
+    so the number of tasks is that of the bytes to write.
+    """
+    streams = materialise(streams, "lookup_sizes")
+    length = (F.octet_length("Ecosections") + F.lit(2)).cast("double") * F.col("times")
+    total = streams.agg(F.sum(length * F.col("times"))).first()[0] or 0
+    tasks = max(int(streams.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total / task))
+    step = F.greatest(F.floor(F.lit(run) / length), F.lit(1)).cast("int")
+    firsts = F.explode(F.sequence(F.lit(1), F.col("times"), F.least(step, "times")))
+    runs = streams.withColumn("__first", firsts).withColumn("__last", F.least(F.col("__first") + F.least(step, "times") - 1, "times"))
+    return runs.repartition(tasks, *STREAM, "__first")
 
 
 def unmatched_requests(requests, found):

@@ -3,6 +3,7 @@
 import datetime
 import os
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +103,18 @@ def test_lookup_takes_the_first_key_and_repeats_requests(spark):
     assert {r.Stream for r in missing.collect()} == {"B", "C"}
 
 
+def test_repeated_lists_of_one_stream_are_written_by_several_tasks(spark, monkeypatch):
+    segs = layer(spark, [(2, 60, "A", [[(5, 5), (6, 5)]])], "seg_id long, BLUE_LINE_KEY int, GNIS_NAME string")
+    sections = spark.createDataFrame([(1, "west", 0.0, 0.0, 100.0, 100.0)], "eco_id long, ECOSECTION_NAME string, xmin double, ymin double, xmax double, ymax double")
+    sections = sections.withColumn("geom", geometry.line_geom(("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"), ("xmin", "ymin")))
+    asked = spark.createDataFrame([("A", "west")] * 23, "Stream string, Ecosection string")
+    monkeypatch.setattr(lookup, "_dealt", partial(lookup._dealt, run=300, task=600))
+    found = lookup.lookup_streams(asked, segs, sections, cell=50, repeats=True).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.request_no for r in found) == list(range(1, 24))
+    assert {r.Ecosections for r in found} == {", ".join(["west"] * 23)}
+    assert len({r.task for r in found}) > 1
+
+
 def scoring_layers(spark):
     segs = layer(spark, [
         (1, 1, "A", "s1", "Not Sensitive", None, 3, None, [[(0, 0), (100, 0)]]),
