@@ -93,3 +93,14 @@ def test_repeated_edges_do_not_cancel_in_fingerprints(spark):
     table = spark.createDataFrame(rows, "k int, " + ", ".join(f"{c} double" for c in geometry.EDGE))
     a, b = geometry.edge_fingerprint(table, "k").orderBy("k").collect()
     assert a.n_edges == b.n_edges == 3 and (a.h1, a.h2) != (b.h1, b.h2)
+
+
+def test_edges_of_computed_lines_are_not_tested_below_the_exchange(spark):
+    rows = spark.createDataFrame([(1, 4), (2, 1), (3, 0), (4, None)], "k long, n int").repartition(3, "k")
+    vertex = "x -> named_struct('x', cast(x AS double), 'y', cast(k AS double))"
+    lines = rows.selectExpr("k", f"CASE WHEN n > 0 THEN array(transform(sequence(1, n), {vertex})) WHEN n = 0 THEN array() END AS geom")
+    for table in (geometry.edges(lines, ["k"]), geometry.part_edges(lines, ["k"]), geometry.line_pieces(lines, ["k"], 2)):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "transform" not in plan[plan.index("RepartitionByExpression"):]
+        assert {r.k for r in table.collect()} == {1}
+    assert geometry.edges(lines, ["k"]).count() == 3
