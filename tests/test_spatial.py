@@ -193,3 +193,18 @@ def test_lines_near_points_settles_each_pair_in_one_cell(spark, tables, cell, mo
     assert text[text.index("SortMergeJoin"):].count("REPARTITION_BY_COL") == 1
     got = [(r.lid, r.pid) for r in pairs.collect()]
     assert len(got) == len(set(got)) and set(got) == {w for w in want if w[1] in {r.pid for r in single.collect()}}
+
+
+def test_pairs_of_ids_are_dealt_out_by_the_candidates_in_cells(spark):
+    rows = [(None if k == 7 else k % 40, float(k % 10), 0.0, k % 10 + 1.5, 1.0) for k in range(80)]
+    left = spark.createDataFrame(rows, "l int, ax double, ay double, bx double, by double")
+    others = spatial.other_edges(left.withColumnRenamed("l", "r"))
+    met = spatial.edges_on_edges(left, others, 5).select("l", "r")
+    boxes = spatial.edge_box(left, "l"), spatial.edge_box(others, "r", ("px", "py"), ("qx", "qy"))
+    candidates = spatial.candidate_pairs(*boxes, 5)
+    assert met.count() <= candidates <= 4 * 80 * 80
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = spatial.distinct_pairs(met, left, others, 5, task_pairs=candidates / (few + 3))
+    assert dealt.rdd.getNumPartitions() in (few + 2, few + 3)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, spatial.distinct_pairs(met, left, others, 5).collect())) == sorted(map(str, met.distinct().collect()))
+    assert spatial.candidate_pairs(boxes[0].limit(0), boxes[1].limit(0), 5) == 0
