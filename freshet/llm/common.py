@@ -10,7 +10,7 @@ from freshet.sources.layers import materialise
 GAPS = "[\\x20\\x09-\\x0D]+"  # between words, as a Java pattern
 BATCH_BYTES = 4_000_000   # text gathered in a task before it is hashed together
 BUCKET_BYTES = 4_000_000  # text whose hashes meet in one bucket, on average
-CHUNK = 1 << 20           # bytes hashed at once; only a longer word makes it longer
+CHUNK = 1 << 17           # bytes hashed at once, a few MB of arrays a worker; only a longer word makes it longer
 NULL_ID = -(1 << 63)      # a null doc_id sorts first and is written back as null
 LEAST_ID = -(1 << 62)     # ids are not smaller; the keys below stand for rows without id, each text with its own
 

@@ -368,25 +368,20 @@ def _by_cell(percent, bound, names, forest=False):
 
 
 def _sets(docs, wanted, width):
-    """(doc, n, grams) of the wanted documents, their texts read again and moved compressed."""
-    import zstandard
-
-    def pack(batches):
-        press = zstandard.ZstdCompressor(3)
-        for ids, texts in doc_batches(batches, BATCH):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([press.compress(x) for x in texts], pa.binary())], ["doc", "body"])
+    """(doc, n, grams) of the wanted documents, their texts read again.
 
+    The join comes before Python, so that a stage in which the wanted ids are broadcast runs one worker a task.
+    """
     def run(batches):
-        for batch in slices(batches):
-            texts = [zstandard.ZstdDecompressor().decompress(x) for x in batch["body"].to_pylist()]
-            sets = list(gram_sets(texts, width)) if texts else []
+        for ids, texts in doc_batches(batches, PART):
+            sets = list(gram_sets(texts, width))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"], pa.array(list(map(len, sets)), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+                [pa.array(ids, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
                 ["doc", "n", "grams"])
 
-    bodies = docs.select("doc_id", "text").mapInArrow(pack, "doc long, body binary")
-    return bodies.join(wanted, "doc", "left_semi").mapInArrow(run, "doc long, n long, grams binary")
+    keyed = docs.select(row_key().alias("doc_id"), "text")
+    bodies = keyed.join(wanted.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
+    return bodies.mapInArrow(run, "doc long, n long, grams binary")
 
 
 def _copies(signed):

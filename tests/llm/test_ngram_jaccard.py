@@ -142,3 +142,19 @@ def test_packed_texts_are_unpacked_in_parts(monkeypatch):
     got = [x.tolist() for x in ngram_jaccard.packed_sets(pa.chunked_array([pa.array(texts, pa.binary())]), 3, limit=100)]
     assert got == [x.tolist() for x in real(texts, 3)]
     assert seen == [4, 1]
+
+
+def test_wanted_texts_pass_python_once(spark):
+    docs = brute.edge_docs(spark, [(1, "a b c d", "s", 0), (None, "x y z", "s", 0), (2, "left out", "s", 0), (3, None, "s", 0)])
+    key = nj.signatures(docs, 3, 90).where("doc_id < 0").first()["doc_id"]
+    wanted = spark.createDataFrame([(1,), (key,), (3,)], "doc long")
+    sets = nj._sets(docs, wanted, 3)
+    assert sets._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["doc"]: r["n"] for r in sets.collect()} == {1: 2, key: 1, 3: 0}
+
+
+def test_arrays_kept_by_a_worker_are_small():
+    from freshet.llm import common
+
+    common.Words([b"a b c"])
+    assert sum(x.nbytes for pair in common._power_cache.values() for x in pair) < 10_000_000
