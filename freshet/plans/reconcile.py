@@ -105,11 +105,12 @@ def reconcile(hand, catalogue_lines, cell=1000, unkeyed="0", overrides=None):
     `overrides` (BLUE_LINE_ and Ecosection, each key once) are manual corrections made last: all rows of a listed key share
     the union of the lines they then have and the given section list; they count as replaced.
 
-    The replaced rows are used many times and therefore written to the shared folder; `catalogue_lines`
+    The streams that replace lines and the replaced rows are used many times and therefore written to the shared folder; `catalogue_lines`
     should be a written table as well, as lookup_lines gives it.
     """
-    updates = touching_longer(catalogue_lines, hand, cell)
-    replaced_rows = replace_geometry(hand, updates)
+    # Both are read several times; the meetings of lines are the dearest step.
+    updates = materialise(touching_longer(catalogue_lines, hand, cell), "updates")
+    replaced_rows = materialise(replace_geometry(hand, updates), "replaced_rows")
     rows = materialise(_geometry_ids(replaced_rows, catalogue_lines), "hand_rows")
     flagged = column_dupes(rows, ["geometry_id", "Summer_Sen", "Winter_Sen", "BLUE_LINE_"], "row_id").where("is_dup")
     if unkeyed is not None:

@@ -348,3 +348,14 @@ def test_lines_of_many_edges_meet_all_overlays_in_one_join(spark, monkeypatch, d
         done = plan(overlays).split("== Initial Plan ==")[0].splitlines()
         by_cell = [line for line in done if "Exchange hashpartitioning(__cx" in line and "ReusedExchange" not in line]
         assert len(by_cell) == 2  # lines and features are shuffled once each, starts not at all
+
+
+def test_reconcile_meets_lines_once(spark, monkeypatch):
+    hand = spark.createDataFrame([], ", ".join(f"{c} string" for c in reconcile.ALL_SEVEN)
+                                 + ", row_id long, geom array<array<struct<x:double,y:double>>>")
+    lines = spark.createDataFrame([], "BLUE_LINE_KEY long, GNIS_NAME string, ax double, ay double, bx double, by double")
+    written, real = [], reconcile.materialise
+    monkeypatch.setattr(reconcile, "materialise", lambda df, label: written.append(label) or real(df, label))
+    listed = spark.createDataFrame([], "BLUE_LINE_ string, Ecosection string")
+    assert reconcile.reconcile(hand, lines, overrides=listed).count() == 0
+    assert written[:3] == ["updates", "replaced_rows", "hand_rows"]
