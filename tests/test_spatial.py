@@ -208,3 +208,49 @@ def test_pairs_of_ids_are_dealt_out_by_the_candidates_in_cells(spark):
     assert dealt.rdd.getNumPartitions() in (few + 2, few + 3)
     assert sorted(map(str, dealt.collect())) == sorted(map(str, spatial.distinct_pairs(met, left, others, 5).collect())) == sorted(map(str, met.distinct().collect()))
     assert spatial.candidate_pairs(boxes[0].limit(0), boxes[1].limit(0), 5) == 0
+
+
+def odd_lines(spark, n=60):
+    """Lines of one or two parts, some wide, empty or given in several rows, with ids that may be null, as (id, parts)."""
+    r = random.Random(11)
+
+    def part(width):
+        x, y = r.randint(-400, 400), r.randint(-400, 400)
+        return [(float(x), float(y))] + [(float(x + r.randint(-width, width)), float(y + r.randint(-width, width))) for _ in range(r.randint(1, 3))]
+
+    rows = [(i % 47, [part(500 if i % 13 == 0 else 30) for _ in range(1 + i % 2)]) for i in range(n)]
+    rows += [(None, [part(30)]), (None, [part(30)]), (200, []), (201, [[(10.0, 10.0)]]), (202, None), (203, [[], part(20)])]
+    geom = [(i, None if parts is None else [[{"x": x, "y": y} for x, y in p] for p in parts]) for i, parts in rows]
+    return rows, spark.createDataFrame(geom, "lid int, geom array<array<struct<x:double,y:double>>>")
+
+
+@pytest.mark.parametrize("cell, most", [(20, 256), (64, 256), (64, 1), (2000, 256)])
+def test_lines_in_polygons_equal_brute_force(spark, monkeypatch, cell, most):
+    monkeypatch.setattr(spatial, "LINE_ROWS", most)
+    monkeypatch.setattr(spatial, "LINE_BLOCK", 7)
+    monkeypatch.setattr(spatial, "POLYGON_BLOCK", 3)
+    rows, df = odd_lines(spark)
+    r, areas = random.Random(5), []
+    for i in range(25):
+        x, y, w = r.randint(-400, 300), r.randint(-400, 300), r.randint(20, 300)
+        rings = [[(x, y), (x + w, y), (x + w, y + w), (x + w // 2, y + w // 3), (x, y + w), (x, y)]]
+        rings += [[(x + 2, y + 2), (x + w // 2, y + 2), (x + w // 2, y + w // 4), (x + 2, y + 2)]] if i % 2 else []
+        areas.append((i, [[(float(u), float(v)) for u, v in ring] for ring in rings]))
+    shaped = [(i, [[{"x": x, "y": y} for x, y in ring] for ring in rings]) for i, rings in areas]
+    polygons = spark.createDataFrame(shaped, "poly int, geom array<array<struct<x:double,y:double>>>")
+    want = {(i, j) for i, parts in rows for j, rings in areas for p in parts or [] if p and (
+        inside(p[0], rings) or any(cross(a, b, *e) for a, b in zip(p, p[1:]) for ring in rings for e in zip(ring, ring[1:])))}
+    got = [tuple(p) for p in spatial.lines_in_polygons(df, spatial.ring_edges(polygons, ["poly"]), "lid", "poly", cell).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pairs_of_lines_and_polygons_are_not_shuffled(spark, tables):
+    part = F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
+    df = tables["edges"].select("lid", F.array(part).alias("geom"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rings = tables["others"].withColumn("poly_xmin", F.least("px", "qx"))
+        text = spatial.lines_in_polygons(df, rings, "lid", "rid", 200)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text[:text.index("SortMergeJoin")] and "Aggregate" not in text[:text.index("SortMergeJoin")]
