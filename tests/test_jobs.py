@@ -197,6 +197,41 @@ def test_species_text_repeats_per_crossing(spark):
     assert {r.GNIS_NAME: r.SCI_NAME for r in once.collect()} == {"A": "S1, S1, NA", "C": "NA"}
 
 
+def species_of_streams(spark):
+    """Two streams, one in several rows, and areas that lie on the first of them."""
+    line = lambda x: [[{"x": float(x), "y": 0.0}, {"x": float(x + 10), "y": 5.0}]]
+    segments = spark.createDataFrame(
+        [("E", 1, "A", line(0)), ("E", 1, "A", line(300)), ("E", None, None, line(0)), ("E", 2, "far", line(90_000)), ("E", 3, "wide", [line(0)[0] + line(70_000)[0]])],
+        "ECOSECTION_NAME string, BLUE_LINE_KEY int, GNIS_NAME string, geom array<array<struct<x:double,y:double>>>")
+    ring = lambda x: [[{"x": x + u, "y": v} for u, v in ((-5.0, -5.0), (50.0, -5.0), (50.0, 50.0), (-5.0, 50.0), (-5.0, -5.0))]]
+    areas = [(i, f"S{i}" if i % 3 else None, f"e{i}", ring(0.0 if i % 2 else 300.0)) for i in (5, 3, 11, 2, 4)]
+    return segments, spark.createDataFrame(areas, "occ_id long, SCI_NAME string, ENG_NAME string, geom array<array<struct<x:double,y:double>>>")
+
+
+@pytest.mark.parametrize("block, rows", [(256, 256), (1, 256), (2, 1)])
+def test_species_texts_are_put_together_in_blocks(spark, monkeypatch, block, rows):
+    monkeypatch.setattr(spatial, "POLYGON_BLOCK", block)
+    monkeypatch.setattr(spatial, "LINE_ROWS", rows)
+    segments, areas = species_of_streams(spark)
+    crossings = spark.createDataFrame([(1, 5.0, 0.0), (2, 6.0, 0.0)], "assessment_id int, x double, y double")
+    texts = {r.GNIS_NAME: (r.SCI_NAME, r.ENG_NAME) for r in scoring.species_lists(segments, crossings, areas).collect()}
+    odd = ("NA, S5, S11", "e3, e5, e11")
+    both = ("S2, NA, S4, S5, S11", "e2, e3, e4, e5, e11")
+    assert texts == {"A": both, None: odd, "far": ("NA", "NA"), "wide": both}
+    monkeypatch.setattr(scoring, "TASK_BYTES", 1)
+    repeated = scoring.species_lists(segments, crossings, areas, repeats=True)
+    assert {r.GNIS_NAME: r.SCI_NAME for r in repeated.collect()} == {
+        "A": ", ".join([both[0]] * 2), None: ", ".join([odd[0]] * 2), "far": "NA", "wide": ", ".join([both[0]] * 2)}
+
+
+def test_texts_shuffle_no_pairs(spark):
+    segments, areas = species_of_streams(spark)
+    crossings = spark.createDataFrame([(1, 5.0, 0.0)], "assessment_id int, x double, y double")
+    narrow = segments.where("BLUE_LINE_KEY IS NULL OR BLUE_LINE_KEY < 3")
+    text = scoring.species_lists(narrow, crossings, areas)._jdf.queryExecution().executedPlan().toString()
+    assert "listagg" in text and "MapInArrow" in text and "rangepartitioning" not in text
+
+
 def test_search_of_a_closed_line_finds_nothing(spark):
     hand = layer(spark, [(1, "Ring", [[(0, 0), (1, 0), (1, 1), (0, 0)]]), (2, "Line", [[(3, 4), (5, 6)]])], "row_id int, StreamName string")
     assert explorer.locate_stream(hand, "Ring").count() == 0

@@ -195,6 +195,24 @@ def test_lines_near_points_settles_each_pair_in_one_cell(spark, tables, cell, mo
     assert len(got) == len(set(got)) and set(got) == {w for w in want if w[1] in {r.pid for r in single.collect()}}
 
 
+@pytest.mark.parametrize("cell, block", [(7, 2), (64, 1000), (1000, 3)])
+def test_points_of_lines_are_counted_in_blocks(spark, tables, cell, block, monkeypatch):
+    monkeypatch.setattr(spatial, "LINE_BLOCK", block)
+    monkeypatch.setattr(spatial, "POINT_BLOCK", block)
+    edges = tables["edges"].withColumn("lid", F.expr("IF(lid % 40 = 0, NULL, floor(lid / 5))"))
+    points = tables["points"] + [(7, 300.0, 300.0), (None, 0.0, 0.0)]
+    spots = spark.createDataFrame(points, "pid int, x double, y double")
+    pairs = {(None if i % 40 == 0 else i // 5, p) for i, *e in tables["left"] for p, x, y in points if segment_distance2(e[:2], e[2:], (x, y)) <= 900}
+    times = {i: sum(1 for j, _ in pairs if j == i) for i, _ in pairs}
+    counts = spatial.points_per_line(edges, "lid", spots, "pid", 30, cell, dense=None)
+    assert {r.lid: r.times for r in counts.collect()} == times
+    known = spots.where("pid IS NOT NULL")
+    first = spatial.first_near_lines(edges, "lid", known, "pid", 30, cell, dense=None)
+    wanted = [(i, p) for i, p in pairs if p is not None]
+    assert {r.lid: r.pid for r in first.collect()} == {i: min(p for j, p in wanted if j == i) for i, _ in wanted}
+    assert "MapInArrow" in counts._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pairs_of_ids_are_dealt_out_by_the_candidates_in_cells(spark):
     rows = [(None if k == 7 else k % 40, float(k % 10), 0.0, k % 10 + 1.5, 1.0) for k in range(80)]
     left = spark.createDataFrame(rows, "l int, ax double, ay double, bx double, by double")
