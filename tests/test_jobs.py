@@ -169,6 +169,16 @@ def test_copies_of_a_segment_change_nothing(spark, monkeypatch):
     assert len(seen) == 1 and seen[0] is not None
 
 
+def test_overlays_are_settled_in_blocks_of_any_size(spark, monkeypatch):
+    segs, *others = scoring_layers(spark)
+    scored = scoring.score_streams(segs, *others)
+    want = scored.orderBy("ECOSECTION_NAME", "GNIS_NAME").collect()
+    assert "MapInArrow" in plan(scored)
+    monkeypatch.setattr(spatial, "LINE_BLOCK", 1)
+    monkeypatch.setattr(spatial, "FEATURE_BLOCK", 1)
+    assert scoring.score_streams(segs, *others).orderBy("ECOSECTION_NAME", "GNIS_NAME").collect() == want
+
+
 def test_species_areas_with_holes_and_equal_segments(spark):
     def area(i, name, *rings):
         return (i, name, name, [[{"x": float(x), "y": float(y)} for x, y in (*r, r[0])] for r in rings])
