@@ -262,6 +262,22 @@ def test_lines_in_polygons_equal_brute_force(spark, monkeypatch, cell, most):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("cell, most", [(20, 256), (64, 1), (2000, 256)])
+def test_lines_on_lines_equal_brute_force(spark, tables, monkeypatch, cell, most):
+    monkeypatch.setattr(spatial, "LINE_ROWS", most)
+    monkeypatch.setattr(spatial, "LINE_BLOCK", 7)
+    monkeypatch.setattr(spatial, "POLYGON_BLOCK", 3)
+    rows, df = odd_lines(spark)
+    others = tables["others"].withColumn("rid", F.expr("floor(rid / 2)"))
+    want = {(i, j // 2) for i, parts in rows for j, *e in tables["right"] for p in parts or []
+            if any(cross(a, b, e[:2], e[2:]) for a, b in zip(p, p[1:]))}
+    pairs = spatial.lines_on_lines(df, others, "lid", "rid", cell)
+    got = [tuple(p) for p in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    if cell == 2000:
+        assert "Aggregate" not in (text := pairs._jdf.queryExecution().optimizedPlan().toString())[:text.index("MapInArrow")]
+
+
 def test_pairs_of_lines_and_polygons_are_not_shuffled(spark, tables):
     part = F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
     df = tables["edges"].select("lid", F.array(part).alias("geom"))
